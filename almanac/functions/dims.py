@@ -28,13 +28,14 @@ MONTH_NAMES_PT = {
 
 
 def month_code(ts: Column | str) -> Column:
-    """Two-digit month string ``01``..``12``."""
-    return F.date_format(_col(ts), "MM")
+    """Two-digit month string ``01``..``12``.  Read from the field itself
+    (no formatter, and zone-free on ``timestamp_ntz``)."""
+    return F.lpad(F.month(_col(ts)).cast("string"), 2, "0")
 
 
 def year_code(ts: Column | str) -> Column:
     """Four-digit year string."""
-    return F.date_format(_col(ts), "yyyy")
+    return F.lpad(F.year(_col(ts)).cast("string"), 4, "0")
 
 
 def _name_map(names: dict[str, str] = MONTH_NAMES_PT) -> Column:

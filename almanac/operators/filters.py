@@ -42,40 +42,50 @@ def where_date_range(df: DataFrame, rng: DateRange, ts: str = "ts") -> DataFrame
     return df.where(date_range_predicate(ts, rng, df.schema[ts].dataType))
 
 
-def _leaf(e: Exact, resolve: Callable[[str], Column]) -> Column:
-    c = resolve(e.field)
-    if e.case_sensitive:
-        return c == F.lit(e.value)
-    return F.lower(c) == F.lit(e.value.lower())
+Leaf = Callable[[str, list, bool], "Column | None"]
 
 
-def compile_filter(expr: FilterExpr | None, resolve: Callable[[str], Column]) -> Column | None:
+def _leaf(field: str, values: list[str], case_sensitive: bool,
+          resolve: Callable[[str], Column], leaf: Leaf | None) -> Column:
+    if leaf is not None:
+        p = leaf(field, values, case_sensitive)
+        if p is not None:
+            return p
+    c = resolve(field)
+    if not case_sensitive:
+        c, values = F.lower(c), [v.lower() for v in values]
+    return c == F.lit(values[0]) if len(values) == 1 else c.isin(*values)
+
+
+def compile_filter(expr: FilterExpr | None, resolve: Callable[[str], Column],
+                   leaf: Leaf | None = None) -> Column | None:
     """Filter tree → boolean Column.
 
-    ``resolve`` maps a filter field name to a Column.  In an OR group,
-    case-sensitive EXACT leaves on one field become a single ``IN`` (which
-    Parquet takes as one pushed filter); the rest are OR-ed.
+    ``resolve`` maps a filter field name to a Column.  In an OR group, EXACT
+    leaves on one field become a single ``IN`` (one pushed filter for
+    Parquet); the rest are OR-ed.  ``leaf(field, values, case_sensitive)``
+    may return a better predicate for "field in values" — a binding uses it
+    to put the test on the source column, where the scan can take it.
     """
     if expr is None:
         return None
     if isinstance(expr, Exact):
-        return _leaf(expr, resolve)
+        return _leaf(expr.field, [expr.value], expr.case_sensitive, resolve, leaf)
     if isinstance(expr, AnyOf):
-        same_field: dict[str, list[str]] = defaultdict(list)
+        same_field: dict[tuple[str, bool], list[str]] = defaultdict(list)
         parts: list[Column] = []
         for sub in expr.expressions:
-            if isinstance(sub, Exact) and sub.case_sensitive:
-                same_field[sub.field].append(sub.value)
+            if isinstance(sub, Exact):
+                same_field[(sub.field, sub.case_sensitive)].append(sub.value)
             else:
-                parts.append(compile_filter(sub, resolve))
-        for fld, values in same_field.items():
-            col = resolve(fld)
-            parts.insert(0, col == F.lit(values[0]) if len(values) == 1 else col.isin(*values))
-        return reduce(lambda a, b: a | b, parts)
+                parts.append(compile_filter(sub, resolve, leaf))
+        grouped = [_leaf(f, vals, cs, resolve, leaf) for (f, cs), vals in same_field.items()]
+        return reduce(lambda a, b: a | b, grouped + parts)
     raise TypeError(f"not a filter expression: {expr!r}")
 
 
-def where_filter(df: DataFrame, expr: FilterExpr | None, resolve: Callable[[str], Column]) -> DataFrame:
+def where_filter(df: DataFrame, expr: FilterExpr | None, resolve: Callable[[str], Column],
+                 leaf: Leaf | None = None) -> DataFrame:
     """filter on fields that need not be in the output."""
-    p = compile_filter(expr, resolve)
+    p = compile_filter(expr, resolve, leaf)
     return df if p is None else df.where(p)

@@ -40,9 +40,15 @@ SESSION_MAP_COLUMNS = ("user_id", "bucket", "session_id", "session_start", "firs
 def epoch_micros(df: DataFrame, ts: str = "ts") -> Column:
     """Microseconds since 1970-01-01 without depending on the session zone:
     wall-clock micros for ``timestamp_ntz``, instant micros for ``timestamp``."""
+    c = F.col(ts)
     if isinstance(df.schema[ts].dataType, TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
-    return F.unix_micros(F.col(ts))
+        # Built from fields: any cast of timestamp_ntz to timestamp (which
+        # unix_micros and timestampdiff do) goes through the session zone.
+        day = F.unix_date(c.cast("date")).cast("long")
+        secs = F.extract(F.lit("SECOND"), c)  # decimal(8,6), with the fraction
+        return (day * F.lit(86_400_000_000) + F.hour(c).cast("long") * F.lit(3_600_000_000)
+                + F.minute(c).cast("long") * F.lit(60_000_000) + (secs * F.lit(1_000_000)).cast("long"))
+    return F.unix_micros(c)
 
 
 def gap_micros(gap: dt.timedelta) -> int:

@@ -30,6 +30,47 @@ CONTRACT = ("event_id", "ts", "user_id", "session_id", "platform", "channel", "e
 Builder = Callable[[SparkSession, frozenset], DataFrame]
 
 
+@dataclass(frozen=True)
+class CodeMap:
+    """A contract field derived from one source column by a code table:
+    ``value = mapping.get(source, default)`` (NULL source gives ``default``).
+
+    Besides the CASE expression it gives the inverse predicate for a set of
+    values, on the source column itself, so a filter such as
+    ``platform IN ('Android', 'iOS')`` reaches the Parquet scan as
+    ``source IN (...)``.
+    """
+
+    source: str
+    mapping: tuple[tuple[str, str], ...]
+    default: str
+
+    def expr(self, src: Column | None = None) -> Column:
+        src = F.col(self.source) if src is None else src
+        out = None
+        for code, value in self.mapping:
+            out = (F.when(src == F.lit(code), F.lit(value)) if out is None
+                   else out.when(src == F.lit(code), F.lit(value)))
+        return F.lit(self.default) if out is None else out.otherwise(F.lit(self.default))
+
+    def predicate(self, values: Iterable[str], src: Column | None = None,
+                  case_sensitive: bool = True) -> Column:
+        src = F.col(self.source) if src is None else src
+        values = set(values)
+        if case_sensitive:
+            match = lambda v: v in values
+        else:
+            low = {v.lower() for v in values}
+            match = lambda v: v.lower() in low
+        codes = [c for c, v in self.mapping if match(v)]
+        others = [c for c, _ in self.mapping]
+        pos = src.isin(*codes) if codes else F.lit(False)
+        if match(self.default):
+            # the default covers NULL and every code outside the table
+            return pos | src.isNull() | ~src.isin(*others) if others else F.lit(True)
+        return pos
+
+
 @dataclass(frozen=True)
 class Binding:
     """A named event source.
@@ -49,14 +90,22 @@ class Binding:
     session_ids: bool = True
     rows_are_sessions: bool = False
     session_gap: dt.timedelta = dt.timedelta(minutes=30)
+    derived: tuple[tuple[str, CodeMap], ...] = ()
+
+    def code_map(self, contract_col: str) -> CodeMap | None:
+        return dict(self.derived).get(contract_col)
 
     def frame(self, spark: SparkSession, need: Iterable[str] = CONTRACT) -> DataFrame:
+        """The contract columns in ``need``; for a derived column the source
+        column comes along too (as ``_src_<name>``) for pushable filters.
+        Catalyst prunes it when no filter reads it."""
         need = frozenset(need) | {"ts"}
         unknown = need - set(CONTRACT)
         if unknown:
             raise ValueError(f"not contract columns: {sorted(unknown)}")
         df = self.build(spark, need)
-        return df.select(*[c for c in CONTRACT if c in need])
+        srcs = [F.col(cm.source).alias(f"_src_{c}") for c, cm in self.derived if c in need]
+        return df.select(*[c for c in CONTRACT if c in need], *srcs)
 
 
 def _read(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
@@ -82,6 +131,10 @@ ORGANIC = "Organic Search"
 OTHER = "Other"
 
 
+ORDERS_PLATFORM = CodeMap("o_orderpriority", tuple(ORDERS_PLATFORM_BY_PRIORITY.items()), "web")
+ORDERS_CHANNEL = CodeMap("c_mktsegment", ((ORDERS_ORGANIC_SEGMENT, ORGANIC),), OTHER)
+
+
 def orders_binding(data_dir: str, name: str = "orders") -> Binding:
     """Orders as hits: one order is one session of its customer."""
 
@@ -92,32 +145,26 @@ def orders_binding(data_dir: str, name: str = "orders") -> Binding:
             "ts": F.col("o_orderdate"),
             "user_id": F.col("o_custkey"),
             "session_id": F.col("o_orderkey"),
-            "platform": F.coalesce(
-                F.element_at(
-                    F.create_map(*[F.lit(x) for kv in ORDERS_PLATFORM_BY_PRIORITY.items() for x in kv]),
-                    F.col("o_orderpriority"),
-                ),
-                F.lit("web"),
-            ),
+            "platform": ORDERS_PLATFORM.expr(),
             "engaged": F.col("o_orderstatus") == F.lit(ORDERS_ENGAGED_STATUS),
             "revenue": F.col("o_totalprice"),
         }
+        keep = [F.col("o_orderpriority")] if "platform" in need else []
         if "channel" in need:
-            # Lookup join on the customer key.  No broadcast hint: Catalyst
-            # broadcasts the customer side only while its estimated size is
-            # under spark.sql.autoBroadcastJoinThreshold (and AQE re-checks
-            # at run time), otherwise it plans a sort-merge join.
-            c = _read(spark, data_dir, "customer").select(
-                F.col("c_custkey"),
-                F.when(F.col("c_mktsegment") == F.lit(ORDERS_ORGANIC_SEGMENT), F.lit(ORGANIC))
-                .otherwise(F.lit(OTHER))
-                .alias("_channel"),
-            )
+            # Lookup join on the customer key (a customer has one segment).
+            # No broadcast hint: Catalyst broadcasts the customer side only
+            # while its estimated size is under
+            # spark.sql.autoBroadcastJoinThreshold, and AQE re-checks at run
+            # time; beyond that it is a sort-merge join.  An unmatched order
+            # has a NULL segment, hence channel Other.
+            c = _read(spark, data_dir, "customer").select("c_custkey", "c_mktsegment")
             o = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
-            cols["channel"] = F.coalesce(F.col("_channel"), F.lit(OTHER))
-        return o.select(*[cols[k].alias(k) for k in CONTRACT if k in need])
+            cols["channel"] = ORDERS_CHANNEL.expr()
+            keep.append(F.col("c_mktsegment"))
+        return o.select(*[cols[k].alias(k) for k in CONTRACT if k in need], *keep)
 
-    return Binding(name=name, build=build, session_ids=True, rows_are_sessions=True)
+    return Binding(name=name, build=build, session_ids=True, rows_are_sessions=True,
+                   derived=(("platform", ORDERS_PLATFORM), ("channel", ORDERS_CHANNEL)))
 
 
 def events_binding(data_dir: str, name: str = "events", gap: dt.timedelta = dt.timedelta(minutes=30)) -> Binding:
