@@ -214,3 +214,532 @@ def q_app_report_events(spark, d):
     f"CAST(count(DISTINCT skey) AS BIGINT) AS sessions, {REVENUE_SQL} AS revenue", "platform = 'web'"))
 def q_web_report_events(spark, d):
     return R.web_report(spark, _events(d), EVENTS_SPAN)
+
+
+# --------------------------------------------------------------------------
+# Building blocks on the orders binding
+# --------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from .functions import dims as D  # noqa: E402
+from .functions import fmt as T  # noqa: E402
+from .functions.labels import HEADINGS, headings, labelled  # noqa: E402
+from .operators import filters as FL  # noqa: E402
+from .operators import sessions as X  # noqa: E402
+from .operators import totals as TO  # noqa: E402
+from .operators.metrics import cents, from_cents  # noqa: E402
+from .plans import bundle as BU  # noqa: E402
+from .plans.spec import AnyOf, Exact, ReportSpec  # noqa: E402
+from .sources import typed  # noqa: E402
+from .sources.properties import ECOMMERCE, PHARMA  # noqa: E402
+
+
+def _orders_rows(spark, d, cols, rng: DateRange = ORDERS_SPAN, flt=None):
+    """Contract rows of the orders property in a range, with year/month codes."""
+    b = _orders(d)[ECOMMERCE]
+    ev = b.frame(spark, set(cols) | {"ts"})
+    ev = FL.where_date_range(ev, rng)
+    if "channel" in ev.columns:
+        ev = ev.withColumnRenamed("channel", "session_channel")
+    leaf = R._source_leaf(b, ev.columns)
+    ev = FL.where_filter(ev, flt, R._resolver(), leaf)
+    return ev.withColumns({"year": D.year_code("ts"), "month": D.month_code("ts")})
+
+
+RANGE_1996 = DateRange("1996-03-01", "1997-02-28")
+
+
+@register("date_range", f"""
+WITH {ORDERS_CTE}
+SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, count(*) AS n_rows,
+       strftime(min(ts), '%Y-%m-%d') AS first_day, strftime(max(ts), '%Y-%m-%d') AS last_day
+FROM ob WHERE {range_sql(RANGE_1996)}
+GROUP BY 1, 2""")
+def q_date_range(spark, d):
+    """both ends included (orders sit at midnight, so the last day counts)."""
+    rows = _orders_rows(spark, d, {"ts"}, RANGE_1996)
+    return rows.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.date_format(F.min("ts"), "yyyy-MM-dd").alias("first_day"),
+        F.date_format(F.max("ts"), "yyyy-MM-dd").alias("last_day"))
+
+
+@register("filter_exact", f"""
+WITH {ORDERS_CTE}
+SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, count(*) AS n_rows, {REVENUE_SQL} AS revenue
+FROM ob WHERE {range_sql(ORDERS_SPAN)} AND platform = 'web'
+GROUP BY 1, 2""")
+def q_filter_exact(spark, d):
+    """platform = web."""
+    rows = _orders_rows(spark, d, {"platform", "revenue"}, flt=Exact("platform", "web"))
+    return rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"),
+                                             from_cents(F.sum(cents("revenue"))).alias("revenue"))
+
+
+@register("filter_exact_ci", f"""
+WITH {ORDERS_CTE}
+SELECT platform, count(*) AS n_rows
+FROM ob WHERE {range_sql(ORDERS_SPAN)} AND lower(platform) = 'ios'
+GROUP BY 1""")
+def q_filter_exact_ci(spark, d):
+    """F2 with the case-insensitive option: 'IOS' matches iOS."""
+    rows = _orders_rows(spark, d, {"platform"}, flt=Exact("platform", "IOS", case_sensitive=False))
+    return rows.groupBy("platform").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("filter_or", f"""
+WITH {ORDERS_CTE}
+SELECT strftime(ts, '%Y') AS year, platform, count(*) AS n_rows
+FROM ob WHERE {range_sql(ORDERS_SPAN)} AND (platform = 'Android' OR platform = 'iOS')
+GROUP BY 1, 2""")
+def q_filter_or(spark, d):
+    """an OR group of EXACT leaves (one IN on the source column)."""
+    rows = _orders_rows(spark, d, {"platform"}, flt=R.APP_FILTER)
+    return rows.groupBy("year", "platform").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+TREE = AnyOf(Exact("platform", "web"), AnyOf(Exact("platform", "iOS"),
+                                             Exact("sessionDefaultChannelGroup", "Organic Search")))
+
+
+@register("filter_tree", f"""
+WITH {ORDERS_CTE}
+SELECT strftime(ts, '%Y') AS year, platform, channel, count(*) AS n_rows
+FROM ob WHERE {range_sql(ORDERS_SPAN)}
+  AND (platform = 'web' OR (platform = 'iOS' OR channel = 'Organic Search'))
+GROUP BY 1, 2, 3""")
+def q_filter_tree(spark, d):
+    """a nested tree — web OR (iOS OR channel Organic Search)."""
+    rows = _orders_rows(spark, d, {"platform", "channel"}, flt=TREE)
+    return rows.groupBy("year", "platform", F.col("session_channel").alias("channel")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("dim_month_year", f"""
+WITH {ORDERS_CTE}
+SELECT DISTINCT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month FROM ob""")
+def q_dim_month_year(spark, d):
+    """The (year, month) codes present in the table."""
+    b = _orders(d)[ECOMMERCE]
+    ev = b.frame(spark, {"ts"})
+    return ev.select(D.year_code("ts").alias("year"), D.month_code("ts").alias("month")).distinct()
+
+
+@register("month_name_null", f"""
+WITH {ORDERS_CTE}
+SELECT month, {month_name_sql('month')} AS month_name, count(*) AS n_rows
+FROM (SELECT strftime(ts, '%m') AS month FROM ob) GROUP BY 1""")
+def q_month_name_null(spark, d):
+    """P5: month names; an unknown code would give NULL."""
+    rows = _orders_rows(spark, d, {"ts"}, DateRange("1900-01-01", "2999-12-31"))
+    return rows.groupBy("month").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "month", D.month_name("month").alias("month_name"), "n_rows")
+
+
+@register("month_name_keep", f"""
+WITH {ORDERS_CTE}
+SELECT {month_name_sql("strftime(ts, '%m')", keep=True)} AS month_name, count(*) AS n_rows
+FROM ob GROUP BY 1""")
+def q_month_name_keep(spark, d):
+    """Month names; an unknown code would be kept."""
+    rows = _orders_rows(spark, d, {"ts"}, DateRange("1900-01-01", "2999-12-31"))
+    return rows.groupBy(D.month_name_or_code("month").alias("month_name")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+_ALL_METRICS_SQL = (
+    "CAST(count(DISTINCT session_id) AS BIGINT) AS sessions, "
+    "CAST(count(DISTINCT user_id) AS BIGINT) AS active_users, "
+    "CASE WHEN count(DISTINCT session_id) > 0 THEN "
+    "count(DISTINCT CASE WHEN engaged THEN session_id END) / count(DISTINCT session_id) END AS engagement_rate, "
+    f"{REVENUE_SQL} AS revenue")
+
+
+@register("group_month_year", f"""
+WITH {ORDERS_CTE}
+SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, {_ALL_METRICS_SQL}
+FROM ob WHERE {range_sql(ORDERS_SPAN)} GROUP BY 1, 2""")
+def q_group_month_year(spark, d):
+    """Every metric by (year, month) in one request (codes kept)."""
+    spec = ReportSpec(ECOMMERCE, ("sessions", "activeUsers", "engagementRate", "totalRevenue"), ORDERS_SPAN)
+    return R.run_report(spark, spec, _orders(d), month_names="codes")
+
+
+@register("group_month", f"""
+WITH {ORDERS_CTE}
+SELECT strftime(ts, '%m') AS month, '1995-2001' AS year,
+       CAST(count(DISTINCT session_id) AS BIGINT) AS sessions,
+       CAST(count(DISTINCT user_id) AS BIGINT) AS active_users, {REVENUE_SQL} AS revenue
+FROM ob WHERE {range_sql(ORDERS_SPAN)} GROUP BY 1""")
+def q_group_month(spark, d):
+    """A2: month only — the years of the range fall together."""
+    spec = ReportSpec(ECOMMERCE, ("sessions", "activeUsers", "totalRevenue"), ORDERS_SPAN, dimensions=("month",))
+    return R.run_report(spark, spec, _orders(d), month_names="codes")
+
+
+def _single_metric(metric: str, sql_expr: str, col: str):
+    sql = f"""
+WITH {ORDERS_CTE}
+SELECT strftime(ts, '%m') AS month, strftime(ts, '%Y') AS year, {sql_expr} AS {col}
+FROM ob WHERE {range_sql(ORDERS_SPAN)} GROUP BY 1, 2"""
+
+    def q(spark, d):
+        spec = ReportSpec(ECOMMERCE, (metric,), ORDERS_SPAN)
+        return R.run_report(spark, spec, _orders(d), month_names="codes")
+    return sql, q
+
+
+for _name, _metric, _sql, _col in [
+    ("sessions", "sessions", "CAST(count(DISTINCT session_id) AS BIGINT)", "sessions"),
+    ("active_users", "activeUsers", "CAST(count(DISTINCT user_id) AS BIGINT)", "active_users"),
+    ("revenue", "totalRevenue", REVENUE_SQL, "revenue"),
+    ("engagement_rate", "engagementRate",
+     "CASE WHEN count(DISTINCT session_id) > 0 THEN "
+     "count(DISTINCT CASE WHEN engaged THEN session_id END) / count(DISTINCT session_id) END",
+     "engagement_rate"),
+]:
+    _s, _q = _single_metric(_metric, _sql, _col)
+    _q.__doc__ = f"A3–A6: {_metric} alone."
+    register(_name, _s)(_q)
+
+
+@register("percent_round", f"""
+WITH {ORDERS_CTE}
+SELECT year, month, engaged_sessions, sessions, {pct_sql('engaged_sessions', 'sessions')} AS engagement_pct
+FROM (SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+             CAST(count(DISTINCT CASE WHEN engaged THEN session_id END) AS BIGINT) AS engaged_sessions,
+             CAST(count(DISTINCT session_id) AS BIGINT) AS sessions
+      FROM ob WHERE {range_sql(ORDERS_SPAN)} AND platform = 'web' GROUP BY 1, 2)""")
+def q_percent_round(spark, d):
+    """Rate → percent with 2 decimals, half-up, in integers."""
+    spec = ReportSpec(ECOMMERCE, ("engagementRate",), ORDERS_SPAN, filter=R.WEB_FILTER)
+    c = R.monthly_counts(spark, spec, _orders(d))
+    return c.select("year", "month", "engaged_sessions", F.col("sessions").cast("long").alias("sessions"),
+                    D.percent_2dp("engaged_sessions", "sessions").alias("engagement_pct"))
+
+
+# --------------------------------------------------------------------------
+# Totals, sort, scaffold
+# --------------------------------------------------------------------------
+
+def _report_sql(kind: str) -> str:
+    return {"web": ORACLE_SQL["web_report"], "app": ORACLE_SQL["app_report"],
+            "organic": ORACLE_SQL["organic_report"], "app_year": ORACLE_SQL["app_year_report"]}[kind]
+
+
+def _sub(sql: str) -> str:
+    return f"({sql.strip()})"
+
+
+@register("totals", f"""
+SELECT CAST(count(*) AS BIGINT) AS months,
+       CAST(sum(sessions) AS BIGINT) AS sessions,
+       CAST(sum(active_users) AS BIGINT) AS sum_monthly_users,
+       CAST(sum(CAST(floor(engagement_pct * 100 + 0.5) AS BIGINT)) AS DOUBLE) / (count(engagement_pct) * 100.0)
+         AS avg_monthly_engagement_pct,
+       CAST(sum(CAST(floor(revenue * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100 AS revenue
+FROM {_sub(_report_sql('organic'))} r""")
+def q_totals(spark, d):
+    """Months, summed sessions and monthly users, revenue, mean rate."""
+    return TO.report_totals(q_organic_report(spark, d), display=False)
+
+
+@register("avg_rate", f"""
+SELECT CAST(sum(CAST(floor(engagement_pct * 100 + 0.5) AS BIGINT)) AS DOUBLE) / (count(engagement_pct) * 100.0)
+         AS avg_monthly_engagement_pct
+FROM {_sub(_report_sql('organic'))} r""")
+def q_avg_rate(spark, d):
+    """Plain mean of the monthly percents."""
+    return TO.report_totals(q_organic_report(spark, d), display=False).select("avg_monthly_engagement_pct")
+
+
+@register("app_year_totals", f"""
+SELECT CAST(count(*) AS BIGINT) AS months,
+       CAST(sum(app_users_total) AS BIGINT) AS users_total,
+       CAST(sum(app_sessions_total) AS BIGINT) AS sessions_total,
+       CAST(sum(CAST(floor(app_revenue_total * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100 AS revenue_total,
+       format('{{:,}}', CAST(sum(app_users_total) AS BIGINT)) AS users_total_display,
+       format('{{:,}}', CAST(sum(app_sessions_total) AS BIGINT)) AS sessions_total_display,
+       'R$ ' || format('{{:,.2f}}', CAST(sum(CAST(floor(app_revenue_total * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100)
+         AS revenue_total_display
+FROM {_sub(_report_sql('app_year'))} r""")
+def q_app_year_totals(spark, d):
+    """Yearly totals of the month-only app report, US style."""
+    return TO.app_year_totals(q_app_year_report(spark, d))
+
+
+@register("report_totals", f"""
+SELECT months, sessions, sum_monthly_users, avg_monthly_engagement_pct, revenue,
+       translate(format('{{:,}}', sessions), ',', '.') AS sessions_display,
+       translate(format('{{:,}}', sum_monthly_users), ',', '.') AS sum_monthly_users_display,
+       format('{{:.2f}}', avg_monthly_engagement_pct) || '%' AS avg_monthly_engagement_pct_display,
+       'R$ ' || translate(format('{{:,.2f}}', revenue), ',.', '.,') AS revenue_display
+FROM {_sub(ORACLE_SQL['totals'])} t""")
+def q_report_totals(spark, d):
+    """R6 with the summary strings."""
+    return TO.report_totals(q_organic_report(spark, d))
+
+
+@register("sort_calendar", f"""
+SELECT month, {month_rank_sql('month')} AS calendar_rank FROM {_sub(_report_sql('app_year'))} r""")
+def q_sort_calendar(spark, d):
+    """O2: calendar rank of the month names (the report is sorted by it)."""
+    return q_app_year_report(spark, d).select("month", D.month_rank("month").alias("calendar_rank"))
+
+
+@register("scaffold", f"""
+WITH {ORDERS_CTE},
+cal AS (
+  SELECT strftime(m, '%Y') AS year, strftime(m, '%m') AS month
+  FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS m)
+),
+g AS (
+  SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+         CAST(count(DISTINCT session_id) AS BIGINT) AS sessions, {REVENUE_SQL} AS revenue
+  FROM ob WHERE {range_sql(ORDERS_SPAN)} AND platform = 'web' GROUP BY 1, 2
+)
+SELECT {month_name_sql('cal.month')} AS month, cal.year,
+       coalesce(g.sessions, 0) AS sessions, coalesce(g.revenue, 0.0) AS revenue
+FROM cal LEFT JOIN g ON cal.year = g.year AND cal.month = g.month""")
+def q_scaffold(spark, d):
+    """V4: the web report over whole years; months without orders get zeros."""
+    return R.run_report(spark, R.web_spec(ORDERS_SPAN, fill_months=True), _orders(d))
+
+
+# --------------------------------------------------------------------------
+# Formats (T1–T7) and headings
+# --------------------------------------------------------------------------
+
+@register("fmt_int_br", f"""
+SELECT month, year, translate(format('{{:,}}', sessions), ',', '.') AS sessions_br
+FROM {_sub(_report_sql('web'))} r""")
+def q_fmt_int_br(spark, d):
+    """1.234.567."""
+    return q_web_report(spark, d).select("month", "year", T.int_br("sessions").alias("sessions_br"))
+
+
+@register("fmt_money_br", f"""
+SELECT month, year, 'R$ ' || translate(format('{{:,.2f}}', revenue), ',.', '.,') AS revenue_br
+FROM {_sub(_report_sql('web'))} r""")
+def q_fmt_money_br(spark, d):
+    """R$ 1.234.567,90."""
+    return q_web_report(spark, d).select("month", "year", T.money_br("revenue").alias("revenue_br"))
+
+
+@register("fmt_percent", f"""
+SELECT month, year, format('{{:.2f}}', engagement_pct) || '%' AS engagement_pct_text
+FROM {_sub(_report_sql('organic'))} r""")
+def q_fmt_percent(spark, d):
+    """75.50%."""
+    return q_organic_report(spark, d).select("month", "year", T.percent("engagement_pct").alias("engagement_pct_text"))
+
+
+@register("fmt_us", f"""
+SELECT month, format('{{:,}}', app_users_total) AS users_us, 'R$ ' || format('{{:,.2f}}', app_revenue_total) AS revenue_us
+FROM {_sub(_report_sql('app_year'))} r""")
+def q_fmt_us(spark, d):
+    """T4: 1,234 and R$ 1,234.50."""
+    return q_app_year_report(spark, d).select(
+        "month", T.int_us("app_users_total").alias("users_us"), T.money_us("app_revenue_total").alias("revenue_us"))
+
+
+@register("row_line", f"""
+SELECT month, month || '/' || year || ': ' || format('{{:,}}', app_users_total) || ' usuários | '
+       || format('{{:,}}', app_sessions_total) || ' sessões | R$ ' || format('{{:,.2f}}', app_revenue_total) AS line
+FROM {_sub(_report_sql('app_year'))} r""")
+def q_row_line(spark, d):
+    """T5: one text line per month."""
+    r = q_app_year_report(spark, d)
+    return r.select("month", T.row_line("month", "year", "app_users_total", "app_sessions_total",
+                                        "app_revenue_total").alias("line"))
+
+
+@register("display_format", f"""
+SELECT month, year, sessions, active_users, engagement_pct, revenue,
+       month AS month_display, year AS year_display,
+       translate(format('{{:,}}', sessions), ',', '.') AS sessions_display,
+       translate(format('{{:,}}', active_users), ',', '.') AS active_users_display,
+       format('{{:.2f}}', engagement_pct) || '%' AS engagement_pct_display,
+       'R$ ' || translate(format('{{:,.2f}}', revenue), ',.', '.,') AS revenue_display
+FROM {_sub(_report_sql('organic'))} r""")
+def q_display_format(spark, d):
+    """Display strings chosen by heading (money / percent / count)."""
+    return T.with_display(q_organic_report(spark, d), headings("organic"))
+
+
+def _width_sql(kind: str, cols: list[tuple[str, str]]) -> str:
+    parts = []
+    for i, (c, typ) in enumerate(cols):
+        h = HEADINGS[kind][c]
+        if typ == "str":
+            cell = f"CASE WHEN {c} IS NOT NULL AND {c} <> '' THEN length({c}) END"
+        else:
+            cell = f"CASE WHEN {c} IS NOT NULL AND {c} <> 0 THEN length(CAST({c} AS VARCHAR)) END"
+        parts.append(f"SELECT '{c}' AS \"column\", '{h}' AS heading, "
+                     f"CAST(least(greatest(coalesce(max({cell}), 0), length('{h}')) + 2, 30) AS INTEGER) AS width, "
+                     f"{i} AS position FROM r")
+    return " UNION ALL ".join(parts)
+
+
+@register("display_width", f"""
+WITH r AS {_sub(_report_sql('organic'))}
+{_width_sql('organic', [('month', 'str'), ('year', 'str'), ('sessions', 'num'), ('active_users', 'num'),
+                        ('engagement_pct', 'num'), ('revenue', 'num')])}""")
+def q_display_width(spark, d):
+    """Column widths — longest printed value or heading, + 2, at most 30."""
+    return T.display_widths(q_organic_report(spark, d), headings("organic"))
+
+
+def _labelled_sql() -> str:
+    h = HEADINGS["web"]
+    return (f"SELECT month AS \"{h['month']}\", year AS \"{h['year']}\", sessions AS \"{h['sessions']}\", "
+            f"revenue AS \"{h['revenue']}\" FROM {_sub(_report_sql('web'))} r")
+
+
+@register("labelled_report", _labelled_sql())
+def q_labelled_report(spark, d):
+    """The web report under its written headings."""
+    return labelled(q_web_report(spark, d), "web")
+
+
+# --------------------------------------------------------------------------
+# Bundle (R5, K4) and sources
+# --------------------------------------------------------------------------
+
+def _bundle_sql() -> str:
+    web = _report_sql("web")
+    app = _report_sql("app")
+    org = _report_sql("organic")
+    return f"""
+SELECT 'web' AS report, month, year, sessions, CAST(NULL AS BIGINT) AS active_users,
+       CAST(NULL AS DOUBLE) AS engagement_pct, revenue FROM {_sub(web)} w
+UNION ALL
+SELECT 'app', month, year, sessions, active_users, CAST(NULL AS DOUBLE), revenue FROM {_sub(app)} a
+UNION ALL
+SELECT 'organic', month, year, sessions, active_users, engagement_pct, revenue FROM {_sub(org)} o"""
+
+
+@register("bundle_long", _bundle_sql())
+def q_bundle_long(spark, d):
+    """R5 + K4: web, app and organic from one shared scan, as one long table."""
+    return BU.run_bundle(spark, _orders(d), ORDERS_SPAN, persist=False).long
+
+
+@register("bundle_totals", f"""
+SELECT report, CAST(count(*) AS BIGINT) AS months,
+       CAST(sum(sessions) AS BIGINT) AS sessions,
+       CAST(sum(active_users) AS BIGINT) AS sum_monthly_users,
+       CAST(sum(CAST(floor(engagement_pct * 100 + 0.5) AS BIGINT)) AS DOUBLE) / (count(engagement_pct) * 100.0)
+         AS avg_monthly_engagement_pct,
+       CAST(sum(CAST(floor(revenue * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100 AS revenue
+FROM {_sub(_bundle_sql())} b GROUP BY report""")
+def q_bundle_totals(spark, d):
+    """R6 per report of the bundle (the run summary)."""
+    return TO.report_totals(q_bundle_long(spark, d), by=("report",), display=False)
+
+
+@register("property_rows", f"""
+WITH {ORDERS_CTE}
+SELECT platform, channel, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(DISTINCT user_id) AS BIGINT) AS users,
+       CAST(sum(CASE WHEN engaged THEN 1 ELSE 0 END) AS BIGINT) AS engaged_rows,
+       {REVENUE_SQL} AS revenue
+FROM ob GROUP BY 1, 2""")
+def q_property_rows(spark, d):
+    """The second property (by key) and its contract columns, whole table."""
+    ev = _orders(d)[PHARMA].frame(spark, {"user_id", "platform", "channel", "engaged", "revenue"})
+    return ev.groupBy("platform", "channel").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("users"),
+        F.sum(F.col("engaged").cast("long")).alias("engaged_rows"),
+        from_cents(F.sum(cents("revenue"))).alias("revenue"))
+
+
+@register("typed_rows", _report_sql("app"))
+def q_typed_rows(spark, d):
+    """Report rows as text (the wire form of a remote report), loaded
+    back into the report's fixed schema with checked casts."""
+    app = q_app_report(spark, d)
+    wire = app.select(*[F.col(c).cast("string").alias(c) for c in app.columns])
+    return typed.conform(wire, typed.REPORT_SCHEMAS["app"])
+
+
+# --------------------------------------------------------------------------
+# Sessions (X1, X2, P4) on the events binding — whole table
+# --------------------------------------------------------------------------
+
+_TS_FMT_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
+_TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _events_frame(spark, d, cols):
+    return _events(d)["events"].frame(spark, set(cols) | {"ts"})
+
+
+@register("sessionize", f"""
+WITH {EVENTS_CTE}
+SELECT user_id, session_id, strftime(min(ts), {_TS_FMT_SQL}) AS session_start,
+       strftime(max(ts), {_TS_FMT_SQL}) AS session_end, CAST(count(*) AS BIGINT) AS n_events,
+       min(session_channel) AS session_channel
+FROM eb GROUP BY user_id, session_id""")
+def q_sessionize(spark, d):
+    """X1 + P4: one row per session (gap 30 min), from bucket rows only."""
+    ev = _events_frame(spark, d, {"event_id", "user_id", "channel"})
+    s = X.sessions_table(ev, with_channel=True)
+    return s.select("user_id", "session_id",
+                    F.date_format("session_start", _TS_FMT).alias("session_start"),
+                    F.date_format("session_end", _TS_FMT).alias("session_end"),
+                    F.col("n_events").cast("long").alias("n_events"), "session_channel")
+
+
+@register("session_events", f"""
+WITH {EVENTS_CTE}
+SELECT event_id, user_id, session_id, session_channel FROM eb""")
+def q_session_events(spark, d):
+    """X1 at event level: every event with its session (equi-join on
+    (user, bucket) with the session map)."""
+    ev = _events_frame(spark, d, {"event_id", "user_id", "channel"})
+    return X.assign_sessions(ev, with_channel=True).select("event_id", "user_id", "session_id", "session_channel")
+
+
+@register("session_rollup", f"""
+WITH {EVENTS_CTE}
+SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, user_id, session_id,
+       CAST(max(CASE WHEN engaged THEN 1 ELSE 0 END) AS INTEGER) AS engaged,
+       CAST(sum(CAST(floor(revenue * 100 + 0.5) AS BIGINT)) AS BIGINT) AS revenue_cents
+FROM eb GROUP BY 1, 2, 3, 4""")
+def q_session_rollup(spark, d):
+    """Events rolled up to one row per (year, month, session)."""
+    ev = _events_frame(spark, d, {"event_id", "user_id", "engaged", "revenue"})
+    ev = X.assign_sessions(ev)
+    return ev.groupBy(D.year_code("ts").alias("year"), D.month_code("ts").alias("month"),
+                      "user_id", "session_id").agg(
+        F.max(F.col("engaged").cast("int")).alias("engaged"),
+        F.sum(cents("revenue")).alias("revenue_cents"))
+
+
+@register("session_channel", f"""
+WITH {EVENTS_CTE},
+s AS (SELECT DISTINCT user_id, session_id, session_channel FROM eb)
+SELECT session_channel, CAST(count(*) AS BIGINT) AS sessions FROM s GROUP BY 1""")
+def q_session_channel(spark, d):
+    """Sessions by their session-scope channel (first non-null channel)."""
+    ev = _events_frame(spark, d, {"event_id", "user_id", "channel"})
+    m = X.session_map(ev, with_channel=True)
+    return (m.select("user_id", "session_id", "session_channel").distinct()
+            .groupBy("session_channel").agg(F.count(F.lit(1)).alias("sessions")))
+
+
+@register("bundle_long_events", f"""
+SELECT 'web' AS report, month, year, sessions, CAST(NULL AS BIGINT) AS active_users,
+       CAST(NULL AS DOUBLE) AS engagement_pct, revenue FROM {_sub(ORACLE_SQL['web_report_events'])} w
+UNION ALL
+SELECT 'app', month, year, sessions, active_users, CAST(NULL AS DOUBLE), revenue
+FROM {_sub(ORACLE_SQL['app_report_events'])} a
+UNION ALL
+SELECT 'organic', month, year, sessions, active_users, engagement_pct, revenue
+FROM {_sub(ORACLE_SQL['organic_report_events'])} o""")
+def q_bundle_long_events(spark, d):
+    """R5 on the sessionized events: one session map and one tagged scan for
+    all three reports."""
+    return BU.run_bundle(spark, _events(d), EVENTS_SPAN, persist=False).long

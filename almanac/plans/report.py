@@ -14,6 +14,7 @@ Plan shape (all lazy; Catalyst sees one plan per report):
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,10 +65,29 @@ def monthly_counts(spark: SparkSession, spec: ReportSpec,
                    registry: Mapping[str, Binding] | Binding) -> DataFrame:
     """Grouping keys (``year``?, ``month`` as codes) and the count columns of
     ``operators.metrics.aggregate_levels``.  No order, no names."""
-    b = _binding(registry, spec.property)
-    need = metrics.needs(spec.metrics)
-    fields = filter_fields(spec.filter)
-    keys = [k for k in ("year", "month") if k in spec.dimensions]
+    return shared_counts(spark, [spec], _binding(registry, spec.property)).drop("report")
+
+
+def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding) -> DataFrame:
+    """Counts of several reports over one binding from **one scan**.
+
+    Each row is tagged with the names of the reports whose date range and
+    filter it passes, the tags are exploded (a row passing two overlapping
+    filters is counted for both), and ``report`` becomes the first grouping
+    key.  The scan gets the OR of the reports' predicates, which Catalyst
+    factors and pushes down.  All specs must share their dimensions.
+    """
+    specs = list(specs)
+    names = [sp.name for sp in specs]
+    if len(set(names)) != len(names):
+        raise ValueError(f"report names must differ: {names}")
+    dims_ = {sp.dimensions for sp in specs}
+    if len(dims_) != 1:
+        raise ValueError("reports sharing a scan must have the same dimensions")
+    keys = ["report"] + [k for k in ("year", "month") if k in specs[0].dimensions]
+    all_metrics = tuple(dict.fromkeys(m for sp in specs for m in sp.metrics))
+    need = metrics.needs(all_metrics)
+    fields = set().union(*(filter_fields(sp.filter) for sp in specs))
     by_session = need["sessions"] or bool(fields & SESSION_FIELDS)
     make_sessions = by_session and not b.session_ids
 
@@ -79,47 +99,73 @@ def monthly_counts(spark: SparkSession, spec: ReportSpec,
     if by_session and b.session_ids:
         cols.add("session_id")
     if make_sessions:
-        cols |= {"event_id"}
+        cols.add("event_id")
     ev = b.frame(spark, cols)
     ts_type = ev.schema["ts"].dataType
-    in_range = filters.date_range_predicate("ts", spec.date_range, ts_type)
     with_dims = {"year": dims.year_code("ts"), "month": dims.month_code("ts"),
                  "revenue_cents": metrics.cents("revenue")}
 
+    def tag(rows: DataFrame, preds: list[tuple[str, Column]]) -> DataFrame:
+        """Keep rows passing any report's predicate; ``report`` = each name it passes."""
+        rows = rows.where(reduce(lambda x, y: x | y, [p for _, p in preds]))
+        if len(preds) == 1:
+            return rows.withColumn("report", F.lit(preds[0][0]))
+        tags = F.filter(F.array(*[F.when(p, F.lit(n)) for n, p in preds]), lambda t: t.isNotNull())
+        return rows.withColumn("report", F.explode(tags))
+
     if not make_sessions:
-        rows = ev.where(in_range)
-        if "channel" in cols:
-            rows = rows.withColumnRenamed("channel", "session_channel")
+        rows = ev.withColumnRenamed("channel", "session_channel") if "channel" in cols else ev
         rows = rows.withColumns(with_dims)
-        rows = filters.where_filter(rows, spec.filter, _resolver(), _source_leaf(b, rows.columns))
+        leaf = _source_leaf(b, rows.columns)
+        preds = []
+        for sp in specs:
+            p = filters.date_range_predicate("ts", sp.date_range, ts_type)
+            f = filters.compile_filter(sp.filter, _resolver(), leaf)
+            preds.append((sp.name, p if f is None else p & f))
+        rows = tag(rows, preds)
         if "session_id" not in rows.columns:
             rows = rows.withColumn("session_id", F.lit(None).cast("long"))
-        return metrics.aggregate_levels(rows, keys, spec.metrics, b.rows_are_sessions)
+        return metrics.aggregate_levels(rows, keys, all_metrics, b.rows_are_sessions)
 
     # Sessions by gap.  Session borders and the session-scope channel depend on
     # all earlier events of the user, so the session map reads events up to
-    # the end of the range (later events cannot change an earlier session).
+    # the latest end of the ranges (later events cannot change an earlier
+    # session).  One map serves every report.
     with_channel = "channel" in cols
-    hist = ev.where(filters.before_end(spec.date_range, ts_type))
+    last = max((sp.date_range for sp in specs), key=lambda r: r.end)
+    hist = ev.where(filters.before_end(last, ts_type))
     smap = sessions.session_map(hist, b.session_gap, with_channel=with_channel)
 
-    rows = sessions.with_bucket(ev.where(in_range), b.session_gap).withColumns(with_dims)
-    event_fields = sorted(fields - SESSION_FIELDS)
-    if fields & SESSION_FIELDS:
-        pre_filter, post_filter = None, spec.filter
-    else:
-        pre_filter, post_filter = spec.filter, None
-    rows = filters.where_filter(rows, pre_filter, _resolver(), _source_leaf(b, rows.columns))
-    # Reduce events to one row per (keys, user, bucket[, event fields]) before
-    # the join: a session is a run of buckets, so this is exact.
-    extra = event_fields if post_filter is not None else []
-    pre = rows.groupBy(*keys, "user_id", "bucket", *extra).agg(
+    rows = sessions.with_bucket(ev, b.session_gap).withColumns(with_dims)
+    leaf = _source_leaf(b, rows.columns)
+    pre, post = [], []
+    for sp in specs:
+        p = filters.date_range_predicate("ts", sp.date_range, ts_type)
+        if filter_fields(sp.filter) & SESSION_FIELDS:
+            pre.append((sp.name, p))  # the whole filter waits for the session channel
+            post.append((sp.name, filters.compile_filter(sp.filter, _resolver())))
+        else:
+            f = filters.compile_filter(sp.filter, _resolver(), leaf)
+            pre.append((sp.name, p if f is None else p & f))
+    rows = tag(rows, pre)
+    # Event-level fields a post-join filter reads stay as keys of the bucket rows.
+    extra = sorted(set().union(*(filter_fields(sp.filter) for sp in specs
+                                 if filter_fields(sp.filter) & SESSION_FIELDS)) - SESSION_FIELDS)
+    # Reduce events to one row per (report, keys, user, bucket) before the
+    # join: a session is a run of whole buckets, so this is exact.
+    bucket_rows = rows.groupBy(*keys, "user_id", "bucket", *extra).agg(
         F.max(F.col("engaged").cast("int")).alias("engaged"),
         F.sum("revenue_cents").alias("revenue_cents"))
     keep = ["user_id", "bucket", "session_id"] + (["session_channel"] if with_channel else [])
-    joined = pre.join(smap.select(*keep), ["user_id", "bucket"], "inner")
-    joined = filters.where_filter(joined, post_filter, _resolver())
-    return metrics.aggregate_levels(joined, keys, spec.metrics, rows_are_sessions=False)
+    joined = bucket_rows.join(smap.select(*keep), ["user_id", "bucket"], "inner")
+    if post:
+        post_names = {n for n, _ in post}
+        keep_rows = [(F.col("report") == F.lit(n)) & p for n, p in post]
+        others = [n for n in names if n not in post_names]
+        if others:
+            keep_rows.append(F.col("report").isin(*others))
+        joined = joined.where(reduce(lambda x, y: x | y, keep_rows))
+    return metrics.aggregate_levels(joined, keys, all_metrics, rows_are_sessions=False)
 
 
 def run_report(spark: SparkSession, spec: ReportSpec, registry: Mapping[str, Binding] | Binding,
@@ -133,7 +179,13 @@ def run_report(spark: SparkSession, spec: ReportSpec, registry: Mapping[str, Bin
     Month+year reports are sorted by (year, month) codes before naming (O1);
     month-only reports by calendar rank of the name, unknown last (O2).
     """
-    counts = monthly_counts(spark, spec, registry)
+    return finish_report(spark, monthly_counts(spark, spec, registry), spec, rate_as_percent, month_names)
+
+
+def finish_report(spark: SparkSession, counts: DataFrame, spec: ReportSpec,
+                  rate_as_percent: bool = False, month_names: str = "null") -> DataFrame:
+    """Metric columns, calendar completion, order and month names on the
+    counts of one report."""
     keys = [k for k in ("year", "month") if k in spec.dimensions]
     out = counts.select(*keys, *metrics.metric_columns(spec.metrics, rate_as_percent))
     if spec.fill_months:
