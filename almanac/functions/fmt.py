@@ -99,21 +99,27 @@ def with_display(df: DataFrame, headings: Mapping[str, str] | None = None) -> Da
 def py_str_length(c: Column, dtype) -> Column:
     """Length of Python's ``str()`` of a value of ``dtype``.
 
-    Strings and integers print alike.  For doubles Spark writes
-    ``1.23456789E7`` where Python writes ``12345678.9`` (Python switches to an
-    exponent only from 1e16), so the length is rebuilt from the mantissa
-    digits and the exponent.
+    Strings and integers print alike.  For doubles, Spark and Python agree
+    between 1e-3 and 1e7; outside it Spark writes ``1.23456789E7`` where
+    Python writes ``12345678.9`` (fixed notation from 1e-4 up to 1e16, then
+    ``1.5e+16`` with at least two exponent digits).  The length is rebuilt
+    from the mantissa digits and the exponent.
     """
     s = c.cast("string")
     if not isinstance(dtype, (DoubleType, FloatType)):
         return F.length(s)
-    pat = r"^(-?)(\d)\.(\d+)E(\d+)$"
+    pat = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
     sign = F.length(F.regexp_extract(s, pat, 1))
     digits = F.regexp_replace(F.concat(F.regexp_extract(s, pat, 2), F.regexp_extract(s, pat, 3)), "0+$", "")
+    n = F.greatest(F.length(digits), F.lit(1))
     exp = F.regexp_extract(s, pat, 4).cast("int")
-    n = F.length(digits)
-    fixed = sign + F.when(n - 1 <= exp, exp + 3).otherwise(n + 1)
-    return F.when(s.rlike(pat) & (exp < 16), fixed).otherwise(F.length(s))
+    mantissa = F.when(n == 1, F.lit(1)).otherwise(n + 1)
+    sci = mantissa + 2 + F.greatest(F.length(F.abs(exp).cast("string")), F.lit(2))
+    py = (F.when(exp >= 16, sci)
+          .when(exp >= 0, F.when(n - 1 <= exp, exp + 3).otherwise(n + 1))
+          .when(exp >= -4, 2 + (-exp - 1) + n)
+          .otherwise(sci))
+    return F.when(s.rlike(pat), sign + py).otherwise(F.length(s))
 
 
 def _truthy(c: Column, dtype) -> Column:

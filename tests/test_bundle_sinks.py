@@ -1,0 +1,87 @@
+"""R5, K1–K4, V1–V5 and the shared scan."""
+
+import os
+import tempfile
+
+import pytest
+
+from conftest import SF01, binding_of, events_df, plan_of
+
+from almanac.plans import bundle as BU
+from almanac.plans import report as R
+from almanac.plans.spec import DateRange
+from almanac.sources import sinks
+from almanac.sources.properties import PropertyRegistry, default_registry
+
+Y97 = DateRange("1997-01-01", "1997-12-31")
+
+
+def test_shared_scan_equals_separate_reports(spark):
+    reg = default_registry(SF01)
+    b = BU.run_bundle(spark, reg, Y97)
+    assert b.reports["web"].collect() == R.web_report(spark, reg, Y97).collect()
+    assert b.reports["app"].collect() == R.app_report(spark, reg, Y97).collect()
+    assert b.reports["organic"].collect() == R.organic_report(spark, reg, Y97).collect()
+    b.long.unpersist()
+
+
+def test_bundle_reads_orders_once(spark):
+    b = BU.run_bundle(spark, default_registry(SF01), Y97, persist=False)
+    plan = plan_of(b.long)
+    import re
+    scans = re.findall(r"^\(\d+\) Scan parquet.*$", plan, re.M)
+    assert len(scans) == 2                      # orders once, customer once
+    assert len(re.findall(r"^Location: .*orders\.parquet", plan, re.M)) == 1
+
+
+def test_bundle_events_one_session_map(spark):
+    from almanac.sources.properties import events_registry
+    reg = events_registry(SF01)
+    rng = DateRange("2024-01-01", "2024-12-31")
+    b = BU.run_bundle(spark, reg, rng, persist=False)
+    got = {r.report: r for r in b.long.collect()}
+    assert got["organic"].sessions == R.organic_report(spark, reg, rng).first().sessions
+    assert got["app"].active_users == R.app_report(spark, reg, rng).first().active_users
+
+
+def test_empty_and_failing_reports(spark):
+    reg = default_registry(SF01)
+    empty = BU.run_bundle(spark, reg, DateRange("2030-01-01", "2030-12-31"))
+    assert BU.is_empty(empty.reports["web"])
+    with pytest.raises(BU.NoReportData):
+        empty.non_empty()                                         # V3
+    partial = PropertyRegistry({"ecommerce": reg["ecommerce"]})   # no 'pharma' → organic fails
+    b = BU.run_bundle(spark, partial, Y97)                        # V5: skip
+    assert set(b.reports) == {"web", "app"} and "organic" in b.errors
+    with pytest.raises(KeyError):
+        BU.run_bundle(spark, partial, Y97, on_error="raise")
+
+
+def test_sinks_write_and_read_back(spark):
+    import datetime as dt
+    reg = default_registry(SF01)
+    b = BU.run_bundle(spark, reg, Y97)
+    out = tempfile.mkdtemp(prefix="almanac-out-")
+    now = dt.datetime(2026, 2, 2, 10, 11, 12)
+    base = sinks.write_bundle(b, out, "reports", 1997, now=now)
+    assert base.endswith("reports_1997_20260202_101112")
+    assert sorted(os.listdir(base)) == ["app", "organic", "web"]
+    back = spark.read.parquet(os.path.join(base, "organic"))
+    assert sorted(back.collect()) == sorted(b.reports["organic"].collect())
+    with pytest.raises(Exception):
+        sinks.write_report(b.reports["web"], os.path.join(base, "web"))   # errorifexists
+    long_path = sinks.write_long(b, os.path.join(out, "long"), fmt="csv")
+    assert sorted(d for d in os.listdir(long_path) if d.startswith("report=")) == [
+        "report=app", "report=organic", "report=web"]
+    b.long.unpersist()
+
+
+def test_write_reports_skips_empty(spark):
+    df = events_df(spark, [(1, "2025-01-10 10:00:00", 7, 1, "web", "Other", True, 10.0)])
+    b = binding_of(df)
+    y = DateRange("2025-01-01", "2025-12-31")
+    reps = {"web": R.web_report(spark, b, y, prop="x"), "app": R.app_report(spark, b, y, prop="x")}
+    base = sinks.write_reports(reps, tempfile.mkdtemp(), "t", 2025)
+    assert os.listdir(base) == ["web"]
+    with pytest.raises(BU.NoReportData):
+        sinks.write_reports({"app": reps["app"]}, tempfile.mkdtemp(), "t", 2025)

@@ -1,0 +1,108 @@
+"""F1–F5 on hand-made tables (FIXTURES.md §5: edge_dates, filter_values)."""
+
+from conftest import SF01, binding_of, events_df
+
+from almanac.operators import filters as FL
+from almanac.plans import report as R
+from almanac.plans.spec import AnyOf, DateRange, Exact, ReportSpec
+
+RNG = DateRange("2025-01-01", "2025-12-31")
+
+
+def edge_dates(spark):
+    return events_df(spark, [
+        (1, "2025-01-01 00:00:00", 1, 1, "web", "Other", True, 1.0),          # first microsecond
+        (2, "2025-12-31 23:59:59.999999", 2, 2, "web", "Other", True, 2.0),   # last microsecond
+        (3, "2024-12-31 23:59:59.999999", 3, 3, "web", "Other", True, 4.0),   # just before
+        (4, "2026-01-01 00:00:00", 4, 4, "web", "Other", True, 8.0),          # just after
+        (5, "2024-02-29 12:00:00", 5, 5, "web", "Other", True, 16.0),         # leap day, outside
+    ])
+
+
+def test_date_range_both_ends_included(spark):
+    df = FL.where_date_range(edge_dates(spark), RNG)
+    assert sorted(r.event_id for r in df.collect()) == [1, 2]
+
+
+def test_leap_day_in_range(spark):
+    df = FL.where_date_range(edge_dates(spark), DateRange("2024-02-29", "2024-02-29"))
+    assert [r.event_id for r in df.collect()] == [5]
+
+
+def filter_values(spark):
+    return events_df(spark, [
+        (1, "2025-03-01 10:00:00", 1, 1, "web", "Other", False, 1.0),
+        (2, "2025-03-01 10:00:00", 2, 2, "WEB", "Other", False, 1.0),
+        (3, "2025-03-01 10:00:00", 3, 3, "Android", "Organic Search", False, 1.0),
+        (4, "2025-03-01 10:00:00", 4, 4, "iOS", "Other", False, 1.0),
+        (5, "2025-03-01 10:00:00", 5, 5, None, "Organic Search", False, 1.0),
+        (6, "2025-03-01 10:00:00", 6, 6, "", "Other", False, 1.0),
+    ])
+
+
+def _ids(spark, expr):
+    from pyspark.sql import functions as F
+    df = filter_values(spark).withColumnRenamed("channel", "session_channel")
+    res = {"platform": F.col("platform"), "sessionDefaultChannelGroup": F.col("session_channel")}
+    return sorted(r.event_id for r in FL.where_filter(df, expr, res.__getitem__).collect())
+
+
+def test_exact_is_case_sensitive(spark):
+    assert _ids(spark, Exact("platform", "web")) == [1]
+
+
+def test_exact_case_insensitive_option(spark):
+    assert _ids(spark, Exact("platform", "web", case_sensitive=False)) == [1, 2]
+
+
+def test_or_group(spark):
+    assert _ids(spark, AnyOf(Exact("platform", "Android"), Exact("platform", "iOS"))) == [3, 4]
+
+
+def test_nested_tree_mixing_fields(spark):
+    tree = AnyOf(Exact("platform", "web"), AnyOf(Exact("platform", "iOS"),
+                                                 Exact("sessionDefaultChannelGroup", "Organic Search")))
+    assert _ids(spark, tree) == [1, 3, 4, 5]
+
+
+def test_null_and_empty_never_match(spark):
+    assert _ids(spark, Exact("platform", "")) == [6]
+    assert 5 not in _ids(spark, AnyOf(Exact("platform", "web"), Exact("platform", "")))
+
+
+def test_report_filter_on_column_not_in_output(spark):
+    """filter by platform while grouping by month/year only."""
+    b = binding_of(filter_values(spark))
+    spec = ReportSpec("p", ("sessions",), RNG, filter=Exact("platform", "web"))
+    rows = R.run_report(spark, spec, b).collect()
+    assert [(r.month, r.year, r.sessions) for r in rows] == [("março", "2025", 1)]
+
+
+def _plan(df) -> str:
+    from conftest import plan_of
+    return plan_of(df)
+
+
+def test_pushdown_reaches_parquet_scan(spark):
+    """Date bounds and the platform test (inverted onto the source column)
+    appear as PushedFilters of the orders scan."""
+    from almanac.sources.properties import default_registry
+    df = R.app_report(spark, default_registry(SF01), DateRange("1997-01-01", "1997-12-31"))
+    plan = _plan(df)
+    assert "GreaterThanOrEqual(o_orderdate,1997-01-01T00:00)" in plan
+    assert "LessThan(o_orderdate,1998-01-01T00:00)" in plan
+    assert "In(o_orderpriority, [1-URGENT,2-HIGH])" in plan
+    # column pruning: unused order columns are not read
+    assert "o_comment" not in plan and "o_orderstatus" not in plan
+
+
+def test_channel_filter_prunes_lookup_side(spark):
+    from almanac.sources.properties import default_registry
+    df = R.organic_report(spark, default_registry(SF01), DateRange("1997-01-01", "1997-12-31"))
+    assert "EqualTo(c_mktsegment,BUILDING)" in _plan(df)
+
+
+def test_report_without_channel_has_no_join(spark):
+    from almanac.sources.properties import default_registry
+    df = R.web_report(spark, default_registry(SF01), DateRange("1997-01-01", "1997-12-31"))
+    assert "Join" not in _plan(df)
