@@ -743,3 +743,30 @@ def q_bundle_long_events(spark, d):
     """R5 on the sessionized events: one session map and one tagged scan for
     all three reports."""
     return BU.run_bundle(spark, _events(d), EVENTS_SPAN, persist=False).long
+
+
+# --------------------------------------------------------------------------
+# Streaming operator (run here in batch form over the whole table; the
+# streaming run is in the tests)
+# --------------------------------------------------------------------------
+
+from .sources.bindings import events_contract  # noqa: E402
+from .streaming import sessions as ST  # noqa: E402
+
+
+@register("session_rows", f"""
+WITH {EVENTS_CTE}
+SELECT user_id, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, CAST(count(*) AS BIGINT) AS n_events,
+       strftime(min(ts), {_TS_FMT_SQL}) AS session_start, strftime(max(ts), {_TS_FMT_SQL}) AS session_end,
+       CAST(max(CASE WHEN engaged THEN 1 ELSE 0 END) AS INTEGER) AS engaged,
+       CAST(sum(CAST(floor(revenue * 100 + 0.5) AS BIGINT)) AS BIGINT) AS revenue_cents
+FROM eb GROUP BY user_id, session_id, 2, 3""")
+def q_session_rows(spark, d):
+    """Session parts per month as the streaming sessionizer emits them
+    (session_window, gap 30 min)."""
+    raw = spark.read.parquet(f"{d}/events.parquet")
+    rows = ST.session_rows(events_contract(raw))
+    return rows.select("user_id", "year", "month", "n_events",
+                       F.date_format("session_start", _TS_FMT).alias("session_start"),
+                       F.date_format("session_end", _TS_FMT).alias("session_end"),
+                       "engaged", "revenue_cents")

@@ -167,27 +167,33 @@ def orders_binding(data_dir: str, name: str = "orders") -> Binding:
                    derived=(("platform", ORDERS_PLATFORM), ("channel", ORDERS_CHANNEL)))
 
 
+def events_contract(e: DataFrame, need: Iterable[str] = CONTRACT) -> DataFrame:
+    """Contract columns over the events table's own columns; works on a batch
+    or a streaming DataFrame."""
+    need = frozenset(need)
+    k = F.get_json_object(F.col("props"), "$.k").cast("int")
+    platforms = F.array(*[F.lit(p) for p in EVENTS_PLATFORMS])
+    cols: dict[str, Column] = {
+        "event_id": F.col("event_id"),
+        "ts": F.col("ts"),
+        "user_id": F.col("user_id"),
+        "session_id": F.lit(None).cast("long"),
+        "platform": F.element_at(platforms, (F.pmod(k, F.lit(3)) + 1).cast("int")),
+        "channel": F.when(k.isNull(), F.lit(None).cast("string"))
+        .when(k < F.lit(EVENTS_ORGANIC_BELOW_K), F.lit(ORGANIC))
+        .otherwise(F.lit(OTHER)),
+        "engaged": F.coalesce(F.col("event_type").isin(*EVENTS_ENGAGED_TYPES), F.lit(False)),
+        "revenue": F.when(F.col("event_type") == F.lit(EVENTS_REVENUE_TYPE), F.col("value")),
+    }
+    return e.select(*[cols[c].alias(c) for c in CONTRACT if c in need])
+
+
 def events_binding(data_dir: str, name: str = "events", gap: dt.timedelta = dt.timedelta(minutes=30)) -> Binding:
     """The events table as hits; it has no session ids, so sessions are made
     by inactivity gap."""
 
     def build(spark: SparkSession, need: frozenset) -> DataFrame:
-        e = _read(spark, data_dir, "events")
-        k = F.get_json_object(F.col("props"), "$.k").cast("int")
-        platforms = F.array(*[F.lit(p) for p in EVENTS_PLATFORMS])
-        cols: dict[str, Column] = {
-            "event_id": F.col("event_id"),
-            "ts": F.col("ts"),
-            "user_id": F.col("user_id"),
-            "session_id": F.lit(None).cast("long"),
-            "platform": F.element_at(platforms, (F.pmod(k, F.lit(3)) + 1).cast("int")),
-            "channel": F.when(k.isNull(), F.lit(None).cast("string"))
-            .when(k < F.lit(EVENTS_ORGANIC_BELOW_K), F.lit(ORGANIC))
-            .otherwise(F.lit(OTHER)),
-            "engaged": F.coalesce(F.col("event_type").isin(*EVENTS_ENGAGED_TYPES), F.lit(False)),
-            "revenue": F.when(F.col("event_type") == F.lit(EVENTS_REVENUE_TYPE), F.col("value")),
-        }
-        return e.select(*[cols[c].alias(c) for c in CONTRACT if c in need])
+        return events_contract(_read(spark, data_dir, "events"), need)
 
     return Binding(name=name, build=build, session_ids=False, session_gap=gap)
 
