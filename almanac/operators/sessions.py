@@ -13,7 +13,8 @@ partition.  This module uses a shape that is bounded per task instead:
    start at the first event of a bucket**.
 2. Aggregate events to one row per (user, bucket): first ts, last ts, event
    count, first non-null channel.  This is a hash aggregate with a map-side
-   partial step, so a hot user is reduced before the shuffle.
+   partial step, so a hot user is reduced before the shuffle (the channel is
+   a grouping key there, see ``session_map``).
 3. On those bucket rows, a window per user compares each bucket's first ts
    with the previous bucket's last ts.  A user has at most
    ``time span / gap`` bucket rows (17,520 a year at 30 min), whatever the
@@ -69,6 +70,18 @@ def _gap_interval(gap: dt.timedelta) -> Column:
     return F.make_dt_interval(secs=F.lit(gap.total_seconds()).cast("decimal(18,6)"))
 
 
+def _order_key(ev: DataFrame, gap: dt.timedelta) -> Column:
+    """Exact (ts, event_id) order inside one bucket as one ``decimal(38,0)``
+    (a type a hash aggregate can keep): offset in the bucket (< gap) times
+    2^64 plus the event id shifted to be non-negative.  A NULL event id sorts
+    last."""
+    us = epoch_micros(ev)
+    offset = F.pmod(us, F.lit(gap_micros(gap))).cast("decimal(38,0)")
+    eid = F.coalesce(F.col("event_id"), F.lit(2**63 - 1)).cast("decimal(38,0)")
+    shift = F.lit(str(2**63)).cast("decimal(38,0)")
+    return offset * F.lit(str(2**64)).cast("decimal(38,0)") + eid + shift
+
+
 def with_bucket(events: DataFrame, gap: dt.timedelta, ts: str = "ts") -> DataFrame:
     return events.withColumn("bucket", bucket_of(events, gap, ts))
 
@@ -83,12 +96,21 @@ def session_map(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
     ev = events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
     ev = with_bucket(ev, gap)
     aggs = [F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_events")]
-    if with_channel:
-        # First non-null channel in (ts, event_id) order; a NULL ordering
-        # value makes min_by skip the row.
-        order = F.when(F.col("channel").isNotNull(), F.struct(F.col("ts"), F.col("event_id")))
-        aggs.append(F.min_by(F.col("channel"), order).alias("bucket_channel"))
-    buckets = ev.groupBy("user_id", "bucket").agg(*aggs)
+    if not with_channel:
+        buckets = ev.groupBy("user_id", "bucket").agg(*aggs)
+    else:
+        # First non-null channel in (ts, event_id) order.  A string-valued
+        # min_by cannot live in a hash-aggregate buffer, so over the raw
+        # events the channel is a grouping key instead, with an exact
+        # numeric (ts, event_id) order key; the string min_by then runs on
+        # the reduced rows (about one per user, bucket and channel).
+        per_channel = ev.withColumn("order_key", _order_key(ev, gap)).groupBy(
+            "user_id", "bucket", "channel").agg(*aggs, F.min("order_key").alias("order_key"))
+        buckets = per_channel.groupBy("user_id", "bucket").agg(
+            F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+            F.sum("n_events").alias("n_events"),
+            F.min_by(F.col("channel"), F.when(F.col("channel").isNotNull(), F.col("order_key")))
+            .alias("bucket_channel"))
 
     w = Window.partitionBy("user_id").orderBy("bucket")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
