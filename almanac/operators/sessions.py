@@ -146,7 +146,7 @@ def sessions_table(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=3
 
 
 def assign_sessions(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
-                    with_channel: bool = False) -> DataFrame:
+                    with_channel: bool = False, with_start: bool = False) -> DataFrame:
     """Events with ``session_id`` (and ``session_channel``) filled in.
 
     Equi-join on (user_id, bucket).  To sessionize once and store, write the
@@ -154,7 +154,8 @@ def assign_sessions(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=
     predicate pushdown.
     """
     m = session_map(events, gap, with_channel)
-    keep = ["user_id", "bucket", "session_id"] + (["session_channel"] if with_channel else [])
+    keep = (["user_id", "bucket", "session_id"] + (["session_channel"] if with_channel else [])
+            + (["session_start"] if with_start else []))
     ev = with_bucket(events, gap)
     if "session_id" in ev.columns:
         ev = ev.drop("session_id")

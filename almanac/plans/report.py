@@ -61,6 +61,15 @@ def _source_leaf(b: Binding, columns: Sequence[str]):
     return leaf
 
 
+def _in_range(rng: DateRange, ts_type, columns: Sequence[str]) -> Column:
+    """F1 on ``ts``; when the binding has a date partition column, the same
+    range on it too, so whole partitions are pruned."""
+    p = filters.date_range_predicate("ts", rng, ts_type)
+    if "_part_date" in columns:
+        p = p & F.col("_part_date").between(F.lit(rng.start), F.lit(rng.end))
+    return p
+
+
 def monthly_counts(spark: SparkSession, spec: ReportSpec,
                    registry: Mapping[str, Binding] | Binding) -> DataFrame:
     """Grouping keys (``year``?, ``month`` as codes) and the count columns of
@@ -119,7 +128,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
         leaf = _source_leaf(b, rows.columns)
         preds = []
         for sp in specs:
-            p = filters.date_range_predicate("ts", sp.date_range, ts_type)
+            p = _in_range(sp.date_range, ts_type, rows.columns)
             f = filters.compile_filter(sp.filter, _resolver(), leaf)
             preds.append((sp.name, p if f is None else p & f))
         rows = tag(rows, preds)
@@ -134,13 +143,15 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
     with_channel = "channel" in cols
     last = max((sp.date_range for sp in specs), key=lambda r: r.end)
     hist = ev.where(filters.before_end(last, ts_type))
+    if "_part_date" in ev.columns:
+        hist = hist.where(F.col("_part_date") <= F.lit(last.end))
     smap = sessions.session_map(hist, b.session_gap, with_channel=with_channel)
 
     rows = sessions.with_bucket(ev, b.session_gap).withColumns(with_dims)
     leaf = _source_leaf(b, rows.columns)
     pre, post = [], []
     for sp in specs:
-        p = filters.date_range_predicate("ts", sp.date_range, ts_type)
+        p = _in_range(sp.date_range, ts_type, rows.columns)
         if filter_fields(sp.filter) & SESSION_FIELDS:
             pre.append((sp.name, p))  # the whole filter waits for the session channel
             post.append((sp.name, filters.compile_filter(sp.filter, _resolver())))

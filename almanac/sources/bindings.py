@@ -91,6 +91,7 @@ class Binding:
     rows_are_sessions: bool = False
     session_gap: dt.timedelta = dt.timedelta(minutes=30)
     derived: tuple[tuple[str, CodeMap], ...] = ()
+    partition_date: str | None = None  # a date partition column of the table, for pruning
 
     def code_map(self, contract_col: str) -> CodeMap | None:
         return dict(self.derived).get(contract_col)
@@ -105,6 +106,8 @@ class Binding:
             raise ValueError(f"not contract columns: {sorted(unknown)}")
         df = self.build(spark, need)
         srcs = [F.col(cm.source).alias(f"_src_{c}") for c, cm in self.derived if c in need]
+        if self.partition_date:
+            srcs.append(F.col(self.partition_date).alias("_part_date"))
         return df.select(*[c for c in CONTRACT if c in need], *srcs)
 
 
