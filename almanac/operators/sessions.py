@@ -11,20 +11,22 @@ partition.  This module uses a shape that is bounded per task instead:
 1. Cut time into buckets of width ``gap``: ``bucket = floor(ts / gap)``.  Two
    events in one bucket are less than ``gap`` apart, so **a session can only
    start at the first event of a bucket**.
-2. Aggregate events to one row per (user, bucket): first ts, last ts, event
-   count, first non-null channel.  This is a hash aggregate with a map-side
-   partial step, so a hot user is reduced before the shuffle (the channel is
-   a grouping key there, see ``session_map``).
-3. On those bucket rows, a window per user compares each bucket's first ts
-   with the previous bucket's last ts.  A user has at most
-   ``time span / gap`` bucket rows (17,520 a year at 30 min), whatever the
-   number of events, so the window's per-user partition has a proven bound.
-
-The result maps ``(user_id, bucket)`` to ``session_id`` (1, 2, ... per user
-in time order), ``session_start`` and the session-scope channel.  Events get
-their session by an equi-join on ``(user_id, bucket)``; AQE's skew-join
-handling splits a hot key on the event side since the map side has one row
-per key.
+2. Aggregate events to a few rows per (user, bucket) — first ts, last ts,
+   counts; a report adds its day and filter fields, the session channel adds
+   the channel — with a hash aggregate whose map-side partial step reduces a
+   hot user before the shuffle.
+3. One window per user over those rows (``sessionize_groups``): a bucket
+   starts a session when its first ts is more than ``gap`` after the last ts
+   of all earlier buckets.  A user has at most ``time span / gap`` buckets
+   (17,520 a year at 30 min) whatever the number of events, so the window's
+   per-user partition has a proven bound.
+
+Reports use the rows of step 3 directly (metrics are summed per row), so raw
+events are scanned once, aggregated once and never joined.  ``session_map``
+gives the (user, bucket) → session mapping; ``assign_sessions`` puts session
+ids on events by an equi-join on (user, bucket), where AQE's skew-join
+handling splits a hot key on the event side (the map side has one row per
+key).
 """
 
 from __future__ import annotations
@@ -88,47 +90,68 @@ def with_bucket(events: DataFrame, gap: dt.timedelta, ts: str = "ts") -> DataFra
 
 def session_map(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
                 with_channel: bool = False) -> DataFrame:
-    """(user_id, bucket) → session_id, session_start [, session_channel].
+    """(user_id, bucket) → session_id (1, 2, ... per user in time order),
+    session_start [, session_channel], with the bucket's first_ts, last_ts
+    and n_events.
 
     ``events`` needs ``user_id`` and ``ts`` (and ``channel`` and ``event_id``
     when ``with_channel``).  Rows with a NULL user or ts belong to no session.
     """
     ev = events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
     ev = with_bucket(ev, gap)
+    keys = ["user_id", "bucket"]
     aggs = [F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_events")]
-    if not with_channel:
-        buckets = ev.groupBy("user_id", "bucket").agg(*aggs)
-    else:
+    if with_channel:
         # First non-null channel in (ts, event_id) order.  A string-valued
-        # min_by cannot live in a hash-aggregate buffer, so over the raw
-        # events the channel is a grouping key instead, with an exact
-        # numeric (ts, event_id) order key; the string min_by then runs on
-        # the reduced rows (about one per user, bucket and channel).
-        per_channel = ev.withColumn("order_key", _order_key(ev, gap)).groupBy(
-            "user_id", "bucket", "channel").agg(*aggs, F.min("order_key").alias("order_key"))
-        buckets = per_channel.groupBy("user_id", "bucket").agg(
-            F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
-            F.sum("n_events").alias("n_events"),
-            F.min_by(F.col("channel"), F.when(F.col("channel").isNotNull(), F.col("order_key")))
-            .alias("bucket_channel"))
-
-    w = Window.partitionBy("user_id").orderBy("bucket")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_last = F.lag("last_ts").over(w)
-    is_start = prev_last.isNull() | (F.col("first_ts") > prev_last + _gap_interval(gap))
-    m = (buckets
-         .withColumn("is_start", is_start)
-         .withColumn("session_id", F.sum(F.col("is_start").cast("long")).over(upto))
-         .withColumn("session_start",
-                     F.last(F.when(F.col("is_start"), F.col("first_ts")), ignorenulls=True).over(upto)))
-    cols = list(SESSION_MAP_COLUMNS)
+        # min_by cannot live in a hash-aggregate buffer, so the channel is a
+        # grouping key here, with an exact numeric (ts, event_id) order key;
+        # the window picks the first one.
+        ev = ev.withColumn("order_key", _order_key(ev, gap))
+        keys.append("channel")
+        aggs.append(F.min("order_key").alias("order_key"))
+    rows = sessionize_groups(ev.groupBy(*keys).agg(*aggs), gap, with_channel)
+    # Back to one row per (user, bucket); still partitioned by user, so
+    # neither this aggregate nor the numbering window shuffles.
+    out_keys = ["user_id", "bucket", "session_id"] + (["session_channel"] if with_channel else [])
+    m = rows.groupBy(*out_keys).agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+                                    F.sum("n_events").alias("n_events"))
+    m = (m.withColumn("session_start", F.min("first_ts").over(Window.partitionBy("user_id", "session_id")))
+          .withColumn("session_id", F.dense_rank().over(Window.partitionBy("user_id").orderBy("session_id"))
+                      .cast("long")))
+    cols = list(SESSION_MAP_COLUMNS) + (["session_channel"] if with_channel else [])
+    return m.select(*cols)
+
+
+def sessionize_groups(groups: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
+                      with_channel: bool = False) -> DataFrame:
+    """Add ``session_id`` (and ``session_channel``) to rows reduced below
+    (user, bucket) — several rows per bucket are allowed (e.g. one per day,
+    platform and channel) — with one window pass per user and no join.
+
+    Rows carry ``first_ts`` and ``last_ts`` (and ``channel``, ``order_key``).
+    A bucket starts a session when its first ts is more than ``gap`` after
+    the last ts of all earlier buckets (a RANGE frame over the bucket number);
+    ``session_id`` is the starting bucket's number, unique within the user.
+    The per-user partition holds at most (time span / gap) buckets times the
+    few rows per bucket, whatever the number of events.
+    """
+    by_user = Window.partitionBy("user_id").orderBy("bucket")
+    earlier = by_user.rangeBetween(Window.unboundedPreceding, -1)
+    upto = by_user.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    bucket = Window.partitionBy("user_id", "bucket")
+    prev_last = F.max("last_ts").over(earlier)
+    out = (groups
+           .withColumn("_bucket_first", F.min("first_ts").over(bucket))
+           .withColumn("_prev_last", prev_last)
+           .withColumn("_start", F.col("_prev_last").isNull()
+                       | (F.col("_bucket_first") > F.col("_prev_last") + _gap_interval(gap)))
+           .withColumn("session_id", F.max(F.when(F.col("_start"), F.col("bucket"))).over(upto))
+           .drop("_bucket_first", "_prev_last", "_start"))
     if with_channel:
-        # Same user partitioning as the window above, so no new shuffle.
-        ws = (Window.partitionBy("user_id", "session_id").orderBy("bucket")
+        ws = (Window.partitionBy("user_id", "session_id").orderBy("bucket", "order_key")
               .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        m = m.withColumn("session_channel", F.first("bucket_channel", ignorenulls=True).over(ws))
-        cols.append("session_channel")
-    return m.select(*cols)
+        out = out.withColumn("session_channel", F.first("channel", ignorenulls=True).over(ws))
+    return out
 
 
 def sessions_table(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
@@ -137,11 +160,10 @@ def sessions_table(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=3
     n_events [, session_channel].  Built from bucket rows only; the events
     are never joined back."""
     m = session_map(events, gap, with_channel)
-    keys = ["user_id", "session_id"]
+    # the channel is constant per session: a key, not a string aggregate
+    keys = ["user_id", "session_id"] + (["session_channel"] if with_channel else [])
     aggs = [F.min("first_ts").alias("session_start"), F.max("last_ts").alias("session_end"),
             F.sum("n_events").alias("n_events")]
-    if with_channel:
-        aggs.append(F.first("session_channel").alias("session_channel"))
     return m.groupBy(*keys).agg(*aggs)
 
 

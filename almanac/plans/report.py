@@ -136,22 +136,52 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
             rows = rows.withColumn("session_id", F.lit(None).cast("long"))
         return metrics.aggregate_levels(rows, keys, all_metrics, b.rows_are_sessions)
 
-    # Sessions by gap.  Session borders and the session-scope channel depend on
-    # all earlier events of the user, so the session map reads events up to
-    # the latest end of the ranges (later events cannot change an earlier
-    # session).  One map serves every report.
+    # Sessions by gap, from ONE scan and ONE hash aggregate over raw events.
+    #
+    # Raw events are reduced to G: one row per (user, bucket, day, event-level
+    # filter fields[, channel]).  A window per user over G rows marks the
+    # buckets that start a session and gives every row its session (and the
+    # session-scope channel); the reports' day ranges and filters then apply
+    # to those rows.  Everything after the first aggregate works on reduced
+    # rows, and nothing joins back.
+    #
+    # Which events to read: whether two events of the range share a session
+    # depends only on the events between them, which are in the range too;
+    # so without a session-scope field the range alone is read.  The
+    # session-scope channel comes from the session's first event, which may
+    # lie before the range: then everything up to the range end is read
+    # (later events never change an earlier session).
     with_channel = "channel" in cols
+    first = min((sp.date_range for sp in specs), key=lambda r: r.start)
     last = max((sp.date_range for sp in specs), key=lambda r: r.end)
-    hist = ev.where(filters.before_end(last, ts_type))
+    # An event without a user belongs to no session and is not counted.
+    scan = ev.where(filters.before_end(last, ts_type) & F.col("user_id").isNotNull())
+    if not with_channel:
+        scan = scan.where(F.col("ts") >= filters.ts_literal(first.start, ts_type))
     if "_part_date" in ev.columns:
-        hist = hist.where(F.col("_part_date") <= F.lit(last.end))
-    smap = sessions.session_map(hist, b.session_gap, with_channel=with_channel)
-
-    rows = sessions.with_bucket(ev, b.session_gap).withColumns(with_dims)
+        scan = scan.where(F.col("_part_date") <= F.lit(last.end))
+        if not with_channel:
+            scan = scan.where(F.col("_part_date") >= F.lit(first.start))
+    scan = sessions.with_bucket(scan, b.session_gap).withColumns({
+        "event_date": F.to_date("ts"), "revenue_cents": metrics.cents("revenue")})
+    event_fields = sorted(fields - SESSION_FIELDS)
+    gkeys = ["user_id", "bucket", "event_date", *[FIELD_COLUMN[f] for f in event_fields]]
+    gkeys += [c for c in scan.columns if c.startswith("_src_")]
+    gaggs = [F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+             F.max(F.col("engaged").cast("int")).alias("engaged"),
+             F.sum("revenue_cents").alias("revenue_cents")]
+    if with_channel:
+        scan = scan.withColumn("order_key", sessions._order_key(scan, b.session_gap))
+        gaggs.append(F.min("order_key").alias("order_key"))
+        gkeys.append("channel")
+    g = scan.groupBy(*gkeys).agg(*gaggs)
+    rows = sessions.sessionize_groups(g, b.session_gap, with_channel=with_channel)
+
+    rows = rows.withColumns({"year": dims.year_code("event_date"), "month": dims.month_code("event_date")})
     leaf = _source_leaf(b, rows.columns)
     pre, post = [], []
     for sp in specs:
-        p = _in_range(sp.date_range, ts_type, rows.columns)
+        p = F.col("event_date").between(F.lit(sp.date_range.start), F.lit(sp.date_range.end))
         if filter_fields(sp.filter) & SESSION_FIELDS:
             pre.append((sp.name, p))  # the whole filter waits for the session channel
             post.append((sp.name, filters.compile_filter(sp.filter, _resolver())))
@@ -159,24 +189,13 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
             f = filters.compile_filter(sp.filter, _resolver(), leaf)
             pre.append((sp.name, p if f is None else p & f))
     rows = tag(rows, pre)
-    # Event-level fields a post-join filter reads stay as keys of the bucket rows.
-    extra = sorted(set().union(*(filter_fields(sp.filter) for sp in specs
-                                 if filter_fields(sp.filter) & SESSION_FIELDS)) - SESSION_FIELDS)
-    # Reduce events to one row per (report, keys, user, bucket) before the
-    # join: a session is a run of whole buckets, so this is exact.
-    bucket_rows = rows.groupBy(*keys, "user_id", "bucket", *extra).agg(
-        F.max(F.col("engaged").cast("int")).alias("engaged"),
-        F.sum("revenue_cents").alias("revenue_cents"))
-    keep = ["user_id", "bucket", "session_id"] + (["session_channel"] if with_channel else [])
-    joined = bucket_rows.join(smap.select(*keep), ["user_id", "bucket"], "inner")
     if post:
-        post_names = {n for n, _ in post}
         keep_rows = [(F.col("report") == F.lit(n)) & p for n, p in post]
-        others = [n for n in names if n not in post_names]
+        others = [n for n in names if n not in {n for n, _ in post}]
         if others:
             keep_rows.append(F.col("report").isin(*others))
-        joined = joined.where(reduce(lambda x, y: x | y, keep_rows))
-    return metrics.aggregate_levels(joined, keys, all_metrics, rows_are_sessions=False)
+        rows = rows.where(reduce(lambda x, y: x | y, keep_rows))
+    return metrics.aggregate_levels(rows, keys, all_metrics, rows_are_sessions=False)
 
 
 def run_report(spark: SparkSession, spec: ReportSpec, registry: Mapping[str, Binding] | Binding,
