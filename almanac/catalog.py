@@ -11,6 +11,7 @@ repeating it.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,10 +129,12 @@ SELECT {month} AS month, year, * EXCLUDE (year, month) FROM g"""
 # Reports R1–R4 (orders binding, whole span)
 # --------------------------------------------------------------------------
 
+@lru_cache(maxsize=None)
 def _orders(d: str):
     return default_registry(d)
 
 
+@lru_cache(maxsize=None)
 def _events(d: str):
     return events_registry(d)
 

@@ -111,8 +111,17 @@ class Binding:
         return df.select(*[c for c in CONTRACT if c in need], *srcs)
 
 
-def _read(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(data_dir, f"{table}.parquet"))
+def _read(spark: SparkSession, data_dir: str, table: str, schemas: dict | None = None) -> DataFrame:
+    """Read one table; with ``schemas`` (a binding's own cache) the footer-based
+    schema inference runs once per binding, later reads pass the schema."""
+    path = os.path.join(data_dir, f"{table}.parquet")
+    if schemas is None:
+        return spark.read.parquet(path)
+    if path in schemas:
+        return spark.read.schema(schemas[path]).parquet(path)
+    df = spark.read.parquet(path)
+    schemas[path] = df.schema
+    return df
 
 
 # --------------------------------------------------------------------------
@@ -141,8 +150,10 @@ ORDERS_CHANNEL = CodeMap("c_mktsegment", ((ORDERS_ORGANIC_SEGMENT, ORGANIC),), O
 def orders_binding(data_dir: str, name: str = "orders") -> Binding:
     """Orders as hits: one order is one session of its customer."""
 
+    schemas: dict = {}
+
     def build(spark: SparkSession, need: frozenset) -> DataFrame:
-        o = _read(spark, data_dir, "orders")
+        o = _read(spark, data_dir, "orders", schemas)
         cols: dict[str, Column] = {
             "event_id": F.col("o_orderkey"),
             "ts": F.col("o_orderdate"),
@@ -160,7 +171,7 @@ def orders_binding(data_dir: str, name: str = "orders") -> Binding:
             # spark.sql.autoBroadcastJoinThreshold, and AQE re-checks at run
             # time; beyond that it is a sort-merge join.  An unmatched order
             # has a NULL segment, hence channel Other.
-            c = _read(spark, data_dir, "customer").select("c_custkey", "c_mktsegment")
+            c = _read(spark, data_dir, "customer", schemas).select("c_custkey", "c_mktsegment")
             o = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
             cols["channel"] = ORDERS_CHANNEL.expr()
             keep.append(F.col("c_mktsegment"))
@@ -195,8 +206,10 @@ def events_binding(data_dir: str, name: str = "events", gap: dt.timedelta = dt.t
     """The events table as hits; it has no session ids, so sessions are made
     by inactivity gap."""
 
+    schemas: dict = {}
+
     def build(spark: SparkSession, need: frozenset) -> DataFrame:
-        return events_contract(_read(spark, data_dir, "events"), need)
+        return events_contract(_read(spark, data_dir, "events", schemas), need)
 
     return Binding(name=name, build=build, session_ids=False, session_gap=gap)
 

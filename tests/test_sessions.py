@@ -94,3 +94,26 @@ def test_hot_user_is_reduced_before_the_window(spark):
     hot = m.where("user_id = 1")
     assert hot.count() <= 48          # 24 h of 30-min buckets
     assert "HashAggregate" in plan_of(m)
+
+
+def test_sessionized_report_plan_shape(spark):
+    """One scan of the events, no join, no sort aggregate, and exactly three
+    shuffles: the raw-row aggregate, the per-user window, the month total."""
+    import re
+    from almanac.plans import report as R
+    from almanac.plans.spec import DateRange
+    df = R.organic_report(spark, events_registry(SF01), DateRange("2024-01-01", "2024-12-31"))
+    plan = plan_of(df)
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 1
+    assert "Join" not in plan and "SortAggregate" not in plan
+    exchanges = re.findall(r"^Arguments: (hashpartitioning\([^)]*\))", plan, re.M)
+    assert len(exchanges) == 3
+    assert re.match(r"hashpartitioning\(user_id#\d+L, \d+\)", exchanges[1])
+
+
+def test_report_without_channel_reads_only_the_range(spark):
+    from almanac.plans import report as R
+    from almanac.plans.spec import DateRange
+    df = R.app_report(spark, events_registry(SF01), DateRange("2024-01-10", "2024-01-20"))
+    plan = plan_of(df)
+    assert "GreaterThanOrEqual(ts,2024-01-10T00:00)" in plan and "LessThan(ts,2024-01-21T00:00)" in plan
