@@ -58,13 +58,14 @@ def needs(metrics: Sequence[str]) -> dict[str, bool]:
 
 
 def aggregate_levels(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
-                     rows_are_sessions: bool = False) -> DataFrame:
+                     rows_are_sessions: bool = False, approx_users: float | None = None) -> DataFrame:
     """Group ``df`` by ``keys`` and compute the count columns behind
     ``metrics``: ``sessions``, ``active_users``, ``engaged_sessions``,
     ``revenue_cents`` (only those needed).
 
     ``df`` holds ``user_id``, ``session_id``, ``engaged`` (boolean) and
-    ``revenue_cents`` (long) besides ``keys``.
+    ``revenue_cents`` (long) besides ``keys``.  ``approx_users`` counts users
+    approximately (relative standard deviation), skipping the user level.
     """
     need = needs(metrics)
     keys = list(keys)
@@ -82,8 +83,14 @@ def aggregate_levels(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
         # count(session_id) skips NULL ids, as a distinct count would
         sess = F.count("session_id")
         eng = F.sum(F.when(F.col("session_id").isNotNull(), F.col("engaged")))
-    # User level: one row per (keys, user).
-    if need["users"]:
+    # User level: one row per (keys, user) — or, with ``approx_users``, a
+    # HyperLogLog++ sketch at the last level instead (fixed-size buffer, so
+    # still a hash aggregate).
+    if need["users"] and approx_users:
+        final = [F.approx_count_distinct("user_id", approx_users).alias("active_users")]
+        if need["sessions"]:
+            final += [sess.alias("sessions"), eng.alias("engaged_sessions")]
+    elif need["users"]:
         aggs = []
         if need["sessions"]:
             aggs += [sess.alias("sessions"), eng.alias("engaged_sessions")]

@@ -95,6 +95,10 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
         raise ValueError("reports sharing a scan must have the same dimensions")
     keys = ["report"] + [k for k in ("year", "month") if k in specs[0].dimensions]
     all_metrics = tuple(dict.fromkeys(m for sp in specs for m in sp.metrics))
+    approx_set = {sp.approx_users for sp in specs}
+    if len(approx_set) != 1:
+        raise ValueError("reports sharing a scan must agree on approx_users")
+    approx = approx_set.pop()
     need = metrics.needs(all_metrics)
     fields = set().union(*(filter_fields(sp.filter) for sp in specs))
     by_session = need["sessions"] or bool(fields & SESSION_FIELDS)
@@ -134,7 +138,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
         rows = tag(rows, preds)
         if "session_id" not in rows.columns:
             rows = rows.withColumn("session_id", F.lit(None).cast("long"))
-        return metrics.aggregate_levels(rows, keys, all_metrics, b.rows_are_sessions)
+        return metrics.aggregate_levels(rows, keys, all_metrics, b.rows_are_sessions, approx)
 
     # Sessions by gap, from ONE scan and ONE hash aggregate over raw events.
     #
@@ -195,7 +199,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
         if others:
             keep_rows.append(F.col("report").isin(*others))
         rows = rows.where(reduce(lambda x, y: x | y, keep_rows))
-    return metrics.aggregate_levels(rows, keys, all_metrics, rows_are_sessions=False)
+    return metrics.aggregate_levels(rows, keys, all_metrics, rows_are_sessions=False, approx_users=approx)
 
 
 def run_report(spark: SparkSession, spec: ReportSpec, registry: Mapping[str, Binding] | Binding,

@@ -98,7 +98,9 @@ class ReportSpec:
     ``dimensions`` is ``("month", "year")`` or ``("month",)``; with month only,
     the years inside the range fall together.  ``year_label`` sets a constant
     year column for month-only reports.  ``fill_months`` adds the months of the
-    range that have no rows, with zero counts.
+    range that have no rows, with zero counts.  ``approx_users`` (a relative
+    standard deviation such as 0.01) counts active users with HyperLogLog++
+    instead of exactly: one aggregation level (and one shuffle) less.
     """
 
     property: str
@@ -109,6 +111,7 @@ class ReportSpec:
     fill_months: bool = False
     year_label: str | None = None
     name: str = field(default="report")
+    approx_users: float | None = None  # max relative error; None = exact distinct users
 
     def __post_init__(self):
         object.__setattr__(self, "metrics", tuple(self.metrics))

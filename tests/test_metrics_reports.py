@@ -134,3 +134,19 @@ def test_unknown_metric_and_dimension_rejected():
 def test_unknown_property_is_clear_error(spark):
     with pytest.raises(KeyError, match="unknown property"):
         R.web_report(spark, default_registry(SF01), Y25, prop="nope")
+
+
+def test_approx_users_close_to_exact_and_one_level_less(spark):
+    import re
+    reg = default_registry(SF01)
+    rng = DateRange("1995-01-01", "2001-12-31")
+    exact = R.run_report(spark, ReportSpec("ecommerce", ("activeUsers", "sessions"), rng), reg)
+    approx_df = R.run_report(spark, ReportSpec("ecommerce", ("activeUsers", "sessions"), rng, approx_users=0.01), reg)
+    e = {(r.year, r.month): r for r in exact.collect()}
+    for r in approx_df.collect():
+        x = e[(r.year, r.month)]
+        assert r.sessions == x.sessions
+        assert abs(r.active_users - x.active_users) <= max(2, 0.05 * x.active_users)
+    def shuffles(df):
+        return len(set(re.findall(r"hashpartitioning\(.*\[plan_id=(\d+)\]", plan_of(df))))
+    assert shuffles(exact) == 2 and shuffles(approx_df) == 1
