@@ -1,14 +1,19 @@
 """R8 ``run_report``: compile a ReportSpec into one DataFrame plan, and the
 ready-made reports R1–R4 built on it.
 
-Plan shape (all lazy; Catalyst sees one plan per report):
+Plan shape (all lazy; Catalyst sees one plan per report, or one per
+binding for a bundle of reports):
 
-    Binding.frame (only the contract columns the spec reads)
-      -> date range + event-level filter       (pushed into the Parquet scan)
-      -> [sessions by gap, when the table has no session ids]
+    Binding.frame (only the contract columns the specs read)
+      -> date range + filter                   (pushed into the Parquet scan)
+      -> tag rows with the reports they pass   (one scan for several reports)
       -> aggregation levels                    (operators.metrics)
       -> [calendar scaffold]                   (operators.scaffold)
       -> sort on codes, then month names
+
+For a table without session ids the middle is different: one hash aggregate
+reduces events to (user, bucket, day, filter fields) rows, a window per user
+marks sessions on them (operators.sessions), and the filters apply after it.
 """
 
 from __future__ import annotations
@@ -169,8 +174,9 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
     scan = sessions.with_bucket(scan, b.session_gap).withColumns({
         "event_date": F.to_date("ts"), "revenue_cents": metrics.cents("revenue")})
     event_fields = sorted(fields - SESSION_FIELDS)
+    # Event-level filters cannot move below the sessionization (session
+    # borders depend on all events), so their fields become keys of G.
     gkeys = ["user_id", "bucket", "event_date", *[FIELD_COLUMN[f] for f in event_fields]]
-    gkeys += [c for c in scan.columns if c.startswith("_src_")]
     gaggs = [F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
              F.max(F.col("engaged").cast("int")).alias("engaged"),
              F.sum("revenue_cents").alias("revenue_cents")]
@@ -182,7 +188,6 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
     rows = sessions.sessionize_groups(g, b.session_gap, with_channel=with_channel)
 
     rows = rows.withColumns({"year": dims.year_code("event_date"), "month": dims.month_code("event_date")})
-    leaf = _source_leaf(b, rows.columns)
     pre, post = [], []
     for sp in specs:
         p = F.col("event_date").between(F.lit(sp.date_range.start), F.lit(sp.date_range.end))
@@ -190,7 +195,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
             pre.append((sp.name, p))  # the whole filter waits for the session channel
             post.append((sp.name, filters.compile_filter(sp.filter, _resolver())))
         else:
-            f = filters.compile_filter(sp.filter, _resolver(), leaf)
+            f = filters.compile_filter(sp.filter, _resolver())
             pre.append((sp.name, p if f is None else p & f))
     rows = tag(rows, pre)
     if post:
