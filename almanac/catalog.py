@@ -264,8 +264,8 @@ def q_date_range(spark, d):
     rows = _orders_rows(spark, d, {"ts"}, RANGE_1996)
     return rows.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.date_format(F.min("ts"), "yyyy-MM-dd").alias("first_day"),
-        F.date_format(F.max("ts"), "yyyy-MM-dd").alias("last_day"))
+        F.to_date(F.min("ts")).cast("string").alias("first_day"),
+        F.to_date(F.max("ts")).cast("string").alias("last_day"))
 
 
 @register("filter_exact", f"""
@@ -672,7 +672,6 @@ def q_typed_rows(spark, d):
 # --------------------------------------------------------------------------
 
 _TS_FMT_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
-_TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _events_frame(spark, d, cols):
@@ -690,8 +689,8 @@ def q_sessionize(spark, d):
     ev = _events_frame(spark, d, {"event_id", "user_id", "channel"})
     s = X.sessions_table(ev, with_channel=True)
     return s.select("user_id", "session_id",
-                    F.date_format("session_start", _TS_FMT).alias("session_start"),
-                    F.date_format("session_end", _TS_FMT).alias("session_end"),
+                    D.ts_text("session_start").alias("session_start"),
+                    D.ts_text("session_end").alias("session_end"),
                     F.col("n_events").cast("long").alias("n_events"), "session_channel")
 
 
@@ -770,6 +769,6 @@ def q_session_rows(spark, d):
     raw = spark.read.parquet(f"{d}/events.parquet")
     rows = ST.session_rows(events_contract(raw))
     return rows.select("user_id", "year", "month", "n_events",
-                       F.date_format("session_start", _TS_FMT).alias("session_start"),
-                       F.date_format("session_end", _TS_FMT).alias("session_end"),
+                       D.ts_text("session_start").alias("session_start"),
+                       D.ts_text("session_end").alias("session_end"),
                        "engaged", "revenue_cents")

@@ -42,6 +42,24 @@ def _name_map(names: dict[str, str] = MONTH_NAMES_PT) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(names.items())])
 
 
+def ts_text(ts: Column | str, ntz: bool = True) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.SSSSSS`` text of a timestamp.  For
+    ``timestamp_ntz`` it is built from the fields, so no session zone is
+    involved (``date_format`` would cast to a zoned timestamp first)."""
+    c = _col(ts)
+    if not ntz:
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    secs = F.extract(F.lit("SECOND"), c)  # decimal(8,6)
+    whole = F.floor(secs).cast("long")
+    micros = ((secs - whole) * F.lit(1_000_000)).cast("long")
+
+    def pad(x: Column, n: int) -> Column:
+        return F.lpad(x.cast("string"), n, "0")
+    return F.concat(pad(F.year(c), 4), F.lit("-"), pad(F.month(c), 2), F.lit("-"), pad(F.dayofmonth(c), 2),
+                    F.lit(" "), pad(F.hour(c), 2), F.lit(":"), pad(F.minute(c), 2), F.lit(":"),
+                    pad(whole, 2), F.lit("."), pad(micros, 6))
+
+
 def month_name(code: Column | str, names: dict[str, str] = MONTH_NAMES_PT) -> Column:
     """P5: month name; an unknown code gives NULL (like a dict ``map``)."""
     return F.element_at(_name_map(names), _col(code))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from ..functions.dims import month_code, year_code
 from ..plans.spec import DateRange
 
 
@@ -22,7 +23,7 @@ def month_table(spark: SparkSession, rng: DateRange, keys: Sequence[str] = ("yea
     months = spark.range(1).select(
         F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"),
                              F.expr("INTERVAL 1 MONTH"))).alias("d"))
-    months = months.select(F.date_format("d", "yyyy").alias("year"), F.date_format("d", "MM").alias("month"))
+    months = months.select(year_code("d").alias("year"), month_code("d").alias("month"))
     return months.select(*keys).distinct() if list(keys) != ["year", "month"] else months
 
 

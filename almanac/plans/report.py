@@ -29,7 +29,7 @@ from ..operators import filters, metrics, sessions
 from ..operators.scaffold import complete_months
 from ..sources.bindings import Binding
 from ..sources.properties import ECOMMERCE, PHARMA
-from .spec import AnyOf, DateRange, Exact, ReportSpec, filter_fields
+from .spec import DIMENSIONS, AnyOf, DateRange, Exact, ReportSpec, filter_fields
 
 # Filter fields whose value belongs to the session rather than the event.
 SESSION_FIELDS = {"sessionDefaultChannelGroup"}
@@ -173,7 +173,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
             scan = scan.where(F.col("_part_date") >= F.lit(first.start))
     scan = sessions.with_bucket(scan, b.session_gap).withColumns({
         "event_date": F.to_date("ts"), "revenue_cents": metrics.cents("revenue")})
-    event_fields = sorted(fields - SESSION_FIELDS)
+    event_fields = sorted(fields - SESSION_FIELDS - set(DIMENSIONS))
     # Event-level filters cannot move below the sessionization (session
     # borders depend on all events), so their fields become keys of G.
     gkeys = ["user_id", "bucket", "event_date", *[FIELD_COLUMN[f] for f in event_fields]]

@@ -85,3 +85,15 @@ def test_py_str_length_all_ranges(spark):
     from pyspark.sql.types import DoubleType
     got = [r.n for r in df.select(T.py_str_length(F.col("x"), DoubleType()).alias("n")).collect()]
     assert got == [len(str(v)) for v in vals]
+
+
+def test_ts_text_is_zone_free(spark):
+    df = spark.sql("select TIMESTAMP_NTZ'2018-11-04 00:30:00.000120' ts union all "
+                   "select TIMESTAMP_NTZ'0999-01-02 03:04:05' union all select TIMESTAMP_NTZ'2024-03-10 02:30:00.5'")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")   # 2024-03-10 02:30 does not exist there
+        got = [r.t for r in df.select(D.ts_text("ts").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["2018-11-04 00:30:00.000120", "0999-01-02 03:04:05.000000", "2024-03-10 02:30:00.500000"]

@@ -106,3 +106,19 @@ def test_report_without_channel_has_no_join(spark):
     from almanac.sources.properties import default_registry
     df = R.web_report(spark, default_registry(SF01), DateRange("1997-01-01", "1997-12-31"))
     assert "Join" not in _plan(df)
+
+
+def test_filter_on_month_dimension_both_paths(spark):
+    """A leaf on the month dimension works on a table with session ids and on
+    one sessionized by gap."""
+    from almanac.sources.properties import default_registry, events_registry
+    march = Exact("month", "03")
+    spec = ReportSpec("ecommerce", ("sessions",), DateRange("1997-01-01", "1997-12-31"), filter=march)
+    rows = R.run_report(spark, spec, default_registry(SF01)).collect()
+    assert [r.month for r in rows] == ["março"]
+    jan = ReportSpec("events", ("sessions", "activeUsers"), DateRange("2024-01-01", "2024-12-31"),
+                     filter=AnyOf(Exact("month", "01"), Exact("platform", "web")))
+    got = R.run_report(spark, jan, events_registry(SF01)).collect()
+    full = R.run_report(spark, ReportSpec("events", ("sessions", "activeUsers"),
+                                          DateRange("2024-01-01", "2024-12-31")), events_registry(SF01)).collect()
+    assert got == full
