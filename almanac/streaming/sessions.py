@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import dims
 from ..operators.metrics import cents
 from ..operators.sessions import epoch_micros
+from ..sources.bindings import CONTRACT, Binding
 
 
 def _interval(gap: dt.timedelta) -> str:
@@ -85,3 +86,30 @@ def write_session_rows(rows: DataFrame, path: str, checkpoint: str,
          .option("checkpointLocation", checkpoint).partitionBy("year", "month"))
     w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime="1 minute")
     return w.start(path)
+
+
+def session_rows_binding(path: str, name: str = "session_rows") -> Binding:
+    """Reports over the table :func:`write_session_rows` fills.
+
+    Each row is one session's part in one month, so the binding declares
+    ``rows_are_sessions`` and monthly sessions, users, engagement and revenue
+    come out exactly, by month.  The row's time is the part's first event, so
+    a range that starts or ends inside a month counts a session part by that
+    time.  Platform and channel are not kept at this grain.
+    """
+
+    def build(spark: SparkSession, need: frozenset) -> DataFrame:
+        df = spark.read.parquet(path)
+        cols = {
+            "event_id": F.lit(None).cast("long"),
+            "ts": F.col("session_start"),
+            "user_id": F.col("user_id"),
+            "session_id": epoch_micros(df, "session_start"),
+            "platform": F.lit(None).cast("string"),
+            "channel": F.lit(None).cast("string"),
+            "engaged": F.col("engaged") == F.lit(1),
+            "revenue": F.col("revenue_cents").cast("double") / F.lit(100.0),
+        }
+        return df.select(*[cols[c].alias(c) for c in CONTRACT if c in need])
+
+    return Binding(name=name, build=build, session_ids=True, rows_are_sessions=True)
