@@ -629,6 +629,17 @@ def q_bundle_long(spark, d):
     return BU.run_bundle(spark, _orders(d), ORDERS_SPAN, persist=False).long
 
 
+@register("bundle_tidy", f"""
+SELECT report, month, year, metric, value FROM (
+  UNPIVOT (SELECT report, month, year, CAST(sessions AS DOUBLE) AS sessions,
+                  CAST(active_users AS DOUBLE) AS active_users, engagement_pct, revenue
+           FROM {_sub(_bundle_sql())} b)
+  ON sessions, active_users, engagement_pct, revenue INTO NAME metric VALUE value)""")
+def q_bundle_tidy(spark, d):
+    """K4 tidy form: one row per (report, month, metric)."""
+    return BU.run_bundle(spark, _orders(d), ORDERS_SPAN, persist=False).tidy()
+
+
 @register("bundle_totals", f"""
 SELECT report, CAST(count(*) AS BIGINT) AS months,
        CAST(sum(sessions) AS BIGINT) AS sessions,

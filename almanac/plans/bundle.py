@@ -62,6 +62,19 @@ class Bundle:
         have = {r["report"] for r in self.long.select("report").distinct().collect()}
         return [n for n in self.reports if n in have]
 
+    def tidy(self) -> DataFrame:
+        """K4, tidy form: (report, month, year, metric, value) — one row per
+        metric a report has, values as double (``DataFrame.unpivot``)."""
+        metric_cols = ["sessions", "active_users", "engagement_pct", "revenue"]
+        wide = self.long.select("report", "month", "year",
+                                *[F.col(c).cast("double").alias(c) for c in metric_cols])
+        out = wide.unpivot(["report", "month", "year"], metric_cols, "metric", "value")
+        return out.where(F.col("value").isNotNull())
+
+    def release(self) -> None:
+        """Drop the persisted long table."""
+        self.long.unpersist()
+
     def non_empty(self) -> dict[str, DataFrame]:
         """V2: the reports with rows; V3: raise when there are none."""
         names = self.present()
