@@ -137,12 +137,11 @@ def sessionize_groups(groups: DataFrame, gap: dt.timedelta = dt.timedelta(minute
     """
     by_user = Window.partitionBy("user_id").orderBy("bucket")
     earlier = by_user.rangeBetween(Window.unboundedPreceding, -1)
+    same = by_user.rangeBetween(0, 0)  # the rows of this bucket
     upto = by_user.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    bucket = Window.partitionBy("user_id", "bucket")
-    prev_last = F.max("last_ts").over(earlier)
     out = (groups
-           .withColumn("_bucket_first", F.min("first_ts").over(bucket))
-           .withColumn("_prev_last", prev_last)
+           .withColumns({"_bucket_first": F.min("first_ts").over(same),
+                         "_prev_last": F.max("last_ts").over(earlier)})
            .withColumn("_start", F.col("_prev_last").isNull()
                        | (F.col("_bucket_first") > F.col("_prev_last") + _gap_interval(gap)))
            .withColumn("session_id", F.max(F.when(F.col("_start"), F.col("bucket"))).over(upto))
