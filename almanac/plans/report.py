@@ -243,9 +243,15 @@ def finish_report(spark: SparkSession, counts: DataFrame, spec: ReportSpec,
 
 def bounded_sort(df: DataFrame, *cols) -> DataFrame:
     """O1 for a result with one row per calendar month of the range (a bound
-    set by the request, not the data): one partition, sorted in place.  This
-    avoids the sampling job and range shuffle of a global ``orderBy``."""
-    return df.coalesce(1).sortWithinPartitions(*cols)
+    set by the request, not the data): gathered into one partition and
+    sorted there, which avoids the sampling job and range shuffle of a global
+    ``orderBy``.
+
+    ``repartition(1)``, not ``coalesce(1)``: coalesce is a narrow dependency
+    and would pull the final aggregation itself into one task (which, on a
+    large cluster, reads one partial aggregate per map task); the shuffle
+    keeps that step parallel and moves only the result rows."""
+    return df.repartition(1).sortWithinPartitions(*cols)
 
 
 def sort_calendar(df: DataFrame, col: str = "month") -> DataFrame:

@@ -111,13 +111,16 @@ def test_rows_are_sessions_flag_matches_generic_path(spark):
 
 
 def test_web_report_is_one_aggregation(spark):
-    """Sessions + revenue on a binding whose rows are sessions: one shuffle
-    (the month aggregate), no sort exchange (bounded sort)."""
+    """Sessions + revenue on a binding whose rows are sessions: one hash
+    shuffle (the month aggregate, final step parallel), then only the result
+    rows are gathered into one partition for the sort — no range shuffle, no
+    sampling job, no coalesce pulling the aggregate into one task."""
     df = R.web_report(spark, default_registry(SF01), DateRange("1997-01-01", "1997-12-31"))
     import re
     plan = plan_of(df)
-    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1
-    assert "rangepartitioning" not in plan
+    assert len(re.findall(r"^Arguments: hashpartitioning", plan, re.M)) == 1
+    assert len(re.findall(r"^Arguments: SinglePartition", plan, re.M)) == 1
+    assert "rangepartitioning" not in plan and "Coalesce" not in plan
 
 
 def test_unknown_metric_and_dimension_rejected():
