@@ -9,7 +9,10 @@ from pyspark.sql import SparkSession
 #   sort-merge join into a broadcast one when a side proves small, and splits
 #   skewed join partitions.
 # * The session zone is pinned: month borders of `timestamp` columns depend on it.
+# * Streaming session windows merge sessions inside each partition before the
+#   shuffle (a partial aggregate for a busy user).
 DEFAULTS = {
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

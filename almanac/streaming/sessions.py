@@ -1,7 +1,7 @@
 """Structured Streaming form of X1/X2: session rows from an event stream.
 
 ``session_rows`` works on a streaming (or batch) DataFrame of contract
-columns.  It groups by user and calendar month with Spark's native
+columns.  A stream is grouped by user and calendar month with Spark's native
 ``session_window`` (gap semantics equal to X1: a gap of exactly ``gap``
 stays in the session), so each output row is one session's part inside one
 month — the grain the monthly reports count ("a session with events in two
@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import dims
 from ..operators.metrics import cents
-from ..operators.sessions import epoch_micros
+from ..operators.sessions import epoch_micros, sessionize_groups, with_bucket
 from ..sources.bindings import CONTRACT, Binding
 
 
@@ -39,21 +39,42 @@ def _interval(gap: dt.timedelta) -> str:
 
 def session_rows(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
                  watermark: str | None = "2 hours") -> DataFrame:
-    """(user_id, year, month, session_start, session_end, n_events, engaged,
-    revenue_cents) per session part in a month."""
+    """(user_id, year, month, n_events, session_start, session_end, engaged,
+    revenue_cents) per session part in a month.
+
+    A stream goes through ``session_window`` with a watermark (state per user
+    bounded by it).  A batch frame goes through the bucket sessionizer of
+    ``operators.sessions`` instead — same rows, but no task ever holds all
+    of one user's events (``session_window`` on a batch sorts each
+    user-month in one task).
+    """
     ev = events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+    aggs = [F.min("ts").alias("session_start"), F.max("ts").alias("session_end"),
+            F.max(F.col("engaged").cast("int")).alias("engaged")]
+    if not events.isStreaming:
+        g = (with_bucket(ev, gap)
+             .withColumns({"year": dims.year_code("ts"), "month": dims.month_code("ts"),
+                           "revenue_cents": cents("revenue")})
+             .groupBy("user_id", "bucket", "year", "month")
+             .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+                  F.count(F.lit(1)).alias("n_events"),
+                  F.max(F.col("engaged").cast("int")).alias("engaged"),
+                  F.sum("revenue_cents").alias("revenue_cents")))
+        rows = sessionize_groups(g, gap)
+        return rows.groupBy("user_id", "session_id", "year", "month").agg(
+            F.sum("n_events").alias("n_events"), F.min("first_ts").alias("session_start"),
+            F.max("last_ts").alias("session_end"), F.max("engaged").alias("engaged"),
+            F.sum("revenue_cents").alias("revenue_cents")).drop("session_id")
     # Watermarks and session windows need an instant; a timestamp_ntz wall
     # clock is read as UTC (zone-free, so gaps stay exact).
     ev = ev.withColumns({"event_time": F.timestamp_micros(epoch_micros(ev)),
                          "year": dims.year_code("ts"), "month": dims.month_code("ts")})
-    if watermark and events.isStreaming:
+    if watermark:
         ev = ev.withWatermark("event_time", watermark)
     g = ev.groupBy("user_id", "year", "month", F.session_window("event_time", _interval(gap)).alias("s"))
     return g.agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.min("ts").alias("session_start"),
-        F.max("ts").alias("session_end"),
-        F.max(F.col("engaged").cast("int")).alias("engaged"),
+        *aggs,
         F.sum(cents("revenue")).alias("revenue_cents"),
     ).drop("s")
 
