@@ -7,11 +7,11 @@ report summaries print.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegralType, NumericType, StringType
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 # Currency prefix and the words of the one-line row summary.
 CURRENCY = "R$ "

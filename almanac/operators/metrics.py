@@ -28,14 +28,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-METRIC_COLUMNS = {
-    "sessions": "sessions",
-    "activeUsers": "active_users",
-    "totalRevenue": "revenue",
-    "engagementRate": "engagement_rate",
-}
-
-
 def cents(revenue: Column | str) -> Column:
     """Revenue in whole cents, half-up: ``floor(revenue * 100 + 0.5)``."""
     c = F.col(revenue) if isinstance(revenue, str) else revenue

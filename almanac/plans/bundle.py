@@ -107,8 +107,8 @@ def _long_from_counts(counts: DataFrame, specs: Sequence[ReportSpec]) -> DataFra
     )
     order = F.create_map(*[x for i, sp in enumerate(specs) for x in (F.lit(sp.name), F.lit(i))])
     ordered = R.bounded_sort(out.withColumn("_o", F.element_at(order, F.col("report"))), "_o", "year", "month")
-    return ordered.select("report", dims.month_name(F.col("month")).alias("month"), "year",
-                          "sessions", "active_users", "engagement_pct", "revenue")
+    named = ordered.withColumn("month", dims.month_name(F.col("month")))
+    return named.select(*LONG_COLUMNS)
 
 
 def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRange,

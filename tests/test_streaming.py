@@ -1,7 +1,5 @@
 """Streaming sessionizer: a file stream over the events table, memory sink."""
 
-import datetime as dt
-
 from conftest import SF01, events_df
 
 from almanac.sources.bindings import events_contract
