@@ -723,12 +723,8 @@ SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, user_id, session
 FROM eb GROUP BY 1, 2, 3, 4""")
 def q_session_rollup(spark, d):
     """Events rolled up to one row per (year, month, session)."""
-    ev = _events_frame(spark, d, {"event_id", "user_id", "engaged", "revenue"})
-    ev = X.assign_sessions(ev)
-    return ev.groupBy(D.year_code("ts").alias("year"), D.month_code("ts").alias("month"),
-                      "user_id", "session_id").agg(
-        F.max(F.col("engaged").cast("int")).alias("engaged"),
-        F.sum(cents("revenue")).alias("revenue_cents"))
+    ev = _events_frame(spark, d, {"user_id", "engaged", "revenue"})
+    return X.session_rollup(ev).select("year", "month", "user_id", "session_id", "engaged", "revenue_cents")
 
 
 @register("session_channel", f"""

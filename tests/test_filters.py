@@ -122,3 +122,25 @@ def test_filter_on_month_dimension_both_paths(spark):
     full = R.run_report(spark, ReportSpec("events", ("sessions", "activeUsers"),
                                           DateRange("2024-01-01", "2024-12-31")), events_registry(SF01)).collect()
     assert got == full
+
+
+def test_generic_binding_pushes_physical_columns(spark):
+    """A table with its own platform/channel columns: the filter and the date
+    bounds are pushed filters of the scan, nothing else is read."""
+    import tempfile
+    from conftest import events_df
+    from almanac.sources.bindings import table_binding
+    path = tempfile.mkdtemp(prefix="almanac-hits-") + "/hits"
+    events_df(spark, [
+        (1, "2025-03-01 10:00:00", 1, 11, "web", "Organic Search", True, 5.0),
+        (2, "2025-03-02 10:00:00", 2, 12, "iOS", "Other", False, 7.0),
+        (3, "2025-04-02 10:00:00", 1, 13, "web", "Other", True, None),
+    ]).withColumnsRenamed({"ts": "event_time", "user_id": "uid", "session_id": "sid"}).write.parquet(path)
+    b = table_binding("hits", lambda s: s.read.parquet(path), event_id="event_id", ts="event_time",
+                      user_id="uid", session_id="sid", platform="platform", channel="channel",
+                      engaged="engaged", revenue="revenue")
+    df = R.web_report(spark, b, DateRange("2025-01-01", "2025-12-31"), prop="x")
+    assert [tuple(r) for r in df.collect()] == [("março", "2025", 1, 5.0), ("abril", "2025", 1, 0.0)]
+    plan = _plan(df)
+    assert "EqualTo(platform,web)" in plan and "GreaterThanOrEqual(event_time,2025-01-01T00:00)" in plan
+    assert "channel" not in plan.split("ReadSchema:")[1].split("\n")[0]
