@@ -29,9 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 def cents(revenue: Column | str) -> Column:
-    """Revenue in whole cents, half-up: ``floor(revenue * 100 + 0.5)``."""
+    """Revenue in whole cents, half-up: ``floor(revenue * 100 + 0.5)``; NaN
+    counts as no revenue (NULL)."""
     c = F.col(revenue) if isinstance(revenue, str) else revenue
-    return F.floor(c * F.lit(100.0) + F.lit(0.5)).cast("long")
+    return F.when(~F.isnan(c), F.floor(c * F.lit(100.0) + F.lit(0.5)).cast("long"))
 
 
 def from_cents(c: Column | str) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dims
 from ..operators.metrics import from_cents
+from ..session import checkpoint_dir
 from ..sources.bindings import Binding
 from . import report as R
 from .spec import DateRange, ReportSpec
@@ -113,12 +114,19 @@ def _long_from_counts(counts: DataFrame, specs: Sequence[ReportSpec]) -> DataFra
 
 def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRange,
                names: Sequence[str] = ("web", "app", "organic"), on_error: str = "skip",
-               persist: bool = True, specs: Sequence[ReportSpec] | None = None) -> Bundle:
+               persist: bool = True, specs: Sequence[ReportSpec] | None = None,
+               checkpoint: bool = False) -> Bundle:
     """Run the reports together.
 
     ``on_error="skip"`` drops a report that cannot be planned (unknown
     property, bad spec) and keeps the others (V5); ``"raise"`` re-raises.
     Reports are grouped by binding; each group is one shared scan.
+
+    The long table is reused by every report frame, the presence checks and
+    the sinks.  ``persist`` keeps it on the executors (recomputed from
+    lineage if one is lost); ``checkpoint`` instead writes it once to the
+    shared folder the session names in ``spark.checkpoint.dir`` and cuts the
+    lineage there.
     """
     errors: dict[str, BaseException] = {}
     if specs is None:
@@ -149,7 +157,11 @@ def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRa
     for p in parts[1:]:
         counts = counts.unionByName(p, allowMissingColumns=True)
     long = _long_from_counts(counts, kept)
-    if persist:
+    if checkpoint:
+        if not checkpoint_dir(spark):
+            raise RuntimeError("checkpoint=True needs spark.checkpoint.dir set to a shared folder")
+        long = long.checkpoint(eager=True)
+    elif persist:
         long = long.persist(StorageLevel.MEMORY_AND_DISK)
     reports = {}
     for sp in kept:

@@ -36,7 +36,11 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``
-    (None when unset)."""
+    (None when unset).  Read from the session, never chosen here; a context
+    that already has a checkpoint folder keeps it."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         spark.sparkContext.setCheckpointDir(d)

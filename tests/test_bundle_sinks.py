@@ -85,3 +85,18 @@ def test_write_reports_skips_empty(spark):
     assert os.listdir(base) == ["web"]
     with pytest.raises(BU.NoReportData):
         sinks.write_reports({"app": reps["app"]}, tempfile.mkdtemp(), "t", 2025)
+
+
+def test_bundle_checkpoint_cuts_lineage(spark):
+    reg = default_registry(SF01)
+    a = BU.run_bundle(spark, reg, Y97, checkpoint=True)
+    assert "Scan parquet" not in plan_of(a.long)          # read back from the checkpoint
+    b = BU.run_bundle(spark, reg, Y97, persist=False)
+    assert sorted(a.long.collect()) == sorted(b.long.collect())
+
+
+def test_nan_revenue_counts_as_none(spark):
+    df = events_df(spark, [(1, "2025-01-10 10:00:00", 7, 1, "web", "Other", True, float("nan")),
+                           (2, "2025-01-11 10:00:00", 8, 2, "web", "Other", True, 2.5)])
+    rows = R.web_report(spark, binding_of(df), DateRange("2025-01-01", "2025-12-31"), prop="x").collect()
+    assert [(r.sessions, r.revenue) for r in rows] == [(2, 2.5)]
