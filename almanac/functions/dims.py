@@ -42,6 +42,12 @@ def _name_map(names: dict[str, str] = MONTH_NAMES_PT) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(names.items())])
 
 
+def code(n: Column | str, width: int) -> Column:
+    """Zero-padded text of an integer field (``3`` → ``"03"``): the month or
+    year code from the integer a report groups by."""
+    return F.lpad(_col(n).cast("string"), width, "0")
+
+
 def ts_text(ts: Column | str, ntz: bool = True) -> Column:
     """``yyyy-MM-dd HH:mm:ss.SSSSSS`` text of a timestamp.  For
     ``timestamp_ntz`` it is built from the fields, so no session zone is

@@ -158,11 +158,11 @@ def session_rollup(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=3
     event, 0/1) and ``revenue_cents``.  One scan, one hash aggregate to
     (user, bucket, month) rows, the user window, then aggregates that stay in
     the user partitioning; ``session_id`` is 1, 2, ... per user."""
-    from ..functions.dims import month_code, year_code
+    from ..functions.dims import code
     from .metrics import cents
 
     ev = with_bucket(events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull()), gap)
-    g = (ev.withColumns({"year": year_code("ts"), "month": month_code("ts"), "revenue_cents": cents("revenue")})
+    g = (ev.withColumns({"year": F.year("ts"), "month": F.month("ts"), "revenue_cents": cents("revenue")})
          .groupBy("user_id", "bucket", "year", "month")
          .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
               F.max(F.col("engaged").cast("int")).alias("engaged"),
@@ -171,7 +171,7 @@ def session_rollup(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=3
     out = rows.groupBy("year", "month", "user_id", "session_id").agg(
         F.max("engaged").alias("engaged"), F.sum("revenue_cents").alias("revenue_cents"))
     seq = F.dense_rank().over(Window.partitionBy("user_id").orderBy("session_id")).cast("long")
-    return out.withColumn("session_id", seq)
+    return out.withColumns({"session_id": seq, "year": code("year", 4), "month": code("month", 2)})
 
 
 def sessions_table(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),

@@ -40,16 +40,29 @@ def _binding(registry: Mapping[str, Binding] | Binding, prop: str) -> Binding:
 
 
 def _resolver(channel_col: str = "session_channel"):
+    """Filter field → Column.  ``year``/``month`` are integers while rows are
+    aggregated; a filter on them compares their text codes."""
     def resolve(field: str) -> Column:
         return {
             "platform": F.col("platform"),
             "sessionDefaultChannelGroup": F.col(channel_col),
-            "month": F.col("month"),
-            "year": F.col("year"),
+            "month": dims.code("month", 2),
+            "year": dims.code("year", 4),
         }[field]
     return resolve
 
 
+def _codes(counts: DataFrame) -> DataFrame:
+    """Integer year/month keys → the text codes of the result (after the
+    aggregation, so once per result row rather than once per event)."""
+    fix = {}
+    if "year" in counts.columns:
+        fix["year"] = dims.code("year", 4)
+    if "month" in counts.columns:
+        fix["month"] = dims.code("month", 2)
+    return counts.withColumns(fix)
+
+
 # Contract column behind each filter field.
 FIELD_COLUMN = {"platform": "platform", "sessionDefaultChannelGroup": "channel"}
 
@@ -120,8 +133,8 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
         cols.add("event_id")
     ev = b.frame(spark, cols)
     ts_type = ev.schema["ts"].dataType
-    with_dims = {"year": dims.year_code("ts"), "month": dims.month_code("ts"),
-                 "revenue_cents": metrics.cents("revenue")}
+    # Group on integer year and month; text codes come after the aggregation.
+    with_dims = {"year": F.year("ts"), "month": F.month("ts"), "revenue_cents": metrics.cents("revenue")}
 
     def tag(rows: DataFrame, preds: list[tuple[str, Column]]) -> DataFrame:
         """Keep rows passing any report's predicate; ``report`` = each name it passes."""
@@ -143,7 +156,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
         rows = tag(rows, preds)
         if "session_id" not in rows.columns:
             rows = rows.withColumn("session_id", F.lit(None).cast("long"))
-        return metrics.aggregate_levels(rows, keys, all_metrics, b.rows_are_sessions, approx)
+        return _codes(metrics.aggregate_levels(rows, keys, all_metrics, b.rows_are_sessions, approx))
 
     # Sessions by gap, from ONE scan and ONE hash aggregate over raw events.
     #
@@ -187,7 +200,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
     g = scan.groupBy(*gkeys).agg(*gaggs)
     rows = sessions.sessionize_groups(g, b.session_gap, with_channel=with_channel)
 
-    rows = rows.withColumns({"year": dims.year_code("event_date"), "month": dims.month_code("event_date")})
+    rows = rows.withColumns({"year": F.year("event_date"), "month": F.month("event_date")})
     pre, post = [], []
     for sp in specs:
         p = F.col("event_date").between(F.lit(sp.date_range.start), F.lit(sp.date_range.end))
@@ -204,7 +217,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
         if others:
             keep_rows.append(F.col("report").isin(*others))
         rows = rows.where(reduce(lambda x, y: x | y, keep_rows))
-    return metrics.aggregate_levels(rows, keys, all_metrics, rows_are_sessions=False, approx_users=approx)
+    return _codes(metrics.aggregate_levels(rows, keys, all_metrics, rows_are_sessions=False, approx_users=approx))
 
 
 def run_report(spark: SparkSession, spec: ReportSpec, registry: Mapping[str, Binding] | Binding,

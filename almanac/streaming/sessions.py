@@ -53,30 +53,31 @@ def session_rows(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30)
             F.max(F.col("engaged").cast("int")).alias("engaged")]
     if not events.isStreaming:
         g = (with_bucket(ev, gap)
-             .withColumns({"year": dims.year_code("ts"), "month": dims.month_code("ts"),
-                           "revenue_cents": cents("revenue")})
+             .withColumns({"year": F.year("ts"), "month": F.month("ts"), "revenue_cents": cents("revenue")})
              .groupBy("user_id", "bucket", "year", "month")
              .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
                   F.count(F.lit(1)).alias("n_events"),
                   F.max(F.col("engaged").cast("int")).alias("engaged"),
                   F.sum("revenue_cents").alias("revenue_cents")))
         rows = sessionize_groups(g, gap)
-        return rows.groupBy("user_id", "session_id", "year", "month").agg(
+        out = rows.groupBy("user_id", "session_id", "year", "month").agg(
             F.sum("n_events").alias("n_events"), F.min("first_ts").alias("session_start"),
             F.max("last_ts").alias("session_end"), F.max("engaged").alias("engaged"),
             F.sum("revenue_cents").alias("revenue_cents")).drop("session_id")
+        return out.withColumns({"year": dims.code("year", 4), "month": dims.code("month", 2)})
     # Watermarks and session windows need an instant; a timestamp_ntz wall
     # clock is read as UTC (zone-free, so gaps stay exact).
     ev = ev.withColumns({"event_time": F.timestamp_micros(epoch_micros(ev)),
-                         "year": dims.year_code("ts"), "month": dims.month_code("ts")})
+                         "year": F.year("ts"), "month": F.month("ts")})
     if watermark:
         ev = ev.withWatermark("event_time", watermark)
     g = ev.groupBy("user_id", "year", "month", F.session_window("event_time", _interval(gap)).alias("s"))
-    return g.agg(
+    out = g.agg(
         F.count(F.lit(1)).alias("n_events"),
         *aggs,
         F.sum(cents("revenue")).alias("revenue_cents"),
     ).drop("s")
+    return out.withColumns({"year": dims.code("year", 4), "month": dims.code("month", 2)})
 
 
 def read_event_stream(spark: SparkSession, folder: str, schema, file_glob: str | None = None,
