@@ -40,11 +40,23 @@ from pyspark.sql.types import TimestampNTZType
 SESSION_MAP_COLUMNS = ("user_id", "bucket", "session_id", "session_start", "first_ts", "last_ts", "n_events")
 
 
+# Session zone names that mean UTC.
+UTC_ZONES = {"UTC", "GMT", "Z", "+00:00", "UCT", "Universal", "Zulu",
+             "Etc/UTC", "Etc/GMT", "Etc/UCT", "Etc/Universal", "Etc/Zulu"}
+
+
 def epoch_micros(df: DataFrame, ts: str = "ts") -> Column:
     """Microseconds since 1970-01-01 without depending on the session zone:
-    wall-clock micros for ``timestamp_ntz``, instant micros for ``timestamp``."""
+    wall-clock micros for ``timestamp_ntz``, instant micros for ``timestamp``.
+
+    For ``timestamp_ntz`` under a UTC session the cast to ``timestamp`` is
+    the identity on the stored micros (Spark fixes the zone into the cast
+    when the plan is analysed), so the cheap ``unix_micros`` form is exact;
+    under any other zone the value is built from the fields."""
     c = F.col(ts)
     if isinstance(df.schema[ts].dataType, TimestampNTZType):
+        if df.sparkSession.conf.get("spark.sql.session.timeZone", None) in UTC_ZONES:
+            return F.unix_micros(c.cast("timestamp"))
         # Built from fields: any cast of timestamp_ntz to timestamp (which
         # unix_micros and timestampdiff do) goes through the session zone.
         day = F.unix_date(c.cast("date")).cast("long")

@@ -117,3 +117,18 @@ def test_report_without_channel_reads_only_the_range(spark):
     df = R.app_report(spark, events_registry(SF01), DateRange("2024-01-10", "2024-01-20"))
     plan = plan_of(df)
     assert "GreaterThanOrEqual(ts,2024-01-10T00:00)" in plan and "LessThan(ts,2024-01-21T00:00)" in plan
+
+
+def test_epoch_micros_both_forms_exact(spark):
+    vals = ["2018-11-04 00:30:00.123456", "1969-12-31 23:59:59.5", "2024-03-10 02:30:00", "0999-01-01 00:00:00.000001"]
+    df = spark.createDataFrame([(dt.datetime.fromisoformat(v),) for v in vals], "ts timestamp_ntz")
+    e = dt.datetime(1970, 1, 1)
+    want = [(dt.datetime.fromisoformat(v) - e) // dt.timedelta(microseconds=1) for v in vals]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):          # fast form, field form
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r.us for r in df.select(X.epoch_micros(df).alias("us")).collect()]
+            assert got == want, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
