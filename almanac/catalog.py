@@ -235,7 +235,7 @@ from .operators.metrics import cents, from_cents  # noqa: E402
 from .plans import bundle as BU  # noqa: E402
 from .plans.spec import AnyOf, Exact, ReportSpec  # noqa: E402
 from .sources import typed  # noqa: E402
-from .sources.properties import ECOMMERCE, PHARMA  # noqa: E402
+from .sources.properties import ECOMMERCE, SECOND  # noqa: E402
 
 
 def _orders_rows(spark, d, cols, rng: DateRange = ORDERS_SPAN, flt=None):
@@ -662,7 +662,7 @@ SELECT platform, channel, CAST(count(*) AS BIGINT) AS n_rows,
 FROM ob GROUP BY 1, 2""")
 def q_property_rows(spark, d):
     """The second property (by key) and its contract columns, whole table."""
-    ev = _orders(d)[PHARMA].frame(spark, {"user_id", "platform", "channel", "engaged", "revenue"})
+    ev = _orders(d)[SECOND].frame(spark, {"user_id", "platform", "channel", "engaged", "revenue"})
     return ev.groupBy("platform", "channel").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("users"),
         F.sum(F.col("engaged").cast("long")).alias("engaged_rows"),

@@ -28,7 +28,7 @@ from ..functions import dims
 from ..operators import filters, metrics, sessions
 from ..operators.scaffold import complete_months
 from ..sources.bindings import Binding
-from ..sources.properties import ECOMMERCE, PHARMA
+from ..sources.properties import ECOMMERCE, SECOND
 from .spec import DIMENSIONS, AnyOf, DateRange, Exact, ReportSpec, filter_fields
 
 # Filter fields whose value belongs to the session rather than the event.
@@ -296,7 +296,7 @@ def app_spec(rng: DateRange, prop: str = ECOMMERCE, **kw) -> ReportSpec:
     return ReportSpec(prop, ("activeUsers", "sessions", "totalRevenue"), rng, filter=APP_FILTER, name="app", **kw)
 
 
-def organic_spec(rng: DateRange, prop: str = PHARMA, **kw) -> ReportSpec:
+def organic_spec(rng: DateRange, prop: str = SECOND, **kw) -> ReportSpec:
     return ReportSpec(prop, ("sessions", "activeUsers", "engagementRate", "totalRevenue"), rng,
                       filter=ORGANIC_FILTER, name="organic", **kw)
 

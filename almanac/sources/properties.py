@@ -8,7 +8,7 @@ from .bindings import Binding, events_binding, orders_binding
 
 # The property keys the ready-made reports read.
 ECOMMERCE = "ecommerce"  # web and app reports
-PHARMA = "pharma"  # organic-traffic report (second property)
+SECOND = "second"  # organic-traffic report (a second property)
 EVENTS = "events"
 
 
@@ -27,13 +27,13 @@ def default_registry(data_dir: str) -> PropertyRegistry:
     the organic property read the orders binding (one shared Binding object,
     so a bundle scans it once); ``events`` is the sessionized events table."""
     orders = orders_binding(data_dir)
-    return PropertyRegistry({ECOMMERCE: orders, PHARMA: orders, EVENTS: events_binding(data_dir)})
+    return PropertyRegistry({ECOMMERCE: orders, SECOND: orders, EVENTS: events_binding(data_dir)})
 
 
 def events_registry(data_dir: str) -> PropertyRegistry:
     """All properties on the events binding (sessions made by gap)."""
     ev = events_binding(data_dir)
-    return PropertyRegistry({ECOMMERCE: ev, PHARMA: ev, EVENTS: ev})
+    return PropertyRegistry({ECOMMERCE: ev, SECOND: ev, EVENTS: ev})
 
 
 def registry(mapping: Mapping[str, Binding]) -> PropertyRegistry:

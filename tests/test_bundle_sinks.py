@@ -50,7 +50,7 @@ def test_empty_and_failing_reports(spark):
     assert BU.is_empty(empty.reports["web"])
     with pytest.raises(BU.NoReportData):
         empty.non_empty()                                         # V3
-    partial = PropertyRegistry({"ecommerce": reg["ecommerce"]})   # no 'pharma' → organic fails
+    partial = PropertyRegistry({"ecommerce": reg["ecommerce"]})   # no 'second' → organic fails
     b = BU.run_bundle(spark, partial, Y97)                        # V5: skip
     assert set(b.reports) == {"web", "app"} and "organic" in b.errors
     with pytest.raises(KeyError):
