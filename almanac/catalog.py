@@ -245,9 +245,10 @@ def _orders_rows(spark, d, cols, rng: DateRange = ORDERS_SPAN, flt=None):
     ev = FL.where_date_range(ev, rng)
     if "channel" in ev.columns:
         ev = ev.withColumnRenamed("channel", "session_channel")
+    ev = ev.withColumns({"year": F.year("ts"), "month": F.month("ts")})
     leaf = R._source_leaf(b, ev.columns)
     ev = FL.where_filter(ev, flt, R._resolver(), leaf)
-    return ev.withColumns({"year": D.year_code("ts"), "month": D.month_code("ts")})
+    return ev.withColumns({"year": D.code("year", 4), "month": D.code("month", 2)})
 
 
 RANGE_1996 = DateRange("1996-03-01", "1997-02-28")
