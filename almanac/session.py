@@ -21,6 +21,22 @@ DEFAULTS = {
 }
 
 
+# Starting points for a large cluster scanning ~100 TB (set at submit time;
+# the library does not set them):
+# * spark.sql.files.maxPartitionBytes 512m — a split counts file bytes, and the
+#   reports read 3–6 columns, so a task reads far less than the split; fewer,
+#   larger splits cut scheduling overhead (100 TB / 512 MB ≈ 200k tasks).
+# * spark.sql.shuffle.partitions 2–3 × total cores, with AQE coalescing and
+#   spark.sql.adaptive.advisoryPartitionSizeInBytes 128m; every shuffle here
+#   carries partial aggregates, so the volumes are a fraction of the scan.
+# * spark.sql.adaptive.skewJoin.enabled true (also the default) for the
+#   event-level session join and the lookup join.
+CLUSTER_HINTS = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
+
 def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "almanac",
               extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
