@@ -141,8 +141,10 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
         rows = rows.where(reduce(lambda x, y: x | y, [p for _, p in preds]))
         if len(preds) == 1:
             return rows.withColumn("report", F.lit(preds[0][0]))
-        tags = F.filter(F.array(*[F.when(p, F.lit(n)) for n, p in preds]), lambda t: t.isNotNull())
-        return rows.withColumn("report", F.explode(tags))
+        # explode the array of CASE WHENs and drop the NULL tags: unlike a
+        # filter() lambda on the array, this stays in whole-stage codegen
+        tags = F.array(*[F.when(p, F.lit(n)) for n, p in preds])
+        return rows.withColumn("report", F.explode(tags)).where(F.col("report").isNotNull())
 
     if not make_sessions:
         rows = ev.withColumnRenamed("channel", "session_channel") if "channel" in cols else ev

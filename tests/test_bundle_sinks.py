@@ -100,3 +100,22 @@ def test_nan_revenue_counts_as_none(spark):
                            (2, "2025-01-11 10:00:00", 8, 2, "web", "Other", True, 2.5)])
     rows = R.web_report(spark, binding_of(df), DateRange("2025-01-01", "2025-12-31"), prop="x").collect()
     assert [(r.sessions, r.revenue) for r in rows] == [(2, 2.5)]
+
+
+def test_hot_path_stays_in_whole_stage_codegen(spark):
+    """Tagging, aggregates and projections of the shared scan compile into
+    whole-stage codegen; only exchanges, windows and scans stand outside."""
+    import re
+    from almanac.sources.properties import events_registry
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")   # static plan shows the codegen stages
+    try:
+        for df in (BU.run_bundle(spark, default_registry(SF01), Y97, persist=False).long,
+                   BU.run_bundle(spark, events_registry(SF01), DateRange("2024-01-01", "2024-12-31"),
+                                 persist=False).long):
+            tree = df._jdf.queryExecution().executedPlan().treeString()
+            outside = {m.group(2) for m in re.finditer(r"^[\s:+\-]*(\*\(\d+\) )?(\w+)", tree, re.M)
+                       if m.group(1) is None}
+            assert outside <= {"Exchange", "BroadcastExchange", "Window", "FileScan", "ReusedExchange"}, outside
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
