@@ -220,10 +220,13 @@ def table_binding(
     session_ids: bool = True,
     rows_are_sessions: bool = False,
     session_gap: dt.timedelta = dt.timedelta(minutes=30),
+    partition_date: str | None = None,
     **exprs: str | Column,
 ) -> Binding:
     """A binding for any table: ``exprs`` maps contract names to a column name
-    or a Column over the loaded table; missing contract columns become NULL."""
+    or a Column over the loaded table; missing contract columns become NULL.
+    ``partition_date`` names a date partition column of the table (the day
+    of ``ts``): report date ranges then prune partitions."""
 
     def build(spark: SparkSession, need: frozenset) -> DataFrame:
         df = load(spark)
@@ -237,7 +240,10 @@ def table_binding(
             elif isinstance(e, str):
                 e = F.col(e)
             out.append(e.alias(c))
+        if partition_date:
+            out.append(F.col(partition_date))
         return df.select(*out)
 
     return Binding(name=name, build=build, session_ids=session_ids,
-                   rows_are_sessions=rows_are_sessions, session_gap=session_gap)
+                   rows_are_sessions=rows_are_sessions, session_gap=session_gap,
+                   partition_date=partition_date)

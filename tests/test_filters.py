@@ -144,3 +144,21 @@ def test_generic_binding_pushes_physical_columns(spark):
     plan = _plan(df)
     assert "EqualTo(platform,web)" in plan and "GreaterThanOrEqual(event_time,2025-01-01T00:00)" in plan
     assert "channel" not in plan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_generic_binding_prunes_date_partitions(spark):
+    import re
+    import tempfile
+    from pyspark.sql import functions as F
+    from almanac.sources.bindings import table_binding
+    from almanac.sources.properties import events_registry
+    path = tempfile.mkdtemp(prefix="almanac-daily-") + "/events"
+    ev = events_registry(SF01)["events"].frame(spark)
+    ev.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(path)
+    b = table_binding("daily", lambda s: s.read.parquet(path), session_ids=False, partition_date="day",
+                      **{c: c for c in ("event_id", "ts", "user_id", "platform", "channel", "engaged", "revenue")})
+    half = DateRange("2024-01-10", "2024-01-20")
+    for rep in (R.app_report, R.organic_report):
+        df = rep(spark, b, half, prop="x")
+        assert df.collect() == rep(spark, events_registry(SF01), half).collect()
+    assert re.search(r"PartitionFilters: \[[^\]]*day", _plan(R.app_report(spark, b, half, prop="x")))
