@@ -43,14 +43,6 @@ class DateRange:
     def end_exclusive(self) -> dt.date:
         return self.end + dt.timedelta(days=1)
 
-    def months(self) -> list[tuple[str, str]]:
-        """(year, month) codes of every calendar month the range touches."""
-        out, y, m = [], self.start.year, self.start.month
-        while (y, m) <= (self.end.year, self.end.month):
-            out.append((f"{y:04d}", f"{m:02d}"))
-            y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-        return out
-
 
 @dataclass(frozen=True)
 class Exact:

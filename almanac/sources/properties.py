@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from .bindings import Binding, events_binding, orders_binding
+from .bindings import events_binding, orders_binding
 
 # The property keys the ready-made reports read.
 ECOMMERCE = "ecommerce"  # web and app reports
@@ -18,9 +16,6 @@ class PropertyRegistry(dict):
     def __missing__(self, key):
         raise KeyError(f"unknown property {key!r}; registered: {sorted(self)}")
 
-    def resolve(self, key: str) -> Binding:
-        return self[key]
-
 
 def default_registry(data_dir: str) -> PropertyRegistry:
     """Properties over the driver's tables (FIXTURES.md §4).  Both web/app and
@@ -35,6 +30,3 @@ def events_registry(data_dir: str) -> PropertyRegistry:
     ev = events_binding(data_dir)
     return PropertyRegistry({ECOMMERCE: ev, SECOND: ev, EVENTS: ev})
 
-
-def registry(mapping: Mapping[str, Binding]) -> PropertyRegistry:
-    return PropertyRegistry(mapping)
