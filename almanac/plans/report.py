@@ -173,20 +173,19 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
     # depends only on the events between them, which are in the range too;
     # so without a session-scope field the range alone is read.  The
     # session-scope channel comes from the session's first event, which may
-    # lie before the range: then everything up to the range end is read
-    # (later events never change an earlier session).
+    # lie before the range: then the earlier events are read as well, but
+    # only the four columns that place them in sessions (user, ts, event id,
+    # channel) — their metrics are never needed.  Later events never change
+    # an earlier session.
     with_channel = "channel" in cols
     first = min((sp.date_range for sp in specs), key=lambda r: r.start)
     last = max((sp.date_range for sp in specs), key=lambda r: r.end)
     # An event without a user belongs to no session and is not counted.
-    scan = ev.where(filters.before_end(last, ts_type) & F.col("user_id").isNotNull())
-    if not with_channel:
-        scan = scan.where(F.col("ts") >= filters.ts_literal(first.start, ts_type))
+    usable = F.col("user_id").isNotNull()
+    recent = ev.where(usable & filters.date_range_predicate("ts", DateRange(first.start, last.end), ts_type))
     if "_part_date" in ev.columns:
-        scan = scan.where(F.col("_part_date") <= F.lit(last.end))
-        if not with_channel:
-            scan = scan.where(F.col("_part_date") >= F.lit(first.start))
-    scan = sessions.with_bucket(scan, b.session_gap).withColumns({
+        recent = recent.where(F.col("_part_date").between(F.lit(first.start), F.lit(last.end)))
+    recent = sessions.with_bucket(recent, b.session_gap).withColumns({
         "event_date": F.to_date("ts"), "revenue_cents": metrics.cents("revenue")})
     event_fields = sorted(fields - SESSION_FIELDS - set(DIMENSIONS))
     # Event-level filters cannot move below the sessionization (session
@@ -196,10 +195,20 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
              F.max(F.col("engaged").cast("int")).alias("engaged"),
              F.sum("revenue_cents").alias("revenue_cents")]
     if with_channel:
-        scan = scan.withColumn("order_key", sessions._order_key(scan, b.session_gap))
+        recent = recent.withColumn("order_key", sessions._order_key(recent, b.session_gap))
         gaggs.append(F.min("order_key").alias("order_key"))
         gkeys.append("channel")
-    g = scan.groupBy(*gkeys).agg(*gaggs)
+    g = recent.groupBy(*gkeys).agg(*gaggs)
+    if with_channel:
+        older = ev.where(usable & (F.col("ts") < filters.ts_literal(first.start, ts_type)))
+        if "_part_date" in ev.columns:
+            older = older.where(F.col("_part_date") < F.lit(first.start))
+        older = sessions.with_bucket(older.select("user_id", "ts", "event_id", "channel"), b.session_gap)
+        older = older.withColumn("order_key", sessions._order_key(older, b.session_gap))
+        g_old = older.groupBy("user_id", "bucket", "channel").agg(
+            F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.min("order_key").alias("order_key"))
+        # no event_date: these rows place sessions but never pass a report's range
+        g = g.unionByName(g_old, allowMissingColumns=True)
     rows = sessions.sessionize_groups(g, b.session_gap, with_channel=with_channel)
 
     rows = rows.withColumns({"year": F.year("event_date"), "month": F.month("event_date")})

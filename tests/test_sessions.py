@@ -97,18 +97,28 @@ def test_hot_user_is_reduced_before_the_window(spark):
 
 
 def test_sessionized_report_plan_shape(spark):
-    """One scan of the events, no join, no sort aggregate, and exactly three
-    shuffles: the raw-row aggregate, the per-user window, the month total."""
+    """Raw events pass one hash aggregate each — the range with the report's
+    columns, earlier events with the four session columns — then one shuffle
+    by user for the window, and the month total.  No join, no sort aggregate."""
     import re
     from almanac.plans import report as R
     from almanac.plans.spec import DateRange
     df = R.organic_report(spark, events_registry(SF01), DateRange("2024-01-01", "2024-12-31"))
     plan = plan_of(df)
-    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 1
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 2
     assert "Join" not in plan and "SortAggregate" not in plan
     exchanges = re.findall(r"^Arguments: (hashpartitioning\([^)]*\))", plan, re.M)
-    assert len(exchanges) == 3
-    assert re.match(r"hashpartitioning\(user_id#\d+L, \d+\)", exchanges[1])
+    assert len(exchanges) == 4
+    assert sum(bool(re.match(r"hashpartitioning\(user_id#\d+L, \d+\)", e)) for e in exchanges) == 1
+
+
+def test_report_without_channel_is_one_scan(spark):
+    import re
+    from almanac.plans import report as R
+    from almanac.plans.spec import DateRange
+    plan = plan_of(R.app_report(spark, events_registry(SF01), DateRange("2024-01-01", "2024-12-31")))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 1
+    assert "Join" not in plan and "Union" not in plan
 
 
 def test_report_without_channel_reads_only_the_range(spark):
@@ -132,3 +142,29 @@ def test_epoch_micros_both_forms_exact(spark):
             assert got == want, zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_channel_report_on_a_sub_range_uses_earlier_events(spark):
+    """Organic report for 10–20 January: sessions that began before the 10th
+    keep the channel of their first event (read from the earlier events)."""
+    from almanac.plans import report as R
+    from almanac.plans.spec import DateRange
+    reg = events_registry(SF01)
+    rng = DateRange("2024-01-10", "2024-01-20")
+    got = [tuple(r) for r in R.organic_report(spark, reg, rng).collect()]
+    ev = reg["events"].frame(spark)
+    ref = _lag_form(ev)
+    ws = (Window.partitionBy("user_id", "sid").orderBy("ts", "event_id")
+          .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ref = ref.withColumn("sch", F.first("channel", ignorenulls=True).over(ws))
+    ref = ref.where((F.col("ts") >= "2024-01-10") & (F.col("ts") < "2024-01-21") & (F.col("sch") == "Organic Search"))
+    r = ref.agg(F.countDistinct("user_id", "sid").alias("s"), F.countDistinct("user_id").alias("u"),
+                F.countDistinct(F.when(F.col("engaged"), F.struct("user_id", "sid"))).alias("e"),
+                F.sum(F.floor(F.col("revenue") * 100 + 0.5)).alias("c")).first()
+    pct = (r.e * 20000 + r.s) // (2 * r.s) / 100
+    assert got == [("janeiro", "2024", r.s, r.u, pct, r.c / 100)]
+    # and the plan reads the earlier events with four columns only
+    import re
+    plan = plan_of(R.organic_report(spark, reg, rng))
+    schemas = re.findall(r"^ReadSchema: (.*)$", plan, re.M)
+    assert len(schemas) == 2 and min(s.count(":") for s in schemas) == 4
