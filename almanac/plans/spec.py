@@ -115,3 +115,56 @@ class ReportSpec:
             raise ValueError("a report needs at least one metric")
         if "month" not in self.dimensions or not set(self.dimensions) <= set(DIMENSIONS):
             raise ValueError(f"dimensions must be ('month', 'year') or ('month',), got {self.dimensions}")
+
+    # ------------------------------------------------------------------
+    @classmethod
+    def from_request(cls, request: dict, name: str = "report", **kw) -> "ReportSpec":
+        """A spec from a report request written as plain data, in the shape
+        of a request literal::
+
+            {"property": "properties/ecommerce",
+             "dimensions": [{"name": "month"}, {"name": "year"}],
+             "metrics": [{"name": "activeUsers"}, {"name": "sessions"}],
+             "date_ranges": [{"start_date": "2025-01-01", "end_date": "2025-12-31"}],
+             "dimension_filter": {"or_group": {"expressions": [
+                 {"filter": {"field_name": "platform",
+                             "string_filter": {"match_type": "EXACT", "value": "Android"}}},
+                 ...]}},
+             "order_bys": [{"dimension": {"dimension_name": "year"}},
+                           {"dimension": {"dimension_name": "month"}}]}
+
+        One date range, EXACT string filters, OR groups and ascending orders
+        by year then month are what reports use; anything else is refused
+        with a clear error rather than half-applied.
+        """
+        prop = str(request["property"]).split("/")[-1]
+        dims = tuple(d["name"] for d in request.get("dimensions", []))
+        mets = tuple(m["name"] for m in request.get("metrics", []))
+        ranges = request.get("date_ranges", [])
+        if len(ranges) != 1:
+            raise ValueError(f"exactly one date range is supported, got {len(ranges)}")
+        rng = DateRange(ranges[0]["start_date"], ranges[0]["end_date"])
+        flt = _filter_from_request(request["dimension_filter"]) if request.get("dimension_filter") else None
+        orders = [o.get("dimension", {}).get("dimension_name") for o in request.get("order_bys", [])]
+        if any(o.get("desc") for o in request.get("order_bys", [])) or \
+                orders not in ([], ["year", "month"], ["month"]):
+            raise ValueError(f"reports are ordered by year then month (ascending), got {orders}")
+        return cls(prop, mets, rng, dimensions=tuple(d for d in DIMENSIONS if d in dims) or dims,
+                   filter=flt, name=name, **kw)
+
+
+def _filter_from_request(expr: dict) -> FilterExpr:
+    """Filter expression in request shape → Exact / AnyOf."""
+    if "filter" in expr:
+        f = expr["filter"]
+        sf = f.get("string_filter")
+        if sf is None:
+            raise ValueError(f"only string filters are supported: {f}")
+        match = str(sf.get("match_type", "EXACT")).upper().split(".")[-1]
+        if match != "EXACT":
+            raise ValueError(f"only EXACT string matches are supported, got {match}")
+        return Exact(f["field_name"], sf["value"], bool(sf.get("case_sensitive", True)))
+    if "or_group" in expr:
+        return AnyOf(*[_filter_from_request(e) for e in expr["or_group"]["expressions"]])
+    raise ValueError(f"unsupported filter expression (EXACT leaves and OR groups only): {sorted(expr)}")
+

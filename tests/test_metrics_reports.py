@@ -157,3 +157,27 @@ def test_approx_users_close_to_exact_and_one_level_less(spark):
     fresh_approx = R.run_report(spark, ReportSpec("ecommerce", ("activeUsers", "sessions"), rng,
                                                   approx_users=0.01), reg)
     assert shuffles(fresh_exact) == 2 and shuffles(fresh_approx) == 1
+
+
+def test_spec_from_request_literal(spark):
+    req = {
+        "property": "properties/ecommerce",
+        "dimensions": [{"name": "month"}, {"name": "year"}],
+        "metrics": [{"name": "activeUsers"}, {"name": "sessions"}, {"name": "totalRevenue"}],
+        "date_ranges": [{"start_date": "1997-01-01", "end_date": "1997-12-31"}],
+        "dimension_filter": {"or_group": {"expressions": [
+            {"filter": {"field_name": "platform", "string_filter": {"match_type": "EXACT", "value": "Android"}}},
+            {"filter": {"field_name": "platform", "string_filter": {"match_type": "EXACT", "value": "iOS"}}},
+        ]}},
+        "order_bys": [{"dimension": {"dimension_name": "year"}}, {"dimension": {"dimension_name": "month"}}],
+    }
+    spec = ReportSpec.from_request(req, name="app")
+    assert spec == R.app_spec(DateRange("1997-01-01", "1997-12-31"))
+    reg = default_registry(SF01)
+    assert R.run_report(spark, spec, reg).collect() == R.app_report(spark, reg, DateRange("1997-01-01", "1997-12-31")).collect()
+    bad = dict(req, dimension_filter={"filter": {"field_name": "platform",
+                                                 "string_filter": {"match_type": "CONTAINS", "value": "And"}}})
+    with pytest.raises(ValueError, match="EXACT"):
+        ReportSpec.from_request(bad)
+    with pytest.raises(ValueError, match="one date range"):
+        ReportSpec.from_request(dict(req, date_ranges=[]))
