@@ -3,6 +3,7 @@
     python -m almanac --data DIR --year 2025 --out OUT [--format parquet|csv]
     python -m almanac --data DIR --start 2025-01-01 --end 2025-06-30 --out OUT
     python -m almanac --data DIR --year 2025 --out OUT --app-year
+    python -m almanac --data DIR --out OUT --request requests.json
 
 The default run is the bundle (web, app and organic reports from shared
 scans); ``--app-year`` runs the month-only app report with yearly totals.
@@ -75,7 +76,10 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> str
     p.add_argument("--prefix", default="monthly_reports")
     p.add_argument("--events", action="store_true", help="read the events table (sessions by gap)")
     p.add_argument("--app-year", action="store_true", help="month-only app report with yearly totals")
+    p.add_argument("--request", help="JSON file with report requests ({name: request}); runs those instead")
     a = p.parse_args(argv)
+    if a.request:
+        return _run_requests(a, spark)
     rng = _range(a)
     spark = spark or _session()
     reg = events_registry(a.data) if a.events else default_registry(a.data)
@@ -108,5 +112,24 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> str
     return path
 
 
+def _run_requests(a, spark: SparkSession | None) -> str:
+    """Each named request (plain-data request literal) becomes a report."""
+    import json
+
+    from .plans.spec import ReportSpec
+
+    with open(a.request) as f:
+        requests = json.load(f)
+    spark = spark or _session()
+    reg = events_registry(a.data) if a.events else default_registry(a.data)
+    reports = {}
+    for name, req in requests.items():
+        spec = ReportSpec.from_request(req, name=name)
+        reports[name] = R.run_report(spark, spec, reg, month_names="null" if "year" in spec.dimensions else "keep")
+    path = sinks.write_reports(reports, a.out, a.prefix, a.year or "requests", a.format)
+    print(f"written: {path}")
+    return path
+
+
 if __name__ == "__main__":
     run()

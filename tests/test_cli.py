@@ -33,3 +33,21 @@ def test_empty_period_writes_nothing(spark):
     with pytest.raises(SystemExit):
         run(["--data", SF001, "--year", "2030", "--out", out], spark=spark)
     assert os.listdir(out) == []
+
+
+def test_request_file(spark):
+    import json
+    req = {"android_only": {
+        "property": "properties/ecommerce",
+        "dimensions": [{"name": "month"}, {"name": "year"}],
+        "metrics": [{"name": "sessions"}, {"name": "activeUsers"}],
+        "date_ranges": [{"start_date": "1997-01-01", "end_date": "1997-12-31"}],
+        "dimension_filter": {"filter": {"field_name": "platform",
+                                        "string_filter": {"match_type": "EXACT", "value": "Android"}}}}}
+    d = tempfile.mkdtemp(prefix="almanac-cli-")
+    with open(os.path.join(d, "req.json"), "w") as f:
+        json.dump(req, f)
+    path = run(["--data", SF001, "--out", os.path.join(d, "out"), "--request", os.path.join(d, "req.json")],
+               spark=spark)
+    back = spark.read.parquet(os.path.join(path, "android_only"))
+    assert back.columns == ["month", "year", "sessions", "active_users"] and back.count() == 12
