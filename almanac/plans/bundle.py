@@ -79,6 +79,9 @@ class Bundle:
     def non_empty(self) -> dict[str, DataFrame]:
         """V2: the reports with rows; V3: raise when there are none."""
         names = self.present()
+        for n in self.reports:
+            if n not in names:
+                log.warning("report %s has no rows for the requested range and filters", n)
         if not names:
             raise NoReportData("no report has rows for the requested range and filters")
         return {n: self.reports[n] for n in names}

@@ -44,12 +44,13 @@ def test_bundle_events_one_session_map(spark):
     assert got["app"].active_users == R.app_report(spark, reg, rng).first().active_users
 
 
-def test_empty_and_failing_reports(spark):
+def test_empty_and_failing_reports(spark, caplog):
     reg = default_registry(SF01)
     empty = BU.run_bundle(spark, reg, DateRange("2030-01-01", "2030-12-31"))
     assert BU.is_empty(empty.reports["web"])
     with pytest.raises(BU.NoReportData):
         empty.non_empty()                                         # V3
+    assert "report web has no rows" in caplog.text                # V1 warning
     partial = PropertyRegistry({"ecommerce": reg["ecommerce"]})   # no 'second' → organic fails
     b = BU.run_bundle(spark, partial, Y97)                        # V5: skip
     assert set(b.reports) == {"web", "app"} and "organic" in b.errors
