@@ -15,11 +15,23 @@ from functools import lru_cache
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .functions import dims as D
+from .functions import fmt as T
 from .functions.dims import MONTH_NAMES_PT
+from .functions.labels import HEADINGS, headings, labelled
+from .operators import filters as FL
+from .operators import sessions as X
+from .operators import totals as TO
+from .operators.metrics import cents, from_cents
+from .plans import bundle as BU
 from .plans import report as R
-from .plans.spec import DateRange
-from .sources.properties import default_registry, events_registry
+from .plans.spec import AnyOf, DateRange, Exact, ReportSpec
+from .sources import typed
+from .sources.bindings import events_contract
+from .sources.properties import ECOMMERCE, SECOND, default_registry, events_registry
+from .streaming import sessions as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,20 +235,6 @@ def q_web_report_events(spark, d):
 # Building blocks on the orders binding
 # --------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from .functions import dims as D  # noqa: E402
-from .functions import fmt as T  # noqa: E402
-from .functions.labels import HEADINGS, headings, labelled  # noqa: E402
-from .operators import filters as FL  # noqa: E402
-from .operators import sessions as X  # noqa: E402
-from .operators import totals as TO  # noqa: E402
-from .operators.metrics import cents, from_cents  # noqa: E402
-from .plans import bundle as BU  # noqa: E402
-from .plans.spec import AnyOf, Exact, ReportSpec  # noqa: E402
-from .sources import typed  # noqa: E402
-from .sources.properties import ECOMMERCE, SECOND  # noqa: E402
-
 
 def _orders_rows(spark, d, cols, rng: DateRange = ORDERS_SPAN, flt=None):
     """Contract rows of the orders property in a range, with year/month codes."""
@@ -760,9 +758,6 @@ def q_bundle_long_events(spark, d):
 # streaming run is in the tests)
 # --------------------------------------------------------------------------
 
-from .sources.bindings import events_contract  # noqa: E402
-from .streaming import sessions as ST  # noqa: E402
-
 
 @register("session_rows", f"""
 WITH {EVENTS_CTE}
