@@ -1,7 +1,9 @@
 """V4: calendar completion — every month of the range, empty ones with zeros.
 
-The month table has one row per calendar month of the range, so its size is
-bounded by the range, not by the data; broadcasting it is safe.
+Both sides of the join are bounded by the request, not by the data: the
+month table has one row per calendar month of the range, the report at most
+one row per month of the range.  The report is the broadcast side (a left
+outer join keeps the streamed month table whole).
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ def complete_months(spark: SparkSession, report: DataFrame, rng: DateRange,
     """Left-join the report onto the month table; counts and revenue of an
     empty month become 0, a rate stays NULL (0 of 0 sessions)."""
     keys = list(keys)
-    cal = F.broadcast(month_table(spark, rng, keys))
-    out = cal.join(report, keys, "left")
+    cal = month_table(spark, rng, keys)
+    out = cal.join(F.broadcast(report), keys, "left")
     fills = {}
     for f in report.schema.fields:
         if f.name in keys or f.name.startswith("engagement"):
