@@ -48,7 +48,11 @@ def binding_of(df, **kw):
     return table_binding("fixture", lambda spark: df, **{c: c for c in df.columns}, **kw)
 
 
-def plan_of(df) -> str:
-    """The formatted physical plan, as ``df.explain("formatted")`` prints it."""
-    jvm = df.sparkSession._jvm
-    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+def plan_of(df, mode: str = "formatted") -> str:
+    """The physical plan as ``df.explain(mode)`` prints it."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
