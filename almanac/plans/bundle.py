@@ -132,6 +132,8 @@ def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRa
     lineage there.
     """
     errors: dict[str, BaseException] = {}
+    if specs is not None and any("year" not in sp.dimensions for sp in specs):
+        raise ValueError("a bundle holds (year, month) reports; run month-only reports with run_report")
     if specs is None:
         specs = []
         for n in names:

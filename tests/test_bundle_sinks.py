@@ -122,3 +122,8 @@ def test_hot_path_stays_in_whole_stage_codegen(spark):
                                "Union"}, outside
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_bundle_rejects_month_only_specs(spark):
+    with pytest.raises(ValueError, match="year, month"):
+        BU.run_bundle(spark, default_registry(SF01), Y97, specs=[R.app_year_spec(Y97)])
