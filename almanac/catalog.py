@@ -360,7 +360,7 @@ _ALL_METRICS_SQL = (
 
 @register("group_month_year", f"""
 WITH {ORDERS_CTE}
-SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, {_ALL_METRICS_SQL}
+SELECT strftime(ts, '%m') AS month, strftime(ts, '%Y') AS year, {_ALL_METRICS_SQL}
 FROM ob WHERE {range_sql(ORDERS_SPAN)} GROUP BY 1, 2""")
 def q_group_month_year(spark, d):
     """Every metric by (year, month) in one request (codes kept)."""
