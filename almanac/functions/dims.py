@@ -108,8 +108,9 @@ def percent_basis_points(numerator: Column | str, denominator: Column | str) ->
 
 def int_div(a: Column, b: Column) -> Column:
     """Integral division of non-negative longs, exact: the dividend is first
-    made a multiple of the divisor, so the division has no remainder."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    made a multiple of the divisor, so the quotient is a whole number and
+    ``rint`` removes any rounding of the double division."""
+    return F.rint((a - F.pmod(a, b)) / b).cast("long")
 
 
 def _col(c: Column | str) -> Column:

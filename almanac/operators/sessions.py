@@ -74,10 +74,13 @@ def gap_micros(gap: dt.timedelta) -> int:
 
 
 def bucket_of(df: DataFrame, gap: dt.timedelta, ts: str = "ts") -> Column:
-    """``floor(micros / gap)`` in exact integer arithmetic (works before 1970)."""
+    """``floor(micros / gap)``, exact (also before 1970): the dividend is made
+    a multiple of the gap first, so the quotient is a whole number and
+    ``rint`` removes any rounding of the double division (micros pass 2^53
+    after the year 2255)."""
     us = epoch_micros(df, ts)
     g = F.lit(gap_micros(gap))
-    return ((us - F.pmod(us, g)) / g).cast("long")
+    return F.rint((us - F.pmod(us, g)) / g).cast("long")
 
 
 def _gap_interval(gap: dt.timedelta) -> Column:

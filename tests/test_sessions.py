@@ -168,3 +168,14 @@ def test_channel_report_on_a_sub_range_uses_earlier_events(spark):
     plan = plan_of(R.organic_report(spark, reg, rng))
     schemas = re.findall(r"^ReadSchema: (.*)$", plan, re.M)
     assert len(schemas) == 2 and min(s.count(":") for s in schemas) == 4
+
+
+def test_buckets_exact_far_from_epoch(spark):
+    """Bucket numbers stay exact where micros exceed 2^53 (after 2255)."""
+    vals = ["9999-12-31 23:59:59.999999", "5000-06-15 12:00:00", "0001-01-01 00:00:00", "2024-01-01 00:30:00"]
+    df = spark.createDataFrame([(dt.datetime.fromisoformat(v),) for v in vals], "ts timestamp_ntz")
+    gap = dt.timedelta(minutes=30)
+    got = [r.b for r in df.select(X.bucket_of(df, gap).alias("b")).collect()]
+    e = dt.datetime(1970, 1, 1)
+    want = [((dt.datetime.fromisoformat(v) - e) // dt.timedelta(microseconds=1)) // 1_800_000_000 for v in vals]
+    assert got == want
