@@ -102,3 +102,24 @@ def test_report_sessions_equal_lag_form(spark, rows, gap_min, engaged_mod):
         F.countDistinct(F.when(F.col("engaged"), F.struct("user_id", "sid"))).alias("e"))
     want = sorted((r.year, r.month, r.s, r.u, r.e / r.s) for r in ref.collect())
     assert got == want
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(
+    st.floats(min_value=-1e12, max_value=1e12, allow_nan=False, allow_infinity=False),
+    st.integers(-10**9, 10**9).map(lambda c: c / 100),            # whole cents
+    st.integers(-10**6, 10**6).map(lambda c: c / 1000 + 0.0005),   # near ties at the cent
+    st.sampled_from([0.0, -0.0, 0.125, 2.675, 1.005, 1234567.895, -1234.5, 0.5, 1.5, 2.5])),
+    min_size=40, max_size=60))
+def test_number_formats_match_python(spark, values):
+    from almanac.functions import fmt as T
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    rows = df.select("i", T.int_br("x").alias("a"), T.money_br("x").alias("b"), T.percent("x").alias("c"),
+                     T.int_us("x").alias("d"), T.money_us("x").alias("e")).collect()
+    for r in rows:
+        v = values[r.i]
+        assert r.d == f"{v:,.0f}", v
+        assert r.a == f"{v:,.0f}".replace(",", "."), v
+        assert r.e == "R$ " + f"{v:,.2f}", v
+        assert r.b == "R$ " + f"{v:,.2f}".replace(",", "X").replace(".", ",").replace("X", "."), v
+        assert r.c == f"{v:.2f}%", v
