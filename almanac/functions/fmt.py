@@ -103,7 +103,9 @@ def py_str_length(c: Column, dtype) -> Column:
     between 1e-3 and 1e7; outside it Spark writes ``1.23456789E7`` where
     Python writes ``12345678.9`` (fixed notation from 1e-4 up to 1e16, then
     ``1.5e+16`` with at least two exponent digits).  The length is rebuilt
-    from the mantissa digits and the exponent.
+    from the mantissa digits and the exponent.  Exact for |x| < 1e16 (checked
+    on random values); above that the JVM's digit string is sometimes one
+    digit longer than Python's shortest form.
     """
     s = c.cast("string")
     if not isinstance(dtype, (DoubleType, FloatType)):
