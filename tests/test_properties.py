@@ -250,3 +250,30 @@ def test_random_event_specs_match_sql(spark, spec):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert C.rows_of(df.columns, got) == C.rows_of(dcols, res.fetchall())
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(picked=st.lists(st.tuples(specs(), event_specs()), min_size=2, max_size=3), on_events=st.booleans())
+def test_random_bundles_equal_separate_reports(spark, picked, on_events):
+    """A bundle of random (possibly overlapping) month+year specs over one
+    binding — one shared scan — gives each report exactly as it runs alone."""
+    import dataclasses
+    from almanac.plans import bundle as BU
+    from almanac.plans import report as R
+    from almanac.sources.properties import default_registry, events_registry
+    from conftest import SF01
+    reg = events_registry(SF01) if on_events else default_registry(SF01)
+    chosen = [(ev if on_events else o) for o, ev in picked]
+    specs_ = [dataclasses.replace(sp, name=f"r{i}", dimensions=("month", "year"), property="ecommerce")
+              for i, sp in enumerate(chosen)]
+    b = BU.run_bundle(spark, reg, specs_[0].date_range, specs=specs_, persist=False)
+    long = {(r.report, r.year, r.month): r for r in b.long.collect()}
+    for sp in specs_:
+        alone = R.run_report(spark, sp, reg, rate_as_percent=True).collect()
+        assert len(alone) == sum(1 for k in long if k[0] == sp.name)
+        for r in alone:
+            row = long[(sp.name, r.year, r.month)]
+            for c in ("sessions", "active_users", "engagement_pct", "revenue"):
+                if c in r.asDict():
+                    assert row[c] == r[c], (sp, c)
+
