@@ -76,6 +76,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> str
     p.add_argument("--prefix", default="monthly_reports")
     p.add_argument("--events", action="store_true", help="read the events table (sessions by gap)")
     p.add_argument("--app-year", action="store_true", help="month-only app report with yearly totals")
+    p.add_argument("--fill-months", action="store_true", help="list every month of the range, empty ones as 0")
     p.add_argument("--request", help="JSON file with report requests ({name: request}); runs those instead")
     a = p.parse_args(argv)
     if a.request:
@@ -86,7 +87,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> str
     label = str(a.year) if a.year else f"{rng.start}_{rng.end}"
 
     if a.app_year:
-        rep = R.app_year_report(spark, reg, rng, year_label=str(a.year) if a.year else None)
+        rep = R.app_year_report(spark, reg, rng, year_label=str(a.year) if a.year else None,
+                                fill_months=a.fill_months)
         path = sinks.write_reports({"app_year": rep}, a.out, a.prefix + "_app", label, a.format)
         t = TO.app_year_totals(rep).first()
         print(f"written: {path}")
@@ -94,7 +96,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> str
               f"  revenue: {t.revenue_total_display}")
         return path
 
-    bundle = BU.run_bundle(spark, reg, rng)
+    bundle = BU.run_bundle(spark, reg, rng, fill_months=a.fill_months)
     try:
         path = sinks.write_bundle(bundle, a.out, a.prefix, label, a.format)
     except BU.NoReportData:

@@ -43,3 +43,19 @@ def complete_months(spark: SparkSession, report: DataFrame, rng: DateRange,
         zero = F.lit(0).cast(f.dataType) if isinstance(f.dataType, LongType) else F.lit(0.0).cast(f.dataType)
         fills[f.name] = F.coalesce(F.col(f.name), zero)
     return out.withColumns(fills).select(*report.columns)
+
+
+def complete_report_months(spark: SparkSession, counts: DataFrame, rng: DateRange,
+                           reports: Sequence[str]) -> DataFrame:
+    """V4 for several reports at once: every (report, year, month) of the
+    range, counts of an empty month 0.  The scaffold explodes the report
+    names onto each calendar month (no cross join); the counts, at most one
+    row per report and month of the range, are the broadcast side."""
+    cal = month_table(spark, rng).withColumn(
+        "report", F.explode(F.array(*[F.lit(n) for n in reports])))
+    keys = ["report", "year", "month"]
+    out = cal.join(F.broadcast(counts), keys, "left")
+    fills = {f.name: F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType))
+             for f in counts.schema.fields if f.name not in keys}
+    return out.withColumns(fills).select(*counts.columns)
+

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dims
 from ..operators.metrics import from_cents
+from ..operators.scaffold import complete_report_months
 from ..session import checkpoint_dir
 from ..sources.bindings import Binding
 from . import report as R
@@ -118,13 +119,16 @@ def _long_from_counts(counts: DataFrame, specs: Sequence[ReportSpec]) -> DataFra
 def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRange,
                names: Sequence[str] = ("web", "app", "organic"), on_error: str = "skip",
                persist: bool = True, specs: Sequence[ReportSpec] | None = None,
-               checkpoint: bool = False) -> Bundle:
+               checkpoint: bool = False, fill_months: bool = False) -> Bundle:
     """Run the reports together.
 
     ``on_error="skip"`` drops a report that cannot be planned (unknown
     property, bad spec) and keeps the others (V5); ``"raise"`` re-raises.
     Reports are grouped by binding; each group is one shared scan.
 
+    ``fill_months`` lists every month of ``rng`` for every report, empty
+    months with zero counts (V4).
+
     The long table is reused by every report frame, the presence checks and
     the sinks.  ``persist`` keeps it on the executors (recomputed from
     lineage if one is lost); ``checkpoint`` instead writes it once to the
@@ -161,6 +165,8 @@ def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRa
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p, allowMissingColumns=True)
+    if fill_months:
+        counts = complete_report_months(spark, counts, rng, [sp.name for sp in kept])
     long = _long_from_counts(counts, kept)
     if checkpoint:
         if not checkpoint_dir(spark):

@@ -127,3 +127,15 @@ def test_hot_path_stays_in_whole_stage_codegen(spark):
 def test_bundle_rejects_month_only_specs(spark):
     with pytest.raises(ValueError, match="year, month"):
         BU.run_bundle(spark, default_registry(SF01), Y97, specs=[R.app_year_spec(Y97)])
+
+
+def test_bundle_fill_months_equals_filled_reports(spark):
+    reg = default_registry(SF01)
+    span = DateRange("1995-01-01", "2001-12-31")        # orders end in 2001-08
+    b = BU.run_bundle(spark, reg, span, fill_months=True, persist=False)
+    for name, spec_of, rate in (("web", R.web_spec, False), ("app", R.app_spec, False),
+                                ("organic", R.organic_spec, True)):
+        alone = R.run_report(spark, spec_of(span, fill_months=True), reg, rate_as_percent=rate).collect()
+        assert b.reports[name].collect() == alone
+        assert len(alone) == 84
+    assert "CartesianProduct" not in plan_of(b.long) and "NestedLoop" not in plan_of(b.long)
