@@ -639,6 +639,34 @@ def q_bundle_tidy(spark, d):
     return BU.run_bundle(spark, _orders(d), ORDERS_SPAN, persist=False).tidy()
 
 
+def _bundle_filled_sql() -> str:
+    code = "strftime(m, '%m')"
+    cal = (f"SELECT strftime(m, '%Y') AS year, {month_name_sql(code)} AS month "
+           "FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS m)")
+    web, app, org = _report_sql("web"), _report_sql("app"), _report_sql("organic")
+    return f"""
+WITH cal AS ({cal}),
+w AS {_sub(web)}, a AS {_sub(app)}, o AS {_sub(org)}
+SELECT 'web' AS report, cal.month, cal.year, coalesce(w.sessions, 0) AS sessions,
+       CAST(NULL AS BIGINT) AS active_users, CAST(NULL AS DOUBLE) AS engagement_pct,
+       coalesce(w.revenue, 0.0) AS revenue
+FROM cal LEFT JOIN w ON cal.year = w.year AND cal.month = w.month
+UNION ALL
+SELECT 'app', cal.month, cal.year, coalesce(a.sessions, 0), coalesce(a.active_users, 0), CAST(NULL AS DOUBLE),
+       coalesce(a.revenue, 0.0)
+FROM cal LEFT JOIN a ON cal.year = a.year AND cal.month = a.month
+UNION ALL
+SELECT 'organic', cal.month, cal.year, coalesce(o.sessions, 0), coalesce(o.active_users, 0), o.engagement_pct,
+       coalesce(o.revenue, 0.0)
+FROM cal LEFT JOIN o ON cal.year = o.year AND cal.month = o.month"""
+
+
+@register("bundle_filled", _bundle_filled_sql())
+def q_bundle_filled(spark, d):
+    """R5 + V4: the bundle with every month of the range for every report."""
+    return BU.run_bundle(spark, _orders(d), ORDERS_SPAN, persist=False, fill_months=True).long
+
+
 @register("bundle_totals", f"""
 SELECT report, CAST(count(*) AS BIGINT) AS months,
        CAST(sum(sessions) AS BIGINT) AS sessions,
