@@ -225,6 +225,24 @@ def q_app_report_events(spark, d):
     return R.app_report(spark, _events(d), EVENTS_SPAN)
 
 
+@register("app_year_report_events", f"""
+WITH {EVENTS_CTE},
+g AS (
+  SELECT strftime(ts, '%m') AS month,
+         CAST(count(DISTINCT user_id) AS BIGINT) AS app_users_total,
+         CAST(count(DISTINCT skey) AS BIGINT) AS app_sessions_total,
+         {REVENUE_SQL} AS app_revenue_total
+  FROM eb WHERE {range_sql(EVENTS_SPAN)} AND platform IN ('Android', 'iOS')
+  GROUP BY 1
+)
+SELECT {month_name_sql('month', keep=True)} AS month, '2024' AS year,
+       app_users_total, app_sessions_total, app_revenue_total
+FROM g""")
+def q_app_year_report_events(spark, d):
+    """R4 on the sessionized events: month-only grouping, constant year."""
+    return R.app_year_report(spark, _events(d), EVENTS_SPAN)
+
+
 @register("web_report_events", events_report_sql(
     f"CAST(count(DISTINCT skey) AS BIGINT) AS sessions, {REVENUE_SQL} AS revenue", "platform = 'web'"))
 def q_web_report_events(spark, d):
