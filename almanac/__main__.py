@@ -77,6 +77,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> str
     p.add_argument("--events", action="store_true", help="read the events table (sessions by gap)")
     p.add_argument("--app-year", action="store_true", help="month-only app report with yearly totals")
     p.add_argument("--fill-months", action="store_true", help="list every month of the range, empty ones as 0")
+    p.add_argument("--approx-users", type=float, default=None,
+                   help="count active users approximately (relative standard deviation, e.g. 0.01)")
     p.add_argument("--request", help="JSON file with report requests ({name: request}); runs those instead")
     a = p.parse_args(argv)
     if a.request:
@@ -96,7 +98,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> str
               f"  revenue: {t.revenue_total_display}")
         return path
 
-    bundle = BU.run_bundle(spark, reg, rng, fill_months=a.fill_months)
+    bundle = BU.run_bundle(spark, reg, rng, fill_months=a.fill_months, approx_users=a.approx_users)
     try:
         path = sinks.write_bundle(bundle, a.out, a.prefix, label, a.format)
     except BU.NoReportData:

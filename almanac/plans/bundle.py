@@ -119,7 +119,8 @@ def _long_from_counts(counts: DataFrame, specs: Sequence[ReportSpec]) -> DataFra
 def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRange,
                names: Sequence[str] = ("web", "app", "organic"), on_error: str = "skip",
                persist: bool = True, specs: Sequence[ReportSpec] | None = None,
-               checkpoint: bool = False, fill_months: bool = False) -> Bundle:
+               checkpoint: bool = False, fill_months: bool = False,
+               approx_users: float | None = None) -> Bundle:
     """Run the reports together.
 
     ``on_error="skip"`` drops a report that cannot be planned (unknown
@@ -127,7 +128,9 @@ def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRa
     Reports are grouped by binding; each group is one shared scan.
 
     ``fill_months`` lists every month of ``rng`` for every report, empty
-    months with zero counts (V4).
+    months with zero counts (V4).  ``approx_users`` (a relative standard
+    deviation) counts active users with HyperLogLog++ in the ready-made
+    reports.
 
     The long table is reused by every report frame, the presence checks and
     the sinks.  ``persist`` keeps it on the executors (recomputed from
@@ -142,7 +145,7 @@ def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRa
         specs = []
         for n in names:
             try:
-                specs.append(SPEC_FACTORIES[n](rng))
+                specs.append(SPEC_FACTORIES[n](rng, approx_users=approx_users))
             except Exception as e:  # noqa: BLE001
                 if on_error != "skip":
                     raise

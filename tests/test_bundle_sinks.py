@@ -139,3 +139,13 @@ def test_bundle_fill_months_equals_filled_reports(spark):
         assert b.reports[name].collect() == alone
         assert len(alone) == 84
     assert "CartesianProduct" not in plan_of(b.long) and "NestedLoop" not in plan_of(b.long)
+
+
+def test_bundle_approx_users(spark):
+    reg = default_registry(SF01)
+    exact = {(r.year, r.month): r for r in BU.run_bundle(spark, reg, Y97, persist=False).reports["app"].collect()}
+    approx = BU.run_bundle(spark, reg, Y97, persist=False, approx_users=0.01).reports["app"].collect()
+    for r in approx:
+        x = exact[(r.year, r.month)]
+        assert r.sessions == x.sessions and r.revenue == x.revenue
+        assert abs(r.active_users - x.active_users) <= max(2, 0.05 * x.active_users)
