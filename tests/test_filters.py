@@ -162,3 +162,25 @@ def test_generic_binding_prunes_date_partitions(spark):
         df = rep(spark, b, half, prop="x")
         assert df.collect() == rep(spark, events_registry(SF01), half).collect()
     assert re.search(r"PartitionFilters: \[[^\]]*day", _plan(R.app_report(spark, b, half, prop="x")))
+
+
+def test_code_map_predicate_agrees_with_its_expression(spark):
+    """For every value set, the source-column predicate selects exactly the
+    rows whose mapped value is in the set (NULL and unknown codes map to the
+    default)."""
+    from itertools import combinations
+    from pyspark.sql import functions as F
+    from almanac.sources.bindings import CodeMap
+    cm = CodeMap("src", (("1-URGENT", "Android"), ("2-HIGH", "iOS")), "web")
+    df = spark.createDataFrame([(c,) for c in ["1-URGENT", "2-HIGH", "3-MEDIUM", "", None, "x"]], "src string")
+    mapped = [r.v for r in df.select(cm.expr().alias("v")).collect()]
+    universe = ["Android", "iOS", "web", "WEB", "Desktop"]
+    for k in range(1, 4):
+        for values in combinations(universe, k):
+            for cs in (True, False):
+                got = [r.p for r in df.select(cm.predicate(values, F.col("src"), cs).alias("p")).collect()]
+                if cs:
+                    want = [m in values for m in mapped]
+                else:
+                    want = [m.lower() in {v.lower() for v in values} for m in mapped]
+                assert [bool(g) for g in got] == want, (values, cs)
