@@ -181,3 +181,11 @@ def test_spec_from_request_literal(spark):
         ReportSpec.from_request(bad)
     with pytest.raises(ValueError, match="one date range"):
         ReportSpec.from_request(dict(req, date_ranges=[]))
+
+
+def test_totals_of_an_empty_report(spark):
+    b = binding_of(two_months_one_user(spark))
+    rep = R.organic_report(spark, b, DateRange("2030-01-01", "2030-12-31"), prop="x")
+    t = TO.report_totals(rep).first()
+    assert t.months == 0 and t.sessions is None and t.sum_monthly_users is None
+    assert t.revenue == 0.0 and t.avg_monthly_engagement_pct is None
