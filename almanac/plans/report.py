@@ -160,7 +160,8 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
             rows = rows.withColumn("session_id", F.lit(None).cast("long"))
         return _codes(metrics.aggregate_levels(rows, keys, all_metrics, b.rows_are_sessions, approx))
 
-    # Sessions by gap, from ONE scan and ONE hash aggregate over raw events.
+    # Sessions by gap: raw events pass exactly one hash aggregate (per part of
+    # the table read, see below) and are never joined.
     #
     # Raw events are reduced to G: one row per (user, bucket, day, event-level
     # filter fields[, channel]).  A window per user over G rows marks the
