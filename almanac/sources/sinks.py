@@ -38,20 +38,20 @@ def write_reports(reports: Mapping[str, DataFrame], out_dir: str, prefix: str, y
     written and :class:`NoReportData` is raised (V3).  A report whose write
     fails is skipped with ``on_error="skip"`` (V5)."""
     base = os.path.join(out_dir, run_id(prefix, year, now))
-    written = 0
+    written, failed = 0, {}
     for name, df in reports.items():
         try:
             if df.isEmpty():
                 continue
             write_report(df, os.path.join(base, name), fmt)
             written += 1
-        except NoReportData:
-            raise
-        except Exception:  # noqa: BLE001
+        except Exception as e:  # noqa: BLE001
             if on_error != "skip":
                 raise
+            failed[name] = e
     if not written:
-        raise NoReportData("no report has rows; nothing written")
+        why = f"; failed: {sorted(failed)}" if failed else ""
+        raise NoReportData(f"no report has rows; nothing written{why}")
     return base
 
 

@@ -149,3 +149,14 @@ def test_bundle_approx_users(spark):
         x = exact[(r.year, r.month)]
         assert r.sessions == x.sessions and r.revenue == x.revenue
         assert abs(r.active_users - x.active_users) <= max(2, 0.05 * x.active_users)
+
+
+def test_write_reports_names_failures(spark):
+    import datetime as dt
+    df = events_df(spark, [(1, "2025-01-10 10:00:00", 7, 1, "web", "Other", True, 10.0)])
+    rep = R.web_report(spark, binding_of(df), DateRange("2025-01-01", "2025-12-31"), prop="x")
+    out = tempfile.mkdtemp(prefix="almanac-out-")
+    now = dt.datetime(2026, 1, 1)
+    sinks.write_reports({"web": rep}, out, "t", 2025, now=now)
+    with pytest.raises(BU.NoReportData, match="failed: \\['web'\\]"):
+        sinks.write_reports({"web": rep}, out, "t", 2025, now=now)     # same run folder: write fails
