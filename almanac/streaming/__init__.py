@@ -1,0 +1,2 @@
+"""Structured Streaming: the sessionizer over an event stream and a binding
+over the session rows it writes."""
