@@ -32,7 +32,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+
+from almanac.llm.common import columns, slices
 
 # Unicode White_Space, the byte-level alphabet's printable ranges
 # and the word pattern of this tokenizer family.
@@ -394,18 +395,6 @@ def load_batch(path: str) -> BatchBpe:
     return BatchBpe(load(path))
 
 
-def slices(batch: pa.RecordBatch, limit: int = 24 << 20) -> Iterator[pa.RecordBatch]:
-    """Cuts of a batch (doc_id, text) with at most about ``limit`` bytes of
-    text each, or one row: the memory a task needs does not follow the rows in
-    an Arrow batch."""
-    size = pc.fill_null(pc.binary_length(batch.column(1).cast(pa.large_string())), 0).to_numpy()
-    group = (np.cumsum(size) - size) // limit
-    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(size)]
-    for a, b in zip(cuts, cuts[1:]):
-        if b > a:
-            yield batch.slice(int(a), int(b - a))
-
-
 def encode_documents(docs: DataFrame, tokenizer: str, key: Column | None = None,
                      text: Column | None = None) -> DataFrame:
     """``doc_id``, ``ids array<int>`` and ``decoded string`` of every document.
@@ -454,8 +443,3 @@ def digest_documents(docs: DataFrame, tokenizer: str, key: Column | None = None,
     return columns(docs, key, text).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
-
-def columns(docs: DataFrame, key: Column | None = None, text: Column | None = None) -> DataFrame:
-    """Only ``doc_id`` and ``text``, as long and string."""
-    return docs.select((F.col("doc_id") if key is None else key).cast("long").alias("doc_id"),
-                       (F.col("text") if text is None else text).cast("string").alias("text"))

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Folders written by :func:`store` in this driver process, for :func:`sweep`.
 _STORED: list[str] = []
@@ -46,29 +50,76 @@ def partitions(spark: SparkSession) -> int:
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def ascii_words(text: str | None) -> list[bytes]:
-    """A-Z lower-cased, then maximal runs without space, \\t, \\n, \\v, \\f, \\r
-    (what ``bytes.split`` takes as separators)."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
-
-
-class WordHashes(dict):
-    """word -> 64-bit hash, remembered for at most ``limit`` words at a time."""
-
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = h
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def slices(batch: pa.RecordBatch, limit: int = 24 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Cuts of a batch with at most about ``limit`` bytes of text each, or one
+    row: the memory a task needs does not follow the rows in an Arrow batch."""
+    size = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_string())), 0).to_numpy()
+    group = (np.cumsum(size) - size) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(size)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(int(a), int(b - a))
+
+
+def columns(docs: DataFrame, key: Column | None = None, text: Column | None = None) -> DataFrame:
+    """Only ``doc_id`` and ``text``, as long and string."""
+    return docs.select((F.col("doc_id") if key is None else key).cast("long").alias("doc_id"),
+                       (F.col("text") if text is None else text).cast("string").alias("text"))
+
+
+# -- words ----------------------------------------------------------------
+_CODES = np.arange(256)
+LOWER = np.where((_CODES >= 0x41) & (_CODES <= 0x5A), _CODES + 32, _CODES).astype(np.uint8)
+#: Bytes that separate words: space and \\t \\n \\v \\f \\r; or all ASCII but digits and letters.
+BLANK = (_CODES == 0x20) | ((_CODES >= 9) & (_CODES <= 13))
+NO_ALNUM = (_CODES < 0x80) & ~np.isin(_CODES, [*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)])
+_MASK = np.array([2 ** (8 * i) - 1 for i in range(8)] + [2**64 - 1], np.uint64)
+_LONG = 256
+
+
+class Words:
+    """The words of many texts, A-Z lower-cased: ``hash`` (64 bits each, in
+    order) and ``starts`` (where each text's words begin; one more at the
+    end), ``begin`` and ``end`` (bytes of ``low``)."""
+
+    def __init__(self, texts: pa.Array, separators: np.ndarray = BLANK):
+        arr = texts.cast(pa.large_string()).fill_null("")
+        n = len(arr)
+        bounds = np.frombuffer(arr.buffers()[1], np.int64)[arr.offset:arr.offset + n + 1] if n else np.zeros(1, np.int64)
+        raw = np.frombuffer(arr.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
+        bounds = bounds - bounds[0]
+        low = np.zeros(len(raw) + 8, np.uint8)
+        low[:len(raw)] = LOWER[raw]
+        word = ~separators[raw]
+        before, after = np.zeros_like(word), np.zeros_like(word)
+        before[1:], after[:-1] = word[:-1], word[1:]
+        cuts = bounds[(bounds > 0) & (bounds < len(raw))]
+        before[cuts], after[cuts - 1] = False, False
+        self.low = low
+        self.begin, self.end = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+        self.starts = np.searchsorted(self.begin, bounds)
+        self.hash = self._hash()
+
+    def _hash(self) -> np.ndarray:
+        size = self.end - self.begin
+        acc = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        lanes = np.ndarray(max(0, len(self.low) - 7), "<u8", self.low, strides=(1,))
+        pick = np.flatnonzero(size <= _LONG)
+        lane = 0
+        while len(pick):
+            left = size[pick] - 8 * lane
+            x = lanes[self.begin[pick] + 8 * lane] & _MASK[np.minimum(left, 8)]
+            acc[pick] = mix64((acc[pick] ^ x) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(lane + 1))
+            pick = pick[left > 8]
+            lane += 1
+        for i in np.flatnonzero(size > _LONG):
+            acc[i] = xxhash.xxh3_64_intdigest(self.low[self.begin[i]:self.end[i]].tobytes())
+        return acc
+
+
+def word_hash(word: str) -> int:
+    """The hash :class:`Words` gives this word."""
+    return int(Words(pa.array([word])).hash[0])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.llm import bpe
-from almanac.llm.common import partitions, store
+from almanac.llm.common import columns, partitions, slices, store
 
 LIMIT, END_ID = 4096, 1
 GRAIN, DEPTH = 32, 3
@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, end_id: int = EN
 
     def run(batches):
         tok = bpe.load_batch(tokenizer)
-        for b in (s for b in batches for s in bpe.slices(b)):
+        for b in (s for b in batches for s in slices(b)):
             ids, starts = tok.encode(b.column(1))
             names, nth, begin, length, crc = [], [], [], [], []
             for name, x, y in zip(b.column(0).to_pylist(), starts.tolist(), starts[1:].tolist()):
@@ -62,7 +62,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, end_id: int = EN
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return bpe.columns(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return columns(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 # -- plan -----------------------------------------------------------------

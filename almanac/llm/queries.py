@@ -7,8 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from almanac.llm import bpe, packing
+from almanac.llm import bpe, chat, licenses, packing, pii
 
 
 def word_bpe_path() -> str:
@@ -22,6 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), word_bpe_path())
 
@@ -30,9 +40,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_bpe_path())
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_conversations(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_licenses": op3_licenses,
+    "op4_pii": op4_pii,
     "op8_bpe": op8_bpe,
     "op9_packing": op9_packing,
+    "op10_chat": op10_chat,
 }
 
 ORACLE_SQL: dict[str, str] = {}
