@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 #: Folders written by :func:`store` in this driver process, for :func:`sweep`.
 _STORED: list[str] = []
+_TABLES: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,20 +28,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: the
     plan is cut there, and a lost executor loses none of it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/almanac-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def store_by(df: DataFrame, name: str, key: str, codec: str = "zstd") -> DataFrame:
+    """:func:`store`, bucketed by ``key``: later groupings by it move only the
+    other side."""
+    spark = df.sparkSession
+    label = f"almanac_llm_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/almanac-llm/{label}"
+    (df.write.option("compression", codec).option("path", path).bucketBy(partitions(spark), key).saveAsTable(label))
+    _STORED.append(path)
+    _TABLES.append(label)
+    return spark.table(label)
+
+
 def sweep(spark: SparkSession) -> None:
     """Delete the folders :func:`store` wrote.  Call it once the results that
     read them have been written."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     while _STORED:
         path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
         path.getFileSystem(conf).delete(path, True)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import bpe, chat, licenses, packing, pii
+from almanac.llm import bpe, chat, fingerprints, jaccard, katz, licenses, neighbours, packing, pii, toxicity
 
 
 def word_bpe_path() -> str:
@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, rest = table(spark, sf_dir, "documents"), toxicity.crc_rest(F.col("doc_id"), 5)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn_from=rest != 0)
+    return toxicity.score(docs, model).select("doc_id", (rest == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -32,6 +42,18 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"), mod=7, rest=2)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), word_bpe_path())
 
@@ -49,8 +71,13 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard": op1_jaccard,
+    "op2_toxicity": op2_toxicity,
     "op3_licenses": op3_licenses,
     "op4_pii": op4_pii,
+    "op5_neighbours": op5_neighbours,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_katz": op7_katz,
     "op8_bpe": op8_bpe,
     "op9_packing": op9_packing,
     "op10_chat": op10_chat,
