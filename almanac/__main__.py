@@ -4,9 +4,13 @@
     python -m almanac --data DIR --start 2025-01-01 --end 2025-06-30 --out OUT
     python -m almanac --data DIR --year 2025 --out OUT --app-year
     python -m almanac --data DIR --out OUT --request requests.json
+    python -m almanac --bindings tables.json --year 2025 --out OUT
 
 The default run is the bundle (web, app and organic reports from shared
 scans); ``--app-year`` runs the month-only app report with yearly totals.
+``--bindings`` maps property names to one's own tables (see
+``sources.bindings.bindings_from_file``).  Reports are written under their
+headings.  An option that a route does not use is an error.
 On a cluster, launch it with ``spark-submit`` so the session comes
 configured; ``--data`` and ``--out`` are shared paths.  Only the totals
 (one row per report) come back to the driver, for the summary.
@@ -24,8 +28,10 @@ from .plans import bundle as BU
 from .plans import report as R
 from .plans.spec import DateRange
 from .session import DEFAULTS
+from .functions.fmt import row_line
 from .sources import sinks
-from .sources.properties import default_registry, events_registry
+from .sources.bindings import bindings_from_file
+from .sources.properties import PropertyRegistry, default_registry, events_registry
 
 # Summary labels per report (what each summary line shows).
 SUMMARY = {
@@ -67,7 +73,8 @@ def summary_lines(totals_rows) -> list[str]:
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> str:
     p = argparse.ArgumentParser(prog="python -m almanac", description=__doc__.split("\n\n")[0])
-    p.add_argument("--data", required=True, help="folder with the event tables")
+    p.add_argument("--data", help="folder with the event tables")
+    p.add_argument("--bindings", help="JSON file: property names and the tables behind them")
     p.add_argument("--year", type=int)
     p.add_argument("--start")
     p.add_argument("--end")
@@ -80,59 +87,100 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> str
     p.add_argument("--approx-users", type=float, default=None,
                    help="count active users approximately (relative standard deviation, e.g. 0.01)")
     p.add_argument("--request", help="JSON file with report requests ({name: request}); runs those instead")
+    p.add_argument("--internal-names", action="store_true", help="write internal column names, not headings")
+    p.add_argument("--display", action="store_true", help="write numbers as display strings")
     a = p.parse_args(argv)
+    if bool(a.data) == bool(a.bindings):
+        p.error("give --data or --bindings")
+    if a.bindings and a.events:
+        p.error("--events belongs to --data; a bindings file says how sessions are made")
+    if a.year and (a.start or a.end):
+        p.error("give --year, or --start and --end, not both")
+    if a.request and (a.year or a.start or a.end or a.app_year):
+        p.error("a request file has its own ranges: no --year, --start, --end or --app-year with --request")
+    spark = spark or _session()
+    if a.bindings:
+        reg = PropertyRegistry(bindings_from_file(a.bindings))
+    else:
+        reg = events_registry(a.data) if a.events else default_registry(a.data)
     if a.request:
-        return _run_requests(a, spark)
+        return _run_requests(a, spark, reg)
     rng = _range(a)
-    spark = spark or _session()
-    reg = events_registry(a.data) if a.events else default_registry(a.data)
     label = str(a.year) if a.year else f"{rng.start}_{rng.end}"
-
     if a.app_year:
-        rep = R.app_year_report(spark, reg, rng, year_label=str(a.year) if a.year else None,
-                                fill_months=a.fill_months)
-        path = sinks.write_reports({"app_year": rep}, a.out, a.prefix + "_app", label, a.format)
-        t = TO.app_year_totals(rep).first()
-        print(f"written: {path}")
-        print(f"   months: {t.months}  users: {t.users_total_display}  sessions: {t.sessions_total_display}"
-              f"  revenue: {t.revenue_total_display}")
-        return path
+        return _run_app_year(a, spark, reg, rng, label)
 
     bundle = BU.run_bundle(spark, reg, rng, fill_months=a.fill_months, approx_users=a.approx_users)
     try:
-        path = sinks.write_bundle(bundle, a.out, a.prefix, label, a.format)
-    except BU.NoReportData:
-        print("no report has rows for this period and these filters; nothing written", file=sys.stderr)
+        path = _write(a, bundle.non_empty(), a.prefix, label)
+        tot = TO.report_totals(bundle.long, by=("report",)).collect()   # one row per report
+    except BU.NoReportData as e:
+        _nothing(e)
+    finally:
         bundle.release()
-        raise SystemExit(1)
-    tot = TO.report_totals(bundle.long, by=("report",)).collect()   # one row per report
     order = {n: i for i, n in enumerate(bundle.reports)}
-    print(f"written: {path}")
     for line in summary_lines(sorted(tot, key=lambda r: order.get(r.report, 99))):
         print(line)
     for name, err in bundle.errors.items():
-        print(f"{name}: skipped ({err})", file=sys.stderr)
-    bundle.release()
+        print(f"{name}: skipped ({str(err)[:300]})", file=sys.stderr)
     return path
 
 
-def _run_requests(a, spark: SparkSession | None) -> str:
-    """Each named request (plain-data request literal) becomes a report."""
+def _nothing(why: Exception) -> None:
+    print(f"no report has rows for this period and these filters; nothing written ({why})", file=sys.stderr)
+    raise SystemExit(1)
+
+
+def _write(a, reports: dict, prefix: str, label: str) -> str:
+    """Write the reports; those that fail are named, the others stay written."""
+    try:
+        path = sinks.write_reports(reports, a.out, prefix, label, a.format, headings=not a.internal_names, display=a.display)
+    except sinks.ReportsFailed as e:
+        print(e, file=sys.stderr)
+        path = e.path
+    print(f"written: {path}")
+    return path
+
+
+def _run_app_year(a, spark: SparkSession, reg, rng: DateRange, label: str) -> str:
+    rep = R.app_year_report(spark, reg, rng, year_label=str(a.year) if a.year else None,
+                            fill_months=a.fill_months, approx_users=a.approx_users).persist()   # at most a row a month
+    try:
+        path = _write(a, {"app_year": rep}, a.prefix + "_app", label)
+        line = row_line("month", "year", "app_users_total", "app_sessions_total", "app_revenue_total")
+        for r in rep.select(line.alias("line")).collect():
+            print(r.line)
+        t = TO.app_year_totals(rep).first()
+    except BU.NoReportData as e:
+        _nothing(e)
+    finally:
+        rep.unpersist()
+    print(f"   months: {t.months}  users: {t.users_total_display}  sessions: {t.sessions_total_display}"
+          f"  revenue: {t.revenue_total_display}")
+    return path
+
+
+def _run_requests(a, spark: SparkSession, reg) -> str:
+    """Each named request (plain-data request literal) becomes a report;
+    requests on one property share its scan."""
     import json
 
     from .plans.spec import ReportSpec
 
     with open(a.request) as f:
         requests = json.load(f)
-    spark = spark or _session()
-    reg = events_registry(a.data) if a.events else default_registry(a.data)
-    reports = {}
-    for name, req in requests.items():
-        spec = ReportSpec.from_request(req, name=name)
-        reports[name] = R.run_report(spark, spec, reg, month_names="null" if "year" in spec.dimensions else "keep")
-    path = sinks.write_reports(reports, a.out, a.prefix, a.year or "requests", a.format)
-    print(f"written: {path}")
-    return path
+    specs = [ReportSpec.from_request(req, name=name, fill_months=a.fill_months, approx_users=a.approx_users)
+             for name, req in requests.items()]
+    reports, held, errors = BU.run_specs(spark, reg, specs)
+    try:
+        for name, err in errors.items():
+            print(f"{name}: skipped ({str(err)[:300]})", file=sys.stderr)
+        return _write(a, reports, a.prefix, "requests")
+    except BU.NoReportData as e:
+        _nothing(e)
+    finally:
+        for df in held:
+            df.unpersist()
 
 
 if __name__ == "__main__":

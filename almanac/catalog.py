@@ -24,7 +24,7 @@ from .functions.labels import HEADINGS, headings, labelled
 from .operators import filters as FL
 from .operators import sessions as X
 from .operators import totals as TO
-from .operators.metrics import cents, from_cents
+from .operators.metrics import money, rounded
 from .plans import bundle as BU
 from .plans import report as R
 from .plans.spec import AnyOf, DateRange, Exact, ReportSpec
@@ -80,12 +80,13 @@ e1 AS (
          coalesce(event_type IN ('click', 'purchase'), false) AS engaged,
          CASE WHEN event_type = 'purchase' THEN value END AS revenue
   FROM e0
-  WHERE user_id IS NOT NULL AND ts IS NOT NULL
+  WHERE ts IS NOT NULL
 ),
 e2 AS (
   SELECT *,
          CASE WHEN lag(ts) OVER w IS NULL OR ts > lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS is_start
   FROM e1
+  WHERE user_id IS NOT NULL
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 ),
 e3 AS (
@@ -99,6 +100,8 @@ eb AS (
               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS session_channel,
          CAST(user_id AS VARCHAR) || ':' || CAST(session_id AS VARCHAR) AS skey
   FROM e3
+  UNION ALL  -- events without a user: revenue, but no session
+  SELECT *, NULL, NULL, NULL, NULL FROM e1 WHERE user_id IS NULL
 )"""
 
 
@@ -116,7 +119,7 @@ def range_sql(rng: DateRange, ts: str = "ts") -> str:
     return f"{ts} >= TIMESTAMP '{rng.start} 00:00:00' AND {ts} < TIMESTAMP '{rng.end_exclusive} 00:00:00'"
 
 
-REVENUE_SQL = "CAST(coalesce(sum(CAST(floor(revenue * 100 + 0.5) AS BIGINT)), 0) AS DOUBLE) / 100"
+REVENUE_SQL = "CAST(coalesce(round(sum(CAST(revenue AS DECIMAL(38, 6))), 2), 0) AS DOUBLE)"
 PCT_SQL = ("CASE WHEN {s} > 0 THEN CAST((CAST({e} AS BIGINT) * 20000 + {s}) // (2 * {s}) AS DOUBLE) / 100 END")
 
 
@@ -217,6 +220,20 @@ def q_organic_report_events(spark, d):
     return R.organic_report(spark, _events(d), EVENTS_SPAN)
 
 
+MID_JANUARY = DateRange("2024-01-10", "2024-01-20")
+
+
+@register("organic_report_events_range", events_report_sql(
+    "CAST(count(DISTINCT skey) AS BIGINT) AS sessions, "
+    "CAST(count(DISTINCT user_id) AS BIGINT) AS active_users, "
+    + pct_sql("count(DISTINCT CASE WHEN engaged THEN skey END)", "count(DISTINCT skey)")
+    + f" AS engagement_pct, {REVENUE_SQL} AS revenue",
+    "session_channel = 'Organic Search'", MID_JANUARY))
+def q_organic_report_events_range(spark, d):
+    """F1 with P4: a range inside the data, sessions and their channel from all events."""
+    return R.organic_report(spark, _events(d), MID_JANUARY)
+
+
 @register("app_report_events", events_report_sql(
     "CAST(count(DISTINCT user_id) AS BIGINT) AS active_users, "
     f"CAST(count(DISTINCT skey) AS BIGINT) AS sessions, {REVENUE_SQL} AS revenue",
@@ -294,7 +311,7 @@ def q_filter_exact(spark, d):
     """platform = web."""
     rows = _orders_rows(spark, d, {"platform", "revenue"}, flt=Exact("platform", "web"))
     return rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_rows"),
-                                             from_cents(F.sum(cents("revenue"))).alias("revenue"))
+                                             rounded(F.sum(money("revenue"))).alias("revenue"))
 
 
 @register("filter_exact_ci", f"""
@@ -595,7 +612,9 @@ def _width_sql(kind: str, cols: list[tuple[str, str]]) -> str:
         if typ == "str":
             cell = f"CASE WHEN {c} IS NOT NULL AND {c} <> '' THEN length({c}) END"
         else:
-            cell = f"CASE WHEN {c} IS NOT NULL AND {c} <> 0 THEN length(CAST({c} AS VARCHAR)) END"
+            # a spreadsheet keeps a whole number without its fraction
+            text = f"CASE WHEN {c} = floor({c}) THEN CAST(CAST({c} AS HUGEINT) AS VARCHAR) ELSE CAST({c} AS VARCHAR) END"
+            cell = f"CASE WHEN {c} IS NOT NULL AND {c} <> 0 THEN length({text}) END"
         parts.append(f"SELECT '{c}' AS \"column\", '{h}' AS heading, "
                      f"CAST(least(greatest(coalesce(max({cell}), 0), length('{h}')) + 2, 30) AS INTEGER) AS width, "
                      f"{i} AS position FROM r")
@@ -685,6 +704,17 @@ def q_bundle_filled(spark, d):
     return BU.run_bundle(spark, _orders(d), ORDERS_SPAN, persist=False, fill_months=True).long
 
 
+@register("bundle_presence", f"""
+WITH n AS (SELECT unnest(['web', 'app', 'organic', 'none']) AS report),
+m AS (SELECT report, CAST(count(*) AS BIGINT) AS months FROM {_sub(_bundle_sql())} b GROUP BY 1)
+SELECT n.report, m.months IS NOT NULL AS has_rows, coalesce(m.months, 0) AS months FROM n LEFT JOIN m USING (report)""")
+def q_bundle_presence(spark, d):
+    """V1/V2: which reports of a bundle have rows; one has a platform no hit carries."""
+    none = ReportSpec(ECOMMERCE, ("sessions",), ORDERS_SPAN, filter=Exact("platform", "tablet"), name="none")
+    specs = [R.web_spec(ORDERS_SPAN), R.app_spec(ORDERS_SPAN), R.organic_spec(ORDERS_SPAN), none]
+    return BU.run_bundle(spark, _orders(d), ORDERS_SPAN, specs=specs, persist=False).presence()
+
+
 @register("bundle_totals", f"""
 SELECT report, CAST(count(*) AS BIGINT) AS months,
        CAST(sum(sessions) AS BIGINT) AS sessions,
@@ -711,7 +741,7 @@ def q_property_rows(spark, d):
     return ev.groupBy("platform", "channel").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("users"),
         F.sum(F.col("engaged").cast("long")).alias("engaged_rows"),
-        from_cents(F.sum(cents("revenue"))).alias("revenue"))
+        rounded(F.sum(money("revenue"))).alias("revenue"))
 
 
 @register("typed_rows", _report_sql("app"))
@@ -739,7 +769,7 @@ WITH {EVENTS_CTE}
 SELECT user_id, session_id, strftime(min(ts), {_TS_FMT_SQL}) AS session_start,
        strftime(max(ts), {_TS_FMT_SQL}) AS session_end, CAST(count(*) AS BIGINT) AS n_events,
        min(session_channel) AS session_channel
-FROM eb GROUP BY user_id, session_id""")
+FROM eb WHERE user_id IS NOT NULL GROUP BY user_id, session_id""")
 def q_sessionize(spark, d):
     """X1 + P4: one row per session (gap 30 min), from bucket rows only."""
     ev = _events_frame(spark, d, {"event_id", "user_id", "channel"})
@@ -764,17 +794,17 @@ def q_session_events(spark, d):
 WITH {EVENTS_CTE}
 SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, user_id, session_id,
        CAST(max(CASE WHEN engaged THEN 1 ELSE 0 END) AS INTEGER) AS engaged,
-       CAST(sum(CAST(floor(revenue * 100 + 0.5) AS BIGINT)) AS BIGINT) AS revenue_cents
-FROM eb GROUP BY 1, 2, 3, 4""")
+       CAST(sum(CAST(revenue AS DECIMAL(38, 6))) AS DOUBLE) AS revenue
+FROM eb WHERE user_id IS NOT NULL GROUP BY 1, 2, 3, 4""")
 def q_session_rollup(spark, d):
     """Events rolled up to one row per (year, month, session)."""
     ev = _events_frame(spark, d, {"user_id", "engaged", "revenue"})
-    return X.session_rollup(ev).select("year", "month", "user_id", "session_id", "engaged", "revenue_cents")
+    return X.session_rollup(ev).select("year", "month", "user_id", "session_id", "engaged", F.col("revenue_amount").cast("double").alias("revenue"))
 
 
 @register("session_channel", f"""
 WITH {EVENTS_CTE},
-s AS (SELECT DISTINCT user_id, session_id, session_channel FROM eb)
+s AS (SELECT DISTINCT user_id, session_id, session_channel FROM eb WHERE user_id IS NOT NULL)
 SELECT session_channel, CAST(count(*) AS BIGINT) AS sessions FROM s GROUP BY 1""")
 def q_session_channel(spark, d):
     """Sessions by their session-scope channel (first non-null channel)."""
@@ -810,8 +840,8 @@ WITH {EVENTS_CTE}
 SELECT user_id, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, CAST(count(*) AS BIGINT) AS n_events,
        strftime(min(ts), {_TS_FMT_SQL}) AS session_start, strftime(max(ts), {_TS_FMT_SQL}) AS session_end,
        CAST(max(CASE WHEN engaged THEN 1 ELSE 0 END) AS INTEGER) AS engaged,
-       CAST(sum(CAST(floor(revenue * 100 + 0.5) AS BIGINT)) AS BIGINT) AS revenue_cents
-FROM eb GROUP BY user_id, session_id, 2, 3""")
+       CAST(sum(CAST(revenue AS DECIMAL(38, 6))) AS DOUBLE) AS revenue
+FROM eb WHERE user_id IS NOT NULL GROUP BY user_id, session_id, 2, 3""")
 def q_session_rows(spark, d):
     """Session parts per month as the streaming sessionizer emits them
     (session_window, gap 30 min)."""
@@ -820,4 +850,4 @@ def q_session_rows(spark, d):
     return rows.select("user_id", "year", "month", "n_events",
                        D.ts_text("session_start").alias("session_start"),
                        D.ts_text("session_end").alias("session_end"),
-                       "engaged", "revenue_cents")
+                       "engaged", F.col("revenue_amount").cast("double").alias("revenue"))

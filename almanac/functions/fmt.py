@@ -97,9 +97,11 @@ def with_display(df: DataFrame, headings: Mapping[str, str] | None = None) -> Da
 
 
 def py_str_length(c: Column, dtype) -> Column:
-    """Length of Python's ``str()`` of a value of ``dtype``.
+    """Length of the text a spreadsheet cell with a value of ``dtype`` reads back as.
 
-    Strings and integers print alike.  For doubles, Spark and Python agree
+    Strings and integers print alike.  A whole double is stored without its
+    fraction (``1200``, not ``1200.0``); other doubles print as Python's
+    ``str()``.  For doubles, Spark and Python agree
     between 1e-3 and 1e7; outside it Spark writes ``1.23456789E7`` where
     Python writes ``12345678.9`` (fixed notation from 1e-4 up to 1e16, then
     ``1.5e+16`` with at least two exponent digits).  The length is rebuilt
@@ -118,10 +120,10 @@ def py_str_length(c: Column, dtype) -> Column:
     mantissa = F.when(n == 1, F.lit(1)).otherwise(n + 1)
     sci = mantissa + 2 + F.greatest(F.length(F.abs(exp).cast("string")), F.lit(2))
     py = (F.when(exp >= 16, sci)
-          .when(exp >= 0, F.when(n - 1 <= exp, exp + 3).otherwise(n + 1))
+          .when(exp >= 0, F.when(n - 1 <= exp, exp + 1).otherwise(n + 1))
           .when(exp >= -4, 2 + (-exp - 1) + n)
           .otherwise(sci))
-    return F.when(s.rlike(pat), sign + py).otherwise(F.length(s))
+    return F.when(s.rlike(pat), sign + py).otherwise(F.length(F.regexp_replace(s, r"\.0$", "")))
 
 
 def _truthy(c: Column, dtype) -> Column:

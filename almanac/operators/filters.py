@@ -33,11 +33,6 @@ def date_range_predicate(ts: str, rng: DateRange, ts_type: DataType | None = Non
     return (c >= ts_literal(rng.start, ts_type)) & (c < ts_literal(rng.end_exclusive, ts_type))
 
 
-def before_end(rng: DateRange, ts_type: DataType | None = None, ts: str = "ts") -> Column:
-    """``ts < end + 1 day``: everything up to the end of the range."""
-    return F.col(ts) < ts_literal(rng.end_exclusive, ts_type)
-
-
 def where_date_range(df: DataFrame, rng: DateRange, ts: str = "ts") -> DataFrame:
     return df.where(date_range_predicate(ts, rng, df.schema[ts].dataType))
 

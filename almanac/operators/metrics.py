@@ -17,8 +17,10 @@ partial step:
 and levels that a metric set does not need are skipped (revenue alone is one
 aggregate; a binding whose rows are sessions skips the session level).
 
-Revenue is summed as whole cents in a ``long`` — exact and independent of
-the order of addition, so monthly figures do not drift with partitioning.
+Revenue is summed as ``decimal(38,6)`` and rounded to cents once per result
+row: exact, independent of the order of addition, and small amounts are not
+lost one by one.  An amount that is no number (NaN), infinite or beyond
+``decimal(28,6)`` counts as no revenue.
 """
 
 from __future__ import annotations
@@ -28,16 +30,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-def cents(revenue: Column | str) -> Column:
-    """Revenue in whole cents, half-up: ``floor(revenue * 100 + 0.5)``; NaN
-    counts as no revenue (NULL)."""
+
+def money(revenue: Column | str) -> Column:
+    """Revenue as ``decimal(28,6)``; NULL for NaN, infinities and amounts too
+    large for it.  Decimal columns do not pass through double."""
     c = F.col(revenue) if isinstance(revenue, str) else revenue
-    return F.when(~F.isnan(c), F.floor(c * F.lit(100.0) + F.lit(0.5)).cast("long"))
+    return c.try_cast("decimal(28,6)")
 
 
-def from_cents(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(c, F.lit(0)).cast("double") / F.lit(100.0)
+def rounded(amount: Column | str) -> Column:
+    """A sum of :func:`money` as double, rounded to cents; 0 for NULL."""
+    c = F.col(amount) if isinstance(amount, str) else amount
+    return F.coalesce(F.round(c, 2), F.lit(0)).cast("double")
 
 
 def needs(metrics: Sequence[str]) -> dict[str, bool]:
@@ -54,10 +58,10 @@ def aggregate_levels(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
                      rows_are_sessions: bool = False, approx_users: float | None = None) -> DataFrame:
     """Group ``df`` by ``keys`` and compute the count columns behind
     ``metrics``: ``sessions``, ``active_users``, ``engaged_sessions``,
-    ``revenue_cents`` (only those needed).
+    ``revenue_amount`` (only those needed).
 
     ``df`` holds ``user_id``, ``session_id``, ``engaged`` (boolean) and
-    ``revenue_cents`` (long) besides ``keys``.  ``approx_users`` counts users
+    ``revenue_amount`` (decimal) besides ``keys``.  ``approx_users`` counts users
     approximately (relative standard deviation), skipping the user level.
     """
     need = needs(metrics)
@@ -67,11 +71,11 @@ def aggregate_levels(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
     if need["sessions"]:
         if rows_are_sessions:
             cur = cur.select(*keys, "user_id", "session_id",
-                             F.col("engaged").cast("int").alias("engaged"), "revenue_cents")
+                             F.col("engaged").cast("int").alias("engaged"), "revenue_amount")
         else:
             aggs = [F.max(F.col("engaged").cast("int")).alias("engaged")]
             if need["revenue"]:
-                aggs.append(F.sum("revenue_cents").alias("revenue_cents"))
+                aggs.append(F.sum("revenue_amount").alias("revenue_amount"))
             cur = cur.groupBy(*keys, "user_id", "session_id").agg(*aggs)
         # count(session_id) skips NULL ids, as a distinct count would
         sess = F.count("session_id")
@@ -88,7 +92,7 @@ def aggregate_levels(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
         if need["sessions"]:
             aggs += [sess.alias("sessions"), eng.alias("engaged_sessions")]
         if need["revenue"]:
-            aggs.append(F.sum("revenue_cents").alias("revenue_cents"))
+            aggs.append(F.sum("revenue_amount").alias("revenue_amount"))
         if not aggs:
             aggs = [F.count(F.lit(1)).alias("_rows")]
         cur = cur.groupBy(*keys, "user_id").agg(*aggs)
@@ -100,7 +104,7 @@ def aggregate_levels(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
         if need["sessions"]:
             final += [sess.alias("sessions"), eng.alias("engaged_sessions")]
     if need["revenue"]:
-        final.append(F.sum("revenue_cents").alias("revenue_cents"))
+        final.append(F.sum("revenue_amount").alias("revenue_amount"))
     out = cur.groupBy(*keys).agg(*final)
     fix = {}
     if need["sessions"]:
@@ -120,7 +124,7 @@ def metric_columns(metrics: Sequence[str], rate_as_percent: bool = False) -> lis
         elif m == "activeUsers":
             out.append(F.col("active_users").cast("long").alias("active_users"))
         elif m == "totalRevenue":
-            out.append(from_cents("revenue_cents").alias("revenue"))
+            out.append(rounded("revenue_amount").alias("revenue"))
         elif m == "engagementRate":
             if rate_as_percent:
                 out.append(percent_2dp("engaged_sessions", "sessions").alias("engagement_pct"))

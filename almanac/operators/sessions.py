@@ -170,21 +170,21 @@ def sessionize_groups(groups: DataFrame, gap: dt.timedelta = dt.timedelta(minute
 
 def session_rollup(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30)) -> DataFrame:
     """X2 at one row per (year, month, user, session): ``engaged`` (any engaged
-    event, 0/1) and ``revenue_cents``.  One scan, one hash aggregate to
+    event, 0/1) and ``revenue_amount``.  One scan, one hash aggregate to
     (user, bucket, month) rows, the user window, then aggregates that stay in
     the user partitioning; ``session_id`` is 1, 2, ... per user."""
     from ..functions.dims import code
-    from .metrics import cents
+    from .metrics import money
 
     ev = with_bucket(events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull()), gap)
-    g = (ev.withColumns({"year": F.year("ts"), "month": F.month("ts"), "revenue_cents": cents("revenue")})
+    g = (ev.withColumns({"year": F.year("ts"), "month": F.month("ts"), "revenue_amount": money("revenue")})
          .groupBy("user_id", "bucket", "year", "month")
          .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
               F.max(F.col("engaged").cast("int")).alias("engaged"),
-              F.sum("revenue_cents").alias("revenue_cents")))
+              F.sum("revenue_amount").alias("revenue_amount")))
     rows = sessionize_groups(g, gap)
     out = rows.groupBy("year", "month", "user_id", "session_id").agg(
-        F.max("engaged").alias("engaged"), F.sum("revenue_cents").alias("revenue_cents"))
+        F.max("engaged").alias("engaged"), F.sum("revenue_amount").alias("revenue_amount"))
     seq = F.dense_rank().over(Window.partitionBy("user_id").orderBy("session_id")).cast("long")
     return out.withColumns({"session_id": seq, "year": code("year", 4), "month": code("month", 2)})
 

@@ -5,7 +5,7 @@ distinct users** (someone active in two months counts twice), and the rate is
 the plain mean of the monthly percents, not engaged over all sessions.  The
 names say so: ``sum_monthly_users``, ``avg_monthly_engagement_pct``.
 
-Sums of money go through whole cents and the mean through basis points, so
+Sums of money go through decimals and the mean through basis points, so
 the totals are exact and independent of row order.
 """
 
@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fmt
-from .metrics import cents
+from .metrics import money, rounded
 
 
 def _sum_money(col: str) -> Column:
-    return (F.coalesce(F.sum(cents(col)), F.lit(0)).cast("double") / F.lit(100.0))
+    return rounded(F.sum(money(col)))
 
 
 def _avg_pct(col: str) -> Column:

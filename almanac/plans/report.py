@@ -18,6 +18,7 @@ marks sessions on them (operators.sessions), and the filters apply after it.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -80,12 +81,18 @@ def _source_leaf(b: Binding, columns: Sequence[str]):
 
 
 def _in_range(rng: DateRange, ts_type, columns: Sequence[str]) -> Column:
-    """F1 on ``ts``; when the binding has a date partition column, the same
-    range on it too, so whole partitions are pruned."""
+    """F1 on ``ts``; when the binding has a date partition column, a range on
+    it too, so whole partitions are pruned."""
     p = filters.date_range_predicate("ts", rng, ts_type)
-    if "_part_date" in columns:
-        p = p & F.col("_part_date").between(F.lit(rng.start), F.lit(rng.end))
-    return p
+    return p & _part_between(rng.start, rng.end) if "_part_date" in columns else p
+
+
+def _part_between(start: dt.date, end: dt.date) -> Column:
+    """Partition dates that may hold rows of these days.  The table's day may
+    be another zone's than the session's, so a day more on both sides; ``ts``
+    itself decides."""
+    day = dt.timedelta(days=1)
+    return F.col("_part_date").between(F.lit(start - day), F.lit(end + day))
 
 
 def monthly_counts(spark: SparkSession, spec: ReportSpec,
@@ -134,7 +141,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
     ev = b.frame(spark, cols)
     ts_type = ev.schema["ts"].dataType
     # Group on integer year and month; text codes come after the aggregation.
-    with_dims = {"year": F.year("ts"), "month": F.month("ts"), "revenue_cents": metrics.cents("revenue")}
+    with_dims = {"year": F.year("ts"), "month": F.month("ts"), "revenue_amount": metrics.money("revenue")}
 
     def tag(rows: DataFrame, preds: list[tuple[str, Column]]) -> DataFrame:
         """Keep rows passing any report's predicate; ``report`` = each name it passes."""
@@ -156,6 +163,10 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
             f = filters.compile_filter(sp.filter, _resolver(), leaf)
             preds.append((sp.name, p if f is None else p & f))
         rows = tag(rows, preds)
+        counts_users = [sp.name for sp in specs if "activeUsers" in sp.metrics]
+        if b.rows_are_sessions and 0 < len(counts_users) < len(specs):
+            # Reports that count no users fold to a row a month in the map-side step.
+            rows = rows.withColumn("user_id", F.when(F.col("report").isin(*counts_users), F.col("user_id")))
         if "session_id" not in rows.columns:
             rows = rows.withColumn("session_id", F.lit(None).cast("long"))
         return _codes(metrics.aggregate_levels(rows, keys, all_metrics, b.rows_are_sessions, approx))
@@ -173,44 +184,48 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
     # Which events to read: whether two events of the range share a session
     # depends only on the events between them, which are in the range too;
     # so without a session-scope field the range alone is read.  The
-    # session-scope channel comes from the session's first event, which may
-    # lie before the range: then the earlier events are read as well, but
-    # only the four columns that place them in sessions (user, ts, event id,
-    # channel) — their metrics are never needed.  Later events never change
-    # an earlier session.
+    # session-scope channel is the first one known in the session, which may
+    # lie before the range, or after it when the events before carry none.
+    # Only users with an event within the gap of a border can have a session
+    # across it: the earlier and later events of those users (found in the
+    # days next to the border) are read as well, and only the four columns that
+    # place them in sessions (user, ts, event id, channel).
     with_channel = "channel" in cols
     first = min((sp.date_range for sp in specs), key=lambda r: r.start)
     last = max((sp.date_range for sp in specs), key=lambda r: r.end)
-    # An event without a user belongs to no session and is not counted.
+    span = DateRange(first.start, last.end)
     usable = F.col("user_id").isNotNull()
-    recent = ev.where(usable & filters.date_range_predicate("ts", DateRange(first.start, last.end), ts_type))
-    if "_part_date" in ev.columns:
-        recent = recent.where(F.col("_part_date").between(F.lit(first.start), F.lit(last.end)))
+    within = ev.where(_in_range(span, ts_type, ev.columns))
+    recent = within.where(usable)
     recent = sessions.with_bucket(recent, b.session_gap).withColumns({
-        "event_date": F.to_date("ts"), "revenue_cents": metrics.cents("revenue")})
+        "event_date": F.to_date("ts"), "revenue_amount": metrics.money("revenue")})
     event_fields = sorted(fields - SESSION_FIELDS - set(DIMENSIONS))
     # Event-level filters cannot move below the sessionization (session
     # borders depend on all events), so their fields become keys of G.
     gkeys = ["user_id", "bucket", "event_date", *[FIELD_COLUMN[f] for f in event_fields]]
     gaggs = [F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
              F.max(F.col("engaged").cast("int")).alias("engaged"),
-             F.sum("revenue_cents").alias("revenue_cents")]
+             F.sum("revenue_amount").alias("revenue_amount")]
     if with_channel:
         recent = recent.withColumn("order_key", sessions._order_key(recent, b.session_gap))
         gaggs.append(F.min("order_key").alias("order_key"))
         gkeys.append("channel")
     g = recent.groupBy(*gkeys).agg(*gaggs)
     if with_channel:
-        older = ev.where(usable & (F.col("ts") < filters.ts_literal(first.start, ts_type)))
-        if "_part_date" in ev.columns:
-            older = older.where(F.col("_part_date") < F.lit(first.start))
-        older = sessions.with_bucket(older.select("user_id", "ts", "event_id", "channel"), b.session_gap)
-        older = older.withColumn("order_key", sessions._order_key(older, b.session_gap))
-        g_old = older.groupBy("user_id", "bucket", "channel").agg(
-            F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.min("order_key").alias("order_key"))
-        # no event_date: these rows place sessions but never pass a report's range
-        g = g.unionByName(g_old, allowMissingColumns=True)
+        for outside in _across_borders(ev.where(usable), span, ts_type, b.session_gap):
+            outside = sessions.with_bucket(outside.select("user_id", "ts", "event_id", "channel"), b.session_gap)
+            outside = outside.withColumn("order_key", sessions._order_key(outside, b.session_gap))
+            # no event_date: these rows place sessions but never pass a report's range
+            g = g.unionByName(outside.groupBy("user_id", "bucket", "channel").agg(
+                F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.min("order_key").alias("order_key")),
+                allowMissingColumns=True)
     rows = sessions.sessionize_groups(g, b.session_gap, with_channel=with_channel)
+    # An event without a user belongs to no session; its revenue counts.  These
+    # rows stay out of the user window (one partition would hold them all).
+    alone = (within.where(~usable).withColumns({"event_date": F.to_date("ts"), "revenue_amount": metrics.money("revenue")})
+             .groupBy("event_date", *[FIELD_COLUMN[f] for f in event_fields])
+             .agg(F.sum("revenue_amount").alias("revenue_amount")))
+    rows = rows.unionByName(alone, allowMissingColumns=True)
 
     rows = rows.withColumns({"year": F.year("event_date"), "month": F.month("event_date")})
     pre, post = [], []
@@ -232,6 +247,27 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
     return _codes(metrics.aggregate_levels(rows, keys, all_metrics, rows_are_sessions=False, approx_users=approx))
 
 
+def _across_borders(ev: DataFrame, span: DateRange, ts_type, gap: dt.timedelta) -> list[DataFrame]:
+    """The events before and after ``span`` of users who may have a session
+    across that border: those with an event beyond it, within the gap of it.
+    Exact whatever a session's length — it has such an event if it crosses."""
+    start, end = filters.ts_literal(span.start, ts_type), filters.ts_literal(span.end_exclusive, ts_type)
+    step = sessions._gap_interval(gap)
+    days = gap + dt.timedelta(days=1)
+    out = []
+    for beyond, near, parts, near_parts in (
+            (F.col("ts") < start, F.col("ts") >= start - step, (None, span.start), (span.start - days, span.start)),
+            (F.col("ts") >= end, F.col("ts") <= end + step, (span.end, None), (span.end, span.end + days))):
+        rows = ev.where(beyond)
+        users = rows.where(near)
+        if "_part_date" in ev.columns:
+            low, high = parts
+            bound = F.col("_part_date") >= F.lit(low - dt.timedelta(days=1)) if low else F.col("_part_date") <= F.lit(high + dt.timedelta(days=1))
+            rows, users = rows.where(bound), users.where(_part_between(*near_parts))
+        out.append(rows.join(users.select("user_id").distinct(), "user_id", "left_semi"))
+    return out
+
+
 def run_report(spark: SparkSession, spec: ReportSpec, registry: Mapping[str, Binding] | Binding,
                rate_as_percent: bool = False, month_names: str = "null") -> DataFrame:
     """The general report.  Columns: ``month``, ``year``, then the metric

@@ -134,29 +134,50 @@ class ReportSpec:
                            {"dimension": {"dimension_name": "month"}}]}
 
         One date range, EXACT string filters, OR groups and ascending orders
-        by year then month are what reports use; anything else is refused
-        with a clear error rather than half-applied.
+        by year then month are what reports use; anything else, an unknown key
+        included, is refused with a clear error rather than half-applied.  A
+        filter without ``case_sensitive`` is read as sensitive.
         """
+        _only(request, "request", "property", "dimensions", "metrics", "date_ranges", "dimension_filter", "order_bys")
+        for part, keys in (("dimensions", ("name",)), ("metrics", ("name",)), ("date_ranges", ("start_date", "end_date", "name"))):
+            for item in request.get(part, []):
+                _only(item, part, *keys)
         prop = str(request["property"]).split("/")[-1]
         dims = tuple(d["name"] for d in request.get("dimensions", []))
         mets = tuple(m["name"] for m in request.get("metrics", []))
+        for what, names, known in (("dimension", dims, DIMENSIONS), ("metric", mets, METRICS)):
+            if set(names) - set(known) or len(set(names)) < len(names):
+                raise ValueError(f"unknown or repeated {what} in {list(names)}; known: {known}")
         ranges = request.get("date_ranges", [])
         if len(ranges) != 1:
             raise ValueError(f"exactly one date range is supported, got {len(ranges)}")
         rng = DateRange(ranges[0]["start_date"], ranges[0]["end_date"])
         flt = _filter_from_request(request["dimension_filter"]) if request.get("dimension_filter") else None
+        for o in request.get("order_bys", []):
+            _only(o, "order_bys", "dimension", "desc")
+            _only(o.get("dimension", {}), "order_bys dimension", "dimension_name", "order_type")
         orders = [o.get("dimension", {}).get("dimension_name") for o in request.get("order_bys", [])]
         if any(o.get("desc") for o in request.get("order_bys", [])) or \
                 orders not in ([], ["year", "month"], ["month"]):
             raise ValueError(f"reports are ordered by year then month (ascending), got {orders}")
-        return cls(prop, mets, rng, dimensions=tuple(d for d in DIMENSIONS if d in dims) or dims,
+        return cls(prop, mets, rng, dimensions=tuple(d for d in DIMENSIONS if d in dims),
                    filter=flt, name=name, **kw)
 
 
+def _only(part: dict, what: str, *keys: str) -> None:
+    unknown = sorted(set(part) - set(keys))
+    if unknown:
+        raise ValueError(f"{what}: {unknown} not supported; known: {list(keys)}")
+
+
 def _filter_from_request(expr: dict) -> FilterExpr:
     """Filter expression in request shape → Exact / AnyOf."""
+    if len(expr) != 1:
+        raise ValueError(f"a filter expression has one key, got {sorted(expr)}")
     if "filter" in expr:
         f = expr["filter"]
+        _only(f, "filter", "field_name", "string_filter")
+        _only(f.get("string_filter") or {}, "string_filter", "match_type", "value", "case_sensitive")
         sf = f.get("string_filter")
         if sf is None:
             raise ValueError(f"only string filters are supported: {f}")
@@ -165,6 +186,7 @@ def _filter_from_request(expr: dict) -> FilterExpr:
             raise ValueError(f"only EXACT string matches are supported, got {match}")
         return Exact(f["field_name"], sf["value"], bool(sf.get("case_sensitive", True)))
     if "or_group" in expr:
+        _only(expr["or_group"], "or_group", "expressions")
         return AnyOf(*[_filter_from_request(e) for e in expr["or_group"]["expressions"]])
     raise ValueError(f"unsupported filter expression (EXACT leaves and OR groups only): {sorted(expr)}")
 

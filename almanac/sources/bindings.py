@@ -92,6 +92,7 @@ class Binding:
     session_gap: dt.timedelta = dt.timedelta(minutes=30)
     derived: tuple[tuple[str, CodeMap], ...] = ()
     partition_date: str | None = None  # a date partition column of the table, for pruning
+    joined: frozenset = frozenset()  # contract columns whose building joins another table
 
     def code_map(self, contract_col: str) -> CodeMap | None:
         return dict(self.derived).get(contract_col)
@@ -178,7 +179,8 @@ def orders_binding(data_dir: str, name: str = "orders") -> Binding:
         return o.select(*[cols[k].alias(k) for k in CONTRACT if k in need], *keep)
 
     return Binding(name=name, build=build, session_ids=True, rows_are_sessions=True,
-                   derived=(("platform", ORDERS_PLATFORM), ("channel", ORDERS_CHANNEL)))
+                   derived=(("platform", ORDERS_PLATFORM), ("channel", ORDERS_CHANNEL)),
+                   joined=frozenset({"channel"}))
 
 
 def events_contract(e: DataFrame, need: Iterable[str] = CONTRACT) -> DataFrame:
@@ -214,6 +216,34 @@ def events_binding(data_dir: str, name: str = "events", gap: dt.timedelta = dt.t
     return Binding(name=name, build=build, session_ids=False, session_gap=gap)
 
 
+def bindings_from_file(path: str, spark_format: str = "parquet") -> dict[str, Binding]:
+    """Bindings of one's own tables, from a JSON file: ``{property: {"path": ...,
+    "columns": {contract name: column or SQL expression}, "format"?,
+    "session_ids"?, "rows_are_sessions"?, "gap_minutes"?, "partition_date"?}}``.
+    Unknown keys are refused.  Properties with the same entry share a binding,
+    so their reports share scans."""
+    import json
+
+    known = {"path", "columns", "format", "session_ids", "rows_are_sessions", "gap_minutes", "partition_date"}
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    made: dict[str, Binding] = {}
+    out = {}
+    for name, d in spec.items():
+        if set(d) - known or not {"path", "columns"} <= set(d) or set(d["columns"]) - set(CONTRACT):
+            raise ValueError(f"binding {name!r}: needs path and columns ({', '.join(CONTRACT)}), may have {sorted(known)}; got {sorted(d)}")
+        key = json.dumps(d, sort_keys=True)
+        if key not in made:
+            def load(spark: SparkSession, d=d) -> DataFrame:
+                return spark.read.format(d.get("format", spark_format)).load(d["path"])
+            made[key] = table_binding(
+                name, load, d.get("session_ids", "session_id" in d["columns"]), d.get("rows_are_sessions", False),
+                dt.timedelta(minutes=d.get("gap_minutes", 30)), d.get("partition_date"),
+                **{c: F.expr(e) for c, e in d["columns"].items()})
+        out[name] = made[key]
+    return out
+
+
 def table_binding(
     name: str,
     load: Callable[[SparkSession], DataFrame],

@@ -8,13 +8,51 @@ driver and names the run's folder, so reruns never overwrite each other.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.fmt import with_display
+from ..functions.labels import HEADINGS, labelled
 from ..plans.bundle import Bundle, NoReportData
 
+log = logging.getLogger(__name__)
+
+
+class ReportsFailed(RuntimeError):
+    """Some reports could not be written; the others were.  ``path`` is the
+    run's folder, ``failed`` the errors by report."""
+
+    def __init__(self, path: str, failed: dict[str, BaseException]):
+        super().__init__(f"reports not written to {path}: " + "; ".join(f"{k}: {str(e)[:200]}" for k, e in sorted(failed.items())))
+        self.path, self.failed = path, failed
+
+
+def as_written(df: DataFrame, name: str, headings: bool = False, display: bool = False) -> DataFrame:
+    """The report as its readers see it: ``display`` turns numbers into
+    their display strings, ``headings`` renames the columns of a ready-made
+    report (others keep their names)."""
+    if display:
+        shown = with_display(df, HEADINGS.get(name))
+        df = shown.select(*[F.col(f"{c}_display").alias(c) for c in df.columns])
+    return labelled(df, name) if headings and name in HEADINGS else df
+
+
+def _remove(df: DataFrame, path: str) -> None:
+    """Delete what a failed write left behind."""
+    jvm = df.sparkSession.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _exists(df: DataFrame, path: str) -> bool:
+    jvm = df.sparkSession.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
 
 def run_id(prefix: str, year: str | int, now: dt.datetime | None = None) -> str:
     """K3: ``<prefix>_<year>_<YYYYmmdd_HHMMSS>``."""
@@ -32,33 +70,48 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "er
 
 
 def write_reports(reports: Mapping[str, DataFrame], out_dir: str, prefix: str, year: str | int,
-                  fmt: str = "parquet", on_error: str = "skip", now: dt.datetime | None = None) -> str:
+                  fmt: str = "parquet", on_error: str = "skip", now: dt.datetime | None = None,
+                  headings: bool = False, display: bool = False) -> str:
     """K1: every non-empty report to ``<out>/<run id>/<name>``; returns the
-    run folder.  Empty reports are left out (V2); if none has rows, nothing is
-    written and :class:`NoReportData` is raised (V3).  A report whose write
-    fails is skipped with ``on_error="skip"`` (V5)."""
+    run folder.  Empty reports are left out with a warning (V1, V2); if none
+    has rows, nothing is written and :class:`NoReportData` is raised (V3).  A
+    report that fails leaves the others (V5): they are written, what the failed
+    one left is removed, and :class:`ReportsFailed` names it at the end
+    (``on_error="raise"``: its own error, at once).  ``headings``, ``display``:
+    see :func:`as_written`."""
     base = os.path.join(out_dir, run_id(prefix, year, now))
     written, failed = 0, {}
     for name, df in reports.items():
         try:
+            path = os.path.join(base, name)
             if df.isEmpty():
+                log.warning("report %s has no rows for the requested range and filters", name)
                 continue
-            write_report(df, os.path.join(base, name), fmt)
+            new = not _exists(df, path)
+            try:
+                write_report(as_written(df, name, headings, display), path, fmt)
+            except Exception:
+                if new:
+                    _remove(df, path)
+                raise
             written += 1
         except Exception as e:  # noqa: BLE001
             if on_error != "skip":
                 raise
+            log.warning("report %s not written: %s", name, str(e)[:500])
             failed[name] = e
     if not written:
         why = f"; failed: {sorted(failed)}" if failed else ""
         raise NoReportData(f"no report has rows; nothing written{why}")
+    if failed:
+        raise ReportsFailed(base, failed)
     return base
 
 
 def write_bundle(bundle: Bundle, out_dir: str, prefix: str, year: str | int, fmt: str = "parquet",
-                 now: dt.datetime | None = None) -> str:
+                 now: dt.datetime | None = None, headings: bool = False, display: bool = False) -> str:
     """K1 over a bundle: each report with rows gets its own folder."""
-    return write_reports(bundle.non_empty(), out_dir, prefix, year, fmt, now=now)
+    return write_reports(bundle.non_empty(), out_dir, prefix, year, fmt, now=now, headings=headings, display=display)
 
 
 def write_long(bundle: Bundle, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> str:

@@ -5,7 +5,7 @@ columns.  A stream is grouped by user and calendar month with Spark's native
 ``session_window`` (gap semantics equal to X1: a gap of exactly ``gap``
 stays in the session), so each output row is one session's part inside one
 month — the grain the monthly reports count ("a session with events in two
-months counts in both").  Per row: engaged flag, revenue in cents, event
+months counts in both").  Per row: engaged flag, revenue, event
 count, first and last timestamp.
 
 State is bounded by the watermark: a session is emitted (append mode) once
@@ -28,19 +28,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import dims
-from ..operators.metrics import cents
+from ..operators.metrics import money
 from ..operators.sessions import epoch_micros, sessionize_groups, with_bucket
 from ..sources.bindings import CONTRACT, Binding
 
 
 def _interval(gap: dt.timedelta) -> str:
-    return f"{int(gap.total_seconds())} seconds"
+    return f"{gap // dt.timedelta(microseconds=1)} microseconds"
 
 
 def session_rows(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
                  watermark: str | None = "2 hours") -> DataFrame:
     """(user_id, year, month, n_events, session_start, session_end, engaged,
-    revenue_cents) per session part in a month.
+    revenue_amount) per session part in a month.
 
     A stream goes through ``session_window`` with a watermark (state per user
     bounded by it).  A batch frame goes through the bucket sessionizer of
@@ -53,17 +53,17 @@ def session_rows(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30)
             F.max(F.col("engaged").cast("int")).alias("engaged")]
     if not events.isStreaming:
         g = (with_bucket(ev, gap)
-             .withColumns({"year": F.year("ts"), "month": F.month("ts"), "revenue_cents": cents("revenue")})
+             .withColumns({"year": F.year("ts"), "month": F.month("ts"), "revenue_amount": money("revenue")})
              .groupBy("user_id", "bucket", "year", "month")
              .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
                   F.count(F.lit(1)).alias("n_events"),
                   F.max(F.col("engaged").cast("int")).alias("engaged"),
-                  F.sum("revenue_cents").alias("revenue_cents")))
+                  F.sum("revenue_amount").alias("revenue_amount")))
         rows = sessionize_groups(g, gap)
         out = rows.groupBy("user_id", "session_id", "year", "month").agg(
             F.sum("n_events").alias("n_events"), F.min("first_ts").alias("session_start"),
             F.max("last_ts").alias("session_end"), F.max("engaged").alias("engaged"),
-            F.sum("revenue_cents").alias("revenue_cents")).drop("session_id")
+            F.sum("revenue_amount").alias("revenue_amount")).drop("session_id")
         return out.withColumns({"year": dims.code("year", 4), "month": dims.code("month", 2)})
     # Watermarks and session windows need an instant; a timestamp_ntz wall
     # clock is read as UTC (zone-free, so gaps stay exact).
@@ -75,7 +75,7 @@ def session_rows(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30)
     out = g.agg(
         F.count(F.lit(1)).alias("n_events"),
         *aggs,
-        F.sum(cents("revenue")).alias("revenue_cents"),
+        F.sum(money("revenue")).alias("revenue_amount"),
     ).drop("s")
     return out.withColumns({"year": dims.code("year", 4), "month": dims.code("month", 2)})
 
@@ -130,7 +130,7 @@ def session_rows_binding(path: str, name: str = "session_rows") -> Binding:
             "platform": F.lit(None).cast("string"),
             "channel": F.lit(None).cast("string"),
             "engaged": F.col("engaged") == F.lit(1),
-            "revenue": F.col("revenue_cents").cast("double") / F.lit(100.0),
+            "revenue": F.col("revenue_amount"),
         }
         return df.select(*[cols[c].alias(c) for c in CONTRACT if c in need])
 

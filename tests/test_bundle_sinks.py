@@ -22,16 +22,24 @@ def test_shared_scan_equals_separate_reports(spark):
     assert b.reports["web"].collect() == R.web_report(spark, reg, Y97).collect()
     assert b.reports["app"].collect() == R.app_report(spark, reg, Y97).collect()
     assert b.reports["organic"].collect() == R.organic_report(spark, reg, Y97).collect()
-    b.long.unpersist()
+    b.release()
 
 
-def test_bundle_reads_orders_once(spark):
-    b = BU.run_bundle(spark, default_registry(SF01), Y97, persist=False)
-    plan = plan_of(b.long)
+def test_bundle_shares_a_scan_only_without_a_join(spark):
+    """Web and app read orders together without a join; organic joins on its
+    own, with the segment filter at the customer scan."""
     import re
-    scans = re.findall(r"^\(\d+\) Scan parquet.*$", plan, re.M)
-    assert len(scans) == 2                      # orders once, customer once
-    assert len(re.findall(r"^Location: .*orders\.parquet", plan, re.M)) == 1
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(BU.run_bundle(spark, default_registry(SF01), Y97, persist=False).long)
+        assert len(re.findall(r"^Location: .*orders\.parquet", plan, re.M)) == 2
+        assert len(re.findall(r"^Location: .*customer\.parquet", plan, re.M)) == 1
+        assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(c_mktsegment,BUILDING\)", plan)
+        both = plan_of(BU.run_bundle(spark, default_registry(SF01), Y97, names=("web", "app"), persist=False).long)
+        assert "Join" not in both and len(re.findall(r"Scan parquet", both)) == 2   # listed in the tree and below it
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_bundle_events_one_session_map(spark):
@@ -74,7 +82,7 @@ def test_sinks_write_and_read_back(spark):
     long_path = sinks.write_long(b, os.path.join(out, "long"), fmt="csv")
     assert sorted(d for d in os.listdir(long_path) if d.startswith("report=")) == [
         "report=app", "report=organic", "report=web"]
-    b.long.unpersist()
+    b.release()
 
 
 def test_write_reports_skips_empty(spark):

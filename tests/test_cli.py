@@ -24,8 +24,10 @@ def test_app_year_run(spark, capsys):
     path = run(["--data", SF001, "--year", "1998", "--out", out, "--app-year", "--format", "csv"], spark=spark)
     assert os.listdir(path) == ["app_year"]
     back = spark.read.option("header", "true").csv(os.path.join(path, "app_year"))
-    assert back.count() == 12 and back.first()["year"] == "1998"
-    assert "users:" in capsys.readouterr().out
+    assert back.count() == 12 and back.first()["Ano"] == "1998"
+    assert back.columns == ["Mês", "Ano", "App_Usuários_total", "App_Sessões_total", "App_Receita_total"]
+    text = capsys.readouterr().out
+    assert "users:" in text and text.count("/1998: ") == 12 and " usuários | " in text
 
 
 def test_empty_period_writes_nothing(spark):
@@ -56,3 +58,44 @@ def test_request_file(spark):
     want = R.run_report(spark, ReportSpec.from_request(req["android_only"]), default_registry(SF001))
     assert back.columns == ["month", "year", "sessions", "active_users"]
     assert sorted(back.collect()) == sorted(want.collect())
+    with pytest.raises(SystemExit):
+        run(["--data", SF001, "--out", d, "--request", os.path.join(d, "req.json"), "--year", "1997"], spark=spark)
+
+
+def test_written_under_headings(spark):
+    from almanac.functions.labels import HEADINGS
+    out = tempfile.mkdtemp(prefix="almanac-cli-")
+    path = run(["--data", SF001, "--year", "1997", "--out", out, "--display"], spark=spark)
+    for name in ("web", "app", "organic"):
+        back = spark.read.parquet(os.path.join(path, name))
+        assert back.columns == list(HEADINGS[name].values())
+        assert all(r[-1].startswith("R$ ") for r in back.collect())
+
+
+@pytest.mark.parametrize("more", [["--year", "1997", "--start", "1997-01-01", "--end", "1997-02-01"], ["--bindings", "x", "--year", "1997"], []])
+def test_unusable_options_are_refused(spark, more):
+    with pytest.raises(SystemExit):
+        run(["--data", SF001, "--out", "/tmp/none", *more], spark=spark)
+
+
+def test_own_tables(spark, capsys):
+    import json
+    d = tempfile.mkdtemp(prefix="almanac-cli-")
+    rows = [("2025-01-10 10:00:00", 1, "web", "Organic Search", True, 10.0, "2025-01-10"),
+            ("2025-01-10 10:10:00", 1, "web", "Other", False, 5.0, "2025-01-10"),
+            ("2025-02-03 08:00:00", 2, "Android", None, True, 2.5, "2025-02-03")]
+    df = spark.createDataFrame(rows, "at string, who long, device string, source string, active boolean, paid double, day string")
+    df.selectExpr("cast(at as timestamp_ntz) at", "who", "device", "source", "active", "paid", "cast(day as date) day").write.partitionBy("day").parquet(f"{d}/hits")
+    entry = {"path": f"{d}/hits", "partition_date": "day", "columns": {
+        "ts": "at", "user_id": "who", "platform": "device", "channel": "source", "engaged": "active", "revenue": "paid"}}
+    with open(f"{d}/tables.json", "w") as f:
+        json.dump({"ecommerce": entry, "second": entry}, f)
+    path = run(["--bindings", f"{d}/tables.json", "--year", "2025", "--out", f"{d}/out", "--internal-names"], spark=spark)
+    assert sorted(os.listdir(path)) == ["app", "organic", "web"]
+    web = spark.read.parquet(f"{path}/web").first()
+    assert (web.month, web.sessions, web.revenue) == ("janeiro", 1, 15.0)
+    assert "web: 1 meses" in capsys.readouterr().out
+    with open(f"{d}/bad.json", "w") as f:
+        json.dump({"ecommerce": entry | {"limit": 3}}, f)
+    with pytest.raises(ValueError):
+        run(["--bindings", f"{d}/bad.json", "--year", "2025", "--out", f"{d}/out"], spark=spark)

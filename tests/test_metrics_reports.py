@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF01, binding_of, events_df, plan_of
 
 from almanac.operators import totals as TO
-from almanac.operators.metrics import aggregate_levels, cents
+from almanac.operators.metrics import aggregate_levels, money
 from almanac.plans import report as R
 from almanac.plans.spec import DateRange, Exact, ReportSpec
 from almanac.sources.properties import default_registry
@@ -88,14 +88,14 @@ def test_scaffold_adds_only_zero_rows(spark):
 def test_levels_equal_direct_distinct_counts(spark):
     """X2 path = count(DISTINCT ...) path, and its plan has no Expand."""
     ev = default_registry(SF01)["ecommerce"].frame(spark, {"user_id", "session_id", "engaged", "revenue"})
-    ev = ev.withColumns({"y": F.year("ts"), "revenue_cents": cents("revenue")})
+    ev = ev.withColumns({"y": F.year("ts"), "revenue_amount": money("revenue")})
     lv = aggregate_levels(ev, ["y"], ["sessions", "activeUsers", "engagementRate", "totalRevenue"])
     direct = ev.groupBy("y").agg(
         F.countDistinct("session_id").alias("sessions"), F.countDistinct("user_id").alias("active_users"),
         F.countDistinct(F.when(F.col("engaged"), F.col("session_id"))).alias("engaged_sessions"),
-        F.sum("revenue_cents").alias("revenue_cents"))
-    a = sorted(tuple(r) for r in lv.select("y", "sessions", "active_users", "engaged_sessions", "revenue_cents").collect())
-    b = sorted(tuple(r) for r in direct.select("y", "sessions", "active_users", "engaged_sessions", "revenue_cents").collect())
+        F.sum("revenue_amount").alias("revenue_amount"))
+    a = sorted(tuple(r) for r in lv.select("y", "sessions", "active_users", "engaged_sessions", "revenue_amount").collect())
+    b = sorted(tuple(r) for r in direct.select("y", "sessions", "active_users", "engaged_sessions", "revenue_amount").collect())
     assert a == b
     assert "Expand" not in plan_of(lv)
     assert "Expand" in plan_of(direct)

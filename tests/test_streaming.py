@@ -38,7 +38,7 @@ def test_month_split(spark):
         (1, "2025-01-31 23:50:00", 1, None, "web", None, True, 1.0),
         (2, "2025-02-01 00:10:00", 1, None, "web", None, False, 2.0),
     ])
-    rows = sorted((r.month, r.n_events, r.engaged, r.revenue_cents) for r in ST.session_rows(df).collect())
+    rows = sorted((r.month, r.n_events, r.engaged, int(r.revenue_amount * 100)) for r in ST.session_rows(df).collect())
     assert rows == [("01", 1, 1, 100), ("02", 1, 0, 200)]       # one session, counted in both months
 
 
