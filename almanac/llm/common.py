@@ -132,11 +132,6 @@ class Words:
         return acc
 
 
-def word_hash(word: str) -> int:
-    """The hash :class:`Words` gives this word."""
-    return int(Words(pa.array([word])).hash[0])
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A fixed bijective scramble of 64-bit integers (splitmix64 finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -154,11 +149,3 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
     for i in range(k):
         acc = mix64(acc * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n])
     return acc
-
-
-def shingle_set(h: np.ndarray, k: int) -> np.ndarray:
-    """Sorted distinct shingle hashes: of ``k`` words, or the whole sequence
-    as one when it is shorter; empty without words."""
-    if len(h) == 0:
-        return np.empty(0, np.uint64)
-    return np.unique(rolling(h, k) if len(h) >= k else rolling(h, len(h)))

@@ -83,4 +83,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # All pairs of documents that share a shingle, then reachability.
+    "op1_jaccard": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS a FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(a) = 0 THEN [] WHEN len(a) < 4 THEN [array_to_string(a, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(a) - 2), lambda i: array_to_string(a[i:i + 3], ' '))) END AS sh FROM w),
+u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+p AS (
+  SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT i, j FROM p WHERE 100 * c >= 85 * (na + nb - c)),
+r(i, j) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.i, e.j FROM r JOIN e ON r.j = e.i)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, m.c AS component_id
+FROM s JOIN (SELECT i, min(j) AS c FROM r GROUP BY 1) m ON m.i = s.doc_id""",
+    # The turns themselves; what formatting adds is three markers, a line end and an escape a control string.
+    "op10_chat": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+d AS (
+  SELECT *, (length(role || text) - length(regexp_replace(role || text, '<(\\*\|im_(start|sep|end)\|>)', '\1', 'g'))) AS escapes FROM c)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(role) + length(text) + escapes + length('<|im_start|><|im_sep|><|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM d GROUP BY conv_id""",
+}

@@ -63,6 +63,14 @@ def test_toxicity_edges(spark):
     assert toxicity.score(docs.limit(0), toxicity.fit(docs, both)).count() == 0
 
 
+def test_features_do_not_depend_on_neighbours():
+    texts = ["Ends with a sign.", "you 1d10t!", None, "", "it's", "3 x?", "!start", "A", "AA", "é", ".", "A"]
+    lexicon = toxicity.Lexicon(np.array([int.from_bytes(b"idiot ", "little")], np.uint64), np.ones(1))
+    together = toxicity.features(pa.array(texts), lexicon)
+    assert (together == np.vstack([toxicity.features(pa.array([t], pa.string()), lexicon) for t in texts])).all()
+    assert together[1, toxicity.FEATURES.index("hidden hits")] > 0
+
+
 def test_isotonic_never_falls_and_trees_learn():
     rng = np.random.default_rng(1)
     m = rng.normal(size=500)
