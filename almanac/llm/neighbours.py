@@ -20,8 +20,9 @@ way costs less than the tables.
 
 Defined results: vectors that are null, empty, zero or hold a null or a
 non-finite number take no part; only vectors of a query's length are compared
-with it; rows of the query's own id are left out; equal products go to the
-smaller id; without queries or rows there is no result; extra columns are not
+with it; rows of the query's own id are left out; rows of one id count once,
+the one with the smallest components; equal products go to the smaller id;
+without queries or rows there is no result; extra columns are not
 read.
 """
 
@@ -127,6 +128,15 @@ def best(rows: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, pick: n
     return ids[pick][order], exact[order]
 
 
+def one_each(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One row an id.  All rows of an id are in one block and chunk."""
+    if len(np.unique(ids)) == len(ids):
+        return ids, rows
+    order = np.lexsort((*rows.T[::-1], ids))
+    keep = order[np.append(True, np.diff(ids[order]) != 0)]
+    return ids[keep], rows[keep]
+
+
 def matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
@@ -173,8 +183,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOC
         if left.num_rows == 0 or right.num_rows == 0:
             return out.empty_table()
         dim = key[0].as_py()
-        x, ids = matrix(left["embedding"], dim), left["vec_id"].to_numpy()
-        q, names = matrix(right["embedding"], dim), right["vec_id"].to_numpy()
+        ids, x = one_each(left["vec_id"].to_numpy(), matrix(left["embedding"], dim))
+        names, q = one_each(right["vec_id"].to_numpy(), matrix(right["embedding"], dim))
         index = Tables(x, norms[dim], tables, hashes, width, probes) if len(x) > whole else None
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for a in range(0, len(q), 256):

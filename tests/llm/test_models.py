@@ -142,6 +142,7 @@ def test_neighbour_edges(spark):
             (7, []), (20, [float("inf"), 1.0]), (40, [1.0, 2.0, 3.0]), (60, [-1.0, 5.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, score string")
     from pyspark.sql import functions as F
+    df = df.unionByName(df).unionByName(df.where("vec_id = 60").selectExpr("vec_id", "array(float(3), float(3)) embedding", "score"))
     got = [tuple(r) for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=2).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (60, 1, 0, -1.0), (60, 2, 1, -1.0)]
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
