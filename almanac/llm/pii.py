@@ -25,12 +25,15 @@ Kinds are listed as email, ip, card, phone; equal starts go by end.
 
 from __future__ import annotations
 
+import heapq
 import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as Over
 from pyspark.sql import functions as F
 
 from almanac.llm.common import columns
@@ -392,21 +395,26 @@ def sample(docs: DataFrame, size: int = SAMPLE) -> list[tuple[str, list[tuple[in
     their base spans, those with the smallest hashes over all documents, kinds
     taken in equal shares with snippets without any."""
 
+    share = size // (len(KINDS) + 1)
+
     def run(batches):
+        found: dict[int, set[tuple[int, str]]] = {}
         for b in batches:
-            texts, kinds = [], []
             for t in b.column(1).to_pylist():
                 taken = base_spans(t)
                 for w in windows(t) if t and _ANY_CUE.search(t) else ():
                     lo, hi = w.tokens[0][0], w.tokens[-1][1]
                     if hi - lo <= 400:
-                        texts.append(t[lo:hi])
-                        kinds.append(next((k for k, a, e in taken if lo <= a and e <= hi), -1))
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(kinds, pa.int32())], names=["snippet", "kind"])
-
-    found = columns(docs).mapInArrow(run, "snippet string, kind int").withColumn("h", F.xxhash64("snippet"))
-    share = size // (len(KINDS) + 1)
-    picked = [r for k in range(-1, len(KINDS)) for r in found.where(F.col("kind") == k).orderBy("h", "snippet").limit(share).collect()]
+                        kind = next((k for k, a, e in taken if lo <= a and e <= hi), -1)
+                        found.setdefault(kind, set()).add((xxhash.xxh3_64_intdigest(t[lo:hi].encode()) >> 1, t[lo:hi]))
+            found = {k: set(heapq.nsmallest(share, v)) for k, v in found.items()}   # a task keeps no more
+        rows = [(k, *x) for k, v in sorted(found.items()) for x in sorted(v)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.string()))],
+                                         names=["kind", "h", "snippet"])
+
+    found = columns(docs).mapInArrow(run, "kind int, h long, snippet string").distinct()
+    rank = F.row_number().over(Over.partitionBy("kind").orderBy("h", "snippet"))
+    picked = found.withColumn("rank", rank).where(F.col("rank") <= share).orderBy("kind", "rank").collect()
     return [(r.snippet, base_spans(r.snippet)) for r in picked]
 
 
