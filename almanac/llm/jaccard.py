@@ -14,9 +14,9 @@ documents link when ``100 * |x & y| >= percent * |x | y|``.
 3. A set's tokens are ordered rarest first (unshared ones lead).  Only sets with
    enough shared tokens for any link stay: they keep the shared tokens, all that
    an intersection can hold.  The prefix is the first ``n - ceil(t n) + 1``.
-4. Candidates share a prefix token.  Sets of one token's list are first compared
-   with the list's centre, each with one centre a round, which joins the members
-   of a large group of near copies without listing their pairs.  Then every pair
+4. Candidates share a prefix token.  Each set is first compared with one centre
+   of the lists it is on, which joins the members of a large group of near
+   copies without listing their pairs.  Then every pair
    of *different* components that shares a prefix token and passes the length
    and positional filters and a parity-bitmap bound on the difference is
    compared: no link between different components goes unseen.
@@ -42,8 +42,8 @@ from almanac.llm.components import connected
 
 #: A shingle of more than this share of documents, and at least so many, goes to salted buckets.
 FREQUENT, FREQUENT_LEAST = 1 / 256, 1000
-#: Rounds of comparing with centres before the full comparison; 64-bit words of a bitmap.
-CENTRE_ROUNDS, MAPS = 2, 8
+#: 64-bit words of a bitmap.
+MAPS = 8
 #: Bytes of text worked on at once in a task.
 SLICE = 8 << 20
 
@@ -240,21 +240,22 @@ def records(back: DataFrame, percent: int) -> DataFrame:
 
 # -- candidates ---------------------------------------------------------------
 def postings(recs: DataFrame, percent: int) -> DataFrame:
-    """``h, fp, pos`` of every prefix token of every set (pos: its place in the
-    set's order)."""
+    """``h, fp, pos, u`` of every prefix token of every set (pos: its place in the
+    set's order; u: the set's unshared tokens)."""
 
     def run(batches):
         for b in batches:
-            out = [[], [], []]
+            out = [[], [], [], []]
             for fp, n, u, tokens in zip(*(c.to_pylist() for c in b.columns)):
                 own = np.frombuffer(tokens, np.int64)[:n - needed(n, percent) + 1 - u]
                 out[0].append(own)
                 out[1].append(np.full(len(own), fp, np.int64))
                 out[2].append(np.arange(u, u + len(own)))
+                out[3].append(np.full(len(own), u, np.int64))
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["h", "fp", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["h", "fp", "pos", "u"])
 
-    return recs.select("fp", "n", "u", "tokens").mapInArrow(run, "h long, fp long, pos long")
+    return recs.select("fp", "n", "u", "tokens").mapInArrow(run, "h long, fp long, pos long, u long")
 
 
 def overlap_needed(nx: Column, ny: Column, percent: int) -> Column:
@@ -301,61 +302,69 @@ def linked(x: np.ndarray, nx: int, y: np.ndarray, ny: int, percent: int) -> bool
 
 
 def verify(pairs: DataFrame, recs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link."""
+    """The pairs (a, b) that link, with the pairs' other (long) columns."""
+    kept = pairs.columns
     side = recs.select("fp", "n", "tokens")
     full = (pairs.join(side.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
             .join(side.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
-            .select("a", "b", "na", "ta", "nb", "tb"))
+            .select("na", "ta", "nb", "tb", *kept))
 
     def run(batches):
         for b in batches:
             ok = [linked(np.frombuffer(ta, np.uint64), na, np.frombuffer(tb, np.uint64), nb, percent)
-                  for _, _, na, ta, nb, tb in zip(*(c.to_pylist() for c in b.columns))]
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return full.mapInArrow(run, "a long, b long")
+                  for na, ta, nb, tb in zip(*(c.to_pylist() for c in b.columns[:4]))]
+            yield b.select(kept).filter(pa.array(ok, pa.bool_()))
+
+    return full.mapInArrow(run, ", ".join(f"{c} long" for c in kept))
+
+
+def centre_pairs(lists: DataFrame) -> DataFrame:
+    """Each set with the centre it shares most tokens with (a < b, each pair
+    once).  A list's centre is its set with the fewest unshared tokens: of a
+    group of near copies, the text they were made from."""
+    top = (lists.groupBy("h").agg(F.min(F.struct("u", "fp")).alias("top"), F.count("*").alias("many"))
+           .where("many > 1").select("h", F.col("top.fp").alias("centre")))
+    met = lists.join(top, "h").where("fp <> centre").select("fp", "centre").repartition("fp")
+    best = (met.groupBy("fp", "centre").agg(F.count("*").alias("c"))
+            .groupBy("fp").agg(F.max(F.struct("c", "centre")).alias("m")))
+    return best.select(F.least("fp", "m.centre").alias("a"), F.greatest("fp", "m.centre").alias("b")).distinct()
+
+
+def other_pairs(lists: DataFrame, recs: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Every pair of sets of different components (ca, cb) that share a prefix
+    token and pass the filters.  A list is entered from the sets that are not
+    in its largest component, so a list of one component yields nothing."""
+    entry = lists.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    main = (entry.groupBy("h", "component").agg(F.count("*").alias("members"))
+            .groupBy("h").agg(F.max(F.struct("members", "component")).alias("top"), F.count("*").alias("many"))
+            .where("many > 1").select("h", F.col("top.component").alias("main")))
+    full = entry.drop("u").join(main, "h").join(recs.select("fp", "n", "u", *[f"m{i}" for i in range(MAPS)]), "fp")
+    x, y = full.where("component <> main").alias("x"), full.alias("y")
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.fp") < F.col("y.fp"))
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & once
+                 & may_link("x", "y", percent) & may_differ_little("x", "y", percent))
+    swap = F.col("x.fp") > F.col("y.fp")
+    return met.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"),
+                      F.when(swap, F.col("y.component")).otherwise(F.col("x.component")).alias("ca"),
+                      F.when(swap, F.col("x.component")).otherwise(F.col("y.component")).alias("cb")).distinct()
 
 
 def classes(recs: DataFrame, percent: int) -> DataFrame:
     """``fp, component`` of every set that links with another."""
     lists = store(postings(recs, percent), "postings")
-    maps = [f"m{i}" for i in range(MAPS)]
-    labels = recs.select("fp", F.col("fp").alias("component"))
-    tested = None
-    for last in (False,) * CENTRE_ROUNDS + (True,):
-        entry = lists.join(labels, "fp")
-        if not last:
-            # One row a token and component; its centre is the largest component's first set.
-            of = entry.groupBy("h", "component").agg(F.count("*").alias("members"), F.min("fp").alias("fp"))
-            top = of.groupBy("h").agg(F.max(F.struct("members", "fp", "component")).alias("top"), F.count("*").alias("many")).where("many > 1")
-            met = of.join(top, "h").where(F.col("component") != F.col("top.component"))
-            # Each component meets one centre a round: the one it shares most tokens with.
-            pairs = (met.groupBy("component", "fp", F.col("top.fp").alias("centre")).agg(F.count("*").alias("c"))
-                     .groupBy("component").agg(F.max(F.struct("c", "centre", "fp")).alias("m"))
-                     .select(F.least("m.centre", "m.fp").alias("a"), F.greatest("m.centre", "m.fp").alias("b")).distinct())
-        else:
-            # Every pair of different components on a token's list, from the side that is not its largest component.
-            of = entry.groupBy("h", "component").agg(F.count("*").alias("members"))
-            top = of.groupBy("h").agg(F.max(F.struct("members", "component")).alias("top"), F.count("*").alias("many")).where("many > 1")
-            full = (entry.join(top.select("h", F.col("top.component").alias("main")), "h")
-                    .join(recs.select("fp", "n", "u", *maps), "fp"))
-            x, y = full.where("component <> main").alias("x"), full.alias("y")
-            once = (F.col("y.component") == F.col("y.main")) | (F.col("x.fp") < F.col("y.fp"))
-            pairs = (x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & once
-                            & may_link("x", "y", percent) & may_differ_little("x", "y", percent))
-                     .select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = store(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = verify(pairs, recs, percent)
-        of_a, of_b = (labels.select(F.col("fp").alias(s), F.col("component").alias(f"c{s}")) for s in "ab")
-        edges = store(found.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
-        if edges.isEmpty():
-            continue
-        merged = connected(edges).select(F.col("node").alias("component"), F.col("component").alias("now"))
-        labels = store(labels.join(merged, "component", "left").select("fp", F.coalesce("now", "component").alias("component")), "classes")
-    return labels
+    tested = store(centre_pairs(lists), "pairs")
+    links = store(verify(tested, recs, percent), "links")
+    labels = connected(links).select(F.col("node").alias("fp"), "component")
+    pairs = other_pairs(lists, recs, labels, percent).join(tested, ["a", "b"], "left_anti")
+    more = store(verify(store(pairs, "pairs"), recs, percent), "links")
+    if more.isEmpty():
+        return labels
+    merged = connected(more.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    now = merged.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    # Components joined to others, and sets that had no link before.
+    fresh = now.select(F.col("component").alias("fp"), F.col("now").alias("component"))
+    old = labels.join(now, "component", "left").select("fp", F.coalesce("now", "component").alias("component"))
+    return old.unionByName(fresh).groupBy("fp").agg(F.min("component").alias("component"))
 
 
 # -- the operator -------------------------------------------------------------
