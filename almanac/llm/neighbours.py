@@ -8,8 +8,17 @@ first), ``probes`` buckets a table; what the ``tables`` tables give is merged an
 ranked by the exact inner product.
 
 Largest inner product becomes smallest distance by one more coordinate: rows are
-scaled by the largest norm M and get sqrt(1 - |x|^2), queries are scaled to
-length 1 and get 0.
+scaled by the largest norm M of their band and get sqrt(1 - |x|^2), queries are
+scaled to length 1 and get 0.  A band holds the rows of a block whose norms are
+more than ``ratio`` times its largest, so that rows of other norms do not shrink
+them towards one point; every band has its own tables.
+
+Bands are searched from the largest norm down.  A band whose norm cannot reach
+the k-th product found so far is left out, which loses nothing.  For the others
+the chance is computed that the probes of this query missed a row as good as the
+k-th found: given a . q, a . (x - q) is normal, so each probed bucket has a known
+chance, and tables are independent.  If it is above ``miss``, or fewer than k
+rows are found, the query is compared with the whole band.
 
 Rows are dealt by a hash of their id into blocks of at most ``block`` rows, the
 stated queries into chunks, and every chunk meets every block in one cogroup:
@@ -40,6 +49,11 @@ from almanac.llm.common import partitions
 
 TABLES, HASHES, WIDTH, PROBES = 24, 12, 2.4, 100
 BLOCK, CHUNK, WHOLE = 16384, 4096, 4096
+#: Smallest norm in a band as a share of its largest; chance of a missed row above which a band is compared whole.
+RATIO, MISS = 0.8, 0.01
+#: The normal distribution function on a grid.
+_AT = np.linspace(-9, 9, 36001)
+_BELOW = np.array([0.5 * math.erfc(-z / math.sqrt(2)) for z in _AT])
 
 
 def probe_sets(hashes: int, probes: int) -> np.ndarray:
@@ -64,11 +78,11 @@ def probe_sets(hashes: int, probes: int) -> np.ndarray:
 
 
 class Tables:
-    """The hash tables of one block."""
+    """The hash tables of one band of a block."""
 
     def __init__(self, rows: np.ndarray, norm: float, tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH,
-                 probes: int = PROBES, seed: int = 7):
-        rng = np.random.default_rng(seed)    # the same numbers in every task
+                 probes: int = PROBES, seed: int | tuple[int, ...] = 7):
+        rng = np.random.default_rng(seed)    # the same numbers whenever a task runs again
         dim = rows.shape[1] + 1
         self.hashes, self.width = hashes, width
         self.a = rng.normal(size=(tables, dim, hashes))
@@ -109,6 +123,85 @@ class Tables:
                 flat[np.repeat(who, size) * self.n + member] = True
         return met
 
+    def missed(self, queries: np.ndarray, product: np.ndarray) -> np.ndarray:
+        """The chance that no probe of a query meets a row whose product with it,
+        both scaled, is the one given."""
+        q = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+        c = np.clip(product, -1, 1)[:, None]
+        spread = np.maximum(np.sqrt(1 - c * c), 1e-9) / self.width
+        sets = self.sets.T.astype(float)
+        out = np.ones(len(q))
+        for a, b in zip(self.a, self.b):
+            along = q @ a[:-1]
+            place = (along + b) / self.width
+            inside = place - np.floor(place)
+            middle = inside - (1 - c) * along / self.width       # where such a row's place is expected
+            edges = [np.interp((e - middle) / spread, _AT, _BELOW) for e in (-1, 0, 1, 2)]
+            down, stay, up = (np.log(np.maximum(y - x, 1e-30)) for x, y in zip(edges, edges[1:]))
+            near = np.argsort(np.concatenate([inside, 1 - inside], axis=1), axis=1, kind="stable")
+            step = np.take_along_axis(np.concatenate([down - stay, up - stay], axis=1), near, axis=1)
+            met = np.exp(stay.sum(axis=1, keepdims=True) + step @ sets).sum(axis=1)
+            out *= np.clip(1 - met, 0, 1)
+        return out
+
+
+def bands(rows: np.ndarray, ratio: float) -> list[tuple[np.ndarray, float]]:
+    """The rows' places by norm, largest first, cut where a norm falls to
+    ``ratio`` times the band's largest; with that largest norm."""
+    norm = np.linalg.norm(rows, axis=1)
+    order = np.argsort(-norm, kind="stable")
+    falling = -norm[order]
+    out, a = [], 0
+    while a < len(order):
+        b = max(a + 1, int(np.searchsorted(falling, ratio * falling[a], side="left")))
+        out.append((order[a:b], float(-falling[a])))
+        a = b
+    return out
+
+
+class Block:
+    """One block of rows: its bands, with tables made when first asked for."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, k: int, ratio: float, miss: float, seed: tuple[int, ...], *shape):
+        self.k, self.miss, self.seed, self.shape = k, miss, seed, shape
+        self.parts = [(np.ascontiguousarray(rows[p]), ids[p], top) for p, top in bands(rows, ratio)]
+        self.tables: dict[int, Tables] = {}
+        self.scans = 0      # bands compared whole, over all queries
+
+    def search(self, queries: np.ndarray, names: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and products of the best rows of each query."""
+        none = (np.empty(0, np.int64), np.empty(0))
+        found, length = [none] * len(queries), np.linalg.norm(queries, axis=1)
+        least = np.full(len(queries), -np.inf)       # the k-th product found
+        for n, (rows, ids, top) in enumerate(self.parts):
+            live = np.flatnonzero(length * top * (1 + 1e-9) >= least)
+            if not len(live):
+                break
+            if n not in self.tables:
+                self.tables[n] = Tables(rows, top, *self.shape, seed=(*self.seed, n))
+            met = self.tables[n].candidates(queries[live])
+            before = [found[i] for i in live]
+            for i, old, row in zip(live, before, met):
+                found[i] = merged(old, best(rows, ids, queries[i], names[i], np.flatnonzero(row), self.k), self.k)
+                least[i] = found[i][1][-1] if len(found[i][1]) == self.k else -np.inf
+            chance = self.tables[n].missed(queries[live], least[live] / (length[live] * top))
+            part = (chance > self.miss) & ~met.all(axis=1) | np.isinf(least[live])
+            rough = rows @ queries[live[part]].T
+            for i, old, r in zip(live[part], [x for x, y in zip(before, part) if y], rough.T):
+                found[i] = merged(old, best(rows, ids, queries[i], names[i], np.arange(len(ids)), self.k, r), self.k)
+                least[i] = found[i][1][-1] if len(found[i][1]) == self.k else -np.inf
+            self.scans += int(part.sum())
+        return found
+
+
+def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best of two results over different rows."""
+    if not len(a[0]):
+        return b
+    ids, score = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+    order = np.lexsort((ids, -score))[:k]
+    return ids[order], score[order]
+
 
 def products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Inner products added up from the first component on, so that equal
@@ -116,10 +209,13 @@ def products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.cumsum(rows * query, axis=1)[:, -1]
 
 
-def best(rows: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, pick: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``k`` best of the picked rows: ids and exact products, best first."""
-    pick = pick[ids[pick] != own]
-    rough = rows[pick] @ query
+def best(rows: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, pick: np.ndarray, k: int,
+         rough: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best of the picked rows: ids and exact products, best first.
+    ``rough``: the products of the picked rows, where they are known."""
+    other = ids[pick] != own
+    pick = pick[other]
+    rough = rows[pick] @ query if rough is None else rough[other]
     if len(rough) > k:
         edge = np.partition(rough, len(rough) - k)[len(rough) - k]
         pick = pick[rough >= edge - 1e-9 * max(1.0, abs(edge)) - 1e-12 * np.abs(rough).max()]
@@ -149,15 +245,15 @@ def usable(vector: str) -> Column:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOCK, chunk: int = CHUNK, whole: int = WHOLE,
-            tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH, probes: int = PROBES) -> DataFrame:
+            tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH, probes: int = PROBES,
+            ratio: float = RATIO, miss: float = MISS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` rows found with the largest
     inner product for every row that ``is_query`` (a condition on ``vec_id``)."""
     spark = vectors.sparkSession
     rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
             .where(F.col("vec_id").isNotNull() & usable("embedding")).withColumn("dim", F.size("embedding")))
-    square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
-    sizes = {r.dim: r for r in rows.groupBy("dim").agg(F.count("*").alias("n"), F.sqrt(F.max(square)).alias("norm"),
-                                                       F.sum(F.coalesce(is_query, F.lit(False)).cast("long")).alias("q")).collect()}   # a row a length
+    sizes = {r.dim: r for r in rows.groupBy("dim").agg(
+        F.count("*").alias("n"), F.sum(F.coalesce(is_query, F.lit(False)).cast("long")).alias("q")).collect()}   # a row a length
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
 
@@ -167,7 +263,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOC
     blocks = {d: split(r.n, block) for d, r in sizes.items()}
     tasks = partitions(spark)
     chunks = {d: max(split(r.q, chunk), min(split(tasks, blocks[d]), split(r.q, 256))) for d, r in sizes.items()}
-    norms = {d: float(r.norm) for d, r in sizes.items()}
 
     def number(of: dict[int, int]) -> Column:
         return F.element_at(F.create_map(*[x for d, n in of.items() for x in (F.lit(d), F.lit(n))]), F.col("dim"))
@@ -185,11 +280,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOC
         dim = key[0].as_py()
         ids, x = one_each(left["vec_id"].to_numpy(), matrix(left["embedding"], dim))
         names, q = one_each(right["vec_id"].to_numpy(), matrix(right["embedding"], dim))
-        index = Tables(x, norms[dim], tables, hashes, width, probes) if len(x) > whole else None
+        rows = Block(x, ids, k, ratio, miss, (7, dim, key[1].as_py()), tables, hashes, width, probes) if len(x) > whole else None
         found: list[tuple[np.ndarray, np.ndarray]] = []
         for a in range(0, len(q), 256):
-            met = index.candidates(q[a:a + 256]) if index else np.ones((len(q[a:a + 256]), len(x)), bool)
-            found += [best(x, ids, q[a + i], names[a + i], np.flatnonzero(met[i]), k) for i in range(len(met))]
+            y = slice(a, a + 256)
+            found += rows.search(q[y], names[y]) if rows else [
+                best(x, ids, v, own, np.arange(len(ids)), k) for v, own in zip(q[y], names[y])]
         n = [len(f[0]) for f in found]
         return pa.table([pa.array(np.repeat(names, n)), pa.array(np.concatenate([f[0] for f in found])),
                          pa.array(np.concatenate([f[1] for f in found]))], schema=out)

@@ -137,6 +137,52 @@ def test_blocks_and_tables_through_spark(spark):
     assert np.mean([len(got[q] & {j for _, j in w}) / 10 for q, w in want.items()]) >= 0.9
 
 
+@pytest.mark.parametrize("norms", ["one of 2", "one of 5", "one of 50", "lognormal"])
+def test_tables_reach_recall_on_mixed_norms(spark, norms):
+    ids, x = vectors_of(spark, "/root/testdata/sf0.1/embeddings.parquet")
+    if norms == "lognormal":
+        x *= np.exp(np.random.default_rng(1).normal(size=(len(x), 1)))
+    else:
+        x[77] *= int(norms.split()[-1])
+    want = brute_nearest(ids, x, 20)
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(list(zip(ids.tolist(), x.tolist())), "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=20, whole=0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert np.mean([len(got[q] & {j for _, j in w}) / 20 for q, w in want.items()]) >= 0.98
+
+
+def test_chance_of_a_missed_row_is_what_happens():
+    rng = np.random.default_rng(4)
+    q = rng.normal(size=(1, 16))
+    unit = q / np.linalg.norm(q)
+    for c in (0.5, 0.7, 0.9):
+        away = rng.normal(size=(400, 16))
+        away -= (away @ unit.T) * unit
+        x = c * unit + np.sqrt(1 - c * c) * away / np.linalg.norm(away, axis=1, keepdims=True)   # products of c
+        told, was = [], []
+        for seed in range(40):
+            t = neighbours.Tables(x, 1.0, tables=2, probes=30, seed=seed)
+            told.append(t.missed(q, np.array([c]))[0])
+            was.append(1 - t.candidates(q).mean())
+        assert abs(np.mean(told) - np.mean(was)) < 0.03
+
+
+def test_bands_without_better_rows_are_left_out_and_sure_ones_not_scanned():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(50, 32))
+    x = np.repeat(centres / np.linalg.norm(centres, axis=1, keepdims=True), 40, axis=0) + 0.002 * rng.normal(size=(2000, 32))
+    x[1::2] *= 0.01
+    ids = np.arange(len(x))
+    b = neighbours.Block(x, ids, 10, neighbours.RATIO, neighbours.MISS, (7,))
+    got = b.search(x[::40], ids[::40])
+    assert len(b.parts) == 2 and list(b.tables) == [0] and b.scans == 0
+    for i, (found, _) in zip(ids[::40], got):
+        assert found.tolist() == neighbours.best(x, ids, x[i], i, ids, 10)[0].tolist()
+
+
 def test_neighbour_edges(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]), (6, [None, 1.0]),
             (7, []), (20, [float("inf"), 1.0]), (40, [1.0, 2.0, 3.0]), (60, [-1.0, 5.0]), (None, [1.0, 1.0])]
