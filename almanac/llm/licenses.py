@@ -8,6 +8,12 @@ document; neighbouring diagonals (a word put in or left out) are merged into
 one candidate span, and the span is verified against the template by its share
 of the template's words that occur there in order.
 
+Notices of some licenses differ in a word or two.  A template that holds the name
+of its license (``NAMES``) is kept only where the text has a name of that license
+in the same place, the longest name that stands there.  Of spans with different
+labels that then still cover one place, the one with the best share both ways
+(of the template's words and of the span's) is kept.
+
 The template table is the only broadcast side; its size is fixed by the
 templates given (a few thousand rows), checked before the hint.  A word run that
 half of all documents share meets at most its places in the templates, so votes
@@ -107,6 +113,26 @@ TEMPLATES = {
     ),
 }
 
+# Names that tell a license from those with like notices; "" are
+# licenses without a template.  Where one name begins another, the longer counts.
+_NC, _SA = ("noncommercial", "non commercial"), ("sharealike", "share alike")
+_ND = ("noderivatives", "no derivatives", "noderivs", "no derivs")
+NAMES = {
+    "gnu general public": "gpl",
+    "gnu lesser general public": "lgpl",
+    "gnu library general public": "lgpl",
+    "gnu affero general public": "agpl",
+    "creative commons attribution": "cc-by",
+    "cc by": "cc-by",
+    "cc by nc": "cc-by-nc",
+    "cc by sa": "cc-by-sa",
+    **{f"cc by {x}": "" for x in ("nd", "nc sa", "nc nd")},
+    **{f"creative commons attribution {x}": "cc-by-nc" for x in _NC},
+    **{f"creative commons attribution {x}": "cc-by-sa" for x in _SA},
+    **{f"creative commons attribution {x}": "" for x in _ND},
+    **{f"creative commons attribution {x} {y}": "" for x in _NC for y in (*_SA, *_ND)},
+}
+
 #: Words in a run; how far diagonals of one span may lie apart; the share of a
 #: template's words that a span must hold in order.
 K, NEIGHBOUR, SHARE = 3, 3, 0.75
@@ -147,10 +173,31 @@ def word_runs(docs: DataFrame, k: int = K) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, row long, p int, hash long")
 
 
-def base_labels(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """``doc_id, row, n_words, n_base, first_word, last_word, base`` (the labels, an array)."""
+def name_words(names: dict[str, str]) -> list[tuple[str, np.ndarray]]:
+    """Label and words of each name, short ones first."""
+    return sorted(((label, Words(pa.array([n]), NO_ALNUM).hash) for n, label in names.items()), key=lambda x: len(x[1]))
+
+
+def named(w: Words, wanted: list[tuple[str, np.ndarray]]) -> dict[int, str]:
+    """Label of the longest name that begins at a word, by the word's number."""
+    first = {h: np.flatnonzero(w.hash == h) for h in {words[0] for _, words in wanted}}
+    out: dict[int, str] = {}
+    for label, words in wanted:
+        at = first[words[0]]
+        at = at[at + len(words) <= len(w.hash)]
+        for i, h in enumerate(words):
+            at = at[w.hash[at + i] == h]
+        at = at[at + len(words) <= w.starts[np.searchsorted(w.starts, at, side="right")]]
+        out.update(dict.fromkeys(at.tolist(), label))
+    return out
+
+
+def base_labels(docs: DataFrame, phrases: dict[str, str] = PHRASES, licenses: dict[str, str] = NAMES) -> DataFrame:
+    """``doc_id, row, n_words, n_base, first_word, last_word, base`` (the labels, an
+    array) and ``names`` (first word and label of every name of a license)."""
     wanted = [(label, Words(pa.array([p]), NO_ALNUM).hash) for p, label in phrases.items()]
     names = sorted({label for label, _ in wanted})
+    known = name_words(licenses)
 
     def run(batches):
         for b in (s for b in batches for s in slices(b)):
@@ -172,12 +219,17 @@ def base_labels(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFrame
                 np.maximum.at(high, d, p)
                 has[d, names.index(label)] = True
             none = count == 0
+            called: list[list[tuple[int, str]]] = [[] for _ in range(n)]
+            for at, label in sorted(named(w, known).items()):
+                called[doc_of_end[at]].append((int(at - w.starts[doc_of_end[at]]), label))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(np.diff(w.starts)), pa.array(count), pa.array(low, mask=none),
-                 pa.array(high, mask=none), pa.array([[x for x, y in zip(names, r) if y] for r in has], pa.list_(pa.string()))],
-                names=["doc_id", "row", "n_words", "n_base", "first_word", "last_word", "base"])
+                 pa.array(high, mask=none), pa.array([[x for x, y in zip(names, r) if y] for r in has], pa.list_(pa.string())),
+                 pa.array([[{"p": p, "label": x} for p, x in r] for r in called], pa.list_(pa.struct([("p", pa.int32()), ("label", pa.string())])))],
+                names=["doc_id", "row", "n_words", "n_base", "first_word", "last_word", "base", "names"])
 
-    return docs.mapInArrow(run, "doc_id long, row long, n_words long, n_base long, first_word long, last_word long, base array<string>")
+    return docs.mapInArrow(run, "doc_id long, row long, n_words long, n_base long, first_word long, last_word long, base array<string>, "
+                                "names array<struct<p: int, label: string>>")
 
 
 def diagonals(runs: DataFrame, table: DataFrame) -> DataFrame:
@@ -191,8 +243,9 @@ def diagonals(runs: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def verified(votes: DataFrame, sizes: list[tuple[str, int]], k: int = K, near: int = NEIGHBOUR, share: float = SHARE) -> DataFrame:
-    """``doc_id, row, label, share, low, high``: merged spans that hold at least
-    ``share`` of their template's words.  Diagonals of one document and template
+    """``doc_id, row, template, label, share, back, low, high, least, most``: merged
+    spans that hold at least ``share`` of their template's words; ``back`` is the
+    share of the span's words, ``least`` and ``most`` are its diagonals.  Diagonals of one document and template
     are a chain sorted by value; a step of more than ``near`` starts a new span."""
     from pyspark.sql import Window
 
@@ -205,34 +258,76 @@ def verified(votes: DataFrame, sizes: list[tuple[str, int]], k: int = K, near: i
             .withColumn("_new", (F.col("diagonal") - F.lag("diagonal").over(w) > near).cast("int"))
             .withColumn("span", F.sum(F.coalesce("_new", F.lit(0))).over(w))
             .groupBy("doc_id", "row", "template", "span")
-            .agg(covered.alias("covered"), F.min("low").alias("low"), (F.max("high") + k).alias("high"))
+            .agg(covered.alias("covered"), F.min("low").alias("low"), (F.max("high") + k).alias("high"),
+                 F.min("diagonal").alias("least"), F.max("diagonal").alias("most"))
             .withColumn("words", F.element_at(words, F.col("template") + 1))
             # words of the template in place, no more than the span has words
             .withColumn("share", F.least(F.size("covered"), F.col("high") - F.col("low")) / F.col("words"))
             .where((F.col("share") >= share) & (F.col("high") - F.col("low") <= 2 * F.col("words")))
-            .select("doc_id", "row", F.element_at(labels, F.col("template") + 1).alias("label"), "share", "low", "high"))
+            .withColumn("back", F.least(F.size("covered") / (F.col("high") - F.col("low")), F.lit(1.0)))
+            .select("doc_id", "row", "template", F.element_at(labels, F.col("template") + 1).alias("label"),
+                    "share", "back", "low", "high", "least", "most"))
+
+
+def decided(spans: list[dict], names: list[dict], places: list[list[int]], near: int = NEIGHBOUR) -> list[dict]:
+    """The spans of one text that stay.  ``places``: where each template has names
+    of its own license."""
+    def fits(s: dict) -> bool:
+        return not places[s["template"]] or any(
+            s["least"] - near <= n["p"] - t <= s["most"] + near for n in by_label.get(s["label"], ())
+            if s["low"] <= n["p"] < s["high"] for t in places[s["template"]])
+
+    by_label: dict[str, list[dict]] = {}
+    for n in names:
+        by_label.setdefault(n["label"], []).append(n)
+    kept: list[dict] = []
+    beside: dict[int, list[dict]] = {}          # kept spans by the parts of 256 words that they touch
+    for s in sorted(filter(fits, spans), key=lambda s: (-s["share"] * s["back"], s["low"] - s["high"], s["low"], s["template"])):
+        parts = range(s["low"] // 256, (s["high"] - 1) // 256 + 1)
+        if not any(t["label"] != s["label"] and 2 * (min(s["high"], t["high"]) - max(s["low"], t["low"])) >
+                   min(s["high"] - s["low"], t["high"] - t["low"]) for i in parts for t in beside.get(i, ())):
+            kept.append(s)
+            for i in parts:
+                beside.setdefault(i, []).append(s)
+    return sorted(kept, key=lambda s: (s["low"], s["high"], s["label"], s["share"]))
 
 
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, phrases: dict[str, str] = PHRASES,
-         k: int = K, near: int = NEIGHBOUR, share: float = SHARE) -> DataFrame:
+         k: int = K, near: int = NEIGHBOUR, share: float = SHARE, names: dict[str, str] = NAMES) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score, spans``."""
     spark = docs.sparkSession
     rows = columns(docs).withColumn("row", F.xxhash64("doc_id", "text"))
     sizes = [(label, len(words)) for label, words in template_words(templates)]
+    known = name_words(names)
+    places = [[p for p, x in named(Words(pa.array([t]), NO_ALNUM), known).items() if x == label]
+              for label, texts in templates.items() for t in texts]
     table = template_table(spark, templates, k)
     if 16 * sum(n for _, n in sizes) <= BROADCAST_LIMIT:
         table = F.broadcast(table)
     found = (verified(diagonals(word_runs(rows, k), table), sizes, k, near, share)
              .groupBy("doc_id", "row")
-             .agg(F.collect_set("label").alias("found"), F.max("share").alias("best"),
-                  F.array_sort(F.collect_list(F.struct("low", "high", "label", "share"))).alias("spans")))
-    none = F.array().cast("array<string>")
-    base, found = base_labels(rows, phrases).alias("b"), found.alias("f")
+             .agg(F.collect_list(F.struct("low", "high", "label", "share", "back", "template", "least", "most")).alias("spans")))
+    base, found = base_labels(rows, phrases, names).alias("b"), found.alias("f")
     same = (F.col("b.row") == F.col("f.row")) & F.col("b.doc_id").eqNullSafe(F.col("f.doc_id"))
+    span = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32()), ("label", pa.string()), ("share", pa.float64())]))
+
+    def decide(batches):
+        for b in batches:
+            spans = [s and decided(s, n, places, near) for s, n in zip(b.column("spans").to_pylist(), b.column("names").to_pylist())]
+            spans = [[{x: s[x] for x in ("low", "high", "label", "share")} for s in r] if r else None for r in spans]
+            keep = [c for c in b.schema.names if c not in ("spans", "names")]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(spans, span)], names=[*keep, "spans"])
+
+    none = F.array().cast("array<string>")
+    label = F.coalesce(F.transform("spans", lambda s: s["label"]), none)
+    best = F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0))
     return (base.join(found, same, "left")
-            .select("b.doc_id", "n_words", "n_base", "first_word", "last_word",
+            .select("b.doc_id", "n_words", "n_base", "first_word", "last_word", "base", "names", "spans")
+            .mapInArrow(decide, "doc_id long, n_words long, n_base long, first_word long, last_word long, base array<string>, "
+                                "spans array<struct<low: int, high: int, label: string, share: double>>")
+            .select("doc_id", "n_words", "n_base", "first_word", "last_word",
                     F.array_join(F.array_sort("base"), ",").alias("base_labels"),
-                    F.array_join(F.array_sort(F.array_union("base", F.coalesce("found", none))), ",").alias("labels"),
-                    F.when(F.col("n_base") > 0, 1.0).otherwise(F.least(F.coalesce("best", F.lit(0.0)), F.lit(1.0))).alias("score"),
+                    F.array_join(F.array_sort(F.array_union("base", label)), ",").alias("labels"),
+                    F.when(F.col("n_base") > 0, 1.0).otherwise(F.least(best, F.lit(1.0))).alias("score"),
                     "spans"))

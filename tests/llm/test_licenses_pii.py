@@ -62,6 +62,36 @@ def test_license_spans_and_edges(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+CC = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+
+
+@pytest.mark.parametrize("around", [False, True])
+def test_like_licenses_are_told_apart(spark, around):
+    from pyspark.sql import functions as F
+    (gpl, short), (lgpl,), (agpl,) = (licenses.TEMPLATES[x] for x in ("gpl", "lgpl", "agpl"))
+    lesser3 = gpl.replace("General", "Lesser General")
+    rows = [(gpl, "gpl"), (short, "gpl"), (lgpl, "lgpl"), (agpl, "agpl"), (lesser3, "lgpl"),
+            (gpl.replace("GNU", "GNU Affero"), "agpl"), (gpl.replace("GNU", "GNU Affero").replace("version 3", "version 4"), "agpl"),
+            (gpl.replace("program", "library", 1), "gpl"), (CC.format(""), "cc-by"), (CC.format("-NonCommercial"), "cc-by-nc"),
+            (CC.format("-ShareAlike"), "cc-by-sa"), (CC.format("-NoDerivatives"), ""), (CC.format("-NonCommercial-ShareAlike"), ""),
+            (f"{gpl} {lgpl}", "gpl,lgpl"), (f"{agpl} {CC.format('-ShareAlike')}", "agpl,cc-by-sa"),
+            (f"{CC.format('')} and {CC.format('-NonCommercial')}", "cc-by,cc-by-nc")]
+    put = "some words before {} and some after".format if around else str
+    df = spark.createDataFrame([(i, put(t)) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    for i, (_, want) in enumerate(rows):
+        assert got[i].labels == want, (i, got[i])
+    assert licenses.scan(df).where(F.col("labels") == "").agg(F.max("score")).first()[0] == 0.0
+
+
+def test_templates_stand_for_their_own_license(spark):
+    rows = [(i, label, t) for i, (label, t) in enumerate((x, t) for x, texts in licenses.TEMPLATES.items() for t in texts)]
+    df = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    for i, label, _ in rows:
+        assert {s.label for s in got[i].spans} == {label} and got[i].score == 1.0
+
+
 def brute_spans(t):
     out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
