@@ -24,8 +24,8 @@ Rows are dealt by a hash of their id into blocks of at most ``block`` rows, the
 stated queries into chunks, and every chunk meets every block in one cogroup:
 even tasks whatever the buckets' sizes, so a vector that a third of all rows
 share fills no task.  A block gives the best k of each query, and these are
-merged.  Blocks of at most ``whole`` rows are compared whole: there the exact
-way costs less than the tables.
+merged.  Every block goes through the tables, whatever its size; a caller can have
+blocks of at most ``whole`` rows compared without them.
 
 Defined results: vectors that are null, empty, zero or hold a null or a
 non-finite number take no part; only vectors of a query's length are compared
@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from almanac.llm.common import partitions
 
 TABLES, HASHES, WIDTH, PROBES = 24, 12, 2.4, 100
-BLOCK, CHUNK, WHOLE = 16384, 4096, 4096
+BLOCK, CHUNK, WHOLE = 16384, 4096, 0
 #: Smallest norm in a band as a share of its largest; chance of a missed row above which a band is compared whole.
 RATIO, MISS = 0.8, 0.01
 #: The normal distribution function on a grid.

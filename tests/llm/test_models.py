@@ -154,6 +154,18 @@ def test_tables_reach_recall_on_mixed_norms(spark, norms):
     assert np.mean([len(got[q] & {j for _, j in w}) / 20 for q, w in want.items()]) >= 0.98
 
 
+def test_small_tables_are_hashed_too(spark):
+    from pyspark.sql import functions as F
+    ids, x = vectors_of(spark, f"{SF01}/embeddings.parquet")
+    df = spark.read.parquet(f"{SF01}/embeddings.parquet")
+    got = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=20, miss=2.0).collect():   # no query is compared with all rows
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute_nearest(ids, x, 20)
+    shares = [len(got[q] & {j for _, j in w}) / 20 for q, w in want.items()]
+    assert 0.8 < np.mean(shares) < 1
+
+
 def test_chance_of_a_missed_row_is_what_happens():
     rng = np.random.default_rng(4)
     q = rng.normal(size=(1, 16))
