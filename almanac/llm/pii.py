@@ -47,8 +47,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_CUE = re.compile(r"[0-9@]|(?i:[ (\[{<]at[ )\]}>](?=.{1,60}?[ (\[{<](?:dot|punkt|point|punto)[ )\]}>]))")
-_ANY_CUE = re.compile(r"[0-9@]|(?i:[ (\[{<](?:dot|punkt|point|punto)[ )\]}>])")
+# A host after "at": its dots spelled out, or a word with a dot inside.
+_HOST_DOT = r" ?[^\s.]{1,63}\.[^\W_]"
+_CUE = re.compile(r"[0-9@]|(?i:[ (\[{<]at[ )\]}>](?=.{1,60}?[ (\[{<](?:dot|punkt|point|punto)[ )\]}>]|" + _HOST_DOT + "))")
+_ANY_CUE = re.compile(r"[0-9@]|(?i:[ (\[{<](?:dot|punkt|point|punto)[ )\]}>]|[ (\[{<]at[ )\]}>](?=" + _HOST_DOT + "))")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\s]")
 # Words that spell out a sign, and words that announce a kind.
 AT, DOT = {"at", "@"}, {"dot", "punkt", "point", "punto", "."}

@@ -154,6 +154,18 @@ def test_field_adds_respelled_spans_and_leaves_clean_text(field):
         assert pii.all_spans(t, field) == ([], [])
 
 
+def test_host_with_a_dot_after_at_opens_a_window(spark, field):
+    texts = {"write to ann at example.org": (9, 27), "write to ann at example.org today": (9, 27), "Write To Ann AT mail.example.org, or": (9, 32),
+             "ask kim.lee at uni.example.edu about it": (4, 30), "so ann (at) example.org is hers": (3, 23)}
+    for t, (a, b) in texts.items():
+        assert pii.all_spans(t, field) == ([], [(0, a, b)]), t
+    for t in ("he looked at it. Then left", "we met at home.", "look at this... and at ...that", "at . at .", "seen at e. g. a fair"):
+        assert pii.all_spans(t, field) == ([], []), t
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert [r.text for r in pii.redact(df, field).orderBy("doc_id").collect()] == [t[:a] + "<EMAIL>" + t[b:] for t, (a, b) in texts.items()]
+    assert pii.windows("(at)" * 100_000) == []
+
+
 def test_op4_equals_brute_force(spark):
     from almanac.llm.queries import op4_pii
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
