@@ -46,6 +46,8 @@ FREQUENT, FREQUENT_LEAST = 1 / 256, 1000
 MAPS = 8
 #: Bytes of text worked on at once in a task.
 SLICE = 8 << 20
+#: Sets on a list, above which :func:`all_pairs` cuts it into parts.
+LIST = 1024
 
 _BLOB = "fps binary, ns binary, counts binary, hashes binary"
 
@@ -349,6 +351,18 @@ def other_pairs(lists: DataFrame, recs: DataFrame, labels: DataFrame, percent: i
                       F.when(swap, F.col("x.component")).otherwise(F.col("y.component")).alias("cb")).distinct()
 
 
+def all_pairs(lists: DataFrame, recs: DataFrame, percent: int) -> DataFrame:
+    """Every pair of sets (a < b) that share a prefix token and pass the filters,
+    those of one component too.  A long list is cut into parts of its left sides."""
+    parts = lists.groupBy("h").agg(F.ceil(F.count("*") / F.lit(LIST)).cast("int").alias("parts"), F.count("*").alias("many")).where("many > 1")
+    full = lists.drop("u").join(parts.drop("many"), "h").join(recs.select("fp", "n", "u", *[f"m{i}" for i in range(MAPS)]), "fp")
+    x = full.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")).alias("x")
+    y = full.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.fp") < F.col("y.fp"))
+                 & may_link("x", "y", percent) & may_differ_little("x", "y", percent))
+    return met.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
+
+
 def classes(recs: DataFrame, percent: int) -> DataFrame:
     """``fp, component`` of every set that links with another."""
     lists = store(postings(recs, percent), "postings")
@@ -368,16 +382,36 @@ def classes(recs: DataFrame, percent: int) -> DataFrame:
 
 
 # -- the operator -------------------------------------------------------------
-def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` (smallest doc_id reachable by
-    links) of every row."""
-    spark = docs.sparkSession
+def sets_and_records(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     rows = columns(docs)
     table = store(set_table(rows, k), "sets")
     common, counted = frequent(table)
-    bits = max(4, (partitions(spark) - 1).bit_length())
+    bits = max(4, (partitions(docs.sparkSession) - 1).bit_length())
     back = shared(to_buckets(rows, k, bits, common), bits, common, counted)
-    recs = store(records(back, percent), "records")
+    return table, store(records(back, percent), "records")
+
+
+def links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All links: the verified pairs ``a, b`` (a < b) of different sets, and
+    ``doc_id, fp, n_links`` of every row: its set (null without shingles; rows of
+    one set all link) and the number of other rows that it links with.  The pairs
+    grow with the square of a group of near copies; :func:`components` needs none
+    of them inside a group."""
+    table, recs = sets_and_records(docs, k, percent)
+    lists = store(postings(recs, percent), "postings")
+    pairs = store(verify(store(all_pairs(lists, recs, percent), "pairs"), recs, percent), "links")
+    copies = table.where("n > 0").groupBy("fp").agg(F.count("*").alias("copies"))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    beside = both.join(copies, F.col("b") == F.col("fp")).groupBy(F.col("a").alias("fp")).agg(F.sum("copies").alias("beside"))
+    known = copies.join(beside, "fp", "left").select("fp", (F.col("copies") - 1 + F.coalesce("beside", F.lit(0))).alias("n_links"))
+    own = table.select("doc_id", F.when(F.col("n") > 0, F.col("fp")).alias("fp"))
+    return pairs, own.join(known, "fp", "left").select("doc_id", "fp", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` (smallest doc_id reachable by
+    links) of every row."""
+    table, recs = sets_and_records(docs, k, percent)
     labels = classes(recs, percent)
     # Equal sets and linked ones get their smallest id; the others are their own.
     of = table.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"))

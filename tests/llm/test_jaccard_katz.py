@@ -77,6 +77,33 @@ def test_components_equal_brute_force(spark, seed, k, percent):
     assert ours(df, k, percent) == brute_components(rows, k, percent)
 
 
+@pytest.mark.parametrize("seed,k,percent,most", [(1, 4, 85, 1024), (3, 2, 60, 5)])
+def test_links_equal_brute_force(spark, monkeypatch, seed, k, percent, most):
+    monkeypatch.setattr(jaccard, "LIST", most)
+    rows = near_copies(seed)
+    rows += [(1000 + d, t) for d, t in rows[:9]] + [(2000, None), (2001, ""), (2002, "alone"), (2003, "Alone"), (2004, "apart")]
+    sets = []
+    for _, t in rows:
+        w = words(t)
+        sets.append(frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else []))
+    count, apart = Counter(), set()
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                count[rows[i][0]] += 1
+                count[rows[j][0]] += 1
+                apart |= {frozenset((x, y))} if x != y else set()
+    pairs, members = jaccard.links(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), k, percent)
+    fp = {}
+    for r in members.collect():
+        assert r.n_links == count[r.doc_id]
+        fp[r.doc_id] = r.fp
+    own = {fp[d]: s for (d, _), s in zip(rows, sets)}
+    got = [(r.a, r.b) for r in pairs.collect()]
+    assert len(members.collect()) == len(rows) and len(got) == len(apart) > 50
+    assert {frozenset((own[a], own[b])) for a, b in got} == apart and all(a < b for a, b in got)
+
+
 def test_frequent_shingles_take_salted_buckets(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT_LEAST", 3)
     rows = near_copies(7)
