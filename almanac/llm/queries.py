@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almanac.llm import bpe, chat, fingerprints, jaccard, katz, licenses, neighbours, packing, pii, toxicity
+from almanac.llm import (bpe, chat, decontamination, fingerprints, jaccard, katz, licenses, neighbours, packing, periodic, pii, toxicity,
+                         whitening)
 
 
 def word_bpe_path() -> str:
@@ -70,6 +71,20 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return decontamination.digests(found)
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.scan(table(spark, sf_dir, "documents"), shortest=6, exponent=4, edit=periodic.repeat_tail)
+    return periodic.digests(found)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_toxicity": op2_toxicity,
@@ -81,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_packing": op9_packing,
     "op10_chat": op10_chat,
+    "op11_whitening": op11_whitening,
+    "op12_decontamination": op12_decontamination,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -113,4 +131,25 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length(role) + length(text) + escapes + length('<|im_start|><|im_sep|><|im_end|>') + 1) AS BIGINT) AS formatted_chars
 FROM d GROUP BY conv_id""",
+    # Every window joined to the words of every document that begin with it.
+    "op12_decontamination": r"""
+WITH w AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM benchmark),
+v AS (
+  SELECT DISTINCT item, least(len(a), 10) AS k, unnest(list_transform(range(1, greatest(len(a) - 8, 2)), lambda i: array_to_string(a[i:i + 9], ' '))) AS x
+  FROM b WHERE len(a) > 0),
+s AS (SELECT DISTINCT k FROM v),
+g AS (
+  SELECT r, k, unnest(range(1, len(a) - k + 2)) AS i, unnest(list_transform(range(1, len(a) - k + 2), lambda i: array_to_string(a[i:i + k - 1], ' '))) AS x
+  FROM w, s WHERE len(a) >= k),
+o AS (SELECT r, i, k, item FROM g JOIN v USING (k, x)),
+h AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + k)) AS j FROM o) GROUP BY 1),
+t AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM o) GROUP BY 1)
+SELECT doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(t.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+FROM w LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
 }

@@ -10,9 +10,9 @@ from almanac.llm import queries as Q
 SF = "/root/testdata/sf0.001"
 
 
-def test_eleven_queries_are_registered():
+def test_the_queries_are_registered():
     names = set(E.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert "pipeline" in names and set(Q.ORACLE_SQL) <= names
 
 
