@@ -31,7 +31,7 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, rest = table(spark, sf_dir, "documents"), toxicity.crc_rest(F.col("doc_id"), 5)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn_from=rest != 0)
-    return toxicity.score(docs, model).select("doc_id", (rest == 0).alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,8 @@ def test_op2_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows.values())
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
     held = [(rows[d].predicted, t) for d, t in truth.items() if rows[d].held_out]
-    assert np.mean([p == t for p, t in held]) >= 0.9
+    majority = max(np.mean([t for _, t in held]), 1 - np.mean([t for _, t in held]))
+    assert np.mean([p == t for p, t in held]) >= max(0.9, majority + 0.01)
 
 
 def toxic_corpus(n, rng):
@@ -71,6 +72,118 @@ def test_features_do_not_depend_on_neighbours():
     assert together[1, toxicity.FEATURES.index("hidden hits")] > 0
 
 
+def plain_features(text, units):
+    """The features of one text, a byte and a word at a time."""
+    t = (text or "").encode()
+    alnum = lambda c: chr(c).isalnum() and c < 128 or c > 127
+    letter = lambda c: chr(c).isalpha() and c < 128
+    upper = lambda c: 65 <= c <= 90
+    sign = lambda c: 32 < c < 127 and not alnum(c)
+
+    def words(b):
+        out, w = [], b""
+        for c in [*b, 32]:
+            if alnum(c):
+                w += bytes([c + 32 if upper(c) else c])
+            elif w:
+                out.append(w)
+                w = b""
+        return out
+
+    def found(w):
+        best = (0.0, None)
+        for k in [*range(3, 9)]:
+            cut = (w + b" ")[:8][:k]
+            if units.get(cut, 0) > best[0]:
+                best = (units[cut], cut)
+        return best
+
+    read = bytearray(t)
+    for i, c in enumerate(t):
+        if chr(c) in "0134578":
+            read[i] = ord(toxicity.LOOK_ALIKE.get(chr(c), chr(c)))
+        elif chr(c) in "@$!|":
+            k = i
+            while k < len(t) and chr(t[k]) in "@$!|":
+                k += 1
+            if k < len(t) and alnum(t[k]):
+                read[i] = ord(toxicity.LOOK_ALIKE[chr(c)])
+    w = words(t)
+    hits = [(i, *found(x)) for i, x in enumerate(w) if found(x)[0] > 0]
+    address = [i for i, x in enumerate(w) if x in [a.encode() for a in toxicity.ADDRESS]]
+    near = 0
+    for a in address:
+        before = [i for i, _, _ in hits if i < a]
+        after = [i for i, _, _ in hits if i >= a]
+        near += (bool(before) and a - before[-1] <= 5) + (bool(after) and after[0] - a <= 5)
+    pairs = list(zip([0, *t], t, [*t[1:], 0]))
+    inside = [(x, c, y) for x, c, y in pairs if letter(x) and letter(y)]
+    per, chars, letters = max(len(w), 1), max(len(t), 1), max(sum(map(letter, t)), 1)
+    return [np.log1p(len(hits)), sum(v for _, v, _ in hits) / per, np.log1p(len({u for _, _, u in hits})), max((v for _, v, _ in hits), default=0),
+            np.log1p(max(sum(found(x)[0] > 0 for x in words(bytes(read))) - len(hits), 0)), len(address) / per, np.log1p(near),
+            sum(map(upper, t)) / letters, sum(upper(x) and upper(c) and upper(y) for x, c, y in pairs) / letters, t.count(b"!") / chars,
+            t.count(b"?") / chars, sum(x == c and sign(c) for x, c, _ in pairs) / chars, sum(48 <= c <= 57 for _, c, _ in inside) / per,
+            sum(sign(c) for _, c, _ in inside) / per, letters / per, np.log1p(len(w))]
+
+
+def test_every_feature_equals_a_plain_count(monkeypatch):
+    units = {b"idiot ": 1.5, b"blar": 2.0, b"skronk ": 0.7, b"blargist": 3.0, "éx".encode() + b" ": 1.0}
+    lexicon = toxicity.Lexicon(np.array([int.from_bytes(u, "little") for u in units], np.uint64), np.array(list(units.values())))
+    rng = np.random.default_rng(3)
+    parts = ["you", "U", "Idiot", "1d10t!", "bl4rg", "blargistan", "BLAR", "skr0nk", "$kronk", "@@x", "a$$", "it's", "3x4y", "?!?!", "--", "éx", "tu", ".", "HELLO",
+             "tree", "b!!ar", "!", "\n", "x" * 40]
+    texts = ["".join(rng.choice([" ", "", "\t", " ", " "]) + rng.choice(parts) for _ in range(rng.integers(0, 60))) for _ in range(150)] + [None, ""]
+    want = np.array([plain_features(t, units) for t in texts])
+    assert np.allclose(toxicity.features(pa.array(texts), lexicon), want, rtol=1e-12) and (want[:, 4] > 0).any() and (want[:, 6] > 0).any()
+    monkeypatch.setattr(toxicity, "SLICE", 50)                 # texts in several pieces
+    assert np.allclose(toxicity.features(pa.array(texts), lexicon), want, rtol=1e-12)
+
+
+def test_a_long_text_takes_memory_by_its_hits():
+    import tracemalloc
+    lexicon = toxicity.Lexicon(np.array([int.from_bytes(b"idiot ", "little")], np.uint64), np.ones(1))
+    short, long = (pa.array(["calm words of a field by the river " * k]) for k in (30_000, 600_000))
+    peak = []
+    for t in (short, long):
+        tracemalloc.start()
+        toxicity.features(t, lexicon)
+        peak.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peak[1] < 1.5 * peak[0] + 2 * 8 * 600_000 // 10
+
+
+def test_first_split_has_the_greatest_gain():
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(60, 3)), 1)
+    y = (x[:, 1] + rng.normal(size=60) > 0.2).astype(int)
+    tree = toxicity.boost(x, y, trees=1, depth=1, bins=200)
+    p = y.mean()
+    g, h, best = y - p, np.full(60, p * (1 - p)), []
+    for j in range(3):
+        for cut in np.unique(x[:, j])[:-1]:
+            left = x[:, j] <= cut
+            if min(h[left].sum(), h[~left].sum()) >= 0.3:
+                gain = g[left].sum()**2 / (h[left].sum() + 1) + g[~left].sum()**2 / (h[~left].sum() + 1) - g.sum()**2 / (h.sum() + 1)
+                best.append((gain, j, cut))
+    gain, j, cut = max(best)
+    left = x[:, j] <= cut
+    assert tree.features[0, 0] == j and ((x[:, j] <= tree.thresholds[0, 0]) == left).all()
+    assert np.allclose(tree.leaves[0], [toxicity.RATE * g[m].sum() / (h[m].sum() + 1) for m in (left, ~left)])
+
+
+def test_pooling_equals_the_least_squares_formula():
+    rng = np.random.default_rng(8)
+    m, y = np.round(rng.normal(size=40), 1), rng.integers(0, 2, 40)
+    xs = np.unique(m)
+    knots, values = toxicity.isotonic(m, y)
+    for i, v in enumerate(xs):                                 # min over ends of max over starts of the mean between
+        mean = lambda a, b: y[(m >= xs[a]) & (m <= xs[b])].mean()
+        fit = min(max(mean(a, b) for a in range(i + 1)) for b in range(i, len(xs)))
+        block = [k for k in range(len(xs)) if np.isclose(min(max(mean(a, b) for a in range(k + 1)) for b in range(k, len(xs))), fit)]
+        own = y[np.isin(m, xs[block])]
+        assert np.isclose(np.interp(v, knots, values), (own.sum() + 0.5) / (len(own) + 1), atol=0.02)
+
+
 def test_isotonic_never_falls_and_trees_learn():
     rng = np.random.default_rng(1)
     m = rng.normal(size=500)
