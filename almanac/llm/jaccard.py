@@ -45,7 +45,7 @@ FREQUENT, FREQUENT_LEAST = 1 / 256, 1000
 #: 64-bit words of a bitmap.
 MAPS = 8
 #: Bytes of text worked on at once in a task.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Sets on a list, above which :func:`all_pairs` cuts it into parts.
 LIST = 1024
 

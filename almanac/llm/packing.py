@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, end_id: int = EN
 
     def run(batches):
         tok = bpe.load_batch(tokenizer)
-        for b in (s for b in batches for s in slices(b)):
+        for b in (s for b in batches for s in slices(b, 6 << 20)):
             ids, starts = tok.encode(b.column(1))
             names, nth, begin, length, crc = [], [], [], [], []
             for name, x, y in zip(b.column(0).to_pylist(), starts.tolist(), starts[1:].tolist()):
