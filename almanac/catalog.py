@@ -11,6 +11,8 @@ repeating it.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from functools import lru_cache
 from typing import Callable
 
@@ -28,6 +30,10 @@ from .operators.metrics import money, rounded
 from .plans import bundle as BU
 from .plans import report as R
 from .plans.spec import AnyOf, DateRange, Exact, ReportSpec
+from .session import shared_dir
+from .sources import session_store as SS
+from .sources import summary as SU
+from .sources import bindings as BI
 from .sources import typed
 from .sources.bindings import events_contract
 from .sources.properties import ECOMMERCE, SECOND, default_registry, events_registry
@@ -851,3 +857,81 @@ def q_session_rows(spark, d):
                        D.ts_text("session_start").alias("session_start"),
                        D.ts_text("session_end").alias("session_end"),
                        "engaged", F.col("revenue_amount").cast("double").alias("revenue"))
+
+
+# --------------------------------------------------------------------------
+# Stored sessions refreshed by day, and the summaries made from them
+# --------------------------------------------------------------------------
+
+
+def _refreshed_store(spark, d) -> tuple[str, str, list[ReportSpec]]:
+    """A store of sessions and its summary under the shared folder: made from
+    two days in three, the other days added late, in two refreshes."""
+    base = f"{shared_dir(spark)}/almanac/{uuid.uuid4().hex}"
+    store, path = f"{base}/sessions", f"{base}/summary"
+    whole = _events(d)["events"]
+    specs = [R.web_spec(EVENTS_SPAN), R.app_spec(EVENTS_SPAN), R.organic_spec(EVENTS_SPAN)]
+    days = sorted(r[0] for r in whole.frame(spark, {"ts"}).select(F.to_date("ts")).where("ts IS NOT NULL").distinct().collect())
+    late = [days[1::6], days[4::6]]
+
+    def without(missing: list[dt.date]) -> BI.Binding:
+        def build(spark_, need):
+            return whole.build(spark_, need).where(~F.to_date("ts").isin(*missing) | F.col("ts").isNull())
+        return BI.Binding("arrived", build, session_ids=False, session_gap=whole.session_gap)
+
+    SS.make_store(spark, without(late[0] + late[1]) if late[0] else whole, store)
+    SU.make_summary(spark, store, path, specs)
+    for k, part in enumerate(late):
+        if part:
+            SU.refresh_summary(spark, store, path, specs, SS.refresh_store(spark, without(late[1]) if k == 0 and late[1] else whole, store, part))
+    return store, path, specs
+
+
+@register("stored_sessions_refreshed", f"""
+WITH {EVENTS_CTE}
+SELECT event_id, user_id,
+       CASE WHEN user_id IS NOT NULL THEN strftime(min(ts) OVER (PARTITION BY user_id, session_id), {_TS_FMT_SQL}) END AS session_start,
+       session_channel FROM eb""")
+def q_stored_sessions_refreshed(spark, d):
+    """X1 stored and refreshed by day, a third of the days late: every event with its session."""
+    store, _, _ = _refreshed_store(spark, d)
+    ev = spark.read.parquet(SS.events_path(store))
+    # the session id is its start in microseconds of the zone-free clock
+    start = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("session_id") / 1_000_000).cast("decimal(18,6)"))
+    return ev.select("event_id", "user_id", start.alias("start"), "session_channel").select(
+        "event_id", "user_id", D.ts_text("start").alias("session_start"), "session_channel")
+
+
+@register("range_users", f"""
+WITH {EVENTS_CTE}
+SELECT 'web' AS report, CAST(count(DISTINCT user_id) FILTER (platform = 'web') AS BIGINT) AS active_users, true AS sketch_in_bound FROM eb
+UNION ALL
+SELECT 'app', CAST(count(DISTINCT user_id) FILTER (platform IN ('Android', 'iOS')) AS BIGINT), true FROM eb
+UNION ALL
+SELECT 'organic', CAST(count(DISTINCT user_id) FILTER (session_channel = 'Organic Search') AS BIGINT), true FROM eb""")
+def q_range_users(spark, d):
+    """A4 over the whole range from daily bitmaps (exact) and sketches (inside
+    their stated error); no event is read."""
+    store, path, specs = _refreshed_store(spark, d)
+    out = None
+    for sp in specs:
+        near = SU.users_between(spark, store, path, sp, approx=True).withColumnRenamed("active_users", "near")
+        one = SU.users_between(spark, store, path, sp).join(near, "report").select(
+            "report", "active_users", (F.abs(F.col("near") - F.col("active_users")) <= SU.sketch_error() * F.col("active_users")).alias("sketch_in_bound"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("bundle_long_summary", ORACLE_SQL["bundle_long_events"])
+def q_bundle_long_summary(spark, d):
+    """R1–R3 from daily summaries that were refreshed with late days."""
+    store, path, specs = _refreshed_store(spark, d)
+    out = None
+    for sp in specs:
+        one = SU.report_from_summary(spark, store, path, sp, rate_as_percent=True).withColumn("report", F.lit(sp.name))
+        for name, kind in (("active_users", "bigint"), ("engagement_pct", "double")):
+            if name not in one.columns:
+                one = one.withColumn(name, F.lit(None).cast(kind))
+        one = one.select("report", "month", "year", "sessions", "active_users", "engagement_pct", "revenue")
+        out = one if out is None else out.unionByName(one)
+    return out

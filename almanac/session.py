@@ -61,3 +61,25 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     if d:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or
+    the context's checkpoint folder.  A local session that names none gets a
+    temporary one (tests); on a cluster that is an error, because every
+    executor would write to its own disk."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    import tempfile
+
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="almanac-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
