@@ -28,6 +28,8 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Iterable
+from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -66,38 +68,45 @@ def _overwrite(df: DataFrame, path: str) -> None:
      .partitionBy("event_date").parquet(path))
 
 
-def _source(spark: SparkSession, binding: Binding, first: dt.date | None, last: dt.date | None) -> DataFrame:
+def _source(spark: SparkSession, binding: Binding, runs: list[tuple[dt.date, dt.date]] | None) -> DataFrame:
+    """All events of the binding, or those of these runs of days."""
     ev = binding.frame(spark, CONTRACT).drop("session_id")
-    if first is not None:
-        rng = DateRange(first, last)
-        ev = ev.where(filters.date_range_predicate("ts", rng, ev.schema["ts"].dataType))
-        if "_part_date" in ev.columns:       # the table's day may be another zone's
-            ev = ev.where(F.col("_part_date").between(F.lit(first - DAY), F.lit(last + DAY)))
+    if runs is not None:
+        inside = []
+        for first, last in runs:
+            p = filters.date_range_predicate("ts", DateRange(first, last), ev.schema["ts"].dataType)
+            if "_part_date" in ev.columns:       # the table's day may be another zone's
+                p = p & F.col("_part_date").between(F.lit(first - DAY), F.lit(last + DAY))
+            inside.append(p)
+        ev = ev.where(reduce(lambda a, b: a | b, inside))
     return ev.select(*[c for c in ev.columns if not c.startswith("_")]).withColumn("event_date", F.to_date("ts"))
 
 
 def _session_rows(ev: DataFrame, carry: DataFrame | None, gap: dt.timedelta) -> DataFrame:
     """Rows per (user, bucket, day, channel) with ``session_start`` and the
-    session's channel, going on from the open sessions ``carry``."""
+    session's channel, going on from the open sessions ``carry``.  ``ev`` and
+    ``carry`` name a ``block``: days in a row whose sessions are made together.
+    ``user_id`` becomes (user_id, block), the key of the windows."""
     g = with_bucket(ev.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull()), gap)
-    g = (g.withColumn("order_key", _order_key(g, gap)).groupBy("user_id", "bucket", "event_date", "channel")
+    g = (g.withColumn("order_key", _order_key(g, gap)).groupBy("user_id", "block", "bucket", "event_date", "channel")
          .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.min("order_key").alias("order_key")))
     if carry is not None:
         g = g.unionByName(carry.select(
-            "user_id", bucket_of(carry, gap, "last_ts").alias("bucket"), "channel", F.col("last_ts").alias("first_ts"), "last_ts",
+            "user_id", "block", bucket_of(carry, gap, "last_ts").alias("bucket"), "channel", F.col("last_ts").alias("first_ts"), "last_ts",
             F.lit(-1).cast("decimal(38,0)").alias("order_key"), F.col("session_start").alias("carried")), allowMissingColumns=True)
     else:
         g = g.withColumn("carried", F.lit(None).cast("long"))
-    rows = sessionize_groups(g, gap, with_channel=True)
+    rows = sessionize_groups(g.withColumn("user_id", F.struct("user_id", "block")).drop("block"), gap, with_channel=True)
     start = F.coalesce("carried", epoch_micros(rows, "first_ts"))       # a carried row comes first and began earlier
     return rows.withColumn("session_start", F.min(start).over(Window.partitionBy("user_id", "session_id")))
 
 
 def _with_sessions(ev: DataFrame, rows: DataFrame, gap: dt.timedelta) -> DataFrame:
     """Events with their session, by an equi-join on (user, bucket); those that
-    belong to none stay out of it."""
+    belong to none stay out of it.  No bucket has days of two blocks: between
+    them lies a day, and a bucket is no longer."""
     some = F.col("user_id").isNotNull() & F.col("ts").isNotNull()
-    m = rows.where(F.col("event_date").isNotNull()).select("user_id", "bucket", "session_start", "session_channel").distinct()
+    m = rows.where(F.col("event_date").isNotNull()).select(F.col("user_id.user_id"), "bucket", "session_start", "session_channel").distinct()
     out = with_bucket(ev.where(some), gap).join(m, ["user_id", "bucket"]).drop("bucket")
     out = out.unionByName(ev.where(~some), allowMissingColumns=True)
     return out.withColumnsRenamed({"session_start": "session_id", "channel": "event_channel"}).select(*STORED_COLUMNS)
@@ -111,7 +120,8 @@ def _open_sessions(rows: DataFrame, gap: dt.timedelta) -> DataFrame:
            .groupBy("user_id", "session_id", "session_start", "event_date")
            .agg(F.max("last_ts").alias("last_ts"), F.max_by("so_far", F.struct("bucket", "order_key")).alias("channel")))
     midnight = (F.unix_date("event_date") + 1).cast("long") * 86_400_000_000
-    return out.where(epoch_micros(out, "last_ts") >= midnight - gap_micros(gap)).select(*_OPEN)
+    out = out.where(epoch_micros(out, "last_ts") >= midnight - gap_micros(gap))
+    return out.withColumn("user_id", F.col("user_id.user_id")).select(*_OPEN)
 
 
 def _days_seen(df: DataFrame) -> DataFrame:
@@ -122,7 +132,7 @@ def _days_seen(df: DataFrame) -> DataFrame:
 def make_store(spark: SparkSession, binding: Binding, path: str) -> str:
     """Store all events of ``binding`` and the sessions open after each day."""
     gap = _checked(binding)
-    ev = _source(spark, binding, None, None)
+    ev = _source(spark, binding, None).withColumn("block", F.lit(None).cast("date"))
     rows = _session_rows(ev, None, gap)
     (_with_sessions(ev, rows, gap).hint("rebalance", "event_date").write.mode("errorifexists").partitionBy("event_date")
      .parquet(events_path(path)))
@@ -143,103 +153,108 @@ def stored_days(spark: SparkSession, path: str) -> set[dt.date]:
     return {r.event_date for r in rows}
 
 
-def _different(a: DataFrame, b: DataFrame) -> bool:
-    cols = [c for c in _OPEN if c != "event_date"]
-    a, b = a.select(*cols).where("user_id IS NOT NULL"), b.select(*cols).where("user_id IS NOT NULL")
-    return not a.exceptAll(b).isEmpty() or not b.exceptAll(a).isEmpty()
+def _runs(days: Iterable[dt.date]) -> list[tuple[dt.date, dt.date]]:
+    """Days in a row, as (first, last)."""
+    out: list[tuple[dt.date, dt.date]] = []
+    for d in sorted(days):
+        if out and out[-1][1] + DAY == d:
+            out[-1] = (out[-1][0], d)
+        else:
+            out.append((d, d))
+    return out
+
+
+class _States:
+    """Open sessions by day, as a refresh sees them: its own, staged, where it
+    has been, else the store's."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.folder = spark, _open_path(path), {}
+        self.schema = spark.read.parquet(self.path).schema
+
+    def of(self, days: Iterable[dt.date], staged: bool = True) -> DataFrame:
+        by: dict[str, list[dt.date]] = {}
+        for d in days:
+            by.setdefault(self.folder.get(d, self.path) if staged else self.path, []).append(d)
+        parts = [self.spark.read.schema(self.schema).parquet(f).where(F.col("event_date").isin(*own)) for f, own in by.items()]
+        return reduce(DataFrame.unionByName, parts).select(*_OPEN)
 
 
 def refresh_store(spark: SparkSession, binding: Binding, path: str, days: Iterable[dt.date | str]) -> list[dt.date]:
     """Bring the days, new, late or corrected in the source, up to date.
-    Returns the days whose events were rewritten."""
+    Returns the days whose events were rewritten.
+
+    All days go in one pass; a further pass takes the days behind those whose
+    open sessions have changed, as long as there are any."""
     gap = _checked(binding)
     todo = {dt.date.fromisoformat(d) if isinstance(d, str) else d for d in days}
-    known, asked = stored_days(spark, path), set(todo)
-    schema = spark.read.parquet(_open_path(path)).schema
+    if not todo:
+        return []
+    known, done, states = stored_days(spark, path), set(), _States(spark, path)
     stage = f"{path}/_next/{uuid.uuid4().hex}"
-
-    def opened(day: dt.date) -> DataFrame:
-        """The sessions open after a day, as this refresh sees them."""
-        for first, last, folder in blocks:
-            if first <= day <= last:
-                return spark.read.schema(schema).parquet(folder).where(F.col("event_date") == F.lit(day))
-        return spark.read.schema(schema).parquet(_open_path(path)).where(F.col("event_date") == F.lit(day))
-
-    def events(first: dt.date, last: dt.date) -> DataFrame:
-        return spark.read.parquet(events_path(path)).where(F.col("event_date").between(F.lit(first), F.lit(last)))
-
-    blocks: list[tuple[dt.date, dt.date, str]] = []
-    while todo:
-        first = last = min(todo)
-        while last + DAY in todo:
-            last += DAY
-        span = [first + i * DAY for i in range((last - first).days + 1)]
-        todo -= set(span)
-        ev = _source(spark, binding, first, last)
-        rows = _session_rows(ev, opened(first - DAY).where("user_id IS NOT NULL"), gap)
-        seen = spark.createDataFrame([(d,) for d in span], "event_date date")
-        folder = f"{stage}/{first}"
-        _open_sessions(rows, gap).unionByName(seen, allowMissingColumns=True).write.partitionBy("event_date").parquet(folder)
+    for nth in count():
+        runs = _runs(todo)
+        blocks = spark.createDataFrame([(first + i * DAY, first) for first, last in runs for i in range((last - first).days + 1)],
+                                       "event_date date, block date")
+        ev = _source(spark, binding, runs).join(F.broadcast(blocks), "event_date")              # a row a day
+        carry = states.of([first - DAY for first, _ in runs]).where("user_id IS NOT NULL").withColumn("block", F.date_add("event_date", 1))
+        rows = _session_rows(ev, carry, gap)
+        folder = f"{stage}/{nth}"
+        (_open_sessions(rows, gap).unionByName(blocks.select("event_date"), allowMissingColumns=True)
+         .write.partitionBy("event_date").parquet(folder))
         _overwrite(_with_sessions(ev, rows, gap), events_path(path))
-        if emptied := set(span) & known:
-            emptied -= {r.event_date for r in _days_seen(ev).collect()}         # days of the block at most
-            for d in emptied:
+        if emptied := todo & known:
+            for d in emptied - {r.event_date for r in _days_seen(ev).collect()}:                 # at most the days of this pass
                 remove(spark, f"{events_path(path)}/event_date={d}")
-        if last + DAY in known and last + DAY not in todo:
-            before = spark.read.schema(schema).parquet(_open_path(path)).where(F.col("event_date") == F.lit(last))
-            blocks.append((first, last, folder))
-            if _different(opened(last), before):
-                todo.add(last + DAY)
-        else:
-            blocks.append((first, last, folder))
-
-    rewritten = {d for first, last, _ in blocks for d in (first + i * DAY for i in range((last - first).days + 1))}
-    rewritten |= _settle_channels(spark, path, blocks, opened, events, known | asked)
-    final = None
-    for _, _, folder in blocks:
-        part = spark.read.schema(schema).parquet(folder)
-        final = part if final is None else final.unionByName(part)
-    if final is not None:
-        _overwrite(final, _open_path(path))
-        remove(spark, stage)
-    return sorted(rewritten)
-
-
-def _settle_channels(spark, path, blocks, opened, events, known) -> set[dt.date]:
-    """Sessions without a channel at the border of a block get the one known
-    behind it, in all days of theirs that are stored with another."""
-    fixes, behind = [], None                # behind: (first day of the block behind, its open sessions' channels)
-    for first, last, _ in reversed(blocks):
-        waiting = opened(last).where("user_id IS NOT NULL AND channel IS NULL").select("user_id", F.col("session_start").alias("session_id"))
-        if behind is not None and behind[0] == last + DAY:
-            after = behind[1]
-        elif last + DAY in known:
-            after = waiting.join(events(last + DAY, last + DAY).select("user_id", "session_id", "session_channel").distinct(),
-                                 ["user_id", "session_id"], "left")
-        else:
-            after = waiting.withColumn("session_channel", F.lit(None).cast("string"))
-        own = (events(first, last).where(F.col("session_id") < F.lit(_micros(first)))
-               .groupBy("user_id", "session_id").agg(F.max("session_channel").alias("own")))         # one channel a session
-        before = opened(first - DAY).where("user_id IS NOT NULL AND channel IS NULL").select("user_id", F.col("session_start").alias("session_id"))
-        before = (before.join(own, ["user_id", "session_id"], "left").join(after, ["user_id", "session_id"], "left")
-                  .select("user_id", "session_id", F.coalesce("own", "session_channel").alias("session_channel")))
-        fixes += [after, before]
-        behind = (first, before)
-    if not fixes:
-        return set()
+        ends = [last for _, last in runs if last + DAY in known | done]
+        before = states.of(ends).where("user_id IS NOT NULL") if ends else None
+        states.folder.update(dict.fromkeys(todo, folder))
+        done |= todo
+        todo = set()
+        if ends:
+            after = states.of(ends).where("user_id IS NOT NULL")
+            moved = before.exceptAll(after).unionByName(after.exceptAll(before)).select("event_date").distinct()
+            todo = {r.event_date + DAY for r in moved.collect()}
+        if not todo:
+            break
+    settled = _settle_channels(spark, path, _runs(done), states, known | done)
+    _overwrite(states.of(done), _open_path(path))
+    remove(spark, stage)
+    return sorted(done | settled)
+
+
+def _settle_channels(spark: SparkSession, path: str, runs: list[tuple[dt.date, dt.date]], states: _States, known: set[dt.date]) -> set[dt.date]:
+    """Sessions without a channel at a border of the runs of days get the one
+    known behind it, in all days of theirs that are stored with another.  Of
+    several borders the last one knows best."""
+    def events(days: Iterable[dt.date]) -> DataFrame:
+        return spark.read.parquet(events_path(path)).where(F.col("event_date").isin(*days))
+
+    def waiting(days: list[dt.date]) -> DataFrame:
+        return states.of(days).where("user_id IS NOT NULL AND channel IS NULL").select(
+            "user_id", F.col("session_start").alias("session_id"), F.date_add("event_date", 1).alias("border"))
+
+    behind = [last + DAY for _, last in runs if last + DAY in known]
+    next_day = events(behind).select("user_id", "session_id", "session_channel", F.col("event_date").alias("border")).distinct()
+    after = waiting([last for _, last in runs]).join(next_day, ["user_id", "session_id", "border"], "left")
+    inside = [first + i * DAY for first, last in runs for i in range((last - first).days + 1)]
+    midnight = F.unix_date("event_date").cast("long") * 86_400_000_000
+    own = (events(inside).where(F.col("session_id") < midnight).groupBy("user_id", "session_id")
+           .agg(F.max("session_channel").alias("own")))                                          # a session has one channel inside a run
+    later = after.groupBy("user_id", "session_id").agg(F.max_by("session_channel", "border").alias("later"))
+    before = (waiting([first - DAY for first, _ in runs]).join(own, ["user_id", "session_id"], "left").join(later, ["user_id", "session_id"], "left")
+              .select("user_id", "session_id", "border", F.coalesce("own", "later").alias("session_channel")))
     stage = f"{path}/_next/{uuid.uuid4().hex}"
-    every = fixes[0]
-    for f in fixes[1:]:
-        every = every.unionByName(f)
-    every.distinct().write.parquet(stage)
-    settled = spark.read.parquet(stage).withColumnRenamed("session_channel", "settled").withColumn("found", F.lit(True))
-    low = settled.agg(F.min("session_id")).first()[0]
-    changed: set[dt.date] = set()
+    (after.unionByName(before).groupBy("user_id", "session_id").agg(F.max_by("session_channel", "border").alias("settled"))
+     .write.parquet(stage))
+    fixes = spark.read.parquet(stage).withColumn("found", F.lit(True))
+    low, changed = fixes.agg(F.min("session_id")).first()[0], set()
     if low is not None:
         start = dt.date(1970, 1, 1) + low // 86_400_000_000 * DAY
-        both = events(start, max(last for _, last, _ in blocks)).join(settled, ["user_id", "session_id"], "left")
+        span = spark.read.parquet(events_path(path)).where(F.col("event_date").between(F.lit(start), F.lit(runs[-1][1])))
+        both = span.join(fixes, ["user_id", "session_id"], "left")
         wrong = both.where(F.col("found") & ~F.col("session_channel").eqNullSafe(F.col("settled")))
-        changed = {r.event_date for r in wrong.select("event_date").distinct().collect()}            # days of sessions over midnight
+        changed = {r.event_date for r in wrong.select("event_date").distinct().collect()}        # days of sessions over midnight
         if changed:
             fixed = both.where(F.col("event_date").isin(*changed)).withColumn(
                 "session_channel", F.when(F.col("found"), F.col("settled")).otherwise(F.col("session_channel")))

@@ -109,14 +109,13 @@ def refresh_summary(spark: SparkSession, store: str, path: str, specs: Sequence[
     """Summarise again the days that ``refresh_store`` returned, and those behind
     them with sessions that reach back to them.  Returns all of them."""
     wanted, known = set(days), stored_days(spark, store)
-    for d in sorted(wanted):
-        z = d + DAY
-        while z in known and z not in wanted:
-            reach = (F.col("event_date") == F.lit(z)) & (F.col("session_id") < F.lit(_micros(d + DAY)))
-            if spark.read.parquet(events_path(store)).where(reach).isEmpty():
-                break
-            wanted.add(z)
-            z += DAY
+    reach = {d + DAY: d for d in wanted}                     # by day, the last rewritten one before it
+    while reach := {z: d for z, d in reach.items() if z in known and z not in wanted}:
+        borders = spark.createDataFrame([(z, _micros(d + DAY)) for z, d in reach.items()], "event_date date, border long")
+        ev = spark.read.parquet(events_path(store)).where(F.col("event_date").isin(*reach))
+        found = ev.join(F.broadcast(borders), "event_date").where("session_id < border").select("event_date").distinct().collect()
+        wanted |= {r.event_date for r in found}
+        reach = {r.event_date + DAY: reach[r.event_date] for r in found}
     if wanted:
         _write(spark, store, path, specs, sorted(wanted))
     return sorted(wanted)
