@@ -19,8 +19,8 @@ templates given (a few thousand rows), checked before the hint.  A word run that
 half of all documents share meets at most its places in the templates, so votes
 grow with the text, not with its square.
 
-Base labels, of phrases found word for word, are counted in the same pass that
-cuts texts into words and always stay.
+Base labels, of phrases found word for word, are counted in a pass of their own
+and always stay.
 
 Defined results: a null or empty text has no words, no labels and score 0;
 repeated rows give repeated results, and rows of one id with other texts their
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.llm.common import NO_ALNUM, Words, columns, rolling, slices
@@ -156,7 +156,7 @@ def word_runs(docs: DataFrame, k: int = K) -> DataFrame:
     first word).  ``row`` tells texts of one id apart."""
 
     def run(batches):
-        for b in (s for b in batches for s in slices(b)):
+        for b in (s for b in batches for s in slices(b, 8 << 20)):
             w = Words(b.column(1), NO_ALNUM)
             runs = rolling(w.hash, k)
             n = np.maximum(np.diff(w.starts) - k + 1, 0)
@@ -200,7 +200,7 @@ def base_labels(docs: DataFrame, phrases: dict[str, str] = PHRASES, licenses: di
     known = name_words(licenses)
 
     def run(batches):
-        for b in (s for b in batches for s in slices(b)):
+        for b in (s for b in batches for s in slices(b, 8 << 20)):
             w = Words(b.column(1), NO_ALNUM)
             n = len(w.starts) - 1
             doc_of_end = np.searchsorted(w.starts, np.arange(len(w.hash)), side="right") - 1
@@ -246,27 +246,44 @@ def verified(votes: DataFrame, sizes: list[tuple[str, int]], k: int = K, near: i
     """``doc_id, row, template, label, share, back, low, high, least, most``: merged
     spans that hold at least ``share`` of their template's words; ``back`` is the
     share of the span's words, ``least`` and ``most`` are its diagonals.  Diagonals of one document and template
-    are a chain sorted by value; a step of more than ``near`` starts a new span."""
-    from pyspark.sql import Window
-
+    are a chain sorted by value; a step of more than ``near`` starts a new span.
+    No span is dropped for its width: of a chain wider than twice its template the
+    best stretches are taken."""
     w = Window.partitionBy("doc_id", "row", "template").orderBy("diagonal")
     labels = F.array(*[F.lit(label) for label, _ in sizes])
-    words = F.array(*[F.lit(n) for _, n in sizes])
-    covered = F.array_distinct(F.flatten(F.transform(
-        F.flatten(F.collect_list("places")), lambda p: F.sequence(p, p + F.lit(k - 1)))))
-    return (votes
+    key = ["doc_id", "row", "template", "span"]
+
+    def covered(places: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p, p + F.lit(k - 1)))))
+
+    def measured(spans: DataFrame) -> DataFrame:
+        size = F.col("high") - F.col("low")
+        return (spans.withColumn("share", F.least(F.size("covered"), size) / F.col("words"))       # no more words than the span has
+                .where(F.col("share") >= share).withColumn("back", F.least(F.size("covered") / size, F.lit(1.0))))
+
+    chain = Window.partitionBy(*key)
+    rows = (votes
             .withColumn("_new", (F.col("diagonal") - F.lag("diagonal").over(w) > near).cast("int"))
-            .withColumn("span", F.sum(F.coalesce("_new", F.lit(0))).over(w))
-            .groupBy("doc_id", "row", "template", "span")
-            .agg(covered.alias("covered"), F.min("low").alias("low"), (F.max("high") + k).alias("high"),
-                 F.min("diagonal").alias("least"), F.max("diagonal").alias("most"))
-            .withColumn("words", F.element_at(words, F.col("template") + 1))
-            # words of the template in place, no more than the span has words
-            .withColumn("share", F.least(F.size("covered"), F.col("high") - F.col("low")) / F.col("words"))
-            .where((F.col("share") >= share) & (F.col("high") - F.col("low") <= 2 * F.col("words")))
-            .withColumn("back", F.least(F.size("covered") / (F.col("high") - F.col("low")), F.lit(1.0)))
-            .select("doc_id", "row", "template", F.element_at(labels, F.col("template") + 1).alias("label"),
-                    "share", "back", "low", "high", "least", "most"))
+            .withColumn("span", F.sum(F.coalesce("_new", F.lit(0))).over(w)).drop("_new")
+            .withColumn("words", F.element_at(F.array(*[F.lit(n) for _, n in sizes]), F.col("template") + 1))
+            .withColumn("width", F.max("high").over(chain) + k - F.min("low").over(chain)))
+    whole = measured(rows.where(F.col("width") <= 2 * F.col("words")).groupBy(*key, "words").agg(
+        covered(F.flatten(F.collect_list("places"))).alias("covered"), F.min("low").alias("low"), (F.max("high") + k).alias("high"),
+        F.min("diagonal").alias("least"), F.max("diagonal").alias("most")))
+    # A chain wider than twice its template holds several spans, or names repeated behind one: its stretches
+    # of one diagonal, and of as many as the template has words, compete; the best of a neighbourhood stays.
+    wide = rows.where(F.col("width") > 2 * F.col("words")).withColumn("x", F.floor(F.col("diagonal") * 4096 / F.col("words")))   # 4096: a template
+    order = Window.partitionBy(*key).orderBy("x")
+    to_right, around = order.rangeBetween(0, 4096), order.rangeBetween(-4096, 4096)
+    fixed = [*key, "words", "x", F.col("diagonal").alias("least")]
+    stretches = wide.select(*fixed, covered(F.col("places")).alias("covered"), "low", (F.col("high") + k).alias("high"), F.col("diagonal").alias("most")).unionByName(
+        wide.select(*fixed, covered(F.flatten(F.collect_list("places").over(to_right))).alias("covered"), F.min("low").over(to_right).alias("low"),
+                    (F.max("high").over(to_right) + k).alias("high"), F.max("diagonal").over(to_right).alias("most")))
+    worth = F.struct(F.col("share") * F.col("back"), "share", -F.col("least"), -F.col("most"))
+    best = measured(stretches).withColumn("worth", worth).withColumn("most_worth", F.max("worth").over(around))
+    best = best.where(F.col("worth") == F.col("most_worth")).select(*whole.columns).dropDuplicates([*key, "least", "most"])
+    return whole.unionByName(best).select("doc_id", "row", "template", F.element_at(labels, F.col("template") + 1).alias("label"),
+                                          "share", "back", "low", "high", "least", "most")
 
 
 def decided(spans: list[dict], names: list[dict], places: list[list[int]], near: int = NEIGHBOUR) -> list[dict]:

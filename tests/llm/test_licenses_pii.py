@@ -187,3 +187,16 @@ def test_pii_edges_and_redaction(spark, field):
     assert {(r.doc_id, r.spans) for r in pii.find(df, field).collect()} == {
         (1, ""), (2, ""), (3, "email:5:11,ip:13:21"), (None, "phone:2:19")}
     assert pii.find(df.limit(0)).count() == 0
+
+
+def test_repeated_names_and_notices_lose_no_label(spark):
+    bsd, mit = "Released under the BSD license", licenses.TEMPLATES["mit"][0]
+    rows = [(1, bsd + "."), (2, bsd + ", the BSD license, the BSD license"), (3, "the BSD license " * 40 + bsd + " the BSD license" * 40),
+            (4, (mit + " ") * 30), (5, "the BSD license " * 3000), (6, (bsd + " and ") * 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert all("bsd" in got[i].labels for i in (1, 2, 3, 6)) and "mit" in got[4].labels
+    assert got[2].score == 1.0 and got[1].score == 1.0
+    for i in (2, 3, 6):                       # the span is the notice itself
+        words = WORD.findall(lower(dict(rows)[i]))
+        assert any(words[s.low:s.high] == bsd.lower().split() for s in got[i].spans if s.label == "bsd")
