@@ -8,16 +8,19 @@ driver and names the run's folder, so reruns never overwrite each other.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import os
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fmt import with_display
 from ..functions.labels import HEADINGS, labelled
 from ..plans.bundle import Bundle, NoReportData
+from ..session import remove
 
 log = logging.getLogger(__name__)
 
@@ -41,17 +44,63 @@ def as_written(df: DataFrame, name: str, headings: bool = False, display: bool =
     return labelled(df, name) if headings and name in HEADINGS else df
 
 
-def _remove(df: DataFrame, path: str) -> None:
-    """Delete what a failed write left behind."""
-    jvm = df.sparkSession.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def _fs(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _exists(df: DataFrame, path: str) -> bool:
-    jvm = df.sparkSession.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _remove_if_empty(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p) and not len(fs.listStatus(p)):
+        fs.delete(p, False)
+
+
+def _publish(spark: SparkSession, stage: str, base: str) -> None:
+    fs, target = _fs(spark, base)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(_fs(spark, stage)[1], target):
+        raise FileExistsError(f"run folder {base} cannot be made")
+
+
+def manifest_path(out_dir: str, run: str) -> str:
+    return os.path.join(out_dir, "_runs", f"{run}.json")
+
+
+def _write_manifest(spark: SparkSession, out_dir: str, run: str, content: dict) -> None:
+    fs, p = _fs(spark, manifest_path(out_dir, run))
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+    finally:
+        out.close()
+
+
+def read_manifest(spark: SparkSession, out_dir: str, run: str) -> dict:
+    """``{"run", "format", "reports": {name: rows}, "failed": [names]}`` of a
+    published run."""
+    fs, p = _fs(spark, manifest_path(out_dir, run))
+    if not fs.exists(p):
+        raise FileNotFoundError(f"run {run} has not been published in {out_dir}")
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(stream.readAllBytes()))
+    finally:
+        stream.close()
+
+
+def read_run(spark: SparkSession, out_dir: str, run: str) -> dict[str, DataFrame]:
+    """The reports of a published run, by name: those its manifest lists."""
+    m = read_manifest(spark, out_dir, run)
+    r = spark.read.format(m["format"])
+    if m["format"] == "csv":
+        r = r.option("header", "true").option("inferSchema", "true")
+    return {name: r.load(os.path.join(out_dir, run, name)) for name in m["reports"]}
 
 
 def run_id(prefix: str, year: str | int, now: dt.datetime | None = None) -> str:
@@ -77,32 +126,47 @@ def write_reports(reports: Mapping[str, DataFrame], out_dir: str, prefix: str, y
     has rows, nothing is written and :class:`NoReportData` is raised (V3).  A
     report that fails leaves the others (V5): they are written, what the failed
     one left is removed, and :class:`ReportsFailed` names it at the end
-    (``on_error="raise"``: its own error, at once).  ``headings``, ``display``:
-    see :func:`as_written`."""
-    base = os.path.join(out_dir, run_id(prefix, year, now))
-    written, failed = 0, {}
-    for name, df in reports.items():
-        try:
-            path = os.path.join(base, name)
-            if df.isEmpty():
-                log.warning("report %s has no rows for the requested range and filters", name)
-                continue
-            new = not _exists(df, path)
+    (``on_error="raise"``: its own error, at once, and nothing is published).
+    ``headings``, ``display``: see :func:`as_written`.
+
+    The reports are written aside and the run folder is made by one rename, then
+    listed with its row counts in a manifest (:func:`read_manifest`): a run that is
+    stopped midway shows neither.  Each report's plan runs once; its rows are
+    counted while they are written."""
+    run = run_id(prefix, year, now)
+    base, aside = os.path.join(out_dir, run), os.path.join(out_dir, "_writing")
+    stage = os.path.join(aside, f"{run}-{uuid.uuid4().hex}")
+    written, failed, spark = {}, {}, None
+    try:
+        for name, df in reports.items():
+            spark = df.sparkSession
+            path = os.path.join(stage, name)
             try:
-                write_report(as_written(df, name, headings, display), path, fmt)
-            except Exception:
-                if new:
-                    _remove(df, path)
-                raise
-            written += 1
-        except Exception as e:  # noqa: BLE001
-            if on_error != "skip":
-                raise
-            log.warning("report %s not written: %s", name, str(e)[:500])
-            failed[name] = e
-    if not written:
-        why = f"; failed: {sorted(failed)}" if failed else ""
-        raise NoReportData(f"no report has rows; nothing written{why}")
+                if _exists(spark, base):
+                    raise FileExistsError(f"run folder {base} is there already")
+                seen = Observation()
+                write_report(as_written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, headings, display), path, fmt)
+                rows = seen.get.get("rows", 0)          # none: the plan was found to be empty
+                if rows:
+                    written[name] = rows
+                else:
+                    remove(spark, path)
+                    log.warning("report %s has no rows for the requested range and filters", name)
+            except Exception as e:  # noqa: BLE001
+                if on_error != "skip":
+                    raise
+                remove(spark, path)
+                log.warning("report %s not written: %s", name, str(e)[:500])
+                failed[name] = e
+        if not written:
+            why = f"; failed: {sorted(failed)}" if failed else ""
+            raise NoReportData(f"no report has rows; nothing written{why}")
+        _publish(spark, stage, base)
+        _write_manifest(spark, out_dir, run, {"run": run, "format": fmt, "reports": written, "failed": sorted(failed)})
+    finally:
+        if spark is not None:
+            remove(spark, stage)
+            _remove_if_empty(spark, aside)
     if failed:
         raise ReportsFailed(base, failed)
     return base
