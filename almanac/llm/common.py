@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,19 +12,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almanac.session import shared_dir
+
 #: Folders written by :func:`store` in this driver process, for :func:`sweep`.
 _STORED: list[str] = []
 _TABLES: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor shares, from ``spark.checkpoint.dir``; only a
-    session that names none (tests, local mode) gets a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="almanac-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder every executor shares (``spark.checkpoint.dir``); a temporary
+    one only for a local session that names none, an error on a cluster."""
+    return shared_dir(spark)
 
 
 def store(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
