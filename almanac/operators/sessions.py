@@ -206,7 +206,9 @@ def assign_sessions(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=
                     with_channel: bool = False, with_start: bool = False) -> DataFrame:
     """Events with ``session_id`` (and ``session_channel``) filled in.
 
-    Equi-join on (user_id, bucket).  To sessionize once and store, write the
+    Equi-join on (user_id, bucket).  Events without a user or a time match
+    nothing; a third key spreads them, so those of one bucket (or all without a
+    time) do not meet in one task.  To sessionize once and store, write the
     result partitioned by day; reports over the stored table then keep full
     predicate pushdown.
     """
@@ -216,4 +218,6 @@ def assign_sessions(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=
     ev = with_bucket(events, gap)
     if "session_id" in ev.columns:
         ev = ev.drop("session_id")
-    return ev.join(m.select(*keep), ["user_id", "bucket"], "left").drop("bucket")
+    alone = F.col("user_id").isNull() | F.col("ts").isNull()
+    ev = ev.withColumn("_spread", F.when(alone, F.xxhash64(*ev.columns)).otherwise(F.lit(0)))
+    return ev.join(m.select(*keep, F.lit(0).cast("long").alias("_spread")), ["user_id", "bucket", "_spread"], "left").drop("bucket", "_spread")

@@ -200,3 +200,21 @@ def test_zoned_timestamp_table_gives_the_same_reports(spark):
     rng = DateRange("2024-01-08", "2024-01-22")
     for rep in (R.web_report, R.app_report, R.organic_report):
         assert rep(spark, b, rng, prop="x").collect() == rep(spark, reg, rng).collect()
+
+
+def test_events_without_a_user_spread_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, "2025-01-10 10:00:00", None if i % 3 else 7, None, "web", None, True, 1.0) for i in range(3000)]
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    join = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = X.assign_sessions(events_df(spark, rows))
+        per = [r["count"] for r in out.where("user_id IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per) == 2000 and len(per) == 8 and max(per) < 500
+        assert out.where("user_id = 7 AND session_id = 1").count() == 1000 and out.where("user_id IS NULL AND session_id IS NOT NULL").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", join)
