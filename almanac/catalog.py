@@ -38,6 +38,7 @@ from .sources import typed
 from .sources.bindings import events_contract
 from .sources.properties import ECOMMERCE, SECOND, default_registry, events_registry
 from .streaming import sessions as ST
+from .streaming import stateful as SF
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -859,6 +860,27 @@ def q_session_rows(spark, d):
                        "engaged", F.col("revenue_amount").cast("double").alias("revenue"))
 
 
+@register("stream_session_parts", f"""
+WITH {EVENTS_CTE}
+SELECT user_id, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, CAST(count(*) AS BIGINT) AS n_events,
+       strftime(min(ts), {_TS_FMT_SQL}) AS session_start, strftime(max(ts), {_TS_FMT_SQL}) AS session_end,
+       CAST(max(CASE WHEN engaged THEN 1 ELSE 0 END) AS INTEGER) AS engaged,
+       CAST(sum(CAST(revenue AS DECIMAL(38, 6))) AS DOUBLE) AS revenue, session_channel
+FROM eb WHERE user_id IS NOT NULL GROUP BY user_id, session_id, session_channel, 2, 3""")
+def q_stream_session_parts(spark, d):
+    """The events table as a stream: closed sessions as the stream wrote them and
+    those still open in its state."""
+    base = f"{shared_dir(spark)}/almanac/{uuid.uuid4().hex}"
+    out, ckpt = f"{base}/rows", f"{base}/state"
+    stream = ST.read_event_stream(spark, f"{d}/events.parquet*", spark.read.parquet(f"{d}/events.parquet").schema)   # a file or a folder
+    q = SF.write_session_parts(SF.session_parts(events_contract(stream)), out, ckpt)
+    q.awaitTermination()                   # raises what the stream raised
+    rows = SF.closed_parts(spark, out, ckpt).unionByName(SF.open_parts(spark, ckpt))
+    return rows.select("user_id", "year", "month", "n_events", D.ts_text("session_start").alias("session_start"),
+                       D.ts_text("session_end").alias("session_end"), "engaged",
+                       F.col("revenue_amount").cast("double").alias("revenue"), "session_channel")
+
+
 # --------------------------------------------------------------------------
 # Stored sessions refreshed by day, and the summaries made from them
 # --------------------------------------------------------------------------

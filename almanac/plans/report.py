@@ -120,6 +120,10 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
         raise ValueError("reports sharing a scan must have the same dimensions")
     keys = ["report"] + [k for k in ("year", "month") if k in specs[0].dimensions]
     all_metrics = tuple(dict.fromkeys(m for sp in specs for m in sp.metrics))
+    if b.closed_before is not None:
+        for sp in specs:
+            if sp.date_range.end >= b.closed_before:
+                raise ValueError(f"report {sp.name!r} reaches {sp.date_range.end}, but {b.name!r} is complete only before {b.closed_before}")
     approx_set = {sp.approx_users for sp in specs}
     if len(approx_set) != 1:
         raise ValueError("reports sharing a scan must agree on approx_users")

@@ -93,6 +93,7 @@ class Binding:
     derived: tuple[tuple[str, CodeMap], ...] = ()
     partition_date: str | None = None  # a date partition column of the table, for pruning
     joined: frozenset = frozenset()  # contract columns whose building joins another table
+    closed_before: dt.date | None = None  # days from this one on are not complete yet; reports that reach them are refused
 
     def code_map(self, contract_col: str) -> CodeMap | None:
         return dict(self.derived).get(contract_col)
