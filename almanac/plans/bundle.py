@@ -5,7 +5,7 @@ Reports over the same binding share one scan (``report.shared_counts``) as
 long as sharing adds no join: a report whose filter needs a column that the
 binding joins in has its own scan, with its filter pushed down, and the others
 read the fact table alone.  Each such group is planned, executed and persisted
-by itself, so a table that is missing or a value that cannot be read costs only
+by itself, at the same time as the others, so a table that is missing or a value that cannot be read costs only
 its own reports.  The bundle's long table has one row per (report, month) —
 bounded by the calendar — and the per-report frames, the presence checks and
 the sinks read the persisted groups.
@@ -16,6 +16,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import dims
 from ..operators.metrics import rounded
 from ..operators.scaffold import complete_report_months
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, together
 from ..sources.bindings import Binding
 from . import report as R
 from .spec import DateRange, ReportSpec, filter_fields
@@ -130,11 +131,12 @@ def _long_from_counts(counts: DataFrame, specs: Sequence[ReportSpec]) -> DataFra
 
 
 def group_counts(spark: SparkSession, registry: Mapping[str, Binding], specs: Sequence[ReportSpec], on_error: str = "skip",
-                 persist: bool = True, checkpoint: bool = False,
+                 persist: bool = True, checkpoint: bool = False, limit: float | None = None,
                  ) -> tuple[list[tuple[DataFrame, list[ReportSpec]]], list[DataFrame], dict[str, BaseException]]:
     """Counts of the specs, one shared scan for those with the same binding,
     joins, dimensions and way of counting users; the persisted frames; and what
-    failed, by report."""
+    failed, by report.  Scans that run here run at the same time, each with
+    ``limit`` seconds if that is given."""
     groups: dict[tuple, tuple[Binding, list[ReportSpec]]] = {}
     errors: dict[str, BaseException] = {}
     found, held = [], []
@@ -149,23 +151,27 @@ def group_counts(spark: SparkSession, registry: Mapping[str, Binding], specs: Se
             continue
         joins = b.joined & {R.FIELD_COLUMN.get(f) for f in filter_fields(sp.filter)}
         groups.setdefault((id(b), joins, sp.dimensions, sp.approx_users), (b, []))[1].append(sp)
-    for b, sps in groups.values():
-        try:
-            part = R.shared_counts(spark, sps, b)
-            if checkpoint:
-                part = part.checkpoint(eager=True)
-            elif persist:
-                part = part.persist(StorageLevel.MEMORY_AND_DISK)
-                held.append(part)
-                part.count()           # runs the scan: a failure is this group's alone
-        except Exception as e:  # noqa: BLE001
-            if on_error != "skip":
-                raise
-            for sp in sps:
-                log.warning("report %s skipped: %s", sp.name, str(e)[:500])
-                errors[sp.name] = e
+    def made(b: Binding, sps: list[ReportSpec]) -> DataFrame:
+        part = R.shared_counts(spark, sps, b)
+        if checkpoint:
+            return part.checkpoint(eager=True)
+        if persist:
+            part = part.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(part)
+            part.count()               # runs the scan: a failure is this group's alone
+        return part
+
+    tasks = {", ".join(sp.name for sp in sps): partial(made, b, sps) for b, sps in groups.values()}
+    parts, failed = together(spark, tasks, limit)
+    for (name, _), (_, sps) in zip(tasks.items(), groups.values()):
+        if name in parts:
+            found.append((parts[name], sps))
             continue
-        found.append((part, sps))
+        if on_error != "skip":
+            raise failed[name]
+        for sp in sps:
+            log.warning("report %s skipped: %s", sp.name, str(failed[name])[:500])
+            errors[sp.name] = failed[name]
     return found, held, errors
 
 
@@ -186,7 +192,7 @@ def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRa
                names: Sequence[str] = ("web", "app", "organic"), on_error: str = "skip",
                persist: bool = True, specs: Sequence[ReportSpec] | None = None,
                checkpoint: bool = False, fill_months: bool = False,
-               approx_users: float | None = None) -> Bundle:
+               approx_users: float | None = None, limit: float | None = None) -> Bundle:
     """Run the reports together.
 
     ``on_error="skip"`` drops a report that cannot be planned or executed
@@ -194,7 +200,8 @@ def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRa
     the others (V5); ``"raise"`` re-raises.  Execution is tried here when the
     result is kept (``persist`` or ``checkpoint``); a lazy bundle fails where it
     is used.  Reports are grouped by binding and by the joins they need; each
-    group is one shared scan.
+    group is one shared scan, and the groups run at the same time.  A group that
+    takes more than ``limit`` seconds is cancelled and counts as failed.
 
     ``fill_months`` lists every month of ``rng`` for every report, empty
     months with zero counts (V4).  ``approx_users`` (a relative standard
@@ -221,7 +228,7 @@ def run_bundle(spark: SparkSession, registry: Mapping[str, Binding], rng: DateRa
                 errors[n] = e
     if checkpoint and not checkpoint_dir(spark):
         raise RuntimeError("checkpoint=True needs spark.checkpoint.dir set to a shared folder")
-    found, held, failed = group_counts(spark, registry, specs, on_error, persist, checkpoint)
+    found, held, failed = group_counts(spark, registry, specs, on_error, persist, checkpoint, limit)
     errors |= failed
     parts, done = [c for c, _ in found], [sp.name for _, sps in found for sp in sps]
     kept = [sp for sp in specs if sp.name in done]

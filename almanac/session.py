@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor, wait
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings that matter for these plans at any scale:
@@ -83,3 +89,58 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, on whatever file system it lies."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class TimeLimit(RuntimeError):
+    """A task's jobs were cancelled at its time limit."""
+
+
+def together(spark: SparkSession, tasks: Mapping[str, Callable[[], object]], limit: float | None = None,
+             width: int = 8) -> tuple[dict[str, object], dict[str, BaseException]]:
+    """Run the tasks at the same time, at most ``width`` of them; what each
+    returned, and the errors of those that failed.
+
+    Each has a thread, a job group and a scheduler pool of its own: where the
+    session's ``spark.scheduler.mode`` is FAIR a short task is not kept waiting by
+    a long one.  A task that takes more than ``limit`` seconds of its own has its
+    jobs cancelled; the others go on.  Local properties of the calling thread hold
+    in the tasks; its own job group is left as it is."""
+    sc, run = spark.sparkContext, uuid.uuid4().hex
+    late: set[str] = set()
+
+    def one(k: int, name: str, task: Callable[[], object]) -> object:
+        group = f"almanac-{run}-{name}"
+        sc.setJobGroup(group, name, interruptOnCancel=True)
+        sc.setLocalProperty("spark.scheduler.pool", f"almanac-{k}")
+        timer = None
+        if limit is not None:
+            def stop() -> None:
+                late.add(name)
+                sc.cancelJobGroup(group)
+            timer = threading.Timer(limit, stop)
+            timer.daemon = True
+            timer.start()
+        try:
+            out = task()
+        except Exception as e:
+            if name in late:
+                raise TimeLimit(f"{name}: cancelled after {limit} s") from e
+            raise
+        finally:
+            if timer is not None:
+                timer.cancel()
+        return out
+
+    done, errors = {}, {}
+    with ThreadPoolExecutor(max(1, min(width, len(tasks)))) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(one), k, name, task) for k, (name, task) in enumerate(tasks.items())}
+        wait(running.values())
+    for name, f in running.items():
+        e = f.exception()
+        if e is None:
+            done[name] = f.result()
+        elif isinstance(e, Exception):
+            errors[name] = e
+        else:
+            raise e
+    return done, errors

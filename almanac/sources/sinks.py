@@ -13,6 +13,7 @@ import logging
 import os
 import uuid
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.fmt import with_display
 from ..functions.labels import HEADINGS, labelled
 from ..plans.bundle import Bundle, NoReportData
-from ..session import remove
+from ..session import remove, together
 
 log = logging.getLogger(__name__)
 
@@ -118,15 +119,26 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "er
     return path
 
 
+def _write_counted(df: DataFrame, path: str, base: str, name: str, fmt: str, headings: bool, display: bool) -> int:
+    """Write one report; the number of its rows."""
+    if _exists(df.sparkSession, base):
+        raise FileExistsError(f"run folder {base} is there already")
+    seen = Observation()
+    write_report(as_written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, headings, display), path, fmt)
+    return seen.get.get("rows", 0)                  # none: the plan was found to be empty
+
+
 def write_reports(reports: Mapping[str, DataFrame], out_dir: str, prefix: str, year: str | int,
                   fmt: str = "parquet", on_error: str = "skip", now: dt.datetime | None = None,
-                  headings: bool = False, display: bool = False) -> str:
+                  headings: bool = False, display: bool = False, limit: float | None = None) -> str:
     """K1: every non-empty report to ``<out>/<run id>/<name>``; returns the
     run folder.  Empty reports are left out with a warning (V1, V2); if none
     has rows, nothing is written and :class:`NoReportData` is raised (V3).  A
     report that fails leaves the others (V5): they are written, what the failed
     one left is removed, and :class:`ReportsFailed` names it at the end
-    (``on_error="raise"``: its own error, at once, and nothing is published).
+    (``on_error="raise"``: its own error, and nothing is published).  Reports are
+    written at the same time; one that takes more than ``limit`` seconds is
+    cancelled and counts as failed.
     ``headings``, ``display``: see :func:`as_written`.
 
     The reports are written aside and the run folder is made by one rename, then
@@ -136,28 +148,24 @@ def write_reports(reports: Mapping[str, DataFrame], out_dir: str, prefix: str, y
     run = run_id(prefix, year, now)
     base, aside = os.path.join(out_dir, run), os.path.join(out_dir, "_writing")
     stage = os.path.join(aside, f"{run}-{uuid.uuid4().hex}")
-    written, failed, spark = {}, {}, None
+    written, spark = {}, None
     try:
+        tasks = {}
         for name, df in reports.items():
             spark = df.sparkSession
-            path = os.path.join(stage, name)
-            try:
-                if _exists(spark, base):
-                    raise FileExistsError(f"run folder {base} is there already")
-                seen = Observation()
-                write_report(as_written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, headings, display), path, fmt)
-                rows = seen.get.get("rows", 0)          # none: the plan was found to be empty
-                if rows:
-                    written[name] = rows
-                else:
-                    remove(spark, path)
-                    log.warning("report %s has no rows for the requested range and filters", name)
-            except Exception as e:  # noqa: BLE001
+            tasks[name] = partial(_write_counted, df, os.path.join(stage, name), base, name, fmt, headings, display)
+        rows, failed = together(spark, tasks, limit) if tasks else ({}, {})
+        for name in reports:
+            if name in failed:
                 if on_error != "skip":
-                    raise
-                remove(spark, path)
-                log.warning("report %s not written: %s", name, str(e)[:500])
-                failed[name] = e
+                    raise failed[name]
+                remove(spark, os.path.join(stage, name))
+                log.warning("report %s not written: %s", name, str(failed[name])[:500])
+            elif rows[name]:
+                written[name] = rows[name]
+            else:
+                remove(spark, os.path.join(stage, name))
+                log.warning("report %s has no rows for the requested range and filters", name)
         if not written:
             why = f"; failed: {sorted(failed)}" if failed else ""
             raise NoReportData(f"no report has rows; nothing written{why}")
