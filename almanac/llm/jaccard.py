@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almanac.llm.common import Words, columns, mix64, partitions, rolling, slices, store
+from almanac.llm.common import Words, columns, mix64, rolling, slices, store
 from almanac.llm.components import connected
 
 #: A shingle of more than this share of documents, and at least so many, goes to salted buckets.
@@ -46,8 +46,10 @@ FREQUENT, FREQUENT_LEAST = 1 / 256, 1000
 MAPS = 8
 #: Bytes of text worked on at once in a task.
 SLICE = 4 << 20
-#: Sets on a list, above which :func:`all_pairs` cuts it into parts.
+#: Sets on a list, above which :func:`all_pairs` and :func:`other_pairs` cut it into parts.
 LIST = 1024
+#: Shingles that a bucket of hashes holds, about.
+BUCKET = 1 << 20
 
 _BLOB = "fps binary, ns binary, counts binary, hashes binary"
 
@@ -205,7 +207,7 @@ def shared(buckets: DataFrame, bits: int, common: np.ndarray, counted: np.ndarra
                 for x, y in zip(cut, np.append(cut[1:], len(head)))]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), _BACK)], schema=_BACK)
 
-    return buckets.groupBy("bucket").applyInArrow(reduce, f"owner int, {_BLOB}, dfs binary")
+    return buckets.repartition(extra, "bucket").groupBy("bucket").applyInArrow(reduce, f"owner int, {_BLOB}, dfs binary")
 
 
 def needed(n, percent: int):
@@ -213,7 +215,7 @@ def needed(n, percent: int):
     return -(-percent * n // 100)
 
 
-def records(back: DataFrame, percent: int) -> DataFrame:
+def records(back: DataFrame, bits: int, percent: int) -> DataFrame:
     """``fp, n, u, tokens`` and bitmaps ``m0..`` of sets with enough shared
     tokens for a link: ``tokens`` rarest first, ``u`` the number unshared."""
     names = [f"m{i}" for i in range(MAPS)]
@@ -237,7 +239,7 @@ def records(back: DataFrame, percent: int) -> DataFrame:
                          pa.array([h[starts[i]:starts[i + 1]].tobytes() for i in pick], pa.binary()),
                          *(pa.array(maps[pick, j].view(np.int64)) for j in range(MAPS))], schema=schema)
 
-    return back.groupBy("owner").applyInArrow(assemble, "fp long, n long, u long, tokens binary, " + ", ".join(f"{m} long" for m in names))
+    return back.repartition(1 << bits, "owner").groupBy("owner").applyInArrow(assemble, "fp long, n long, u long, tokens binary, " + ", ".join(f"{m} long" for m in names))
 
 
 # -- candidates ---------------------------------------------------------------
@@ -341,9 +343,13 @@ def other_pairs(lists: DataFrame, recs: DataFrame, labels: DataFrame, percent: i
             .groupBy("h").agg(F.max(F.struct("members", "component")).alias("top"), F.count("*").alias("many"))
             .where("many > 1").select("h", F.col("top.component").alias("main")))
     full = entry.drop("u").join(main, "h").join(recs.select("fp", "n", "u", *[f"m{i}" for i in range(MAPS)]), "fp")
-    x, y = full.where("component <> main").alias("x"), full.alias("y")
+    # A long list is cut into parts of its left sides.
+    parts = full.where("component <> main").groupBy("h").agg(F.ceil(F.count("*") / F.lit(LIST)).cast("int").alias("parts"))
+    full = full.join(parts, "h")
+    x = full.where("component <> main").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")).alias("x")
+    y = full.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.fp") < F.col("y.fp"))
-    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & once
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.component") != F.col("y.component")) & once
                  & may_link("x", "y", percent) & may_differ_little("x", "y", percent))
     swap = F.col("x.fp") > F.col("y.fp")
     return met.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"),
@@ -386,9 +392,15 @@ def sets_and_records(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame,
     rows = columns(docs)
     table = store(set_table(rows, k), "sets")
     common, counted = frequent(table)
-    bits = max(4, (partitions(docs.sparkSession) - 1).bit_length())
+    bits = bucket_bits(table)
     back = shared(to_buckets(rows, k, bits, common), bits, common, counted)
-    return table, store(records(back, percent), "records")
+    return table, store(records(back, bits, percent), "records")
+
+
+def bucket_bits(table: DataFrame) -> int:
+    """Bits of a bucket's number: buckets of about BUCKET shingles, 16 at least."""
+    shingles = table.agg(F.sum("n")).first()[0] or 0
+    return max(4, (-(-shingles // BUCKET) - 1).bit_length())
 
 
 def links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:

@@ -77,6 +77,22 @@ def test_components_equal_brute_force(spark, seed, k, percent):
     assert ours(df, k, percent) == brute_components(rows, k, percent)
 
 
+@pytest.mark.parametrize("k,percent", [(4, 85), (2, 60)])
+def test_many_unlike_documents_with_the_same_shingles(spark, monkeypatch, k, percent):
+    """Long lists of many components, in small parts and small buckets."""
+    monkeypatch.setattr(jaccard, "LIST", 7)
+    monkeypatch.setattr(jaccard, "BUCKET", 60)
+    rng = random.Random(11)
+    phrases = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(9)) for _ in range(9)]
+    rows = [(i, " ".join(rng.choice(phrases) for _ in range(rng.randint(1, 4)))) for i in range(400)]
+    want = brute_components(rows, k, percent)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert ours(df, k, percent) == want
+    assert 5 < len({c for _, _, c in want}) < 350      # neither one component nor none
+    table = jaccard.set_table(jaccard.columns(df), k)
+    assert jaccard.bucket_bits(table) >= 6
+
+
 @pytest.mark.parametrize("seed,k,percent,most", [(1, 4, 85, 1024), (3, 2, 60, 5)])
 def test_links_equal_brute_force(spark, monkeypatch, seed, k, percent, most):
     monkeypatch.setattr(jaccard, "LIST", most)
