@@ -27,7 +27,10 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +44,12 @@ from almanac.llm.common import columns
 KINDS = ("email", "ip", "card", "phone")
 #: Longest entity in tokens; windows of the corpus the field is fitted on.
 MAX_TOKENS, SAMPLE = 16, 300
+#: First tokens whose candidates are held at a time.
+STEP = 2048
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
-_CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
+_CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")      # possessive: no stack as long as the match
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # A host after "at": its dots spelled out, or a word with a dot inside.
@@ -114,29 +119,32 @@ class Window:
     tokens: list[tuple[int, int]]
 
 
-def windows(text: str, taken: list[tuple[int, int, int]] = ()) -> list[Window]:
-    """Parts around cues, outside the spans already taken."""
+def ranges(text: str, taken: list[tuple[int, int, int]] = ()) -> Iterator[tuple[int, int]]:
+    """Parts around cues, outside the spans already taken, one after another."""
     free, at = [], 0
     for a, b in sorted((a, b) for _, a, b in taken):
         if a > at:
             free.append((at, a))
         at = max(at, b)
     free.append((at, len(text)))
-    out = []
     for lo, hi in free:
-        spots = [m.start() for m in _CUE.finditer(text, lo, hi)]
-        runs: list[list[int]] = []
-        for s in spots:               # 100 characters hold an entity and its context
-            if runs and s - runs[-1][1] <= 100:
-                runs[-1][1] = s
-            else:
-                runs.append([s, s])
-        for a, b in runs:
-            a, b = max(lo, a - 80), min(hi, b + 80)
-            tokens = [m.span() for m in _TOKEN.finditer(text, a, b)]
-            if tokens:
-                out.append(Window(text, tokens))
-    return out
+        first = last = -1
+        for m in _CUE.finditer(text, lo, hi):
+            s = m.start()
+            if first >= 0 and s - last > 100:          # 100 characters hold an entity and its context
+                yield max(lo, first - 80), min(hi, last + 80)
+                first = s
+            elif first < 0:
+                first = s
+            last = s
+        if first >= 0:
+            yield max(lo, first - 80), min(hi, last + 80)
+
+
+def windows(text: str, taken: list[tuple[int, int, int]] = ()) -> list[Window]:
+    """The parts of :func:`ranges` with their tokens."""
+    found = (Window(text, [m.span() for m in _TOKEN.finditer(text, a, b)]) for a, b in ranges(text, taken))
+    return [w for w in found if w.tokens]
 
 
 # -- segments -----------------------------------------------------------------
@@ -146,53 +154,74 @@ FEATURES = ("bias", "at sign", "at word", "dots after at", "letters first", "let
             "sign before", "sign after", "tokens", "mixed separators")
 
 
-def segments(w: Window) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates ``(first token, last token + 1, kind)`` and their features."""
+def _before(mask) -> np.ndarray:
+    """How many of the first 0, 1, ... are true (or their sum)."""
+    return np.concatenate(([0], np.cumsum(np.asarray(mask, np.int64))))
+
+
+def segments(w: Window, first: int = 0, stop: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates ``(first token, last token + 1, kind)`` and their features, by
+    first token, last token, kind; only those whose first token is in ``[first, stop)``."""
     text, tokens = w.text, w.tokens
     words = [text[a:b] for a, b in tokens]
     low = [x.lower() for x in words]
     n = len(words)
+    stop = n if stop is None else min(stop, n)
     digits = [len(x) if x.isascii() and x.isdigit() else 0 for x in words]
     is_at = [x in AT for x in low]
     is_dot = [x in DOT for x in low]
-    total = np.concatenate(([0], np.cumsum(digits))).tolist()
-    ats = np.concatenate(([0], np.cumsum(is_at))).tolist()
-    spans, feats = [], []
-    for i in range(n):
-        if not (words[i][0].isalnum() or words[i] in "+("):
-            continue
-        for j in range(i + 2 - (digits[i] > 6), min(n, i + MAX_TOKENS) + 1):
-            last = words[j - 1]
-            if not last[-1].isalnum():
-                continue
-            d, a = total[j] - total[i], ats[j] - ats[i]
-            if a == 1 and j - i >= 4 and not digits[i] * (words[i] == "+"):
-                f = email_features(w, words, low, is_at, is_dot, digits, i, j)
-                if f is not None:
-                    spans.append((i, j, 0))
-                    feats.append(f)
-            if 4 <= d <= 19 and a == 0 and (digits[i] or words[i] in "+("):
-                kinds, f = number_features(w, words, low, digits, i, j, d)
-                for k in kinds:
-                    spans.append((i, j, k))
-                    feats.append(f if k == 1 else f)
-    if not spans:
-        return np.empty((0, 3), np.int64), np.empty((0, len(FEATURES)))
-    s, x = np.array(spans, np.int64), np.array(feats, float)
-    for r, (i, _, k) in enumerate(spans):
-        x[r, 22] = any(v in ANNOUNCE[k] for v in low[max(0, i - 3):i])
+    alnum = np.array([x[0].isalnum() for x in words], bool)
+    size, ats = _before(digits), _before(is_at)
+    begins = alnum | np.array([x in "+(" for x in words], bool)
+    ends = np.array([x[-1].isalnum() for x in words], bool)
+    i = np.repeat(np.arange(first, stop), MAX_TOKENS)
+    j = i + np.tile(np.arange(1, MAX_TOKENS + 1), max(0, stop - first))
+    ok = (j <= n) & begins[i]
+    i, j = i[ok], j[ok]
+    own = np.array(digits, np.int64)
+    ok = ends[j - 1] & (j >= i + 2 - (own[i] > 6))
+    i, j = i[ok], j[ok]
+    d, a = size[j] - size[i], ats[j] - ats[i]
+    spans, feats = [np.empty((0, 3), np.int64)], [np.empty((0, len(FEATURES)))]
+    plus = np.array([x == "+" for x in words], bool)
+    number = (d >= 4) & (d <= 19) & (a == 0) & ((own[i] > 0) | plus[i] | np.array([x == "(" for x in words], bool)[i])
+    if number.any():
+        for k, part, f in number_features(w, words, low, own, alnum, np.array(is_dot, bool), size, i[number], j[number], d[number]):
+            spans.append(np.column_stack([part, np.full(len(part), k)]))
+            feats.append(f)
+    mail = (a == 1) & (j - i >= 4) & ~((own[i] > 0) & plus[i])
+    found = [(x, y, f) for x, y in zip(i[mail].tolist(), j[mail].tolist())
+             if (f := email_features(w, words, low, is_at, is_dot, digits, x, y)) is not None]
+    if found:
+        spans.append(np.array([(x, y, 0) for x, y, _ in found], np.int64))
+        feats.append(np.array([f for _, _, f in found], float))
+    s, x = np.concatenate(spans), np.concatenate(feats)
+    order = np.lexsort((s[:, 2], s[:, 1], s[:, 0]))
+    s, x = s[order], x[order]
+    for k, names in enumerate(ANNOUNCE):
+        told, mine = _before([v in names for v in low]), s[:, 2] == k
+        at = s[mine, 0]
+        x[mine, 22] = told[at] > told[np.maximum(at - 3, 0)]
     return s, x
 
 
 def _beside(w: Window, i: int, j: int, f: list[float]) -> None:
-    text, (a, _), (_, b) = w.text, w.tokens[i], w.tokens[j - 1]
-    before, after = text[a - 1:a], text[b:b + 1]
-    f[23], f[24] = before.isalnum() or before == "_", after.isalnum() or after == "_"
-    f[25] = before in tuple("=\"'/#:.-+") and bool(before)
-    f[26] = bool(after) and after in "=\"'/#:@-" and text[b + 1:b + 2].isalnum()
+    a, b = w.tokens[i][0], w.tokens[j - 1][1]
+    f[23], f[25] = _left(w.text, a)
+    f[24], f[26] = _right(w.text, b)
     f[27] = (j - i) / MAX_TOKENS
 
 
+def _left(text: str, a: int) -> tuple[bool, bool]:
+    before = text[a - 1:a]
+    return before.isalnum() or before == "_", before in tuple("=\"'/#:.-+") and bool(before)
+
+
+def _right(text: str, b: int) -> tuple[bool, bool]:
+    after = text[b:b + 1]
+    return after.isalnum() or after == "_", bool(after) and after in "=\"'/#:@-" and text[b + 1:b + 2].isalnum()
+
+
 def email_features(w, words, low, is_at, is_dot, digits, i, j):
     at = next(t for t in range(i, j) if is_at[t])
     if at == i or at == j - 1:
@@ -222,36 +251,54 @@ def email_features(w, words, low, is_at, is_dot, digits, i, j):
     return f
 
 
-def number_features(w, words, low, digits, i, j, d):
-    """Kinds these tokens could be, and the features, the same for each."""
-    f = [0.0] * len(FEATURES)
-    groups = [digits[t] for t in range(i, j) if digits[t]]
-    letters = sum(words[t][0].isalpha() and low[t] not in DOT for t in range(i, j))
-    odd = sum(not words[t][0].isalnum() and words[t] not in "+-.()[]" for t in range(i, j))
-    signs = {words[t] for t in range(i + 1, j) if not words[t][0].isalnum()}
-    if letters > 1 or odd > 1:
-        return (), f
-    f[0], f[8], f[9], f[10], f[11] = 1, 7 <= d <= 9, d == 10, 11 <= d <= 15, 16 <= d <= 19
-    f[12] = not 7 <= d <= 19
-    numbers = [words[t] for t in range(i, j) if digits[t]]
-    f[13] = d >= 13 and luhn("".join(numbers))
-    dots = sum(low[t] in DOT for t in range(i, j))
-    f[14] = len(groups) == 4 and dots >= 3 and all(_byte(x) for x in numbers)
-    f[15], f[16] = words[i] == "+", words[i] == "("
-    f[17] = groups[-3:] == [3, 3, 4]
-    f[18] = len(groups) >= 4 and set(groups[:-1]) == {4}
-    f[19] = len(groups) == 1
-    f[20], f[21] = letters > 0, odd > 0
-    f[28] = len(signs - {"(", ")", "[", "]"}) > 1
-    _beside(w, i, j, f)
-    kinds = []
-    if len(groups) == 4 and dots >= 3:
-        kinds.append(1)
-    if d >= 13:
-        kinds.append(2)
-    if 7 <= d <= 15:
-        kinds.append(3)
-    return kinds, f
+def number_features(w, words, low, own, alnum, is_dot, size, i, j, d):
+    """For each kind, the runs of tokens ``i..j`` with ``d`` digits that could be
+    one, and their features, the same for each kind: all from running sums."""
+    letters = _before(np.array([x[0].isalpha() for x in words], bool) & ~is_dot)
+    odd = _before(~alnum & ~np.array([x in "+-.()[]" for x in words], bool))
+    ok = (letters[j] - letters[i] <= 1) & (odd[j] - odd[i] <= 1)
+    i, j, d = i[ok], j[ok], d[ok]
+    dots = _before(is_dot)
+    dots = dots[j] - dots[i]
+    group = _before(own > 0)
+    x, y = group[i], group[j]                      # its groups of digits are x..y
+    length = own[own > 0]
+    numbers = [words[t] for t in np.flatnonzero(own).tolist()]
+    fours, small = _before(length == 4), _before([_byte(v) for v in numbers])
+    f = np.zeros((len(i), len(FEATURES)))
+    f[:, 0], f[:, 8], f[:, 9] = 1, (d >= 7) & (d <= 9), d == 10
+    f[:, 10], f[:, 11], f[:, 12] = (d >= 11) & (d <= 15), (d >= 16) & (d <= 19), (d < 7) | (d > 19)
+    f[:, 13] = (d >= 13) & _luhn("".join(numbers), size[i], size[j])
+    f[:, 14] = (y - x == 4) & (dots >= 3) & (small[y] - small[x] == 4)
+    f[:, 15], f[:, 16] = np.array([v == "+" for v in words], bool)[i], np.array([v == "(" for v in words], bool)[i]
+    last = np.maximum(y, 3)
+    padded = np.concatenate((length, [0, 0, 0]))
+    f[:, 17] = (y - x >= 3) & (padded[last - 3] == 3) & (padded[last - 2] == 3) & (padded[last - 1] == 4)
+    f[:, 18] = (y - x >= 4) & (fours[np.maximum(y - 1, x)] - fours[x] == y - x - 1)
+    f[:, 19] = y - x == 1
+    f[:, 20], f[:, 21] = letters[j] > letters[i], odd[j] > odd[i]
+    kinds_of_sign = (odd[j] > odd[i + 1]).astype(np.int64)     # one odd sign at most
+    for sign in "+-.":
+        many = _before([v == sign for v in words])
+        kinds_of_sign += many[j] > many[i + 1]
+    f[:, 28] = kinds_of_sign > 1
+    used = np.unique(i)
+    f[:, [23, 25]] = np.array([_left(w.text, w.tokens[t][0]) for t in used.tolist()], float).reshape(-1, 2)[np.searchsorted(used, i)]
+    used = np.unique(j)
+    f[:, [24, 26]] = np.array([_right(w.text, w.tokens[t - 1][1]) for t in used.tolist()], float).reshape(-1, 2)[np.searchsorted(used, j)]
+    f[:, 27] = (j - i) / MAX_TOKENS
+    for k, pick in ((1, (y - x == 4) & (dots >= 3)), (2, d >= 13), (3, (d >= 7) & (d <= 15))):
+        yield k, np.column_stack([i[pick], j[pick]]), f[pick]
+
+
+def _luhn(digits: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Luhn's test of each ``digits[a:b]``, from one running sum for either parity."""
+    plain = np.frombuffer(digits.encode(), np.uint8).astype(np.int64) - 48
+    double = 2 * plain - 9 * (plain > 4)
+    even = np.arange(len(plain)) % 2 == 0
+    sums = np.stack([_before(np.where(even, plain, double)), _before(np.where(even, double, plain))])
+    side = (b - 1) % 2
+    return (sums[side, b] - sums[side, a]) % 10 == 0
 
 
 # -- the field ----------------------------------------------------------------
@@ -262,37 +309,58 @@ class Field:
     def scores(self, spans: np.ndarray, feats: np.ndarray) -> np.ndarray:
         return np.einsum("sf,sf->s", feats, self.weights[spans[:, 2]])
 
-    def best(self, n: int, spans: np.ndarray, score: np.ndarray) -> list[int]:
-        """Segments of the best segmentation of ``n`` tokens."""
-        by_end: list[list[int]] = [[] for _ in range(n + 1)]
-        for r in np.flatnonzero(score > 0).tolist():   # others never beat tokens outside
-            by_end[spans[r, 1]].append(r)
-        best, back = [0.0] * (n + 1), [-1] * (n + 1)
-        for j in range(1, n + 1):
-            best[j] = best[j - 1]
-            for r in by_end[j]:
-                v = best[spans[r, 0]] + score[r]
-                if v > best[j]:
-                    best[j], back[j] = v, r
-        out, j = [], n
+    def best(self, text: str, a: int, b: int, step: int = STEP) -> list[tuple[int, int, int]]:
+        """(kind, start, end) of the best segmentation of ``text[a:b]``.  Only the
+        tokens and candidates of ``step`` first tokens are held at a time; of
+        earlier ones the best score, the last segment and the place stay."""
+        tokens = (m.span() for m in _TOKEN.finditer(text, a, b))
+        held: list[tuple[int, int]] = []
+        behind = done = 0                           # held[0] is token number done - behind
+        begin, end = array("q"), array("q")
+        best, back = array("d", [0.0]), array("B", [0])   # back: tokens of the segment times 4, and its kind
+        while True:
+            held += islice(tokens, step + MAX_TOKENS - (len(held) - behind))
+            stop = min(len(held), behind + step)
+            if stop == behind:
+                break
+            w = Window(text, held)
+            begin.extend(x for x, _ in held[behind:stop])
+            end.extend(y for _, y in held[behind:stop])
+            more = done + len(held) - behind + 1 - len(best)
+            best.extend([-1.0] * more)
+            back.extend([0] * more)
+            spans, feats = segments(w, behind, stop)
+            score = self.scores(spans, feats)
+            good = np.flatnonzero(score > 0)               # others never beat tokens outside
+            spans, score = spans[good].tolist(), score[good].tolist()
+            r = 0
+            for t in range(behind, stop):
+                i = done + t - behind
+                if i and best[i] <= best[i - 1]:
+                    best[i], back[i] = best[i - 1], 0
+                while r < len(spans) and spans[r][0] == t:
+                    j, k = i + spans[r][1] - t, spans[r][2]
+                    if best[i] + score[r] > best[j]:
+                        best[j], back[j] = best[i] + score[r], 4 * (j - i) + k
+                    r += 1
+            done += stop - behind
+            keep = min(stop, 3)                            # words that announce a kind
+            held, behind = held[stop - keep:], keep
+        out, j = [], len(begin)
+        if j and best[j] <= best[j - 1]:
+            back[j] = 0
         while j > 0:
-            if back[j] < 0:
-                j -= 1
-            else:
-                out.append(back[j])
-                j = int(spans[back[j], 0])
+            size, k = divmod(back[j], 4)
+            if size:
+                out.append((k, begin[j - size], end[j - 1]))
+            j -= size or 1
         return out[::-1]
 
     def find(self, text: str | None, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Spans the field adds to those taken."""
-        out = []
-        for w in windows(text, taken) if text and _ANY_CUE.search(text) else ():
-            spans, feats = segments(w)
-            if len(spans):
-                for r in self.best(len(w.tokens), spans, self.scores(spans, feats)):
-                    i, j, k = spans[r].tolist()
-                    out.append((k, w.tokens[i][0], w.tokens[j - 1][1]))
-        return out
+        if not text or not _ANY_CUE.search(text):
+            return []
+        return [s for a, b in ranges(text, taken) for s in self.best(text, a, b)]
 
 
 def marginals(n: int, spans: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, float]:

@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from almanac.llm import licenses, pii
@@ -136,12 +138,96 @@ def test_dynamic_programming_equals_enumeration(field):
         for w in pii.windows(text):
             spans, feats = pii.segments(w)
             score = field.scores(spans, feats)
-            picked = field.best(len(w.tokens), spans, score)
-            assert abs(sum(score[picked]) - brute_best(len(w.tokens), spans.tolist(), score.tolist())) < 1e-9
+            total = {(k, w.tokens[i][0], w.tokens[j - 1][1]): x for (i, j, k), x in zip(spans.tolist(), score.tolist())}
+            a, b = w.tokens[0][0], w.tokens[-1][1]
+            picked = field.best(text, a, b)
+            assert abs(sum(total[s] for s in picked) - brute_best(len(w.tokens), spans.tolist(), score.tolist())) < 1e-9
+            assert picked == field.best(text, a, b, step=3)
             p, _ = pii.marginals(len(w.tokens), spans, score)
             assert (p >= -1e-9).all() and (p <= 1 + 1e-9).all()
 
 
+def test_gradient_equals_enumeration(field):
+    """Expected features over all segmentations, listed one by one."""
+    w = pii.windows("call 415 555 2671 x")[0]
+    spans, feats = pii.segments(w)
+    score, n = field.scores(spans, feats), len(w.tokens)
+
+    def every(i):
+        if i >= n:
+            yield ()
+            return
+        yield from every(i + 1)
+        for r in range(len(spans)):
+            if spans[r][0] == i:
+                yield from ((r, *rest) for rest in every(int(spans[r][1])))
+
+    ways = list(every(0))
+    weight = np.exp([sum(score[r] for r in way) for way in ways])
+    expected = np.zeros(len(spans))
+    for way, x in zip(ways, weight / weight.sum()):
+        expected[list(way)] += x
+    p, log_sum = pii.marginals(n, spans, score)
+    assert len(ways) > 3 and np.allclose(p, expected) and np.isclose(log_sum, np.log(weight.sum()))
+
+
+def plain_number(words, low, digits, tokens, text, i, j):
+    """Kinds and features of a run of tokens, one token at a time."""
+    own = [t for t in range(i, j) if digits[t]]
+    d, groups, numbers = sum(digits[i:j]), [digits[t] for t in own], [words[t] for t in own]
+    letters = sum(words[t][0].isalpha() and low[t] not in pii.DOT for t in range(i, j))
+    odd = sum(not words[t][0].isalnum() and words[t] not in "+-.()[]" for t in range(i, j))
+    if letters > 1 or odd > 1:
+        return [], None
+    dots = sum(low[t] in pii.DOT for t in range(i, j))
+    signs = {words[t] for t in range(i + 1, j) if not words[t][0].isalnum()} - set("()[]")
+    f = dict.fromkeys(pii.FEATURES, 0.0)
+    f |= {"bias": 1, "digits 7-9": 7 <= d <= 9, "digits 10": d == 10, "digits 11-15": 11 <= d <= 15, "digits 16-19": 16 <= d <= 19,
+          "other digits": not 7 <= d <= 19, "luhn": d >= 13 and pii.luhn("".join(numbers)),
+          "four bytes": len(groups) == 4 and dots >= 3 and all(int(x) <= 255 for x in numbers), "plus": words[i] == "+",
+          "bracket": words[i] == "(", "groups 3-3-4": groups[-3:] == [3, 3, 4], "groups of 4": len(groups) >= 4 and set(groups[:-1]) == {4},
+          "one group": len(groups) == 1, "letters": letters > 0, "odd sign": odd > 0, "mixed separators": len(signs) > 1,
+          "tokens": (j - i) / pii.MAX_TOKENS}
+    before, after = text[:tokens[i][0]][-1:], text[tokens[j - 1][1]:][:2]
+    f["glued before"], f["glued after"] = before.isalnum() or before == "_", after[:1].isalnum() or after[:1] == "_"
+    f["sign before"], f["sign after"] = before != "" and before in "=\"'/#:.-+", after[:1] != "" and after[:1] in "=\"'/#:@-" and after[1:].isalnum()
+    return [k for k, ok in ((1, len(groups) == 4 and dots >= 3), (2, d >= 13), (3, 7 <= d <= 15)) if ok], f
+
+
+def test_number_segments_equal_a_plain_scan():
+    rng = random.Random(5)
+    parts = ["12", "4539", "1488", "0343", "6467", "a", "at", "dot", "@", "(", ")", "+", "-", ".", "[", "]", "555", "415", "tel", "card", ",", "_", "\u0663", "1"]
+    for _ in range(60):
+        text = "".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(3, 60)))
+        for w in pii.windows(text):
+            words = [text[a:b] for a, b in w.tokens]
+            low = [x.lower() for x in words]
+            digits = [len(x) if x.isascii() and x.isdigit() else 0 for x in words]
+            want = []
+            for i in range(len(words)):
+                for j in range(i + 1, min(len(words), i + pii.MAX_TOKENS) + 1):
+                    if (j < i + 2 and digits[i] <= 6) or not words[j - 1].isalnum() or not 4 <= sum(digits[i:j]) <= 19 \
+                            or not (digits[i] or words[i] in "+(") or any(x in pii.AT for x in low[i:j]):
+                        continue
+                    kinds, f = plain_number(words, low, digits, w.tokens, text, i, j)
+                    for k in kinds:
+                        told = any(x in pii.ANNOUNCE[k] for x in low[max(0, i - 3):i])
+                        want.append(((i, j, k), [float(v) for v in (f | {"announced": told}).values()]))
+            spans, feats = pii.segments(w)
+            assert [(tuple(s), x) for s, x in zip(spans.tolist(), feats.tolist()) if s[2]] == want
+
+
+def test_texts_of_numbers_take_bounded_memory(field):
+    rng = random.Random(2)
+    text = " ".join(str(rng.randint(10, 99)) for _ in range(30_000))
+    tracemalloc.start()
+    spans = pii.all_spans(text, field)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert spans and peak < 20 << 20
+    assert spans == sorted(field.best(text, 0, len(text), step=len(text)))
+
+
 def test_field_adds_respelled_spans_and_leaves_clean_text(field):
     hits = 0
     for k, raw in ((0, "kim.lee@mail7.example.net"), (3, "+1 (312) 555-0188"), (2, "4539 1488 0343 6467")):
