@@ -11,6 +11,7 @@ repeating it.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 from functools import lru_cache
@@ -957,3 +958,26 @@ def q_bundle_long_summary(spark, d):
         one = one.select("report", "month", "year", "sessions", "active_users", "engagement_pct", "revenue")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# --------------------------------------------------------------------------
+# Sessions by blocks of time: tasks that do not grow with a user's history.
+# Days here (a month by default), so that sessions of these tables cross them.
+# --------------------------------------------------------------------------
+
+BLOCK = dt.timedelta(days=1)
+
+
+@register("session_events_blocks", ORACLE_SQL["stored_sessions_refreshed"])
+def q_session_events_blocks(spark, d):
+    """X1 at event level by the two-level scan: every event with its session."""
+    ev = _events_frame(spark, d, {"event_id", "user_id", "channel"})
+    s = X.assign_sessions(ev, with_channel=True, with_start=True, block=BLOCK)
+    return s.select("event_id", "user_id", D.ts_text("session_start").alias("session_start"), "session_channel")
+
+
+@register("organic_report_events_blocks", ORACLE_SQL["organic_report_events"])
+def q_organic_report_events_blocks(spark, d):
+    """R3 over sessions made by the two-level scan."""
+    b = dataclasses.replace(_events(d)["events"], session_block=BLOCK)
+    return R.organic_report(spark, b, EVENTS_SPAN, prop="x")

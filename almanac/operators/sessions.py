@@ -21,6 +21,12 @@ partition.  This module uses a shape that is bounded per task instead:
    (17,520 a year at 30 min) whatever the number of events, so the window's
    per-user partition has a proven bound.
 
+``sessionize_blocks`` bounds step 3 by a block of time instead of a user's
+history: sessions inside each (user, block) first, then one window per user over
+the pieces at block borders only (two a block at most), whose sessions go back
+to the rows of those blocks.  Same sessions; a binding asks for it by
+``session_block``.
+
 Reports use the rows of step 3 directly (metrics are summed per row), so raw
 events are scanned once, aggregated once and never joined.  ``session_map``
 gives the (user, bucket) → session mapping; ``assign_sessions`` puts session
@@ -104,11 +110,15 @@ def with_bucket(events: DataFrame, gap: dt.timedelta, ts: str = "ts") -> DataFra
 
 
 def session_map(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
-                with_channel: bool = False) -> DataFrame:
+                with_channel: bool = False, block: dt.timedelta | None = None) -> DataFrame:
     """(user_id, bucket) → session_id (1, 2, ... per user in time order),
     session_start [, session_channel], with the bucket's first_ts, last_ts
     and n_events.
 
+    With ``block`` no task follows a user's history (``sessionize_blocks``);
+    counting a user's sessions would, so ``session_id`` is then the start in
+    epoch microseconds, which a later event does not change.
+
     ``events`` needs ``user_id`` and ``ts`` (and ``channel`` and ``event_id``
     when ``with_channel``).  Rows with a NULL user or ts belong to no session.
     """
@@ -124,7 +134,14 @@ def session_map(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
         ev = ev.withColumn("order_key", _order_key(ev, gap))
         keys.append("channel")
         aggs.append(F.min("order_key").alias("order_key"))
-    rows = sessionize_groups(ev.groupBy(*keys).agg(*aggs), gap, with_channel)
+    groups = ev.groupBy(*keys).agg(*aggs)
+    cols = list(SESSION_MAP_COLUMNS) + (["session_channel"] if with_channel else [])
+    if block is not None:
+        rows = sessionize_blocks(groups, gap, block, with_channel)
+        m = rows.groupBy("user_id", "bucket", "session_start", *cols[len(SESSION_MAP_COLUMNS):]).agg(
+            F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("n_events").alias("n_events"))
+        return m.withColumn("session_id", epoch_micros(m, "session_start")).select(*cols)
+    rows = sessionize_groups(groups, gap, with_channel)
     # Back to one row per (user, bucket); still partitioned by user, so
     # neither this aggregate nor the numbering window shuffles.
     out_keys = ["user_id", "bucket", "session_id"] + (["session_channel"] if with_channel else [])
@@ -133,7 +150,6 @@ def session_map(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
     m = (m.withColumn("session_start", F.min("first_ts").over(Window.partitionBy("user_id", "session_id")))
           .withColumn("session_id", F.dense_rank().over(Window.partitionBy("user_id").orderBy("session_id"))
                       .cast("long")))
-    cols = list(SESSION_MAP_COLUMNS) + (["session_channel"] if with_channel else [])
     return m.select(*cols)
 
 
@@ -168,6 +184,83 @@ def sessionize_groups(groups: DataFrame, gap: dt.timedelta = dt.timedelta(minute
     return out
 
 
+def sessionize_blocks(groups: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30), block: dt.timedelta = dt.timedelta(days=31),
+                      with_channel: bool = False) -> DataFrame:
+    """The columns of :func:`sessionize_groups`, the same values, and
+    ``session_start``, by a scan on two levels: no task holds more of one user
+    than the rows of a block and the pieces of sessions that touch a border.
+
+    1. Inside (user, block): a window as in ``sessionize_groups`` cuts pieces.
+       Whether a bucket starts a session depends on the bucket before it alone
+       (an earlier one ends more than ``gap`` before it), so only a piece from
+       the block's first bucket can go on from another, and only one up to its
+       last bucket can go on in another.
+    2. Over the pieces at borders, per user: which belong together, the start
+       and the first channel of the whole.  At most two pieces a block, and
+       none for users who are not active right at a border.
+    3. Pieces that turned out to be parts of longer sessions are joined back on
+       (user, block), one row each, in the partitioning of step 1.
+
+    The reduced rows are read twice, once for each level.
+    """
+    size = max(1, gap_micros(block) // gap_micros(gap))
+    by_block = ["user_id", "block"]
+    rows = groups.withColumn("block", F.col("bucket") - F.pmod(F.col("bucket"), F.lit(size).cast("long")))
+    order = Window.partitionBy(*by_block).orderBy("bucket")
+    rows = (rows
+            .withColumns({"_bucket_first": F.min("first_ts").over(order.rangeBetween(0, 0)),
+                          "_prev_last": F.max("last_ts").over(order.rangeBetween(Window.unboundedPreceding, -1))})
+            .withColumn("_start", F.col("_prev_last").isNull() | (F.col("_bucket_first") > F.col("_prev_last") + _gap_interval(gap)))
+            .withColumn("session_id", F.max(F.when(F.col("_start"), F.col("bucket")))
+                        .over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+            .drop("_bucket_first", "_prev_last", "_start"))
+    piece = Window.partitionBy(*by_block, "session_id")
+    rows = rows.withColumn("session_start", F.min("first_ts").over(piece))
+    if with_channel:
+        rows = rows.withColumn("session_channel", F.first("channel", ignorenulls=True).over(
+            piece.orderBy("bucket", "order_key").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    channel = ["session_channel"] if with_channel else []
+
+    pieces = (rows.groupBy(*by_block, "session_id", "session_start", *channel)
+              .agg(F.max("last_ts").alias("last_ts"), F.max("bucket").alias("last_bucket"))
+              .where((F.col("session_id") == F.col("block")) | (F.col("last_bucket") == F.col("block") + F.lit(size - 1))))
+    per_user = Window.partitionBy("user_id").orderBy("session_id")
+    before = F.max("last_ts").over(per_user.rowsBetween(Window.unboundedPreceding, -1))
+    starts = ((F.col("session_id") != F.col("block")) | F.col("_before").isNull()
+              | (F.col("session_start") > F.col("_before") + _gap_interval(gap)))
+    whole = Window.partitionBy("user_id", "whole")
+    pieces = (pieces.withColumn("_before", before)
+              .withColumn("whole", F.max(F.when(starts, F.col("session_id"))).over(
+                  per_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+              .withColumns({"_many": F.count(F.lit(1)).over(whole), "whole_start": F.min("session_start").over(whole)}))
+    if with_channel:
+        pieces = pieces.withColumn("whole_channel", F.first("session_channel", ignorenulls=True).over(
+            whole.orderBy("session_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    pieces = pieces.where(F.col("_many") > 1)
+    # One row a (user, block): its head piece (from the first bucket on) and its tail piece.
+    head = F.col("session_id") == F.col("block")
+    joined = pieces.groupBy(*by_block).agg(
+        F.max(F.when(head, F.col("whole"))).alias("_head"), F.max(F.when(head, F.col("whole_start"))).alias("_head_start"),
+        F.max(F.when(~head, F.col("session_id"))).alias("_tail"),
+        *([F.max(F.when(head, F.col("whole_channel"))).alias("_head_channel"),
+           F.max(F.when(~head, F.col("whole_channel"))).alias("_tail_channel")] if with_channel else []))
+    rows = rows.join(joined, by_block, "left")
+    at_head, at_tail = head & F.col("_head").isNotNull(), F.col("session_id") == F.col("_tail")
+    new = {"session_id": F.when(at_head, F.col("_head")).otherwise(F.col("session_id")),
+           "session_start": F.when(at_head, F.col("_head_start")).otherwise(F.col("session_start"))}
+    if with_channel:
+        new["session_channel"] = (F.when(at_head, F.col("_head_channel")).when(at_tail, F.col("_tail_channel"))
+                                  .otherwise(F.col("session_channel")))
+    return rows.withColumns(new).drop("block", *joined.columns[2:])
+
+
+def with_sessions(groups: DataFrame, gap: dt.timedelta, block: dt.timedelta | None, with_channel: bool = False) -> DataFrame:
+    """``groups`` with the sessions of either form, without ``session_start``."""
+    if block is None:
+        return sessionize_groups(groups, gap, with_channel)
+    return sessionize_blocks(groups, gap, block, with_channel).drop("session_start")
+
+
 def session_rollup(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30)) -> DataFrame:
     """X2 at one row per (year, month, user, session): ``engaged`` (any engaged
     event, 0/1) and ``revenue_amount``.  One scan, one hash aggregate to
@@ -190,11 +283,11 @@ def session_rollup(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=3
 
 
 def sessions_table(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
-                   with_channel: bool = False) -> DataFrame:
+                   with_channel: bool = False, block: dt.timedelta | None = None) -> DataFrame:
     """One row per session: user_id, session_id, session_start, session_end,
     n_events [, session_channel].  Built from bucket rows only; the events
-    are never joined back."""
-    m = session_map(events, gap, with_channel)
+    are never joined back.  ``block`` as in :func:`session_map`."""
+    m = session_map(events, gap, with_channel, block)
     # the channel is constant per session: a key, not a string aggregate
     keys = ["user_id", "session_id"] + (["session_channel"] if with_channel else [])
     aggs = [F.min("first_ts").alias("session_start"), F.max("last_ts").alias("session_end"),
@@ -203,16 +296,16 @@ def sessions_table(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=3
 
 
 def assign_sessions(events: DataFrame, gap: dt.timedelta = dt.timedelta(minutes=30),
-                    with_channel: bool = False, with_start: bool = False) -> DataFrame:
+                    with_channel: bool = False, with_start: bool = False, block: dt.timedelta | None = None) -> DataFrame:
     """Events with ``session_id`` (and ``session_channel``) filled in.
 
     Equi-join on (user_id, bucket).  Events without a user or a time match
     nothing; a third key spreads them, so those of one bucket (or all without a
     time) do not meet in one task.  To sessionize once and store, write the
     result partitioned by day; reports over the stored table then keep full
-    predicate pushdown.
+    predicate pushdown.  ``block`` as in :func:`session_map`.
     """
-    m = session_map(events, gap, with_channel)
+    m = session_map(events, gap, with_channel, block)
     keep = (["user_id", "bucket", "session_id"] + (["session_channel"] if with_channel else [])
             + (["session_start"] if with_start else []))
     ev = with_bucket(events, gap)

@@ -223,7 +223,7 @@ def shared_counts(spark: SparkSession, specs: Sequence[ReportSpec], b: Binding)
             g = g.unionByName(outside.groupBy("user_id", "bucket", "channel").agg(
                 F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.min("order_key").alias("order_key")),
                 allowMissingColumns=True)
-    rows = sessions.sessionize_groups(g, b.session_gap, with_channel=with_channel)
+    rows = sessions.with_sessions(g, b.session_gap, b.session_block, with_channel)
     # An event without a user belongs to no session; its revenue counts.  These
     # rows stay out of the user window (one partition would hold them all).
     alone = (within.where(~usable).withColumns({"event_date": F.to_date("ts"), "revenue_amount": metrics.money("revenue")})

@@ -90,6 +90,7 @@ class Binding:
     session_ids: bool = True
     rows_are_sessions: bool = False
     session_gap: dt.timedelta = dt.timedelta(minutes=30)
+    session_block: dt.timedelta | None = None  # sessions made block by block of time, whatever a user's history
     derived: tuple[tuple[str, CodeMap], ...] = ()
     partition_date: str | None = None  # a date partition column of the table, for pruning
     joined: frozenset = frozenset()  # contract columns whose building joins another table
@@ -220,12 +221,13 @@ def events_binding(data_dir: str, name: str = "events", gap: dt.timedelta = dt.t
 def bindings_from_file(path: str, spark_format: str = "parquet") -> dict[str, Binding]:
     """Bindings of one's own tables, from a JSON file: ``{property: {"path": ...,
     "columns": {contract name: column or SQL expression}, "format"?,
-    "session_ids"?, "rows_are_sessions"?, "gap_minutes"?, "partition_date"?}}``.
+    "session_ids"?, "rows_are_sessions"?, "gap_minutes"?, "partition_date"?,
+    "block_days"?}}``.
     Unknown keys are refused.  Properties with the same entry share a binding,
     so their reports share scans."""
     import json
 
-    known = {"path", "columns", "format", "session_ids", "rows_are_sessions", "gap_minutes", "partition_date"}
+    known = {"path", "columns", "format", "session_ids", "rows_are_sessions", "gap_minutes", "partition_date", "block_days"}
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     made: dict[str, Binding] = {}
@@ -240,7 +242,7 @@ def bindings_from_file(path: str, spark_format: str = "parquet") -> dict[str, Bi
             made[key] = table_binding(
                 name, load, d.get("session_ids", "session_id" in d["columns"]), d.get("rows_are_sessions", False),
                 dt.timedelta(minutes=d.get("gap_minutes", 30)), d.get("partition_date"),
-                **{c: F.expr(e) for c, e in d["columns"].items()})
+                dt.timedelta(days=d["block_days"]) if "block_days" in d else None, **{c: F.expr(e) for c, e in d["columns"].items()})
         out[name] = made[key]
     return out
 
@@ -252,6 +254,7 @@ def table_binding(
     rows_are_sessions: bool = False,
     session_gap: dt.timedelta = dt.timedelta(minutes=30),
     partition_date: str | None = None,
+    session_block: dt.timedelta | None = None,
     **exprs: str | Column,
 ) -> Binding:
     """A binding for any table: ``exprs`` maps contract names to a column name
@@ -276,5 +279,5 @@ def table_binding(
         return df.select(*out)
 
     return Binding(name=name, build=build, session_ids=session_ids,
-                   rows_are_sessions=rows_are_sessions, session_gap=session_gap,
+                   rows_are_sessions=rows_are_sessions, session_gap=session_gap, session_block=session_block,
                    partition_date=partition_date)

@@ -28,7 +28,7 @@ def sessionized_events(spark: SparkSession, binding: Binding, gap: dt.timedelta
     gap = gap or binding.session_gap
     ev = binding.frame(spark, CONTRACT).drop("session_id")
     ev = ev.select(*[c for c in ev.columns if not c.startswith("_")])
-    s = assign_sessions(ev, gap, with_channel=True, with_start=True)
+    s = assign_sessions(ev, gap, with_channel=True, with_start=True, block=binding.session_block)
     from ..operators.sessions import epoch_micros
     return s.select(
         "event_id", "ts", "user_id",
